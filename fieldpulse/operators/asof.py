@@ -11,11 +11,12 @@ Plan (no pairs are ever formed, and no device's history has to fit in one task):
    device that holds a third of all rows is still spread over as many tasks as it has
    buckets.
 2. One window pass over each ``(device, bucket)`` in ``(ts, kind, ingestedAt)`` order gives,
-   per measurement, the last version seen so far *inside the bucket*, and per bucket the last
-   version of the whole bucket (same window spec, so one sort).
-3. The carry-in from earlier buckets comes from a tiny table of one row per
-   ``(device, bucket)``: a running ``last(ignorenulls)`` over buckets per device (its size is
-   devices x buckets, independent of the reading rate).
+   per measurement, the last version seen so far *inside the bucket*.
+3. The carry-in from earlier buckets comes from a small table of one row per
+   ``(device, bucket)``: each bucket's last version (an aggregate over the *dimension* rows
+   only) plus the buckets that hold measurements (a hash ``distinct``, map-side combined),
+   then a running ``last(ignorenulls)`` over buckets per device (its size is devices x
+   buckets, independent of the reading rate).
 4. Measurements take the in-bucket version if any, else the carry-in (left join on
    ``(device, bucket)`` – the big side is already partitioned on that key).
 """
@@ -42,7 +43,7 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
     """Generic backward, inclusive as-of lookup.
 
     ``events``: rows with ``key`` and ``ts`` columns (kept whole, in a struct).
-    ``versions``: name -> (DataFrame with ``deviceId``-like ``key``, ``event_ts``,
+    ``versions``: name -> (DataFrame with the same ``key`` column, ``event_ts``,
     ``ingestedAt`` and the payload ``fields``).
     Returns ``events``' columns plus one struct column per version name (null if none).
     """
@@ -55,48 +56,56 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
     def null_of(dtype):
         return F.lit(None).cast(dtype)
 
-    parts = [events.select(
-        F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.lit(1).alias("_kind"),
-        F.lit(None).cast("long").alias("_ord"),
-        F.struct(*ev_cols).alias("_e"),
-        *[null_of(payload_types[n]).alias(n) for n in names])]
+    def bucket(col: str):
+        return F.floor(F.unix_millis(col) / F.lit(bucket_seconds * 1000))
+
+    version_rows = []
     for n in names:
         vdf, fields = versions[n]
-        parts.append(vdf.filter(F.col("event_ts").isNotNull()).select(
+        version_rows.append(vdf.filter(F.col("event_ts").isNotNull()).select(
             F.col(key).alias("_k"), F.col("event_ts").alias("_ts"), F.lit(0).alias("_kind"),
             F.col("ingestedAt").cast("long").alias("_ord"),
             null_of(ev_struct_type).alias("_e"),
             *[(F.struct(*fields) if m == n else null_of(payload_types[m])).alias(m) for m in names]))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-
-    u = u.withColumn("_b", F.floor(F.unix_millis("_ts") / F.lit(bucket_seconds * 1000)))
-    order = [F.col("_ts"), F.col("_kind"), F.col("_ord")]
-    w_run = (Window.partitionBy("_k", "_b").orderBy(*order)
+    event_rows = events.select(
+        F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.lit(1).alias("_kind"),
+        F.lit(None).cast("long").alias("_ord"),
+        F.struct(*ev_cols).alias("_e"),
+        *[null_of(payload_types[n]).alias(n) for n in names])
+
+    # 1-2. main pass: one shuffle on (key, bucket), one sort, running last version
+    u = event_rows
+    for v in version_rows:
+        u = u.unionByName(v)
+    u = u.withColumn("_b", bucket("_ts"))
+    w_run = (Window.partitionBy("_k", "_b").orderBy("_ts", "_kind", "_ord")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_all = (Window.partitionBy("_k", "_b").orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    within = u.select(
-        "_k", "_b", "_kind", "_e",
-        *[F.last(n, ignorenulls=True).over(w_run).alias(f"_in_{n}") for n in names],
-        *[F.last(n, ignorenulls=True).over(w_all).alias(f"_last_{n}") for n in names],
-    )
-
-    # one row per (device, bucket): the bucket's last versions, and whether it has events
-    per_bucket = within.groupBy("_k", "_b").agg(
-        F.max("_kind").alias("_has_events"),
-        *[F.first(f"_last_{n}", ignorenulls=True).alias(f"_last_{n}") for n in names])
-    w_prev = (Window.partitionBy("_k").orderBy("_b")
+    hits = (u.select("_k", "_b", "_kind", "_e",
+                     *[F.last(n, ignorenulls=True).over(w_run).alias(f"_in_{n}") for n in names])
+            .filter(F.col("_kind") == 1))
+
+    # 3. carry-in: each bucket's last version (dimension rows only), and the buckets that
+    # hold events (hash distinct of (key, bucket): one row per bucket per task is shuffled);
+    # per key, the last version of any earlier bucket.
+    vr = version_rows[0]
+    for v in version_rows[1:]:
+        vr = vr.unionByName(v)
+    per_bucket_versions = (vr.withColumn("_b", bucket("_ts")).groupBy("_k", "_b").agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_ts", "_ord"))).alias(n) for n in names])
+        .withColumn("_src", F.lit(1)))
+    event_buckets = (events.select(F.col(key).alias("_k"), bucket(ts).alias("_b")).distinct()
+                     .select("_k", "_b", *[null_of(payload_types[n]).alias(n) for n in names],
+                             F.lit(0).alias("_src")))
+    # within a bucket the event-bucket row sorts first, so its frame holds earlier buckets only
+    w_prev = (Window.partitionBy("_k").orderBy("_b", "_src")
               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (per_bucket
-             .select("_k", "_b", "_has_events",
-                     *[F.last(f"_last_{n}", ignorenulls=True).over(w_prev).alias(f"_carry_{n}")
-                       for n in names])
-             .filter(F.col("_has_events") == 1)
-             .drop("_has_events"))
-
-    hits = within.filter(F.col("_kind") == 1)
+    carry = (event_buckets.unionByName(per_bucket_versions)
+             .select("_k", "_b", "_src",
+                     *[F.last(n, ignorenulls=True).over(w_prev).alias(f"_carry_{n}") for n in names])
+             .filter(F.col("_src") == 0)
+             .drop("_src"))
+
+    # 4. in-bucket version if any, else the carry-in
     out = hits.join(carry, ["_k", "_b"], "left")
     return out.select(
         "_e.*",
