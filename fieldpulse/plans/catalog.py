@@ -182,6 +182,26 @@ def q_device_from_key(spark, sf_dir):
                        K.device_from_streak_key(F.col("key")).alias("streak_device"))
 
 
+def q_stream_measurement(spark, sf_dir):
+    from fieldpulse.streaming.replay import replay_measurement
+    return replay_measurement(spark, sf_dir)
+
+
+def q_stream_asof(spark, sf_dir):
+    from fieldpulse.streaming.replay import replay_asof
+    return replay_asof(spark, sf_dir)
+
+
+def q_stream_summary(spark, sf_dir):
+    from fieldpulse.streaming.replay import replay_summary
+    return replay_summary(spark, sf_dir)
+
+
+def q_stream_streak(spark, sf_dir):
+    from fieldpulse.streaming.replay import replay_streak
+    return replay_streak(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "route_by_topic": q_route_by_topic,
     "parse_humidity": _parse_query("humidity"),
@@ -215,4 +235,8 @@ QUERIES: dict[str, Query] = {
     "latency_stats": q_latency_stats,
     "lenient_decoders": q_lenient_decoders,
     "device_from_key": q_device_from_key,
+    "stream_measurement": q_stream_measurement,
+    "stream_asof": q_stream_asof,
+    "stream_summary": q_stream_summary,
+    "stream_streak": q_stream_streak,
 }

@@ -81,7 +81,8 @@ def asof_state_fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -
         kept += older[-1:] + [v for v in vs if v[1] >= wm]
     state.update((json.dumps(pending), json.dumps(kept)))
     if pending:
-        state.setTimeoutTimestamp(max(min(p[0] for p in pending), wm) + 1)
+        # fires once the watermark passes the oldest held row (all held rows are >= wm)
+        state.setTimeoutTimestamp(min(p[0] for p in pending))
     if out:
         yield pd.DataFrame(out, columns=["device_id", "m", "l", "s"])
 
