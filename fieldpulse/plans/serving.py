@@ -129,3 +129,19 @@ def device_metrics(rows: DataFrame, env: str, tenant: str, device_id: str, bucke
 def latency_by_run(history: DataFrame, prefix: str) -> DataFrame:
     """Latency statistics of one benchmark run (devices named ``<prefix>...``)."""
     return latency_stats(history, prefix=prefix).withColumn("prefix", F.lit(prefix))
+
+
+def keys_like(view: DataFrame, pattern: str, key_col: str = "redis_key") -> DataFrame:
+    """Rows whose key matches a SQL LIKE pattern, e.g. ``keys.state_key_pattern(env, tenant)``
+    (the reference's key scan ``pvz:<env>:<tenant>:device:*:state``)."""
+    return view.filter(F.col(key_col).like(pattern))
+
+
+def latency_runs(history: DataFrame, prefix_pattern: str = r"^([^-]+-)") -> DataFrame:
+    """Latency statistics per benchmark run, the run being the device-id prefix captured by
+    ``prefix_pattern`` (the load generator names devices ``cnt<N>-...``); one row per run
+    with its device count, ordered by device count."""
+    runs = history.withColumn("run", F.regexp_extract("device_id", prefix_pattern, 1))
+    stats = latency_stats(runs, ("run",))
+    devices = runs.groupBy("run").agg(F.countDistinct("device_id").alias("devices"))
+    return stats.join(devices, "run").orderBy("devices", "run")

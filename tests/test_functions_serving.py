@@ -139,3 +139,18 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
     assert "redis_key" in df.columns
+
+
+def test_keys_like_and_latency_runs(spark, views):
+    e, state, streaks, _ = views
+    from fieldpulse.functions.keys import state_key_pattern, streak_key_pattern
+    one = state.first()
+    got = SV.keys_like(state, state_key_pattern(one.env, one.tenant))
+    assert got.count() == state.filter((F.col("env") == one.env) & (F.col("tenant") == one.tenant)).count()
+    assert SV.keys_like(streaks, streak_key_pattern(one.env, one.tenant)).count() > 0
+    assert SV.keys_like(state, streak_key_pattern(one.env, one.tenant)).count() == 0
+    h = flow.history(spark, SF_SMALL)
+    runs = SV.latency_runs(h).collect()
+    assert len(runs) == 1 and runs[0].run == "device-" and runs[0].samples == h.count()
+    one_run = SV.latency_by_run(h, "device-").collect()[0]
+    assert one_run.samples == h.count() and one_run.prefix == "device-"
