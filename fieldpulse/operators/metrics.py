@@ -21,19 +21,20 @@ def filter_device_range(df: DataFrame, env: str, tenant: str, device_id: str,
 
 
 def metrics_by_bucket(enriched: DataFrame, bucket: str = "HOUR",
-                      group_cols: tuple[str, ...] = ()) -> DataFrame:
+                      group_cols: tuple[str, ...] = (), ordered: bool = False) -> DataFrame:
     """Per ``date_trunc(bucket, ts)`` (hour / day / week, weeks start Monday): average
     temperature, average humidity, reading count, online count, offline count. A null
-    ``online`` counts in neither. Sorted by bucket start."""
+    ``online`` counts in neither. ``ordered`` sorts by bucket start (what one device's chart
+    needs); a fleet-wide table skips the global sort (a sampling pass + range shuffle)."""
     unit = BUCKET_UNITS[bucket.upper()]
     online = F.col("online")
-    return (enriched.groupBy(*group_cols, F.date_trunc(unit, F.col(TS)).alias("bucket"))
+    out = (enriched.groupBy(*group_cols, F.date_trunc(unit, F.col(TS)).alias("bucket"))
             .agg(F.avg("temperature").alias("tAvg"),
                  F.avg("humidity").alias("hAvg"),
                  F.count("device_id").alias("totalCount"),
                  F.sum(F.when(online == F.lit(True), 1).otherwise(0)).cast("long").alias("okCount"),
-                 F.sum(F.when(online == F.lit(False), 1).otherwise(0)).cast("long").alias("errorCount"))
-            .orderBy(*group_cols, "bucket"))
+                 F.sum(F.when(online == F.lit(False), 1).otherwise(0)).cast("long").alias("errorCount")))
+    return out.orderBy(*group_cols, "bucket") if ordered else out
 
 
 # ---------------------------------------------------------------------------------------

@@ -5,12 +5,11 @@ Three equivalent plans (tests check they agree):
 * ``direct``    – ``window()`` expands every row into 60 windows, then three
   ``count_distinct`` (Catalyst plans an Expand over them).
 * ``two_stage`` – expand, aggregate per (window, device), then per window.
-* ``panes``     – default. Aggregate each device's rows per 10-second pane first (one row
-  per device and pane, partial aggregation before the shuffle), *then* expand panes into
-  the 60 windows that contain them, aggregate per (window, device) and per window. At one
-  reading per device and second this moves 10x fewer rows through the expansion than the
-  other two, and no aggregation ever holds a device's or tenant's rows in one buffer: every
-  step is a hash aggregate with map-side combine, so hot tenants/devices cost nothing extra.
+* ``panes``     – default, see :func:`recent_summary_panes`: measures are aggregated per
+  (tenant, 10-second pane) and expanded to windows; distinct devices are counted once per
+  window at the device's *first* pane in it (bounds from the previous pane, found inside
+  small (device, pane-bucket) partitions), so there is no (window, device) aggregate. All
+  aggregates combine map-side, so hot tenants/devices are reduced before any shuffle.
 
 Averages are carried as (sum, non-null count) so the pane plan is exact up to float
 summation order; distinct device counts are exact; a device seen both online and offline in
@@ -19,7 +18,7 @@ a window counts in both.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.constants import SLIDE_SECONDS, WINDOW_SECONDS
@@ -111,18 +110,90 @@ def recent_summary_two_stage(enriched: DataFrame, window_seconds: int = WINDOW_S
 
 
 def recent_summary_panes(enriched: DataFrame, window_seconds: int = WINDOW_SECONDS,
-                         slide_seconds: int = SLIDE_SECONDS) -> DataFrame:
+                         slide_seconds: int = SLIDE_SECONDS, bucket_panes: int = 360) -> DataFrame:
+    """Pane plan: no (window, device) aggregate at all.
+
+    Time is cut into panes of one slide (10 s); window ``w`` (indexed by its first pane)
+    covers panes ``w .. w+K-1`` (K = window / slide = 60).
+
+    * Averages, min and max: aggregate per (tenant, pane) – devices collapse here – then
+      expand each tenant-pane into its K windows.
+    * Distinct devices: a device is counted in window ``w`` at its *first* pane inside it.
+      Pane ``p`` is that first pane exactly for ``w`` in ``[max(prev+1, p-K+1), p]``, where
+      ``prev`` is the device's previous pane with data (previous *online* / *offline* pane
+      for the other two counts). ``prev`` comes from ``lag`` inside (device, pane-bucket)
+      partitions of ``bucket_panes`` panes; rows in the last K-1 panes of a bucket are also
+      copied into the next bucket as look-behind, so no partition ever holds more than one
+      bucket of one device (a hot device is spread over its buckets).
+    * One final hash aggregate per (tenant, window) over both row sets.
+
+    At one reading per device and second a continuously reporting device adds ~1 row per
+    pane instead of K, and the measures collapse to one row per tenant and pane.
+    """
     if window_seconds % slide_seconds:
         return recent_summary_two_stage(enriched, window_seconds, slide_seconds)
-    panes = _device_partials(
-        enriched.withColumn("pane", F.window(TS, f"{slide_seconds} seconds").start),
-        ["env", "tenant", "device_id", "pane"], True)
-    # each pane lies wholly inside exactly window/slide windows
-    expanded = panes.withColumn("w", _window("pane", window_seconds, slide_seconds)) \
-        .withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end"))
-    per_device = _device_partials(expanded, ["env", "tenant", "window_start", "window_end", "device_id"],
-                                  False)
-    return _finish(_window_totals(per_device), window_seconds)
+    k = window_seconds // slide_seconds
+    if bucket_panes < k:
+        bucket_panes = k
+    slide_us = slide_seconds * 1_000_000
+    e = enriched.withColumn("_p", F.floor(F.unix_micros(TS) / F.lit(slide_us)))
+
+    # measures per (tenant, pane), expanded to the K windows containing the pane
+    measures = (e.groupBy("env", "tenant", "_p").agg(
+        F.sum("temperature").alias("t_sum"), F.count("temperature").alias("t_cnt"),
+        F.sum("humidity").alias("h_sum"), F.count("humidity").alias("h_cnt"),
+        F.min(TS).alias("ts_min"), F.max(TS).alias("ts_max"),
+        F.min("measurement_processing_ts_ms").alias("mp_min"),
+        F.max("measurement_processing_ts_ms").alias("mp_max"),
+        F.min("enriched_processing_ts_ms").alias("ep_min"),
+        F.max("enriched_processing_ts_ms").alias("ep_max"))
+        .select("*", F.explode(F.sequence(F.col("_p") - (k - 1), F.col("_p"))).alias("_w"))
+        .drop("_p"))
+
+    # device presence per pane (any reading / any online / any offline)
+    dev = e.groupBy("env", "tenant", "device_id", "_p").agg(
+        F.max(_online().cast("int")).alias("on"), F.max((~_online()).cast("int")).alias("off"))
+    dev = dev.withColumn("_b", F.floor(F.col("_p") / F.lit(bucket_panes)))
+    ghosts = (dev.filter(F.col("_p") - F.col("_b") * bucket_panes >= bucket_panes - (k - 1))
+              .withColumn("_b", F.col("_b") + 1).withColumn("_ghost", F.lit(True)))
+    rows = dev.withColumn("_ghost", F.lit(False)).unionByName(ghosts)
+    w = (Window.partitionBy("env", "tenant", "device_id", "_b").orderBy("_p")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.select(
+        "*",
+        F.max("_p").over(w).alias("_prev"),
+        F.max(F.when(F.col("on") == 1, F.col("_p"))).over(w).alias("_prev_on"),
+        F.max(F.when(F.col("off") == 1, F.col("_p"))).over(w).alias("_prev_off"),
+    ).filter(~F.col("_ghost"))
+    floor_w = F.col("_p") - (k - 1)
+    lo_all = F.greatest(floor_w, F.coalesce(F.col("_prev") + 1, floor_w))
+    lo_on = F.when(F.col("on") == 1, F.greatest(floor_w, F.coalesce(F.col("_prev_on") + 1, floor_w)))
+    lo_off = F.when(F.col("off") == 1, F.greatest(floor_w, F.coalesce(F.col("_prev_off") + 1, floor_w)))
+    # the previous online/offline pane can be older than the previous pane of any kind, so
+    # their ranges can start earlier: expand from the smallest bound, flag each count
+    firsts = (rows.select("env", "tenant", "_p", lo_all.alias("_lo"), lo_on.alias("_lo_on"), lo_off.alias("_lo_off"))
+              .select("*", F.explode(F.sequence(F.least("_lo", "_lo_on", "_lo_off"), F.col("_p"))).alias("_w"))
+              .select("env", "tenant", "_w",
+                      (F.col("_w") >= F.col("_lo")).cast("int").alias("c_all"),
+                      (F.col("_w") >= F.col("_lo_on")).cast("int").alias("c_on"),
+                      (F.col("_w") >= F.col("_lo_off")).cast("int").alias("c_off")))
+
+    both = firsts.unionByName(measures, allowMissingColumns=True)
+    totals = both.groupBy("env", "tenant", "_w").agg(
+        F.coalesce(F.sum("c_all"), F.lit(0)).cast("long").alias("totalDevices"),
+        F.coalesce(F.sum("c_on"), F.lit(0)).cast("long").alias("onlineDevices"),
+        F.coalesce(F.sum("c_off"), F.lit(0)).cast("long").alias("offlineDevices"),
+        (F.sum("t_sum") / F.sum("t_cnt")).alias("avgTemp"),
+        (F.sum("h_sum") / F.sum("h_cnt")).alias("avgHumidity"),
+        F.min("ts_min").alias("minEventTs"), F.max("ts_max").alias("maxEventTs"),
+        F.min("mp_min").alias("minMeasurementProcessingTsMs"),
+        F.max("mp_max").alias("maxMeasurementProcessingTsMs"),
+        F.min("ep_min").alias("minEnrichedProcessingTsMs"),
+        F.max("ep_max").alias("maxEnrichedProcessingTsMs"))
+    start = F.timestamp_micros(F.col("_w") * F.lit(slide_us))
+    return _finish(totals.withColumn("window_start", start)
+                   .withColumn("window_end", start + F.expr(f"INTERVAL {window_seconds} SECONDS")),
+                   window_seconds)
 
 
 def recent_summary(enriched: DataFrame, window_seconds: int = WINDOW_SECONDS,

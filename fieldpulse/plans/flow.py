@@ -17,6 +17,7 @@ from fieldpulse.operators.asof import asof_enrich
 from fieldpulse.operators.measurement import join_measurement
 from fieldpulse.operators.normalize import error_records, ok_records, parse_readings
 from fieldpulse.sources import fixtures as FX
+from fieldpulse.sources.fixtures import memo_plan
 from fieldpulse.sources.topics import route_by_topic
 
 
@@ -30,12 +31,14 @@ def typed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {k: FX.typed_readings(spark, sf_dir, k) for k in ("humidity", "temperature", "location", "state")}
 
 
+@memo_plan
 def measurement(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
     t = typed_inputs(spark, sf_dir)
     m_clock, _ = _clocks(clock)
     return join_measurement(t["humidity"], t["temperature"], processing_ms=m_clock)
 
 
+@memo_plan
 def enriched(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
     t = typed_inputs(spark, sf_dir)
     m_clock, e_clock = _clocks(clock)
@@ -45,6 +48,7 @@ def enriched(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFr
 
 # --- from raw device lines ------------------------------------------------------------------
 
+@memo_plan
 def parsed_from_raw(spark: SparkSession, sf_dir: str, kind: str, clock: str = "fixture") -> DataFrame:
     """One kind's parse output (typed columns + errorMessage) from the raw feed. With the
     fixture clock, ingestion time is the raw record's timestamp."""
@@ -53,10 +57,12 @@ def parsed_from_raw(spark: SparkSession, sf_dir: str, kind: str, clock: str = "f
     return parse_readings(routed.filter(F.col("kind") == kind), kind, ingest_ms=stamp)
 
 
+@memo_plan
 def typed_from_raw(spark: SparkSession, sf_dir: str, kind: str, clock: str = "fixture") -> DataFrame:
     return ok_records(parsed_from_raw(spark, sf_dir, kind, clock), kind, keep_event_ts=True)
 
 
+@memo_plan
 def errors_from_raw(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
     parts = [error_records(parsed_from_raw(spark, sf_dir, k, clock))
              for k in ("humidity", "temperature", "location", "state")]
@@ -66,6 +72,7 @@ def errors_from_raw(spark: SparkSession, sf_dir: str, clock: str = "fixture") ->
     return out
 
 
+@memo_plan
 def enriched_from_raw(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
     """The whole chain from raw device bytes to enriched rows."""
     t = {k: typed_from_raw(spark, sf_dir, k, clock) for k in ("humidity", "temperature", "location", "state")}
@@ -74,6 +81,7 @@ def enriched_from_raw(spark: SparkSession, sf_dir: str, clock: str = "fixture")
     return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock)
 
 
+@memo_plan
 def history(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
     """Enriched rows as the history table holds them (+ insert time), without writing."""
     from fieldpulse.sources.history import history_rows

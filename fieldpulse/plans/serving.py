@@ -121,7 +121,7 @@ def device_metrics(rows: DataFrame, env: str, tenant: str, device_id: str, bucke
         hi = as_of if as_of is not None else F.current_timestamp()
         lo = range_back(hi, bucket)
     picked = filter_device_range(rows, env, tenant, device_id, lo, hi)
-    return (metrics_by_bucket(picked, bucket)
+    return (metrics_by_bucket(picked, bucket, ordered=True)
             .select(F.unix_seconds("bucket").alias("ts"), "tAvg", "hAvg")
             .orderBy("ts"))
 

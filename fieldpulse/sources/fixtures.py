@@ -45,6 +45,24 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_PLAN_CACHE: dict = {}
+
+
+def memo_plan(fn):
+    """Reuse the (lazy) DataFrame a fixture/flow function builds, per session and arguments.
+    No data is cached – every action still reads and computes everything – but the parquet
+    footers are not re-listed and the plan is not re-analysed for each query."""
+    def wrapper(spark, *args, **kw):
+        key = (fn.__module__, fn.__qualname__, id(spark), args, tuple(sorted(kw.items())))
+        hit = _PLAN_CACHE.get(key)
+        if hit is None or hit[0] is not spark:
+            hit = _PLAN_CACHE[key] = (spark, fn(spark, *args, **kw))
+        return hit[1]
+    wrapper.__name__, wrapper.__doc__, wrapper.__wrapped__ = fn.__name__, fn.__doc__, fn
+    return wrapper
+
+
+@memo_plan
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events + the columns every fixture shares."""
     ensure_utc(spark)
@@ -73,6 +91,7 @@ def _kind_rows(ev: DataFrame, kind: str) -> DataFrame:
     return ev.filter(F.col("event_type").isin(*KIND_OF_EVENT[kind]))
 
 
+@memo_plan
 def typed_readings(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Clean typed records of one kind (+ env, tenant), as the normalizer would emit them."""
     ev = _kind_rows(base_events(spark, sf_dir), kind)

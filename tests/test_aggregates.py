@@ -150,3 +150,23 @@ def test_latency_stats_columns(spark):
     for m in MT.LATENCIES:
         assert out[f"p50_{m}_ms"] <= out[f"p95_{m}_ms"]
     assert out["mean_create_to_postgres_ms"] > out["mean_create_to_enriched_ms"] > out["mean_create_to_measurement_ms"]
+
+
+@pytest.mark.parametrize("bucket_panes", [60, 97, 360])
+def test_panes_first_occurrence_across_buckets(spark, bucket_panes):
+    import random
+    rnd = random.Random(bucket_panes)
+    items = []
+    for i in range(700):  # a dense device (every 10 s, with gaps) and sparse ones
+        if rnd.random() < 0.8:
+            items.append(("dense", T(10) + dt.timedelta(seconds=10 * i + rnd.randrange(10)), 40.0 + i % 20,
+                          float(i % 7), rnd.random() < 0.5))
+    for i in range(120):
+        items.append((f"s{i % 9}", T(10) + dt.timedelta(seconds=rnd.randrange(7000)), 55.0, 1.0,
+                      rnd.choice([True, False, None])))
+    df = enriched_rows(spark, items)
+    want = rows(SM.recent_summary(df, method="direct"), "window_start", "totalDevices", "onlineDevices",
+                "offlineDevices", "minEventTs", "maxEventTs")
+    got = rows(SM.recent_summary_panes(df, bucket_panes=bucket_panes), "window_start", "totalDevices",
+               "onlineDevices", "offlineDevices", "minEventTs", "maxEventTs")
+    assert got == want
