@@ -32,7 +32,7 @@ def _online() -> "F.Column":
     return F.coalesce(F.col("online"), F.lit(False))
 
 
-def _finish(df: DataFrame, window_seconds: int) -> DataFrame:
+def finish_summary(df: DataFrame, window_seconds: int) -> DataFrame:
     return df.select(
         build_key_summary(F.col("env"), F.col("tenant")).alias("redis_key"),
         "env", F.col("tenant").alias("tenantId"),
@@ -63,11 +63,11 @@ def recent_summary_direct(enriched: DataFrame, window_seconds: int = WINDOW_SECO
                 F.min("enriched_processing_ts_ms").alias("minEnrichedProcessingTsMs"),
                 F.max("enriched_processing_ts_ms").alias("maxEnrichedProcessingTsMs"))
            .select("*", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")))
-    return _finish(agg, window_seconds)
+    return finish_summary(agg, window_seconds)
 
 
 # Per-(…, device) partial state: any-online, any-offline, (sum, count) per average, min/max.
-def _device_partials(df: DataFrame, keys: list, first_level: bool) -> DataFrame:
+def device_partials(df: DataFrame, keys: list, first_level: bool) -> DataFrame:
     if first_level:
         aggs = [F.max(_online().cast("int")).alias("on"), F.max((~_online()).cast("int")).alias("off"),
                 F.sum("temperature").alias("t_sum"), F.count("temperature").alias("t_cnt"),
@@ -87,7 +87,7 @@ def _device_partials(df: DataFrame, keys: list, first_level: bool) -> DataFrame:
     return df.groupBy(*keys).agg(*aggs)
 
 
-def _window_totals(per_device: DataFrame) -> DataFrame:
+def window_totals(per_device: DataFrame) -> DataFrame:
     return per_device.groupBy("env", "tenant", "window_start", "window_end").agg(
         F.count("*").alias("totalDevices"),
         F.count_if(F.col("on") == 1).alias("onlineDevices"),
@@ -105,8 +105,8 @@ def recent_summary_two_stage(enriched: DataFrame, window_seconds: int = WINDOW_S
                              slide_seconds: int = SLIDE_SECONDS) -> DataFrame:
     w = enriched.withColumn("w", _window(TS, window_seconds, slide_seconds)) \
         .withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end"))
-    per_device = _device_partials(w, ["env", "tenant", "window_start", "window_end", "device_id"], True)
-    return _finish(_window_totals(per_device), window_seconds)
+    per_device = device_partials(w, ["env", "tenant", "window_start", "window_end", "device_id"], True)
+    return finish_summary(window_totals(per_device), window_seconds)
 
 
 def recent_summary_panes(enriched: DataFrame, window_seconds: int = WINDOW_SECONDS,
@@ -191,7 +191,7 @@ def recent_summary_panes(enriched: DataFrame, window_seconds: int = WINDOW_SECON
         F.min("ep_min").alias("minEnrichedProcessingTsMs"),
         F.max("ep_max").alias("maxEnrichedProcessingTsMs"))
     start = F.timestamp_micros(F.col("_w") * F.lit(slide_us))
-    return _finish(totals.withColumn("window_start", start)
+    return finish_summary(totals.withColumn("window_start", start)
                    .withColumn("window_end", start + F.expr(f"INTERVAL {window_seconds} SECONDS")),
                    window_seconds)
 

@@ -129,7 +129,7 @@ def summary_stream(enriched: DataFrame, watermark: str = SUMMARY_WATERMARK,
     emitted once, when the watermark passes its end."""
     e = enriched.withWatermark("measurement_event_ts", watermark)
     w = F.window("measurement_event_ts", f"{window_seconds} seconds", f"{slide_seconds} seconds")
-    per_device = SM._device_partials(e.withColumn("window", w), ["env", "tenant", "window", "device_id"], True)
+    per_device = SM.device_partials(e.withColumn("window", w), ["env", "tenant", "window", "device_id"], True)
     totals = per_device.groupBy("env", "tenant", "window").agg(
         F.count("*").alias("totalDevices"),
         F.count_if(F.col("on") == 1).alias("onlineDevices"),
@@ -141,7 +141,7 @@ def summary_stream(enriched: DataFrame, watermark: str = SUMMARY_WATERMARK,
         F.max("mp_max").alias("maxMeasurementProcessingTsMs"),
         F.min("ep_min").alias("minEnrichedProcessingTsMs"),
         F.max("ep_max").alias("maxEnrichedProcessingTsMs"))
-    return SM._finish(totals.withColumn("window_start", F.col("window.start"))
+    return SM.finish_summary(totals.withColumn("window_start", F.col("window.start"))
                       .withColumn("window_end", F.col("window.end")), window_seconds)
 
 

@@ -114,3 +114,56 @@ def test_history_and_state_sinks(spark, chain):
     assert {"postgres_inserted_at", "event_date", "batch_id"} <= set(hist.columns)
     state = read_upsert_view(spark, f"{chain}/state", "redis_key", ["measurement_event_ts"])
     assert state.count() == enriched.select("redis_key").distinct().count()
+
+
+def test_stream_asof_late_version_and_late_row(spark, scratch):
+    """Micro-batch 1: measurement at 10:00:00 and a location version at 09:00.
+    Micro-batch 2: a version at 09:59:59.900 arrives after the measurement, but before the
+    watermark passes it, so the measurement must see it; plus readings that move time on.
+    Micro-batch 3: a measurement at 08:00, behind the watermark: dropped, like the reference."""
+    from fieldpulse.schemas import MEASUREMENT
+    from fieldpulse.streaming.asof_state import stream_asof_enrich
+    root = f"{scratch}/asof-edges"
+    m_schema = MEASUREMENT
+    loc_schema = "deviceId string, eventTime string, lat double, lon double, ingestedAt long, sourceTopic string"
+    st_schema = ("deviceId string, eventTime string, rssi int, snr double, battery double, online boolean, "
+                 "ingestedAt long, sourceTopic string")
+
+    def meas(seq, t):
+        return ("d", "prod", "t1", 50.0, 1.0, seq, seq, t, t, 1, 1,
+                dt.datetime.fromisoformat(t.replace("Z", "")), 0)
+
+    def drop(kind, rows, schema, n):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/{kind}/{n}")
+
+    st_row = ("d", "2024-01-05T08:00:00.000Z", -70, 1.0, 90.0, True, 1, "s")
+    drop("m", [meas(1, "2024-01-05T10:00:00.000Z")], m_schema, 1)
+    drop("l", [("d", "2024-01-05T09:00:00.000Z", 1.0, 1.0, 1, "l")], loc_schema, 1)
+    drop("s", [st_row], st_schema, 1)
+
+    def stream(kind, schema):
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{kind}/*")
+
+    e = stream_asof_enrich(stream("m", m_schema), stream("l", loc_schema), stream("s", st_schema),
+                           enrich_ms=F.lit(0))
+    q = (e.writeStream.format("memory").queryName("asof_edges").outputMode("append")
+         .option("checkpointLocation", f"{root}/ckpt").start())
+    try:
+        q.processAllAvailable()
+        assert spark.table("asof_edges").count() == 0  # held: the watermark has not passed it
+        drop("l", [("d", "2024-01-05T09:59:59.900Z", 2.0, 2.0, 2, "l")], loc_schema, 2)
+        drop("m", [meas(2, "2024-01-05T11:00:00.000Z")], m_schema, 2)
+        drop("s", [("d", "2024-01-05T11:00:00.000Z", -70, 1.0, 90.0, True, 2, "s")], st_schema, 2)
+        drop("l", [("d", "2024-01-05T11:00:00.000Z", 3.0, 3.0, 3, "l")], loc_schema, 3)
+        q.processAllAvailable()
+        drop("m", [meas(3, "2024-01-05T08:00:00.000Z")], m_schema, 3)
+        drop("m", [meas(4, "2024-01-05T12:00:00.000Z")], m_schema, 4)
+        drop("s", [("d", "2024-01-05T12:00:00.000Z", -70, 1.0, 90.0, True, 3, "s")], st_schema, 3)
+        drop("l", [("d", "2024-01-05T12:00:00.000Z", 4.0, 4.0, 4, "l")], loc_schema, 4)
+        q.processAllAvailable()
+        got = {r.humidity_seq: r.lat for r in spark.table("asof_edges").collect()}
+    finally:
+        q.stop()
+    assert got[1] == 2.0      # the version that arrived later but before the watermark
+    assert got[2] == 3.0      # version at exactly the measurement's time is visible
+    assert 3 not in got       # behind the watermark: dropped
