@@ -9,7 +9,8 @@ Plan (no pairs are ever formed, and no device's history has to fit in one task):
 1. Union measurements and both dimensions into one narrow row stream, tagged by kind, and
    cut time into buckets (default one hour) – the shuffle key is ``(device, bucket)``, so a
    device that holds a third of all rows is still spread over as many tasks as it has
-   buckets.
+   buckets. A (device, bucket) with more rows than ``max_rows_per_bucket`` is salted: its
+   measurements are spread over several partitions and its versions copied to each.
 2. One window pass over each ``(device, bucket)`` in ``(ts, kind, ingestedAt)`` order gives,
    per measurement, the last version seen so far *inside the bucket*.
 3. The carry-in from earlier buckets comes from a small table of one row per
@@ -39,7 +40,8 @@ STATE_FIELDS = ["eventTime", "ingestedAt", "rssi", "snr", "battery", "online"]
 
 
 def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str]]],
-                key: str, ts: str, bucket_seconds: int = 3600) -> DataFrame:
+                key: str, ts: str, bucket_seconds: int = 3600,
+                max_rows_per_bucket: int = 4_000_000) -> DataFrame:
     """Generic backward, inclusive as-of lookup.
 
     ``events``: rows with ``key`` and ``ts`` columns (kept whole, in a struct).
@@ -73,14 +75,30 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
         F.struct(*ev_cols).alias("_e"),
         *[null_of(payload_types[n]).alias(n) for n in names])
 
-    # 1-2. main pass: one shuffle on (key, bucket), one sort, running last version
+    # Events per (key, bucket): the carry table's bucket list, and the hot buckets. A bucket
+    # with more than ``max_rows_per_bucket`` events is split over ceil(n / max) salts; its
+    # versions are copied to every salt, so each salted partition still sees all of them.
+    # The hot-bucket table has at most (#events / max_rows_per_bucket) rows – a proven bound –
+    # so it is broadcast; normally it is empty and every salt is 0.
+    bucket_counts = (events.select(F.col(key).alias("_k"), bucket(ts).alias("_b"))
+                     .groupBy("_k", "_b").agg(F.count("*").alias("_n")))
+    hot = F.broadcast(bucket_counts.filter(F.col("_n") > max_rows_per_bucket).select(
+        "_k", "_b", F.ceil(F.col("_n") / F.lit(max_rows_per_bucket)).cast("int").alias("_salts")))
+
+    # 1-2. main pass: one shuffle on (key, bucket, salt), one sort, running last version.
+    # One broadcast join of the union with the hot buckets gives every row its salt: an
+    # event takes hash(row) mod n, a version is copied to all n salts.
     u = event_rows
     for v in version_rows:
         u = u.unionByName(v)
-    u = u.withColumn("_b", bucket("_ts"))
-    w_run = (Window.partitionBy("_k", "_b").orderBy("_ts", "_kind", "_ord")
+    u = u.withColumn("_b", bucket("_ts")).join(hot, ["_k", "_b"], "left")
+    n_salts = F.coalesce(F.col("_salts"), F.lit(1))
+    salts = (F.when(F.col("_kind") == 1, F.array(F.pmod(F.xxhash64("_e", "_ts"), n_salts).cast("int")))
+             .otherwise(F.sequence(F.lit(0), n_salts - 1)))
+    u = u.select(*[c for c in u.columns if c != "_salts"], F.explode(salts).alias("_salt"))
+    w_run = (Window.partitionBy("_k", "_b", "_salt").orderBy("_ts", "_kind", "_ord")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hits = (u.select("_k", "_b", "_kind", "_e",
+    hits = (u.select("_k", "_b", "_salt", "_kind", "_e",
                      *[F.last(n, ignorenulls=True).over(w_run).alias(f"_in_{n}") for n in names])
             .filter(F.col("_kind") == 1))
 
@@ -93,9 +111,8 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
     per_bucket_versions = (vr.withColumn("_b", bucket("_ts")).groupBy("_k", "_b").agg(
         *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_ts", "_ord"))).alias(n) for n in names])
         .withColumn("_src", F.lit(1)))
-    event_buckets = (events.select(F.col(key).alias("_k"), bucket(ts).alias("_b")).distinct()
-                     .select("_k", "_b", *[null_of(payload_types[n]).alias(n) for n in names],
-                             F.lit(0).alias("_src")))
+    event_buckets = bucket_counts.select("_k", "_b", *[null_of(payload_types[n]).alias(n) for n in names],
+                                         F.lit(0).alias("_src"))
     # within a bucket the event-bucket row sorts first, so its frame holds earlier buckets only
     w_prev = (Window.partitionBy("_k").orderBy("_b", "_src")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -105,8 +122,13 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
              .filter(F.col("_src") == 0)
              .drop("_src"))
 
-    # 4. in-bucket version if any, else the carry-in
-    out = hits.join(carry, ["_k", "_b"], "left")
+    # 4. in-bucket version if any, else the carry-in. The carry rows get the salt column too
+    # (one copy per salt of a hot bucket), so the join key equals the main pass's partitioning
+    # and only the small carry side is shuffled.
+    carry = (carry.join(hot, ["_k", "_b"], "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+             .drop("_salts"))
+    out = hits.join(carry, ["_k", "_b", "_salt"], "left")
     return out.select(
         "_e.*",
         *[F.coalesce(f"_in_{n}", f"_carry_{n}").alias(n) for n in names])

@@ -77,8 +77,10 @@ def test_asof_matches_brute_force_on_random_data(spark):
         return max(cands, key=lambda v: (v[1], v[2]))[3] if cands else None
 
     want = {e[2]: brute(e) for e in events}
-    for bucket in (30, 600, 7200):
-        out = asof_latest(ev, {"x": (vv, ["v"])}, key="device_id", ts="ts", bucket_seconds=bucket)
+    for bucket, max_rows in ((30, 10**9), (600, 10**9), (7200, 10**9), (7200, 3), (86400, 1)):
+        # max_rows small: every bucket is "hot" and salted (versions copied to each salt)
+        out = asof_latest(ev, {"x": (vv, ["v"])}, key="device_id", ts="ts", bucket_seconds=bucket,
+                          max_rows_per_bucket=max_rows)
         got = {r.id: (r.x.v if r.x is not None else None) for r in out.collect()}
         assert got == want
 
