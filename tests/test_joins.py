@@ -24,7 +24,7 @@ def test_join_duplicates_multiply_and_seq_restart(spark):
                                ("d", ts("11:59:59.000"), 6.0, 2, 2, "t"),
                                ("d", ts("09:00:00.000"), 7.0, 2, 3, "t")], TT)  # seq 2 reused by a restart
     m = join_measurement(h, t, processing_ms=F.lit(0))
-    assert m.count() == 2 + 2  # (seq 1: 2x1) + (seq 2: 1x2)
+    assert m.count() == 2 + 2  # distinct readings pair up: (seq 1: 2x1) + (seq 2: 1x2)
     got = rows(m, "humidity", "temperature")
     assert got == [(40.0, 5.0), (41.0, 5.0), (42.0, 6.0), (42.0, 7.0)]
     # the optional time bound drops the partner from the earlier run
@@ -34,6 +34,15 @@ def test_join_duplicates_multiply_and_seq_restart(spark):
     assert {r.measurement_event_ts.hour for r in m.collect()} == {10, 12}
 
 
+def test_join_collapses_exact_copies(spark):
+    row = ("d", ts("10:00:00.000"), 40.0, 1, 1, "h")
+    h = spark.createDataFrame([row, row[:4] + (5, "h"), row], H)          # 3 deliveries of one reading
+    t = spark.createDataFrame([("d", ts("10:00:00.100"), 5.0, 1, 2, "t")] * 2, TT)
+    m = join_measurement(h, t, processing_ms=F.lit(0))
+    assert [(r.humidity, r.temperature, r.humidity_ingested_at) for r in m.collect()] == [(40.0, 5.0, 1)]
+    assert join_measurement(h, t, processing_ms=F.lit(0), copies="keep").count() == 6  # like the reference
+
+
 def _asof_inputs(spark, events, versions):
     ev = spark.createDataFrame(events, "device_id string, ts timestamp, id long")
     vv = spark.createDataFrame(versions, "device_id string, event_ts timestamp, ingestedAt long, v string")
