@@ -59,12 +59,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when the setting is absent (local tests) do we create a scratch folder and register
-    it, so the cluster's own setting always wins.
+    it, so the cluster's own setting always wins. Works with and without a SparkContext
+    (Spark Connect sessions have none; they read the SQL conf).
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        configured = configured or sc.getCheckpointDir()
+    except Exception:  # Spark Connect: no SparkContext
+        sc = None
     if configured:
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="fieldpulse-ckpt-", dir=os.environ.get("FIELDPULSE_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path

@@ -60,3 +60,13 @@ def upsert_sink(table_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         append_changelog(batch, table_path, batch_id)
     return run
+
+
+def kafka_append(df: DataFrame, bootstrap: str, topic: str, key_col: str, checkpoint: str):
+    """Append rows to a Kafka topic as JSON values keyed by ``key_col`` (the reference's typed
+    topics). Needs the spark-sql-kafka package; untested here (no connector jar)."""
+    out = df.select(F.col(key_col).cast("string").alias("key"),
+                    F.to_json(F.struct(*df.columns)).alias("value"))
+    return (out.writeStream.format("kafka").outputMode("append")
+            .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
+            .option("checkpointLocation", checkpoint))
