@@ -126,12 +126,21 @@ def start_enrichment(spark: SparkSession, measurement_path: str, typed_root: str
 
 def summary_stream(enriched: DataFrame, watermark: str = SUMMARY_WATERMARK,
                    window_seconds: int = 600, slide_seconds: int = 10) -> DataFrame:
-    """Append-mode hop summary. Exact distinct counts on a stream: stage 1 aggregates per
-    (window, device), stage 2 per window (chained time-window aggregation); a window is
-    emitted once, when the watermark passes its end."""
+    """Append-mode hop summary as three chained event-time aggregations (exact distinct
+    counts on a stream):
+
+    1. per (device, pane): 10-second tumbling panes – readings of one device collapse here;
+    2. per (device, window): each pane goes to the hop windows containing it
+       (``window(window_time(pane), ...)`` keeps the event-time lineage);
+    3. per window: device counts and the measures.
+
+    A window is emitted once, when the watermark passes its end. At one reading per device
+    and second, stage 2 sees 10x fewer rows than an expansion of the raw readings."""
     e = enriched.withWatermark("measurement_event_ts", watermark)
-    w = F.window("measurement_event_ts", f"{window_seconds} seconds", f"{slide_seconds} seconds")
-    per_device = SM.device_partials(e.withColumn("window", w), ["env", "tenant", "window", "device_id"], True)
+    panes = SM.device_partials(e.withColumn("pane", F.window("measurement_event_ts", f"{slide_seconds} seconds")),
+                               ["env", "tenant", "device_id", "pane"], True)
+    hop = F.window(F.window_time("pane"), f"{window_seconds} seconds", f"{slide_seconds} seconds")
+    per_device = SM.device_partials(panes.withColumn("window", hop), ["env", "tenant", "window", "device_id"], False)
     totals = per_device.groupBy("env", "tenant", "window").agg(
         F.count("*").alias("totalDevices"),
         F.count_if(F.col("on") == 1).alias("onlineDevices"),
@@ -144,7 +153,7 @@ def summary_stream(enriched: DataFrame, watermark: str = SUMMARY_WATERMARK,
         F.min("ep_min").alias("minEnrichedProcessingTsMs"),
         F.max("ep_max").alias("maxEnrichedProcessingTsMs"))
     return SM.finish_summary(totals.withColumn("window_start", F.col("window.start"))
-                      .withColumn("window_end", F.col("window.end")), window_seconds)
+                             .withColumn("window_end", F.col("window.end")), window_seconds)
 
 
 def streak_stream(enriched: DataFrame, **kw) -> DataFrame:
