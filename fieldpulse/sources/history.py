@@ -3,7 +3,7 @@
 Layout: Parquet partitioned by ``event_date = to_date(measurement_event_ts)`` and sorted
 within partitions by ``(env, tenant, device_id, measurement_event_ts)``, so a device/time
 range query prunes whole date folders and, inside them, skips row groups by min/max – the
-Spark counterpart of the reference's hypertable + (device, time) indexes.
+Spark counterpart of the reference's time-partitioned table and (device, time) indexes.
 """
 
 from __future__ import annotations
