@@ -87,3 +87,27 @@ def history(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFra
     from fieldpulse.sources.history import history_rows
     e = enriched(spark, sf_dir, clock)
     return history_rows(e, FX.fixture_history_clock() if clock == "fixture" else None)
+
+
+# --- batch normalizer job ---------------------------------------------------------------------
+
+def normalize_to_tables(raw: DataFrame, out_root: str, ingest_ms=None, mode: str = "overwrite") -> None:
+    """Batch twin of the streaming normalizer, for backfills: each kind's lines are parsed
+    exactly once and written once, partitioned by ``status`` (``ok`` rows carry the typed
+    columns, ``error`` rows the dead-letter columns). Readers take
+    ``<out_root>/<kind>/status=ok`` or ``status=error``; a filter on ``status`` prunes the
+    other folder. (Splitting with two filters instead would let Spark push each filter
+    below the parse and evaluate the parse twice.)"""
+    routed = route_by_topic(raw)
+    for kind in ("humidity", "temperature", "location", "state"):
+        parsed = parse_readings(routed.filter(F.col("kind") == kind), kind, ingest_ms=ingest_ms)
+        (parsed.withColumn("status", F.when(F.col("_ok"), F.lit("ok")).otherwise(F.lit("error")))
+               .drop("_ok")
+               .write.mode(mode).partitionBy("status").parquet(f"{out_root.rstrip('/')}/{kind}"))
+
+
+def read_normalized(spark: SparkSession, out_root: str, kind: str, status: str = "ok") -> DataFrame:
+    df = spark.read.parquet(f"{out_root.rstrip('/')}/{kind}").filter(F.col("status") == status)
+    if status == "ok":
+        return ok_records(df.withColumn("_ok", F.lit(True)), kind, keep_event_ts=True)
+    return error_records(df.withColumn("_ok", F.lit(False)))

@@ -154,3 +154,18 @@ def test_keys_like_and_latency_runs(spark, views):
     assert len(runs) == 1 and runs[0].run == "device-" and runs[0].samples == h.count()
     one_run = SV.latency_by_run(h, "device-").collect()[0]
     assert one_run.samples == h.count() and one_run.prefix == "device-"
+
+
+def test_batch_normalizer_writes_once_and_matches(spark, tmp_path):
+    from fieldpulse.sources import fixtures as FX
+    out = str(tmp_path / "normalized")
+    flow.normalize_to_tables(FX.raw_messages(spark, SF_SMALL), out, ingest_ms=F.unix_millis(F.col("timestamp")))
+    for kind in ("humidity", "state"):
+        got = flow.read_normalized(spark, out, kind)
+        want = flow.typed_from_raw(spark, SF_SMALL, kind)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    errs = sum(flow.read_normalized(spark, out, k, "error").count()
+               for k in ("humidity", "temperature", "location", "state"))
+    assert errs == flow.errors_from_raw(spark, SF_SMALL).count()
+    plan = flow.read_normalized(spark, out, "humidity")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "status" in plan
