@@ -81,3 +81,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None:
         sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fieldpulse`` importable in the Python workers (needed by the one Python UDF,
+    the streaming as-of). The package is zipped on the driver and distributed with
+    ``addPyFile`` (Spark Connect: ``addArtifacts``), the standard way to ship Python code
+    to executors; idempotent per session."""
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        sc = None
+    key = id(sc) if sc is not None else id(spark)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    fd, zpath = tempfile.mkstemp(prefix="fieldpulse-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    z.write(full, os.path.relpath(full, base))
+    if sc is not None:
+        sc.addPyFile(zpath)
+    else:
+        spark.addArtifacts(zpath, pyfile=True)
+    _SHIPPED.add(key)

@@ -36,6 +36,7 @@ from fieldpulse.functions.keys import build_key_state
 from fieldpulse.operators.asof import LOCATION_FIELDS, STATE_FIELDS
 from fieldpulse.operators.measurement import MEASUREMENT_COLUMNS, with_event_ts
 from fieldpulse.schemas import ENRICHED_COLUMNS, MEASUREMENT
+from fieldpulse.session import ship_package
 
 OUT_SCHEMA = "device_id string, m string, l string, s string"
 STATE_SCHEMA = "pending string, versions string"
@@ -91,6 +92,7 @@ def stream_asof_enrich(measurement: DataFrame, location: DataFrame, state: DataF
                        watermark: str = READING_WATERMARK, enrich_ms=None,
                        key_prefix: str = KEY_PREFIX) -> DataFrame:
     """Streaming measurement + location/state version streams -> enriched stream (append)."""
+    ship_package(measurement.sparkSession)  # the state function runs in Python workers
     m = measurement.select(
         F.col("device_id"), F.col("measurement_event_ts").alias("_ts"), F.lit("m").alias("_kind"),
         F.lit(None).cast("long").alias("_ord"), F.to_json(F.struct(*MEASUREMENT_COLUMNS)).alias("_payload"))
