@@ -203,9 +203,21 @@ def recent_summary(enriched: DataFrame, window_seconds: int = WINDOW_SECONDS,
     return fn(enriched, window_seconds, slide_seconds)
 
 
-def latest_summary(summary: DataFrame) -> DataFrame:
-    """What the upsert sink keeps: per summary key, the newest window (largest window_end)
-    replaces the older ones. One hash aggregate (max_by), no sort."""
+def closed_windows(summary: DataFrame, enriched: DataFrame, watermark_seconds: int = 5) -> DataFrame:
+    """The windows a streaming run has emitted by the end of its input: those the watermark
+    (max event time - delay) has passed, ``window_end <= max(ts) - delay``. The max is a
+    scalar subquery, evaluated once – no join."""
+    cutoff = enriched.agg(F.max(TS)).scalar() - F.expr(f"INTERVAL {int(watermark_seconds)} SECONDS")
+    return summary.filter(F.col("window_end") <= cutoff)
+
+
+def latest_summary(summary: DataFrame, enriched: DataFrame | None = None,
+                   watermark_seconds: int = 5) -> DataFrame:
+    """What the upsert sink holds: per summary key, the newest window (largest window_end)
+    replaces the older ones. Given ``enriched``, only windows the watermark has closed count
+    (the sink never sees a window before it closes). One aggregate (max_by), no sort."""
+    if enriched is not None:
+        summary = closed_windows(summary, enriched, watermark_seconds)
     return (summary.groupBy("redis_key")
             .agg(F.max_by(F.struct(*RECENT_SUMMARY_COLUMNS), F.col("window_end")).alias("r"))
             .select("r.*"))

@@ -74,6 +74,11 @@ def test_latest_summary_is_newest_window(spark):
     df = enriched_rows(spark, [("a", T(10), 40.0, 1.0, True), ("b", T(12), 40.0, 1.0, True, "t2")])
     latest = {r.redis_key: r.window_start for r in SM.latest_summary(SM.recent_summary(df)).collect()}
     assert latest == {"prod:t1": T(10), "prod:t2": T(12)}
+    # only windows the watermark (max ts 12:00 - 5 s) has closed reach the sink
+    closed = {r.redis_key: (r.window_start, r.window_end)
+              for r in SM.latest_summary(SM.recent_summary(df), df).collect()}
+    # t2's only reading (12:00) opens windows ending after 12:00: none closed yet
+    assert closed == {"prod:t1": (T(10), T(10, 10))}
 
 
 def test_streak_rules(spark):
