@@ -221,3 +221,28 @@ def latest_summary(summary: DataFrame, enriched: DataFrame | None = None,
     return (summary.groupBy("redis_key")
             .agg(F.max_by(F.struct(*RECENT_SUMMARY_COLUMNS), F.col("window_end")).alias("r"))
             .select("r.*"))
+
+
+def latest_closed_summary(enriched: DataFrame, window_seconds: int = WINDOW_SECONDS,
+                          slide_seconds: int = SLIDE_SECONDS, watermark_seconds: int = 5) -> DataFrame:
+    """The same result as ``latest_summary(recent_summary(e), e)`` without computing every
+    window: per tenant only its newest closed window is aggregated.
+
+    With ``C`` = the watermark cutoff (max ts - delay) aligned down to the slide, a reading at
+    ``t`` lies in windows ending in ``(t, t + size]``; the newest closed one of a tenant ends
+    at ``min(C, align(t_last + size))`` for its last reading ``t_last`` before ``C``. That
+    one window's rows are then aggregated directly (one group per tenant).
+    """
+    slide_us, size_us = slide_seconds * 1_000_000, window_seconds * 1_000_000
+    cutoff = enriched.agg(F.max(TS)).scalar() - F.expr(f"INTERVAL {int(watermark_seconds)} SECONDS")
+    c_us = F.floor(F.unix_micros(cutoff) / F.lit(slide_us)) * F.lit(slide_us)
+    last = (enriched.filter(F.unix_micros(TS) < c_us)
+            .groupBy("env", "tenant").agg(F.max(TS).alias("_last")))
+    end_us = F.least(c_us, F.floor((F.unix_micros("_last") + F.lit(size_us)) / F.lit(slide_us)) * F.lit(slide_us))
+    win = last.select("env", "tenant", (end_us - F.lit(size_us)).alias("_ws"), end_us.alias("_we"))
+    rows = (enriched.join(win, ["env", "tenant"])
+            .filter((F.unix_micros(TS) >= F.col("_ws")) & (F.unix_micros(TS) < F.col("_we"))))
+    per_device = device_partials(rows, ["env", "tenant", "_ws", "_we", "device_id"], True)
+    totals = window_totals(per_device.withColumn("window_start", F.timestamp_micros("_ws"))
+                           .withColumn("window_end", F.timestamp_micros("_we")))
+    return finish_summary(totals, window_seconds)

@@ -175,3 +175,12 @@ def test_panes_first_occurrence_across_buckets(spark, bucket_panes):
     got = rows(SM.recent_summary_panes(df, bucket_panes=bucket_panes), "window_start", "totalDevices",
                "onlineDevices", "offlineDevices", "minEventTs", "maxEventTs")
     assert got == want
+
+
+def test_latest_closed_summary_fast_path(spark, fixture_enriched):
+    slow = rows(SM.latest_summary(SM.recent_summary(fixture_enriched), fixture_enriched))
+    fast = rows(SM.latest_closed_summary(fixture_enriched))
+    assert len(fast) == len(slow) > 0
+    for a, b in zip(fast, slow):
+        assert a[:9] == b[:9] and a[11:] == b[11:]
+        assert all((x is None and y is None) or abs(x - y) < 1e-9 for x, y in zip(a[9:11], b[9:11]))
