@@ -108,24 +108,39 @@ def drought_summary_for(spark: SparkSession, streaks: DataFrame, env: str, tenan
     return drought_level(j)
 
 
+def metrics_range(bucket: str, from_s: int | None, to_s: int | None, as_of: Column | None = None):
+    """(from, to) timestamps of a metrics request: the given range only when both ends are
+    set and ``from < to``; otherwise the bucket's look-back (24 h / 30 d / 26 w) ending at
+    ``as_of`` (default now)."""
+    if from_s is not None and to_s is not None and from_s < to_s:
+        return F.timestamp_seconds(F.lit(from_s)), F.timestamp_seconds(F.lit(to_s))
+    hi = as_of if as_of is not None else F.current_timestamp()
+    return range_back(hi, bucket), hi
+
+
 def device_metrics(rows: DataFrame, env: str, tenant: str, device_id: str, bucket: str = "HOUR",
                    from_s: int | None = None, to_s: int | None = None,
                    as_of: Column | None = None) -> DataFrame:
-    """Bucketed points ``(ts epoch s, tAvg, hAvg)`` of one device, ordered by time.
-
-    The given range is used only when both ends are set and ``from < to``; otherwise the
-    bucket's default look-back (24 h / 30 d / 26 w) ending at ``as_of`` (default now)."""
-    if from_s is not None and to_s is not None and from_s < to_s:
-        lo, hi = F.timestamp_seconds(F.lit(from_s)), F.timestamp_seconds(F.lit(to_s))
-    else:
-        hi = as_of if as_of is not None else F.current_timestamp()
-        lo = range_back(hi, bucket)
+    """Bucketed points ``(ts epoch s, tAvg, hAvg)`` of one device, ordered by time (range
+    rules: :func:`metrics_range`)."""
+    lo, hi = metrics_range(bucket, from_s, to_s, as_of)
     picked = filter_device_range(rows, env, tenant, device_id, lo, hi)
     return (metrics_by_bucket(picked, bucket, ordered=True)
             .select(F.unix_seconds("bucket").alias("ts"), "tAvg", "hAvg")
             .orderBy("ts"))
 
 
+def device_metrics_from_history(spark: SparkSession, history_path: str, env: str, tenant: str,
+                                device_id: str, bucket: str = "HOUR", from_s: int | None = None,
+                                to_s: int | None = None, as_of: Column | None = None) -> DataFrame:
+    """:func:`device_metrics` over the history table, reading only the date partitions of
+    the range and pushing the device predicates into the Parquet scan."""
+    from fieldpulse.sources.history import scan_history
+    lo, hi = metrics_range(bucket, from_s, to_s, as_of)
+    rows = scan_history(spark, history_path, env, tenant, device_id, lo, hi)
+    return device_metrics(rows, env, tenant, device_id, bucket, from_s, to_s, as_of)
+
+
 def latency_by_run(history: DataFrame, prefix: str) -> DataFrame:
     """Latency statistics of one benchmark run (devices named ``<prefix>...``)."""
     return latency_stats(history, prefix=prefix).withColumn("prefix", F.lit(prefix))

@@ -57,10 +57,12 @@ def scan_history(spark: SparkSession, path: str, env: str | None = None, tenant:
         cond = cond & (F.col("tenant") == tenant)
     if device_id is not None:
         cond = cond & (F.col("device_id") == device_id)
+    # bounds may be literals or foldable Columns (e.g. current_timestamp() - INTERVAL 24 HOURS):
+    # both fold to constants, so the date bounds prune partitions
     if from_ts is not None:
-        f = F.lit(from_ts).cast("timestamp")
+        f = (from_ts if isinstance(from_ts, Column) else F.lit(from_ts)).cast("timestamp")
         cond = cond & (F.col("measurement_event_ts") >= f) & (F.col("event_date") >= F.to_date(f))
     if to_ts is not None:
-        t = F.lit(to_ts).cast("timestamp")
+        t = (to_ts if isinstance(to_ts, Column) else F.lit(to_ts)).cast("timestamp")
         cond = cond & (F.col("measurement_event_ts") <= t) & (F.col("event_date") <= F.to_date(t))
     return df.filter(cond)
