@@ -41,13 +41,19 @@ STATE_FIELDS = ["eventTime", "ingestedAt", "rssi", "snr", "battery", "online"]
 
 def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str]]],
                 key: str, ts: str, bucket_seconds: int = 3600,
-                max_rows_per_bucket: int = 4_000_000) -> DataFrame:
+                max_rows_per_bucket: int = 4_000_000,
+                bucket_source: DataFrame | None = None) -> DataFrame:
     """Generic backward, inclusive as-of lookup.
 
     ``events``: rows with ``key`` and ``ts`` columns (kept whole, in a struct).
     ``versions``: name -> (DataFrame with the same ``key`` column, ``event_ts``,
     ``ingestedAt`` and the payload ``fields``).
     Returns ``events``' columns plus one struct column per version name (null if none).
+
+    ``bucket_source`` (optional, columns ``key`` and ``ts``): a cheaper input whose
+    (key, bucket) set covers the events' – e.g. the readings a join produced the events
+    from. The per-bucket counts are then taken from it, so ``events`` (often a join) is
+    computed once; the counts only steer salting, and extra buckets are harmless.
     """
     names = list(versions)
     ev_cols = events.columns
@@ -80,7 +86,8 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
     # versions are copied to every salt, so each salted partition still sees all of them.
     # The hot-bucket table has at most (#events / max_rows_per_bucket) rows – a proven bound –
     # so it is broadcast; normally it is empty and every salt is 0.
-    bucket_counts = (events.select(F.col(key).alias("_k"), bucket(ts).alias("_b"))
+    counted = bucket_source if bucket_source is not None else events
+    bucket_counts = (counted.select(F.col(key).alias("_k"), bucket(ts).alias("_b"))
                      .groupBy("_k", "_b").agg(F.count("*").alias("_n")))
     hot = F.broadcast(bucket_counts.filter(F.col("_n") > max_rows_per_bucket).select(
         "_k", "_b", F.ceil(F.col("_n") / F.lit(max_rows_per_bucket)).cast("int").alias("_salts")))
@@ -111,8 +118,11 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
     per_bucket_versions = (vr.withColumn("_b", bucket("_ts")).groupBy("_k", "_b").agg(
         *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_ts", "_ord"))).alias(n) for n in names])
         .withColumn("_src", F.lit(1)))
-    event_buckets = bucket_counts.select("_k", "_b", *[null_of(payload_types[n]).alias(n) for n in names],
-                                         F.lit(0).alias("_src"))
+    # (reads the same (key, bucket, count) columns as the hot-bucket table, so both share
+    # one exchange)
+    event_buckets = (bucket_counts.filter(F.col("_n") > 0)
+                     .select("_k", "_b", *[null_of(payload_types[n]).alias(n) for n in names],
+                             F.lit(0).alias("_src")))
     # within a bucket the event-bucket row sorts first, so its frame holds earlier buckets only
     w_prev = (Window.partitionBy("_k").orderBy("_b", "_src")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -136,13 +146,24 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
 
 def asof_enrich(measurement: DataFrame, location: DataFrame, state: DataFrame,
                 enrich_ms: Column | Callable[[], Column] | None = None,
-                key_prefix: str = KEY_PREFIX, bucket_seconds: int = 3600) -> DataFrame:
-    """Measurement -> enriched rows (25 columns, the reference's order)."""
+                key_prefix: str = KEY_PREFIX, bucket_seconds: int = 3600,
+                humidity: DataFrame | None = None) -> DataFrame:
+    """Measurement -> enriched rows (25 columns, the reference's order).
+
+    ``humidity``: the readings the measurements were joined from (optional). Every
+    measurement carries its humidity reading's device and time, so their buckets cover the
+    measurements' and the per-bucket counts can be taken from them instead of re-running
+    the join."""
     m = measurement.select(*MEASUREMENT_COLUMNS)
     loc = with_event_ts(location).withColumnRenamed("deviceId", "device_id")
     st = with_event_ts(state).withColumnRenamed("deviceId", "device_id")
+    source = None
+    if humidity is not None:
+        source = with_event_ts(humidity).select(F.col("deviceId").alias("device_id"),
+                                                F.col("event_ts").alias("measurement_event_ts"))
     joined = asof_latest(m, {"l": (loc, LOCATION_FIELDS), "s": (st, STATE_FIELDS)},
-                         key="device_id", ts="measurement_event_ts", bucket_seconds=bucket_seconds)
+                         key="device_id", ts="measurement_event_ts", bucket_seconds=bucket_seconds,
+                         bucket_source=source)
     enriched = joined.select(
         "device_id", "env", "tenant",
         F.col("l.lat").alias("lat"), F.col("l.lon").alias("lon"),

@@ -19,6 +19,7 @@ from fieldpulse.operators.normalize import error_records, ok_records, parse_read
 from fieldpulse.sources import fixtures as FX
 from fieldpulse.sources.fixtures import memo_plan
 from fieldpulse.sources.topics import route_by_topic
+from fieldpulse.session import checkpoint_dir
 
 
 def _clocks(clock: str):
@@ -39,11 +40,18 @@ def measurement(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> Dat
 
 
 @memo_plan
-def enriched(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
+def enriched(spark: SparkSession, sf_dir: str, clock: str = "fixture", cut_lineage: bool = False) -> DataFrame:
+    """J1 then the as-of join; the as-of's per-bucket counts come from the humidity readings,
+    so J1 runs once. ``cut_lineage`` writes the measurements through ``checkpoint()`` to the
+    shared checkpoint folder first (as the reference writes them to a topic between two
+    jobs), which also bounds what a lost executor forces Spark to recompute."""
     t = typed_inputs(spark, sf_dir)
     m_clock, e_clock = _clocks(clock)
     m = join_measurement(t["humidity"], t["temperature"], processing_ms=m_clock)
-    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock)
+    if cut_lineage:
+        checkpoint_dir(spark)
+        m = m.checkpoint(eager=True)
+    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock, humidity=t["humidity"])
 
 
 # --- from raw device lines ------------------------------------------------------------------
@@ -78,7 +86,7 @@ def enriched_from_raw(spark: SparkSession, sf_dir: str, clock: str = "fixture")
     t = {k: typed_from_raw(spark, sf_dir, k, clock) for k in ("humidity", "temperature", "location", "state")}
     m_clock, e_clock = _clocks(clock)
     m = join_measurement(t["humidity"], t["temperature"], processing_ms=m_clock)
-    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock)
+    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock, humidity=t["humidity"])
 
 
 @memo_plan
