@@ -54,6 +54,16 @@ def enriched(spark: SparkSession, sf_dir: str, clock: str = "fixture", cut_linea
     return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock, humidity=t["humidity"])
 
 
+@memo_plan
+def enriched_table(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
+    """The enriched rows as downstream jobs read them: written once per session through
+    ``checkpoint()`` to the shared checkpoint folder (the reference publishes them to a topic
+    that its summary, streak and sink jobs consume). Summaries, streaks, metrics and the
+    views scan this instead of re-running the joins – some read it more than once."""
+    checkpoint_dir(spark)
+    return enriched(spark, sf_dir, clock).checkpoint(eager=True)
+
+
 # --- from raw device lines ------------------------------------------------------------------
 
 @memo_plan
@@ -93,7 +103,7 @@ def enriched_from_raw(spark: SparkSession, sf_dir: str, clock: str = "fixture")
 def history(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
     """Enriched rows as the history table holds them (+ insert time), without writing."""
     from fieldpulse.sources.history import history_rows
-    e = enriched(spark, sf_dir, clock)
+    e = enriched_table(spark, sf_dir, clock)
     return history_rows(e, FX.fixture_history_clock() if clock == "fixture" else None)
 
 
