@@ -115,3 +115,8 @@ def latency_stats(history: DataFrame, group_cols: tuple[str, ...] = (), prefix:
     if group_cols:
         return stats.groupBy(*group_cols).agg(*wide_aggs)
     return stats.agg(*wide_aggs)
+
+
+def append_results(stats: DataFrame, path: str) -> None:
+    """Accumulate result rows across benchmark runs (append mode, one folder of Parquet)."""
+    stats.write.mode("append").parquet(path)

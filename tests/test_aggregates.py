@@ -184,3 +184,12 @@ def test_latest_closed_summary_fast_path(spark, fixture_enriched):
     for a, b in zip(fast, slow):
         assert a[:9] == b[:9] and a[11:] == b[11:]
         assert all((x is None and y is None) or abs(x - y) < 1e-9 for x, y in zip(a[9:11], b[9:11]))
+
+
+def test_append_results_accumulates(spark, tmp_path):
+    h = flow.history(spark, SF_SMALL)
+    path = str(tmp_path / "latency")
+    for prefix in ("device-", "nope-"):
+        MT.append_results(MT.latency_stats(h, prefix=prefix).withColumn("prefix", F.lit(prefix)), path)
+    got = {r.prefix: r.samples for r in spark.read.parquet(path).collect()}
+    assert got["device-"] == h.count() and (got["nope-"] in (0, None))
