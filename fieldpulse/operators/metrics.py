@@ -114,7 +114,8 @@ def latency_stats(history: DataFrame, group_cols: tuple[str, ...] = (), prefix:
                              .alias(f"{stat}_{m}_ms"))
     if group_cols:
         return stats.groupBy(*group_cols).agg(*wide_aggs)
-    return stats.agg(*wide_aggs)
+    # one row even without data: samples 0 and null statistics, like the reference's report
+    return stats.agg(*wide_aggs).withColumn("samples", F.coalesce("samples", F.lit(0)).cast("long"))
 
 
 def append_results(stats: DataFrame, path: str) -> None:
