@@ -26,7 +26,6 @@ def main() -> None:
     from fieldpulse.schemas import ENRICHED, MEASUREMENT
     from fieldpulse.sources import fixtures as FX
     from fieldpulse.streaming import jobs
-    from fieldpulse.streaming.asof_state import stream_asof_enrich
     from fieldpulse.streaming.replay import write_slices
     from fieldpulse.streaming.sinks import upsert_sink
 
@@ -67,7 +66,6 @@ def main() -> None:
     timed("streak", lambda: jobs.streak_stream(src()).writeStream.outputMode("update")
           .foreachBatch(upsert_sink(f"{root}/st")).option("checkpointLocation", f"{root}/ck/st")
           .trigger(**once).start(), n_e)
-    _ = stream_asof_enrich  # imported for completeness of the job set
     print(json.dumps({"metric": "stream_rows_per_sec", "sf": sf, "jobs": out}))
     spark.stop()
 
