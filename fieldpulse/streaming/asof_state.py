@@ -90,8 +90,13 @@ def asof_state_fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -
 
 def stream_asof_enrich(measurement: DataFrame, location: DataFrame, state: DataFrame,
                        watermark: str = READING_WATERMARK, enrich_ms=None,
-                       key_prefix: str = KEY_PREFIX) -> DataFrame:
-    """Streaming measurement + location/state version streams -> enriched stream (append)."""
+                       key_prefix: str = KEY_PREFIX, salts: int = 1) -> DataFrame:
+    """Streaming measurement + location/state version streams -> enriched stream (append).
+
+    ``salts`` > 1 spreads each device over that many state groups: a measurement goes to
+    the group hash(row) mod ``salts``, every version to all of them (versions are the small
+    stream), so each group still sees the device's whole version history. Use it when one
+    device can carry a large share of a micro-batch."""
     ship_package(measurement.sparkSession)  # the state function runs in Python workers
     m = measurement.select(
         F.col("device_id"), F.col("measurement_event_ts").alias("_ts"), F.lit("m").alias("_kind"),
@@ -109,7 +114,11 @@ def stream_asof_enrich(measurement: DataFrame, location: DataFrame, state: DataF
              dim(location, "l", LOCATION_FIELDS).withWatermark("_ts", watermark),
              dim(state, "s", STATE_FIELDS).withWatermark("_ts", watermark)]
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    joined = u.groupBy("device_id").applyInPandasWithState(
+    n = max(int(salts), 1)
+    salt = (F.when(F.col("_kind") == "m", F.array(F.pmod(F.xxhash64("_payload"), F.lit(n)).cast("int")))
+            .otherwise(F.sequence(F.lit(0), F.lit(n - 1))))
+    u = u.select("*", F.explode(salt).alias("_salt"))
+    joined = u.groupBy("device_id", "_salt").applyInPandasWithState(
         asof_state_fn, OUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
     loc_schema = "eventTime string, ingestedAt bigint, lat double, lon double"
     st_schema = "eventTime string, ingestedAt bigint, rssi int, snr double, battery double, online boolean"

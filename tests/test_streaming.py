@@ -116,14 +116,15 @@ def test_history_and_state_sinks(spark, chain):
     assert state.count() == enriched.select("redis_key").distinct().count()
 
 
-def test_stream_asof_late_version_and_late_row(spark, scratch):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_stream_asof_late_version_and_late_row(spark, scratch, salts):
     """Micro-batch 1: measurement at 10:00:00 and a location version at 09:00.
     Micro-batch 2: a version at 09:59:59.900 arrives after the measurement, but before the
     watermark passes it, so the measurement must see it; plus readings that move time on.
     Micro-batch 3: a measurement at 08:00, behind the watermark: dropped, like the reference."""
     from fieldpulse.schemas import MEASUREMENT
     from fieldpulse.streaming.asof_state import stream_asof_enrich
-    root = f"{scratch}/asof-edges"
+    root = f"{scratch}/asof-edges-{salts}"
     m_schema = MEASUREMENT
     loc_schema = "deviceId string, eventTime string, lat double, lon double, ingestedAt long, sourceTopic string"
     st_schema = ("deviceId string, eventTime string, rssi int, snr double, battery double, online boolean, "
@@ -145,12 +146,12 @@ def test_stream_asof_late_version_and_late_row(spark, scratch):
         return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{kind}/*")
 
     e = stream_asof_enrich(stream("m", m_schema), stream("l", loc_schema), stream("s", st_schema),
-                           enrich_ms=F.lit(0))
-    q = (e.writeStream.format("memory").queryName("asof_edges").outputMode("append")
+                           enrich_ms=F.lit(0), salts=salts)
+    q = (e.writeStream.format("memory").queryName(f"asof_edges_{salts}").outputMode("append")
          .option("checkpointLocation", f"{root}/ckpt").start())
     try:
         q.processAllAvailable()
-        assert spark.table("asof_edges").count() == 0  # held: the watermark has not passed it
+        assert spark.table(f"asof_edges_{salts}").count() == 0  # held: the watermark has not passed it
         drop("l", [("d", "2024-01-05T09:59:59.900Z", 2.0, 2.0, 2, "l")], loc_schema, 2)
         drop("m", [meas(2, "2024-01-05T11:00:00.000Z")], m_schema, 2)
         drop("s", [("d", "2024-01-05T11:00:00.000Z", -70, 1.0, 90.0, True, 2, "s")], st_schema, 2)
@@ -161,7 +162,7 @@ def test_stream_asof_late_version_and_late_row(spark, scratch):
         drop("s", [("d", "2024-01-05T12:00:00.000Z", -70, 1.0, 90.0, True, 3, "s")], st_schema, 3)
         drop("l", [("d", "2024-01-05T12:00:00.000Z", 4.0, 4.0, 4, "l")], loc_schema, 4)
         q.processAllAvailable()
-        got = {r.humidity_seq: r.lat for r in spark.table("asof_edges").collect()}
+        got = {r.humidity_seq: r.lat for r in spark.table(f"asof_edges_{salts}").collect()}
     finally:
         q.stop()
     assert got[1] == 2.0      # the version that arrived later but before the watermark
