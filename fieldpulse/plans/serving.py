@@ -160,3 +160,10 @@ def latency_runs(history: DataFrame, prefix_pattern: str = r"^([^-]+-)") -> Data
     stats = latency_stats(runs, ("run",))
     devices = runs.groupBy("run").agg(F.countDistinct("device_id").alias("devices"))
     return stats.join(devices, "run").orderBy("devices", "run")
+
+
+def recent_summary_from_rows(spark: SparkSession, enriched: DataFrame, env: str, tenant: str) -> DataFrame:
+    """The recent-summary response straight from enriched rows: only the tenant's newest
+    window closed by the (global) watermark is aggregated, not every window."""
+    from fieldpulse.operators.summary import latest_closed_summary
+    return recent_summary_for(spark, latest_closed_summary(enriched), env, tenant)

@@ -193,3 +193,26 @@ def test_append_results_accumulates(spark, tmp_path):
         MT.append_results(MT.latency_stats(h, prefix=prefix).withColumn("prefix", F.lit(prefix)), path)
     got = {r.prefix: r.samples for r in spark.read.parquet(path).collect()}
     assert got["device-"] == h.count() and got["nope-"] == 0
+
+
+def test_latest_closed_summary_edges(spark):
+    df = enriched_rows(spark, [
+        ("a", T(9, 0, 3), 40.0, 1.0, True), ("b", T(9, 5, 0), 60.0, 3.0, False),   # t1: old readings
+        ("c", T(11, 59, 58), 50.0, 2.0, True, "t2"),                               # t2: after the cutoff
+        ("d", T(11, 55, 1), 20.0, 4.0, None, "t3"), ("e", T(11, 59, 59), 30.0, 5.0, True, "t3"),
+    ])  # max ts 11:59:59 -> cutoff 11:59:54 -> aligned 11:59:50
+    slow = {r.redis_key: r for r in SM.latest_summary(SM.recent_summary(df, method="direct"), df).collect()}
+    fast = {r.redis_key: r for r in SM.latest_closed_summary(df).collect()}
+    assert set(fast) == set(slow) == {"prod:t1", "prod:t3"}          # t2 has no closed window yet
+    assert (fast["prod:t1"].window_start, fast["prod:t1"].window_end) == (T(9, 5), T(9, 15))
+    assert fast["prod:t1"].totalDevices == 1                          # only b's reading is in it
+    assert (fast["prod:t3"].window_end, fast["prod:t3"].totalDevices) == (T(11, 59, 50), 1)  # capped
+    for k in fast:
+        assert tuple(fast[k]) == tuple(slow[k])
+    resp = SV_recent(spark, df)
+    assert (resp.totalDevices, resp.avgHumidity) == (1, 20.0)
+
+
+def SV_recent(spark, df):
+    from fieldpulse.plans import serving as SV
+    return SV.recent_summary_from_rows(spark, df, "prod", "t3").collect()[0]
