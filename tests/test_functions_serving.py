@@ -176,3 +176,20 @@ def test_batch_normalizer_writes_once_and_matches(spark, tmp_path):
     assert errs == flow.errors_from_raw(spark, SF_SMALL).count()
     plan = flow.read_normalized(spark, out, "humidity")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "status" in plan
+
+
+def test_readme_usage_chain(spark):
+    from fieldpulse.operators import asof, measurement, normalize, streak, summary
+    from fieldpulse.sources import fixtures as FX
+    from fieldpulse.sources.topics import route_by_topic
+    routed = route_by_topic(FX.raw_messages(spark, SF_SMALL))
+    hum, hum_err = normalize.normalize(routed, "humidity")
+    tmp, _ = normalize.normalize(routed, "temperature")
+    loc, _ = normalize.normalize(routed, "location")
+    sta, _ = normalize.normalize(routed, "state")
+    m = measurement.join_measurement(hum, tmp)
+    e = asof.asof_enrich(m, loc, sta, humidity=hum)
+    assert e.count() == m.count() > 0 and hum_err.count() > 0
+    assert summary.recent_summary(e).count() > 0 and streak.low_humidity_streak(e).count() > 0
+    r = SV.recent_summary_from_rows(spark, e, "prod", "tenant-1").collect()
+    assert len(r) == 1
