@@ -168,3 +168,22 @@ def test_stream_asof_late_version_and_late_row(spark, scratch, salts):
     assert got[1] == 2.0      # the version that arrived later but before the watermark
     assert got[2] == 3.0      # version at exactly the measurement's time is visible
     assert 3 not in got       # behind the watermark: dropped
+
+
+def test_stream_join_drops_redelivered_copies(spark, scratch):
+    from pyspark.sql import functions as F
+    root = f"{scratch}/j1-copies"
+    h_schema = ("deviceId string, eventTime string, humidity double, seq long, ingestedAt long, "
+                "sourceTopic string, env string, tenant string")
+    t_schema = h_schema.replace("humidity", "temperature")
+    row = ("d", "2024-01-05T10:00:00.000Z", 40.0, 1, 1, "h", "prod", "t1")
+    spark.createDataFrame([row, row[:4] + (2,) + row[5:], row], h_schema).coalesce(1).write.parquet(f"{root}/h")
+    spark.createDataFrame([("d", "2024-01-05T10:00:00.100Z", 5.0, 1, 3, "t", "prod", "t1")] * 2,
+                          t_schema).coalesce(1).write.parquet(f"{root}/t")
+    m = jobs.measurement_stream(spark.readStream.schema(h_schema).parquet(f"{root}/h"),
+                                spark.readStream.schema(t_schema).parquet(f"{root}/t"), processing_ms=F.lit(0))
+    q = (m.writeStream.format("memory").queryName("j1_copies").outputMode("append")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("j1_copies").collect()
+    assert [(r.humidity, r.temperature) for r in got] == [(40.0, 5.0)]  # 3 x 2 copies -> one pair
