@@ -15,11 +15,11 @@ Plan (no pairs are ever formed, and no device's history has to fit in one task):
    per measurement, the last version seen so far *inside the bucket*.
 3. The carry-in from earlier buckets comes from a small table of one row per
    ``(device, bucket)``: each bucket's last version (an aggregate over the *dimension* rows
-   only) plus the buckets that hold measurements (a hash ``distinct``, map-side combined),
-   then a running ``last(ignorenulls)`` over buckets per device (its size is devices x
-   buckets, independent of the reading rate).
+   only) plus the buckets that hold measurements (a hash count per bucket, map-side
+   combined, which also finds the hot buckets), then a running ``last(ignorenulls)`` over
+   buckets per device (its size is devices x buckets, independent of the reading rate).
 4. Measurements take the in-bucket version if any, else the carry-in (left join on
-   ``(device, bucket)`` – the big side is already partitioned on that key).
+   ``(device, bucket, salt)`` – the big side is already partitioned on that key).
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
             .filter(F.col("_kind") == 1))
 
     # 3. carry-in: each bucket's last version (dimension rows only), and the buckets that
-    # hold events (hash distinct of (key, bucket): one row per bucket per task is shuffled);
+    # hold events (the per-bucket counts: one row per bucket per task is shuffled);
     # per key, the last version of any earlier bucket.
     vr = version_rows[0]
     for v in version_rows[1:]:

@@ -1,9 +1,9 @@
 """The reference's streaming jobs as Structured Streaming queries.
 
   normalizer : raw feed -> typed readings per kind + dead letter      (foreachBatch, 2 sinks)
-  measurement: humidity x temperature, watermarked inner join          (append, file sink)
+  measurement: humidity x temperature, copies dropped, watermarked join (append, file sink)
   enrichment : measurement x location/state versions, as-of            (append, fan-out sink)
-  summary    : hop 10 s / 10 min per tenant, two-stage exact distinct  (append, upsert sink)
+  summary    : hop 10 s / 10 min per tenant, 3 chained window aggs     (append, upsert sink)
   streak     : per-device streak, continuously updated                 (update, upsert sink)
 
 Each builder returns the streaming DataFrame (testable on its own); ``start_*`` wires the
