@@ -64,7 +64,7 @@ def _with_ts_schema(spark: SparkSession, sf_dir: str, kind: str):
 
 def replay_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "asof")
-    m = flow.measurement(spark, sf_dir)
+    m = flow.measurement(spark, sf_dir).checkpoint(eager=True)  # sliced 4 times below
     write_slices(m, "measurement_event_ts", f"{root}/in/measurement")
     for k in ("location", "state"):
         t = FX.typed_readings(spark, sf_dir, k).withColumn("_ts", F.to_timestamp("eventTime"))
@@ -80,7 +80,7 @@ def replay_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _enriched_files(spark: SparkSession, sf_dir: str, root: str) -> str:
-    write_slices(flow.enriched(spark, sf_dir), "measurement_event_ts", f"{root}/in/enriched")
+    write_slices(flow.enriched_table(spark, sf_dir), "measurement_event_ts", f"{root}/in/enriched")
     return f"{root}/in/enriched"
 
 
