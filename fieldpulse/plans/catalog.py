@@ -161,6 +161,10 @@ def q_latency_stats(spark, sf_dir):
     return MT.latency_stats(flow.history(spark, sf_dir), ("env", "tenant"))
 
 
+def q_latency_runs(spark, sf_dir):
+    return SV.latency_runs(flow.history(spark, sf_dir))
+
+
 def q_lenient_decoders(spark, sf_dir):
     t = _raw_text(spark, sf_dir).withColumn("_p", split_fields(F.col("payload")))
     f = lambda i: F.try_element_at("_p", F.lit(i + 1))
@@ -237,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "view_ttl": q_view_ttl,
     "history_rows": q_history_rows,
     "latency_stats": q_latency_stats,
+    "latency_runs": q_latency_runs,
     "lenient_decoders": q_lenient_decoders,
     "device_from_key": q_device_from_key,
     "stream_measurement": q_stream_measurement,
