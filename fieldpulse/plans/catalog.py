@@ -190,6 +190,11 @@ def q_device_from_key(spark, sf_dir):
                        K.device_from_streak_key(F.col("key")).alias("streak_device"))
 
 
+def q_stream_parse_errors(spark, sf_dir):
+    from fieldpulse.streaming.replay import replay_normalizer
+    return replay_normalizer(spark, sf_dir)
+
+
 def q_stream_measurement(spark, sf_dir):
     from fieldpulse.streaming.replay import replay_measurement
     return replay_measurement(spark, sf_dir)
@@ -244,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "latency_runs": q_latency_runs,
     "lenient_decoders": q_lenient_decoders,
     "device_from_key": q_device_from_key,
+    "stream_parse_errors": q_stream_parse_errors,
     "stream_measurement": q_stream_measurement,
     "stream_asof": q_stream_asof,
     "stream_summary": q_stream_summary,

@@ -100,3 +100,14 @@ def replay_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
     (jobs.streak_stream(src).writeStream.outputMode("update").foreachBatch(upsert_sink(f"{root}/out"))
      .option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start().awaitTermination())
     return read_upsert_view(spark, f"{root}/out", "redis_key").drop("batch_id", "written_at")
+
+
+def replay_normalizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dead-letter table the streaming normalizer writes for the raw feed (ingestion
+    time = the raw record's timestamp, as in the batch twin)."""
+    root = _scratch(spark, "normalizer")
+    raw = FX.raw_messages(spark, sf_dir).withColumn("_t", F.col("timestamp"))
+    write_slices(raw, "_t", f"{root}/in/raw")
+    jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/out", ONCE, f"{root}/ckpt",
+                          ingest_ms=F.unix_millis(F.col("timestamp"))).awaitTermination()
+    return spark.read.parquet(f"{root}/out/parse_errors").drop("batch_id", "key")
