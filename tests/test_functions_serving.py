@@ -193,3 +193,15 @@ def test_readme_usage_chain(spark):
     assert summary.recent_summary(e).count() > 0 and streak.low_humidity_streak(e).count() > 0
     r = SV.recent_summary_from_rows(spark, e, "prod", "tenant-1").collect()
     assert len(r) == 1
+
+
+def test_clock_helpers(spark):
+    from fieldpulse.functions.clock import greatest_nonneg, processing_ms, range_back
+    r = spark.range(1).select(processing_ms(True).alias("s"), processing_ms().alias("ms")).first()
+    assert r.s % 1000 == 0 and abs(r.ms - r.s) < 2000       # whole seconds vs milliseconds
+    as_of = F.lit(dt.datetime(2024, 7, 1, 12, 0, 0))
+    got = spark.range(1).select(*[range_back(as_of, b).alias(b) for b in ("HOUR", "DAY", "WEEK")]).first()
+    assert got.HOUR == dt.datetime(2024, 6, 30, 12) and got.DAY == dt.datetime(2024, 6, 1, 12)
+    assert got.WEEK == dt.datetime(2024, 1, 1, 12)          # 26 weeks back
+    g = spark.createDataFrame([(None, None, None), (5, None, 3), (-4, -2, None)], "a long, b long, c long")
+    assert [r[0] for r in g.select(greatest_nonneg(F.col("a"), F.col("b"), F.col("c"))).collect()] == [0, 5, 0]
