@@ -147,7 +147,7 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
 def asof_enrich(measurement: DataFrame, location: DataFrame, state: DataFrame,
                 enrich_ms: Column | Callable[[], Column] | None = None,
                 key_prefix: str = KEY_PREFIX, bucket_seconds: int = 3600,
-                humidity: DataFrame | None = None) -> DataFrame:
+                humidity: DataFrame | None = None, max_rows_per_bucket: int = 4_000_000) -> DataFrame:
     """Measurement -> enriched rows (25 columns, the reference's order).
 
     ``humidity``: the readings the measurements were joined from (optional). Every
@@ -163,7 +163,7 @@ def asof_enrich(measurement: DataFrame, location: DataFrame, state: DataFrame,
                                                 F.col("event_ts").alias("measurement_event_ts"))
     joined = asof_latest(m, {"l": (loc, LOCATION_FIELDS), "s": (st, STATE_FIELDS)},
                          key="device_id", ts="measurement_event_ts", bucket_seconds=bucket_seconds,
-                         bucket_source=source)
+                         max_rows_per_bucket=max_rows_per_bucket, bucket_source=source)
     enriched = joined.select(
         "device_id", "env", "tenant",
         F.col("l.lat").alias("lat"), F.col("l.lon").alias("lon"),
