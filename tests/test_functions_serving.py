@@ -205,3 +205,9 @@ def test_clock_helpers(spark):
     assert got.WEEK == dt.datetime(2024, 1, 1, 12)          # 26 weeks back
     g = spark.createDataFrame([(None, None, None), (5, None, 3), (-4, -2, None)], "a long, b long, c long")
     assert [r[0] for r in g.select(greatest_nonneg(F.col("a"), F.col("b"), F.col("c"))).collect()] == [0, 5, 0]
+
+
+def test_recent_summary_from_rows_unknown_tenant(spark, views):
+    r = SV.recent_summary_from_rows(spark, views[0], "prod", "no-such-tenant").collect()
+    assert [(x.totalDevices, x.onlineDevices, x.offlineDevices, x.avgTemp, x.avgHumidity, x.windowSeconds)
+            for x in r] == [(0, 0, 0, None, None, 600)]
