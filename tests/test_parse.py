@@ -96,3 +96,21 @@ def test_route_by_topic(spark):
     assert got["//sensors//location"] == ("", "", "", "location")  # '+' matches an empty level
     for t in topics[1:4] + topics[5:]:
         assert got[t] == (None, None, None, None)
+
+
+def test_read_raw_files_batch_and_stream(spark, tmp_path):
+    from conftest import SF_SMALL
+    from fieldpulse.sources import fixtures as FX
+    from fieldpulse.sources.topics import read_raw_files
+    path = str(tmp_path / "raw")
+    FX.raw_messages(spark, SF_SMALL).write.parquet(path)
+    batch = read_raw_files(spark, path)
+    assert batch.columns == ["key", "value", "topic", "timestamp"]
+    assert batch.count() == FX.raw_messages(spark, SF_SMALL).count()
+    stream = read_raw_files(spark, path, stream=True)
+    assert stream.isStreaming and stream.columns == batch.columns
+    q = (route_by_topic(stream).writeStream.format("memory").queryName("raw_files")
+         .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    q.awaitTermination()
+    assert spark.table("raw_files").filter("kind IS NOT NULL").count() == \
+        route_by_topic(batch).filter("kind IS NOT NULL").count()
