@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from fieldpulse.llm.chat import OP10_SQL, op10_chat
+from fieldpulse.llm.ctw import op5_ctw
 from fieldpulse.llm.decontaminate import op6_decontaminate
+from fieldpulse.llm.fingerprint import op9_fingerprint
 from fieldpulse.llm.mixing import op7_mixing
 from fieldpulse.llm.sharding import op8_sharding
 from fieldpulse.llm.simhash import op2_simhash
+from fieldpulse.llm.suffix_dedup import op1_suffix_dedup
 from fieldpulse.llm.toxicity import op4_toxicity
+from fieldpulse.llm.warc import OP3_SQL, op3_warc
 
 
 def _pipeline(spark, sf_dir):
@@ -15,6 +20,17 @@ def _pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op4_toxicity": op4_toxicity, "op6_decontaminate": op6_decontaminate,
-           "op7_mixing": op7_mixing, "op8_sharding": op8_sharding, "pipeline": _pipeline}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
+    "op4_toxicity": op4_toxicity,
+    "op5_ctw": op5_ctw,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_mixing": op7_mixing,
+    "op8_sharding": op8_sharding,
+    "op9_fingerprint": op9_fingerprint,
+    "op10_chat": op10_chat,
+    "pipeline": _pipeline,
+}
+ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op10_chat": OP10_SQL}
