@@ -247,7 +247,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
             parts = part if parts is None else parts.unionByName(part)
         merged = parts.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("spans"),
                                            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        count = map_batches(numbered.select("row", "_row", "_text"), _hit_batches(spark.sparkContext.broadcast(make_windows([]))),
+        count = map_batches(numbered.select("row", "_row", "_text"), _hit_batches(spark.sparkContext.broadcast(choose_prefixes(make_windows([]), {}))),
                             f"row {kind}, _row long, {_OUT}").drop("spans", "items")
         out = count.join(merged, "_row", "left").drop("_row")
         out = (out.withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<s:long,e:long>>)")))
@@ -278,3 +278,21 @@ def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
     found = contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+win AS (SELECT DISTINCT id, least(len(w), 13) AS n, array_to_string(w[i : i + 12], ' ') AS s
+        FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS s
+       FROM d, (SELECT DISTINCT n FROM win) l, unnest(range(1, len(w) - n + 2)) t(i)),
+hit AS (SELECT doc_id, i, n, id FROM dw JOIN win USING (n, s)),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) u(k) GROUP BY doc_id),
+it AS (SELECT doc_id, count(DISTINCT id) AS n_items, string_agg(DISTINCT id, ',' ORDER BY id) AS ids FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
+"""

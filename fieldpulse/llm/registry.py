@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fieldpulse.llm.chat import OP10_SQL, op10_chat
 from fieldpulse.llm.ctw import op5_ctw
-from fieldpulse.llm.decontaminate import op6_decontaminate
+from fieldpulse.llm.decontaminate import OP6_SQL, op6_decontaminate
 from fieldpulse.llm.fingerprint import op9_fingerprint
 from fieldpulse.llm.mixing import op7_mixing
 from fieldpulse.llm.sharding import op8_sharding
@@ -33,4 +33,4 @@ QUERIES = {
     "op10_chat": op10_chat,
     "pipeline": _pipeline,
 }
-ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op10_chat": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op6_decontaminate": OP6_SQL, "op10_chat": OP10_SQL}
