@@ -17,13 +17,17 @@ def now_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def processing_ms(second_resolution: bool = False) -> Column:
-    """Processing stamp in epoch ms. ``second_resolution=True`` reproduces the reference's
-    ``UNIX_TIMESTAMP() * 1000`` (drops the fraction of the second, which is why its
+def whole_seconds(ms: Column) -> Column:
+    """Epoch ms without the fraction of the second."""
+    return F.floor(ms / F.lit(1000)) * F.lit(1000)
+
+
+def processing_ms(second_resolution: bool = False, at_ms: Column | None = None) -> Column:
+    """Processing stamp in epoch ms (default: now). ``second_resolution=True`` reproduces the
+    reference's ``UNIX_TIMESTAMP() * 1000`` (drops the fraction of the second, which is why its
     create->measurement latencies come out negative)."""
-    if second_resolution:
-        return F.unix_timestamp() * 1000
-    return now_ms()
+    ms = at_ms if at_ms is not None else now_ms()
+    return whole_seconds(ms) if second_resolution else ms
 
 
 def range_back(as_of: Column, bucket: str) -> Column:

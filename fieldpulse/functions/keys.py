@@ -42,10 +42,15 @@ def device_from_streak_key(key: Column) -> Column:
     return _between(key, ":humidity_low_streak")
 
 
+def _literal(text: str) -> str:
+    """Text as part of a LIKE pattern that matches only itself."""
+    return "".join("\\" + c if c in "\\%_" else c for c in text)
+
+
 def state_key_pattern(env: str, tenant: str, prefix: str = KEY_PREFIX) -> str:
     """SQL LIKE pattern of a tenant's device-state keys."""
-    return f"{prefix}:{env}:{tenant}:device:%:state"
+    return _literal(f"{prefix}:{env}:{tenant}:device:") + "%:state"
 
 
 def streak_key_pattern(env: str, tenant: str, prefix: str = KEY_PREFIX) -> str:
-    return f"{prefix}:{env}:{tenant}:device:%:humidity_low_streak"
+    return _literal(f"{prefix}:{env}:{tenant}:device:") + "%" + _literal(":humidity_low_streak")

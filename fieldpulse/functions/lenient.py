@@ -9,10 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fieldpulse.constants import BOOL_FALSE_WORDS, BOOL_TRUE_WORDS, SECONDS_CUTOFF
-from fieldpulse.functions.parsing import java_trim, strict_int, strict_long
+from fieldpulse.functions.parsing import java_double, java_trim, strict_int, strict_long
 
 
-_ISO_DATE_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+_ISO_DATE_TIME = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}:[0-9]{2})?\z"
 
 
 def _blank(v: Column) -> Column:
@@ -32,7 +32,7 @@ def lenient_long_or_null(v: Column) -> Column:
 
 
 def lenient_double_or_null(v: Column) -> Column:
-    return F.when(~_blank(v), v.try_cast("double"))
+    return F.when(~_blank(v), java_double(v))
 
 
 def lenient_bool_or_null(v: Column) -> Column:

@@ -4,7 +4,8 @@ Everything here is a JVM-side expression (no Python UDF), so parsing stays insid
 codegen. The numeric rules follow the reference parser's Java semantics:
 
 * integers are strict: optional sign and digits only, no spaces, no decimals; overflow fails;
-* doubles accept what ``Double.parseDouble`` accepts (``try_cast`` is the same parser);
+* doubles accept what ``Double.parseDouble`` accepts: ``try_cast`` reads the same numbers, but also
+  words that Java refuses (``inf``, ``nan``), so words are matched first;
 * booleans never fail: only a case-insensitive ``true`` is true.
 """
 
@@ -21,13 +22,15 @@ NULL_PAYLOAD_MESSAGE = "null payload"
 BAD_TIME_MESSAGE = 'Invalid event time: "{}"'
 ISO_MILLIS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
-_STRICT_INT = r"^[+-]?[0-9]+$"
+# \A and \z: ``$`` would also match before a final line break, which Java's parsers refuse
+_STRICT_INT = r"\A[+-]?[0-9]+\z"
+_DOUBLE_WORD = r"(?i)\A[+-]?(inf|infinity|nan)\z"
 _JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
 def decode_utf8(col: Column) -> Column:
-    """Bytes -> string (a string column passes through unchanged)."""
-    return F.decode(col, "UTF-8")
+    """Bytes -> string; malformed bytes become U+FFFD, so no record can stop a job."""
+    return F.make_valid_utf8(col.cast("string"))
 
 
 def split_fields(text: Column) -> Column:
@@ -44,7 +47,11 @@ def strict_int(field: Column) -> Column:
 
 
 def java_double(field: Column) -> Column:
-    return field.try_cast("double")
+    word = java_trim(field)
+    special = (F.when(word.rlike(r"\A[+-]?NaN\z"), F.lit(float("nan")))
+               .when(word.isin("Infinity", "+Infinity"), F.lit(float("inf")))
+               .when(word == "-Infinity", F.lit(float("-inf"))))
+    return F.when(word.rlike(_DOUBLE_WORD), special).otherwise(field.try_cast("double"))
 
 
 def java_bool(field: Column) -> Column:

@@ -6,20 +6,17 @@ is none. Versions at the same instant: the later-ingested one wins (upsert order
 
 Plan (no pairs are ever formed, and no device's history has to fit in one task):
 
-1. Union measurements and both dimensions into one narrow row stream, tagged by kind, and
-   cut time into buckets (default one hour) – the shuffle key is ``(device, bucket)``, so a
-   device that holds a third of all rows is still spread over as many tasks as it has
-   buckets. A (device, bucket) with more rows than ``max_rows_per_bucket`` is salted: its
-   measurements are spread over several partitions and its versions copied to each.
-2. One window pass over each ``(device, bucket)`` in ``(ts, kind, ingestedAt)`` order gives,
-   per measurement, the last version seen so far *inside the bucket*.
-3. The carry-in from earlier buckets comes from a small table of one row per
-   ``(device, bucket)``: each bucket's last version (an aggregate over the *dimension* rows
-   only) plus the buckets that hold measurements (a hash count per bucket, map-side
-   combined, which also finds the hot buckets), then a running ``last(ignorenulls)`` over
-   buckets per device (its size is devices x buckets, independent of the reading rate).
-4. Measurements take the in-bucket version if any, else the carry-in (left join on
-   ``(device, bucket, salt)`` – the big side is already partitioned on that key).
+1. Measurements and versions, cut to key, time and payload, are aggregated per ``(key, time
+   bucket)`` (default one hour): how many measurements, and each dimension's last version.
+2. One window over a key's buckets gives what each bucket inherits from earlier ones. This table is
+   small next to the readings (one row per key and bucket; widen the bucket for sparse fleets).
+3. All rows are shuffled once, whole, on ``(key, bucket, salt)`` and read in time order: the last
+   version seen in the bucket. A bucket above ``max_rows_per_bucket`` measurements is salted: its
+   measurements are spread, its versions copied to each salt.
+4. A measurement takes the version of its own bucket if there is one, else the inherited one.
+
+The key is (env, tenant, device): devices of different tenants never meet. Which joins are broadcast
+is left to the sizes that AQE measures.
 """
 
 from __future__ import annotations
@@ -32,7 +29,7 @@ from pyspark.sql import functions as F
 from fieldpulse.constants import KEY_PREFIX
 from fieldpulse.functions.clock import now_ms
 from fieldpulse.functions.keys import build_key_state
-from fieldpulse.operators.measurement import MEASUREMENT_COLUMNS, with_event_ts
+from fieldpulse.operators.measurement import MEASUREMENT_COLUMNS, tenancy, with_event_ts
 from fieldpulse.schemas import ENRICHED_COLUMNS
 
 LOCATION_FIELDS = ["eventTime", "ingestedAt", "lat", "lon"]
@@ -40,130 +37,84 @@ STATE_FIELDS = ["eventTime", "ingestedAt", "rssi", "snr", "battery", "online"]
 
 
 def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str]]],
-                key: str, ts: str, bucket_seconds: int = 3600,
-                max_rows_per_bucket: int = 4_000_000,
-                bucket_source: DataFrame | None = None) -> DataFrame:
+                keys: list[str], ts: str, bucket_seconds: int = 3600,
+                max_rows_per_bucket: int = 4_000_000) -> DataFrame:
     """Generic backward, inclusive as-of lookup.
 
-    ``events``: rows with ``key`` and ``ts`` columns (kept whole, in a struct).
-    ``versions``: name -> (DataFrame with the same ``key`` column, ``event_ts``,
-    ``ingestedAt`` and the payload ``fields``).
+    ``events``: rows with the ``keys`` and ``ts`` columns (kept whole, in a struct). They are read
+    twice (key and time alone the first time), so hand in a table rather than a long plan.
+    ``versions``: name -> (DataFrame with the same key columns, ``event_ts``, ``ingestedAt`` and the
+    payload ``fields``).
     Returns ``events``' columns plus one struct column per version name (null if none).
-
-    ``bucket_source`` (optional, columns ``key`` and ``ts``): a cheaper input whose
-    (key, bucket) set covers the events' – e.g. the readings a join produced the events
-    from. The per-bucket counts are then taken from it, so ``events`` (often a join) is
-    computed once; the counts only steer salting, and extra buckets are harmless.
     """
     names = list(versions)
-    ev_cols = events.columns
-    ev_struct_type = events.select(F.struct(*ev_cols).alias("e")).schema["e"].dataType
-    payload_types = {n: versions[n][0].select(F.struct(*versions[n][1]).alias("s")).schema["s"].dataType
-                     for n in names}
-
-    def null_of(dtype):
-        return F.lit(None).cast(dtype)
+    own = events.select(F.struct(*events.columns).alias("e")).schema["e"].dataType
+    payload = {n: versions[n][0].select(F.struct(*versions[n][1]).alias("s")).schema["s"].dataType for n in names}
+    k = [f"_k{i}" for i in range(len(keys))]
 
     def bucket(col: str):
-        return F.floor(F.unix_millis(col) / F.lit(bucket_seconds * 1000))
-
-    version_rows = []
-    for n in names:
-        vdf, fields = versions[n]
-        version_rows.append(vdf.filter(F.col("event_ts").isNotNull()).select(
-            F.col(key).alias("_k"), F.col("event_ts").alias("_ts"), F.lit(0).alias("_kind"),
-            F.col("ingestedAt").cast("long").alias("_ord"),
-            null_of(ev_struct_type).alias("_e"),
-            *[(F.struct(*fields) if m == n else null_of(payload_types[m])).alias(m) for m in names]))
-    event_rows = events.select(
-        F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.lit(1).alias("_kind"),
-        F.lit(None).cast("long").alias("_ord"),
-        F.struct(*ev_cols).alias("_e"),
-        *[null_of(payload_types[n]).alias(n) for n in names])
-
-    # Events per (key, bucket): the carry table's bucket list, and the hot buckets. A bucket
-    # with more than ``max_rows_per_bucket`` events is split over ceil(n / max) salts; its
-    # versions are copied to every salt, so each salted partition still sees all of them.
-    # The hot-bucket table has at most (#events / max_rows_per_bucket) rows – a proven bound –
-    # so it is broadcast; normally it is empty and every salt is 0.
-    counted = bucket_source if bucket_source is not None else events
-    bucket_counts = (counted.select(F.col(key).alias("_k"), bucket(ts).alias("_b"))
-                     .groupBy("_k", "_b").agg(F.count("*").alias("_n")))
-    hot = F.broadcast(bucket_counts.filter(F.col("_n") > max_rows_per_bucket).select(
-        "_k", "_b", F.ceil(F.col("_n") / F.lit(max_rows_per_bucket)).cast("int").alias("_salts")))
-
-    # 1-2. main pass: one shuffle on (key, bucket, salt), one sort, running last version.
-    # One broadcast join of the union with the hot buckets gives every row its salt: an
-    # event takes hash(row) mod n, a version is copied to all n salts.
-    u = event_rows
-    for v in version_rows:
-        u = u.unionByName(v)
-    u = u.withColumn("_b", bucket("_ts")).join(hot, ["_k", "_b"], "left")
-    n_salts = F.coalesce(F.col("_salts"), F.lit(1))
-    salts = (F.when(F.col("_kind") == 1, F.array(F.pmod(F.xxhash64("_e", "_ts"), n_salts).cast("int")))
-             .otherwise(F.sequence(F.lit(0), n_salts - 1)))
-    u = u.select(*[c for c in u.columns if c != "_salts"], F.explode(salts).alias("_salt"))
-    w_run = (Window.partitionBy("_k", "_b", "_salt").orderBy("_ts", "_kind", "_ord")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hits = (u.select("_k", "_b", "_salt", "_kind", "_e",
-                     *[F.last(n, ignorenulls=True).over(w_run).alias(f"_in_{n}") for n in names])
-            .filter(F.col("_kind") == 1))
-
-    # 3. carry-in: each bucket's last version (dimension rows only), and the buckets that
-    # hold events (the per-bucket counts: one row per bucket per task is shuffled);
-    # per key, the last version of any earlier bucket.
-    vr = version_rows[0]
-    for v in version_rows[1:]:
-        vr = vr.unionByName(v)
-    per_bucket_versions = (vr.withColumn("_b", bucket("_ts")).groupBy("_k", "_b").agg(
+        return F.floor(F.unix_millis(col) / F.lit(bucket_seconds * 1000)).alias("_b")
+
+    def keyed(df: DataFrame, time: str):
+        return [F.col(c).alias(a) for c, a in zip(keys, k)] + [F.col(time).alias("_ts"), bucket(time)]
+
+    def version_rows(with_events: bool):
+        for n in names:
+            df, fields = versions[n]
+            extra = [F.lit(None).cast(own).alias("_e")] if with_events else []
+            yield df.filter(F.col("event_ts").isNotNull()).select(
+                *keyed(df, "event_ts"), F.lit(0).alias("_kind"), F.col("ingestedAt").cast("long").alias("_ord"), *extra,
+                *[(F.struct(*fields) if m == n else F.lit(None).cast(payload[m])).alias(m) for m in names])
+
+    def all_rows(with_events: bool) -> DataFrame:
+        extra = [F.struct(*events.columns).alias("_e")] if with_events else []
+        rows = events.select(*keyed(events, ts), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_ord"), *extra,
+                             *[F.lit(None).cast(payload[n]).alias(n) for n in names])
+        for v in version_rows(with_events):
+            rows = rows.unionByName(v)
+        return rows
+
+    # 1-2. per key and bucket: measurements, last versions, and what earlier buckets left
+    per_bucket = all_rows(False).groupBy(*k, "_b").agg(
+        F.count_if(F.col("_kind") == 1).alias("_n"),
         *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_ts", "_ord"))).alias(n) for n in names])
-        .withColumn("_src", F.lit(1)))
-    # (reads the same (key, bucket, count) columns as the hot-bucket table, so both share
-    # one exchange)
-    event_buckets = (bucket_counts.filter(F.col("_n") > 0)
-                     .select("_k", "_b", *[null_of(payload_types[n]).alias(n) for n in names],
-                             F.lit(0).alias("_src")))
-    # within a bucket the event-bucket row sorts first, so its frame holds earlier buckets only
-    w_prev = (Window.partitionBy("_k").orderBy("_b", "_src")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (event_buckets.unionByName(per_bucket_versions)
-             .select("_k", "_b", "_src",
-                     *[F.last(n, ignorenulls=True).over(w_prev).alias(f"_carry_{n}") for n in names])
-             .filter(F.col("_src") == 0)
-             .drop("_src"))
-
-    # 4. in-bucket version if any, else the carry-in. The carry rows get the salt column too
-    # (one copy per salt of a hot bucket), so the join key equals the main pass's partitioning
-    # and only the small carry side is shuffled.
-    carry = (carry.join(hot, ["_k", "_b"], "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-             .drop("_salts"))
-    out = hits.join(carry, ["_k", "_b", "_salt"], "left")
-    return out.select(
-        "_e.*",
-        *[F.coalesce(f"_in_{n}", f"_carry_{n}").alias(n) for n in names])
+    earlier = Window.partitionBy(*k).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    salts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_rows_per_bucket))).cast("int")
+    carry = (per_bucket.select(*k, "_b", "_n", salts.alias("_salts"),
+                               *[F.last(n, ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in names])
+             .filter("_n > 0").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_n", "_salts"))
+
+    # 3. the rows themselves; buckets that need no salt are absent from ``hot``
+    hot = per_bucket.filter(F.col("_n") > max_rows_per_bucket).select(*k, "_b", salts.alias("_salts"))
+    n_salts = F.coalesce(F.col("_salts"), F.lit(1))
+    spread = (F.when(F.col("_kind") == 1, F.array(F.pmod(F.xxhash64("_e", "_ts"), n_salts).cast("int")))
+              .otherwise(F.sequence(F.lit(0), n_salts - 1)))
+    rows = all_rows(True).join(hot, [*k, "_b"], "left")
+    rows = rows.select(*[c for c in rows.columns if c != "_salts"], F.explode(spread).alias("_salt")).repartition(*k, "_b", "_salt")
+    so_far = (Window.partitionBy(*k, "_b", "_salt").orderBy("_ts", "_kind", "_ord")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hits = (rows.select(*k, "_b", "_salt", "_kind", "_e", *[F.last(n, ignorenulls=True).over(so_far).alias(f"_in_{n}") for n in names])
+            .filter("_kind = 1"))
+
+    # 4. own bucket first, then the inherited version
+    same = [hits[c].eqNullSafe(carry[c]) for c in k] + [hits["_b"].eqNullSafe(carry["_b"]), hits["_salt"] == carry["_salt"]]
+    out = hits.join(carry, same, "left")
+    return out.select("_e.*", *[F.coalesce(f"_in_{n}", f"_carry_{n}").alias(n) for n in names])
 
 
 def asof_enrich(measurement: DataFrame, location: DataFrame, state: DataFrame,
                 enrich_ms: Column | Callable[[], Column] | None = None,
                 key_prefix: str = KEY_PREFIX, bucket_seconds: int = 3600,
-                humidity: DataFrame | None = None, max_rows_per_bucket: int = 4_000_000) -> DataFrame:
-    """Measurement -> enriched rows (25 columns, the reference's order).
-
-    ``humidity``: the readings the measurements were joined from (optional). Every
-    measurement carries its humidity reading's device and time, so their buckets cover the
-    measurements' and the per-bucket counts can be taken from them instead of re-running
-    the join."""
+                max_rows_per_bucket: int = 4_000_000) -> DataFrame:
+    """Measurement -> enriched rows (25 columns, the reference's order)."""
     m = measurement.select(*MEASUREMENT_COLUMNS)
-    loc = with_event_ts(location).withColumnRenamed("deviceId", "device_id")
-    st = with_event_ts(state).withColumnRenamed("deviceId", "device_id")
-    source = None
-    if humidity is not None:
-        source = with_event_ts(humidity).select(F.col("deviceId").alias("device_id"),
-                                                F.col("event_ts").alias("measurement_event_ts"))
-    joined = asof_latest(m, {"l": (loc, LOCATION_FIELDS), "s": (st, STATE_FIELDS)},
-                         key="device_id", ts="measurement_event_ts", bucket_seconds=bucket_seconds,
-                         max_rows_per_bucket=max_rows_per_bucket, bucket_source=source)
+
+    def dim(df: DataFrame) -> DataFrame:
+        return tenancy(with_event_ts(df)).withColumnRenamed("deviceId", "device_id")
+
+    joined = asof_latest(m, {"l": (dim(location), LOCATION_FIELDS), "s": (dim(state), STATE_FIELDS)},
+                         keys=["env", "tenant", "device_id"], ts="measurement_event_ts", bucket_seconds=bucket_seconds,
+                         max_rows_per_bucket=max_rows_per_bucket)
     enriched = joined.select(
         "device_id", "env", "tenant",
         F.col("l.lat").alias("lat"), F.col("l.lon").alias("lon"),

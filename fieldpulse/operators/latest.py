@@ -2,23 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.constants import KEY_TTL_SECONDS
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Last row per ``keys`` by ``order`` (lexicographic; later columns break ties).
+    """Last row per ``keys`` by ``order`` (lexicographic; later columns break ties; rows equal in all
+    of ``order`` are one candidate each, of which the greatest row hash stays).
 
-    One hash aggregate with ``max_by`` over a struct of the row: partial aggregation keeps
-    one candidate per key per task before the shuffle, so a key with a third of all rows is
-    reduced map-side instead of sorted in a single task (what ``ROW_NUMBER() ... = 1`` does).
+    The aggregate carries only the order: timestamps and integers are packed into one decimal, which
+    keeps it a hash aggregate with map-side combine (a key with a third of all rows shrinks before
+    the shuffle). The rows themselves are then picked by a join on key and order, and what ties is
+    settled among those few.
     """
     cols = df.columns
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_r"))
-            .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+    rows = df.withColumn("_o", packed_order(df, order)).withColumn("_h", F.xxhash64(*cols))
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    match = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    best = rows.select(*named, "_o").groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.max("_o").alias("_best"))
+    top = rows.join(best, [*match, F.col("_o").eqNullSafe(F.col("_best"))]).select(*cols, "_h")
+    ties = top.select(*named, "_h").groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.max("_h").alias("_top"))
+    return top.join(ties, [*match, F.col("_h") == F.col("_top")]).select(*cols).dropDuplicates(keys)
+
+
+def packed_order(df: DataFrame, order: list[str]) -> Column:
+    """Up to two integer or timestamp columns as one DECIMAL(38,0) in the same order."""
+    d, kinds = "decimal(38,0)", dict(df.dtypes)
+
+    def number(c: str) -> Column:
+        n = F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.col(c).cast("long")
+        return n.cast(d)
+
+    first, *rest = order
+    if len(rest) > 1:
+        raise ValueError("at most two order columns")
+    # the second column's 64 bits fit below one step of the first; nulls come first
+    low = F.coalesce(number(rest[0]) + F.lit(str(2 ** 63 + 1)).cast(d), F.lit(0).cast(d)) if rest else F.lit(0).cast(d)
+    high = F.coalesce(number(first), F.lit(str(-4 * 10 ** 18)).cast(d))
+    return (high * F.lit(str(2 * 10 ** 19)).cast(d) + low).cast(d)
 
 
 def latest_per_device(enriched: DataFrame) -> DataFrame:
@@ -26,13 +49,6 @@ def latest_per_device(enriched: DataFrame) -> DataFrame:
     return latest_by(enriched, ["env", "tenant", "device_id"], ["measurement_event_ts", "humidity_seq"])
 
 
-def latest_per_device_row_number(enriched: DataFrame) -> DataFrame:
-    """The reference's ``ROW_NUMBER() OVER (... ORDER BY ts DESC) = 1`` form, for tests."""
-    w = Window.partitionBy("env", "tenant", "device_id").orderBy(
-        F.col("measurement_event_ts").desc(), F.col("humidity_seq").desc())
-    return enriched.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
 def latest_state_view(enriched: DataFrame, written_at: Column | None = None) -> DataFrame:
     """The device-state view keyed by ``redis_key`` (one row per key), with ``written_at``:
     when the row was last written (default: its enrichment stamp)."""

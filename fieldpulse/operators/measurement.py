@@ -20,7 +20,8 @@ def with_event_ts(df: DataFrame) -> DataFrame:
     return df if "event_ts" in df.columns else df.withColumn("event_ts", event_time(F.col("eventTime")))
 
 
-def _tenancy(df: DataFrame, env: str, tenant: str) -> DataFrame:
+def tenancy(df: DataFrame, env: str = DEFAULT_ENV, tenant: str = DEFAULT_TENANT) -> DataFrame:
+    """``env`` and ``tenant`` columns, with defaults where they are missing or null."""
     if "env" not in df.columns:
         return df.withColumn("env", F.lit(env)).withColumn("tenant", F.lit(tenant))
     return (df.withColumn("env", F.coalesce("env", F.lit(env)))
@@ -39,21 +40,20 @@ def collapse_copies(readings: DataFrame, value_col: str) -> DataFrame:
 def join_measurement(humidity: DataFrame, temperature: DataFrame,
                      processing_ms: Column | Callable[[], Column] | None = None,
                      env: str = DEFAULT_ENV, tenant: str = DEFAULT_TENANT,
-                     max_time_skew: str | None = None, copies: str = "collapse") -> DataFrame:
+                     max_time_skew: str | None = None, copies: str = "keep") -> DataFrame:
     """Inner equi-join on (env, tenant, deviceId, seq); event time is the humidity reading's.
 
     Distinct readings that share (device, seq) – a counter restart – pair up as in the
-    reference. Exact copies of one message (redeliveries) are collapsed first
-    (``copies="collapse"``, default; ``copies="keep"`` multiplies them like the reference).
-    ``max_time_skew`` (e.g. ``'1 hour'``) adds ``|t.event_ts - h.event_ts| <= skew`` – off
+    reference, and copies of a message multiply. ``copies="collapse"`` first makes one row of
+    exact copies (redeliveries), for feeds that deliver at least once. ``max_time_skew`` (e.g. ``'1 hour'``) adds ``|t.event_ts - h.event_ts| <= skew`` – off
     by default for equivalence; on a stream it is what lets the state be dropped.
 
     Scale: both sides shuffle once on the four key columns (seq makes the key nearly unique,
-    so a busy device is spread over all partitions). A group of copies holding a third of
-    all rows is reduced by the map-side combine of :func:`collapse_copies`; what remains of
-    a repeated key is split by AQE's skew-join handling rather than landing in one task.
+    so a busy device is spread over all partitions; a repeated key is split by AQE's skew-join
+    handling). Collapsing adds one aggregate a side, whose map-side combine reduces a group of
+    copies before it is shuffled.
     """
-    h, t = _tenancy(humidity, env, tenant), _tenancy(temperature, env, tenant)
+    h, t = tenancy(humidity, env, tenant), tenancy(temperature, env, tenant)
     if copies == "collapse":
         h, t = collapse_copies(h, "humidity"), collapse_copies(t, "temperature")
     h = with_event_ts(h).alias("h")

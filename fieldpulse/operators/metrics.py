@@ -32,8 +32,8 @@ def metrics_by_bucket(enriched: DataFrame, bucket: str = "HOUR",
             .agg(F.avg("temperature").alias("tAvg"),
                  F.avg("humidity").alias("hAvg"),
                  F.count("device_id").alias("totalCount"),
-                 F.sum(F.when(online == F.lit(True), 1).otherwise(0)).cast("long").alias("okCount"),
-                 F.sum(F.when(online == F.lit(False), 1).otherwise(0)).cast("long").alias("errorCount")))
+                 F.count_if(online).alias("okCount"),
+                 F.count_if(~online).alias("errorCount")))
     return out.orderBy(*group_cols, "bucket") if ordered else out
 
 
@@ -68,38 +68,56 @@ def latency_columns(history: DataFrame) -> DataFrame:
     )
 
 
+def _bin(v: Column) -> Column:
+    """A value's histogram bin: its sign and the sixteenth of an octave of its size. Some 2,000 bins
+    hold every 64-bit number."""
+    size = F.floor(F.log2(F.abs(v.cast("double")) + 1) * 16).cast("int")
+    return F.when(v < 0, -size - 1).otherwise(size)
+
+
 def exact_stats(df: DataFrame, group_cols: list[str], metrics: tuple[str, ...],
                 quantiles: dict[str, float] = QUANTILES) -> DataFrame:
     """count, mean and exact linear-interpolation quantiles (pandas' ``quantile``) of integer
-    metrics per group, without collecting any group's values into one buffer.
+    metrics per group, without bringing a group's values together.
 
-    Values are first compacted to ``(group, metric, value) -> count`` by a hash aggregate (a
-    group's size is then its number of *distinct* millisecond values, not its row count);
-    a running count over those sorted values locates the two neighbours of each quantile's
-    position ``(n - 1) q``.
+    Values are compacted to ``(group, metric, value) -> count`` by a hash aggregate. A histogram of
+    2,000 bins at most says which bin holds the ranks next to each quantile's position ``(n - 1) q``;
+    only those bins' values are then counted through.
     """
     long = df.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("long").alias("v")) for m in metrics
     ])).alias("x")).select(*group_cols, "x.metric", "x.v").filter(F.col("v").isNotNull())
     keys = [*group_cols, "metric"]
-    counts = long.groupBy(*keys, "v").agg(F.count("*").alias("c"))
-    w_run = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(*keys)
-    ranked = counts.select(*keys, "v", "c",
-                           F.sum("c").over(w_run).alias("cum"), F.sum("c").over(w_all).alias("n"))
-    ranked = ranked.withColumn("prev", F.col("cum") - F.col("c"))
-    aggs = [F.first("n").alias("samples"), (F.sum(F.col("v") * F.col("c")) / F.first("n")).alias("mean")]
+    counts = long.groupBy(*keys, "v").agg(F.count("*").alias("c")).withColumn("bin", _bin(F.col("v")))
+    bins = counts.groupBy(*keys, "bin").agg(F.sum("c").alias("c"), F.sum(F.col("v") * F.col("c")).alias("s"))
+    hist = bins.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bin", "c"))).alias("hist"), F.sum("c").alias("n"), F.sum("s").alias("s"))
+    hist = hist.withColumn("mean", F.col("s") / F.col("n"))
+
+    def holding(rank: Column) -> Column:
+        """The bin that holds a rank (from 0) and the values below that bin."""
+        start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("int").alias("bin"))
+        return F.aggregate("hist", start, lambda acc, x: F.when(acc["bin"].isNotNull(), acc)
+                           .when(acc["below"] + x["c"] > rank, F.struct(acc["below"].alias("below"), x["bin"].alias("bin")))
+                           .otherwise(F.struct((acc["below"] + x["c"]).alias("below"), F.lit(None).cast("int").alias("bin"))))
+
+    wanted = []
     for name, q in quantiles.items():
         pos = (F.col("n") - 1) * F.lit(q)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        at = lambda r: F.max(F.when((F.col("prev") <= r) & (r < F.col("cum")), F.col("v")))
-        aggs += [at(lo).alias(f"{name}_lo"), at(hi).alias(f"{name}_hi"),
-                 F.first(pos - lo).alias(f"{name}_frac")]
-    per_metric = ranked.groupBy(*keys).agg(*aggs)
-    for name in quantiles:
-        per_metric = per_metric.withColumn(
-            name, F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * F.col(f"{name}_frac"))
-    return per_metric.select(*keys, "samples", "mean", *quantiles)
+        for end, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            wanted.append(F.struct(F.lit(f"{name}_{end}").alias("which"), rank.alias("rank"), holding(rank).alias("at")))
+    ranks = hist.select(*keys, F.explode(F.array(*wanted)).alias("w")).select(*keys, "w.which", "w.rank", "w.at.below", "w.at.bin")
+    inside = counts.join(ranks, [*keys, "bin"])
+    running = (Window.partitionBy(*keys, "bin", "which").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    upto = F.col("below") + F.sum("c").over(running)
+    found = (inside.select(*keys, "which", "rank", "v", "c", upto.alias("upto"))
+             .filter((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("c") <= F.col("rank"))))
+    picked = found.groupBy(*keys).agg(*[F.max(F.when(F.col("which") == f"{n}_{e}", F.col("v"))).alias(f"{n}_{e}")
+                                        for n in quantiles for e in ("lo", "hi")])
+    out = hist.select(*keys, F.col("n").alias("samples"), "mean").join(picked, keys)
+    for name, q in quantiles.items():
+        pos = (F.col("samples") - 1) * F.lit(q)
+        out = out.withColumn(name, F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * (pos - F.floor(pos)))
+    return out.select(*keys, "samples", "mean", *quantiles)
 
 
 def latency_stats(history: DataFrame, group_cols: tuple[str, ...] = (), prefix: str = "") -> DataFrame:

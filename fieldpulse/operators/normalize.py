@@ -26,81 +26,74 @@ FIELDS = {
 }
 
 
-def _parse_field(text: Column, how: str) -> tuple[Column, Column | None]:
-    """(value, error message or None) for one CSV field."""
-    if how == "str":
-        return text, None
-    if how == "bool":
-        return P.java_bool(text), None
-    if how == "double":
-        v = P.java_double(text)
-        return v, P.double_error(text, v)
-    v = P.strict_long(text) if how == "long" else P.strict_int(text)
-    return v, P.integer_error(text, v)
-
-
-def parse_readings(raw: DataFrame, kind: str, ingest_ms: Column | None = None,
-                   failed_ms: Column | None = None, validate_time: bool = True) -> DataFrame:
-    """Parse the ``value`` bytes of raw rows of one kind.
-
-    Output: the typed columns of ``kind``, ``env``/``tenant`` (from routing when present),
-    ``event_ts`` (parsed event time), ``rawPayload``, ``errorMessage``, ``failedAt``.
-    ``ingest_ms`` / ``failed_ms`` default to the query's current time in epoch ms.
+# what a CSV field can be, by kind: place -> reader -> {kind: column}
+PLACES: dict[int, dict[str, dict[str, str]]] = {}
+for _kind, _spec in FIELDS.items():
+    for _i, (_name, _how) in enumerate(_spec):
+        if _how != "str":
+            PLACES.setdefault(_i, {}).setdefault(_how, {})[_kind] = _name
+VALUE_COLUMNS = list(dict.fromkeys(n for spec in FIELDS.values() for n, how in spec if how != "str"))
+
+_READ = {"double": (P.java_double, P.double_error), "long": (P.strict_long, P.integer_error), "int": (P.strict_int, P.integer_error),
+         "bool": (P.java_bool, None)}
+
+
+def parse_all(routed: DataFrame, ingest_ms: Column | None = None, failed_ms: Column | None = None,
+              validate_time: bool = True) -> DataFrame:
+    """Every kind's lines in one pass: the typed columns of all kinds (null where a kind lacks them),
+    ``kind``, ``event_ts``, ``rawPayload``, ``errorMessage`` (null: parsed), ``failedAt`` and ``status``
+    (``ok`` or ``error``). Rows without a kind are not device readings and are left out.
+
+    A field is read once per reader (number, integer, ...), whichever kinds share it; the payload is
+    decoded and split once.
     """
-    spec = FIELDS[kind]
-    expected = FIELD_COUNTS[kind]
     ingest = ingest_ms if ingest_ms is not None else now_ms()
     failed = failed_ms if failed_ms is not None else ingest
-
-    has_env = "env" in raw.columns
-    # Staged projections: the decoded payload, its split and each field are materialised
-    # once as columns (Catalyst does not re-inline non-trivial expressions used many
-    # times), which keeps the generated code small and avoids re-splitting per field.
-    staged = raw.select(
-        F.col("topic").alias("sourceTopic"),
-        (F.col("env") if has_env else F.lit(None).cast("string")).alias("env"),
-        (F.col("tenant") if has_env else F.lit(None).cast("string")).alias("tenant"),
-        ingest.cast("long").alias("ingestedAt"),
-        failed.cast("long").alias("failedAt"),
-        P.decode_utf8(F.col("value")).alias("rawPayload"),
-    )
-    staged = staged.withColumn("_parts", P.split_fields(F.col("rawPayload")))
-    staged = staged.withColumn("_n", F.size("_parts"))
-    well_formed = F.col("rawPayload").isNotNull() & (F.col("_n") == expected)
-    staged = staged.select("*", *[F.when(well_formed, F.try_element_at("_parts", F.lit(i + 1))).alias(f"_f{i}")
-                                  for i in range(expected)])
-
-    errors = [
-        F.when(F.col("rawPayload").isNull(), F.lit(P.NULL_PAYLOAD_MESSAGE)),
-        F.when(F.col("_n") != expected, F.concat(F.lit(P.FIELD_COUNT_MESSAGE.format(expected)),
-                                                 F.col("_n").cast("string"))),
-    ]
-    checks = [F.coalesce(well_formed, F.lit(False))]
-    for i, (name, how) in enumerate(spec):
-        value, err = _parse_field(F.col(f"_f{i}"), how)
-        staged = staged.withColumn(name, value)
-        if err is not None:
-            # the message is rebuilt from the parsed column, so the error text costs only
-            # a null check on rows that parsed
-            errors.append(F.when(F.col(name).isNull(), _parse_field(F.col(f"_f{i}"), how)[1]))
-            checks.append(F.col(name).isNotNull())
-    staged = staged.withColumn("event_ts", P.event_time(F.col("_f1")))
+    env = [F.col(c) if c in routed.columns else F.lit(None).cast("string").alias(c) for c in ("env", "tenant")]
+    rows = routed.filter(F.col("kind").isin(*FIELDS)).select(
+        "kind", F.col("topic").alias("sourceTopic"), *env, ingest.cast("long").alias("ingestedAt"),
+        failed.cast("long").alias("failedAt"), P.decode_utf8(F.col("value")).alias("rawPayload"))
+    rows = rows.withColumn("_parts", P.split_fields(F.col("rawPayload"))).withColumn("_n", F.size("_parts"))
+    expected = F.create_map(*[x for k, n in FIELD_COUNTS.items() for x in (F.lit(k), F.lit(n))])[F.col("kind")]
+    rows = rows.withColumn("_want", expected)
+    well_formed = F.col("rawPayload").isNotNull() & (F.col("_n") == F.col("_want"))
+    most = max(FIELD_COUNTS.values())
+    rows = rows.select("*", *[F.when(well_formed, F.try_element_at("_parts", F.lit(i + 1))).alias(f"_f{i}") for i in range(most)])
+
+    errors = [F.when(F.col("rawPayload").isNull(), F.lit(P.NULL_PAYLOAD_MESSAGE)),
+              F.when(F.col("_n") != F.col("_want"), F.concat(F.lit("Expected "), F.col("_want").cast("string"), F.lit(" fields, got "),
+                                                             F.col("_n").cast("string")))]
+    values: dict[str, Column] = {}
+    for i, readers in PLACES.items():
+        field = F.col(f"_f{i}")
+        for how, by_kind in readers.items():
+            read, complain = _READ[how]
+            rows = rows.withColumn(f"_v{i}_{how}", F.when(F.col("kind").isin(*by_kind), read(field)))
+            if complain is not None:
+                value = F.col(f"_v{i}_{how}")
+                errors.append(F.when(F.col("kind").isin(*by_kind) & field.isNotNull() & value.isNull(), complain(field, value)))
+            for kind, name in by_kind.items():
+                own = F.when(F.col("kind") == kind, F.col(f"_v{i}_{how}"))
+                values[name] = F.coalesce(values[name], own) if name in values else own
+    rows = rows.withColumn("event_ts", P.event_time(F.col("_f1")))
     if validate_time:
         # Deviation (documented): the reference defers the time check to its SQL cast; we
         # send unparseable times to the dead letter instead of failing downstream.
-        checks.append(F.col("event_ts").isNotNull())
         errors.append(F.when(F.col("_f1").isNotNull() & F.col("event_ts").isNull(),
                              F.concat(F.lit('Invalid event time: "'), F.col("_f1"), F.lit('"'))))
-    ok = checks[0]
-    for c in checks[1:]:
-        ok = ok & c
-    staged = staged.withColumn("_ok", ok)
+    rows = rows.withColumn("errorMessage", F.coalesce(*errors))
+    return rows.select(
+        "kind", F.col("_f0").alias("deviceId"), F.col("_f1").alias("eventTime"), *[values[n].alias(n) for n in VALUE_COLUMNS],
+        "ingestedAt", "sourceTopic", "env", "tenant", "event_ts", "rawPayload", "errorMessage", "failedAt",
+        F.when(F.col("errorMessage").isNull(), F.lit("ok")).otherwise(F.lit("error")).alias("status"))
 
-    return staged.select(
-        *[name for name, _ in spec], "ingestedAt", "sourceTopic", "env", "tenant", "event_ts",
-        "rawPayload", F.when(~F.col("_ok"), F.coalesce(*errors)).alias("errorMessage"), "failedAt",
-        "_ok",
-    )
+
+def parse_readings(raw: DataFrame, kind: str, ingest_ms: Column | None = None,
+                   failed_ms: Column | None = None, validate_time: bool = True) -> DataFrame:
+    """:func:`parse_all` for raw rows of one kind, with that kind's columns and ``_ok``."""
+    all_ = parse_all(raw.withColumn("kind", F.lit(kind)), ingest_ms, failed_ms, validate_time)
+    return all_.select(*[name for name, _ in FIELDS[kind]], "ingestedAt", "sourceTopic", "env", "tenant", "event_ts", "rawPayload",
+                       "errorMessage", "failedAt", (F.col("status") == "ok").alias("_ok"))
 
 
 def ok_records(parsed: DataFrame, kind: str, keep_event_ts: bool = False) -> DataFrame:
@@ -126,6 +119,13 @@ def normalize(routed: DataFrame, kind: str, **kw) -> tuple[DataFrame, DataFrame]
     return branch_ok_err(parsed, kind)
 
 
+def rekey_by_device(typed: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Typed records with their record key (the device); with ``partitions``, dealt out by it as a keyed
+    topic would be."""
+    keyed = typed.withColumn("key", F.col("deviceId"))
+    return keyed.repartition(partitions, "key") if partitions else keyed
+
+
 def dead_letter_key(kind: str) -> str:
     """Constant record key of a kind's dead-letter topic (fixed value)."""
     return f"{kind}-parse-error"

@@ -236,12 +236,14 @@ def latest_closed_summary(enriched: DataFrame, window_seconds: int = WINDOW_SECO
     slide_us, size_us = slide_seconds * 1_000_000, window_seconds * 1_000_000
     cutoff = enriched.agg(F.max(TS)).scalar() - F.expr(f"INTERVAL {int(watermark_seconds)} SECONDS")
     c_us = F.floor(F.unix_micros(cutoff) / F.lit(slide_us)) * F.lit(slide_us)
-    last = (enriched.filter(F.unix_micros(TS) < c_us)
+    # bare timestamps against constants, so both bounds reach the scan (and, on the history table,
+    # its date folders: a row before the newest window of the slowest tenant is still looked for)
+    last = (enriched.filter(F.col(TS) < F.timestamp_micros(c_us))
             .groupBy("env", "tenant").agg(F.max(TS).alias("_last")))
     end_us = F.least(c_us, F.floor((F.unix_micros("_last") + F.lit(size_us)) / F.lit(slide_us)) * F.lit(slide_us))
     win = last.select("env", "tenant", (end_us - F.lit(size_us)).alias("_ws"), end_us.alias("_we"))
     rows = (enriched.join(win, ["env", "tenant"])
-            .filter((F.unix_micros(TS) >= F.col("_ws")) & (F.unix_micros(TS) < F.col("_we"))))
+            .filter((F.col(TS) >= F.timestamp_micros("_ws")) & (F.col(TS) < F.timestamp_micros("_we"))))
     per_device = device_partials(rows, ["env", "tenant", "_ws", "_we", "device_id"], True)
     totals = window_totals(per_device.withColumn("window_start", F.timestamp_micros("_ws"))
                            .withColumn("window_end", F.timestamp_micros("_we")))

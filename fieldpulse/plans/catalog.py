@@ -10,6 +10,7 @@ the whole chain.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,30 +18,31 @@ from pyspark.sql import functions as F
 
 from fieldpulse.functions import keys as K
 from fieldpulse.functions import lenient as LN
-from fieldpulse.functions.parsing import event_time, split_fields
+from fieldpulse.functions.clock import processing_ms
+from fieldpulse.functions.parsing import decode_utf8, event_time, split_fields
 from fieldpulse.operators import latest as LT
+from fieldpulse.operators import measurement as MM
 from fieldpulse.operators import metrics as MT
+from fieldpulse.operators import normalize as NM
 from fieldpulse.operators import streak as SK
 from fieldpulse.operators import summary as SM
 from fieldpulse.plans import flow
 from fieldpulse.plans import serving as SV
 from fieldpulse.sources import fixtures as FX
+from fieldpulse.sources.history import scan_history, write_history
 from fieldpulse.sources.topics import route_by_topic
+from fieldpulse.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# as-of instant for the time-to-live query (after the last fixture event)
-TTL_AS_OF = "2024-01-30 23:55:00"
-
-
 def _raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = FX.raw_messages(spark, sf_dir)
-    return raw.select(F.col("value").cast("string").alias("payload"), "topic", "timestamp")
+    return raw.select(decode_utf8(F.col("value")).alias("payload"), "topic", "timestamp")
 
 
 def q_route_by_topic(spark, sf_dir):
     routed = route_by_topic(FX.raw_messages(spark, sf_dir))
-    return routed.select(F.col("value").cast("string").alias("payload"), "topic", "env", "tenant",
+    return routed.select(decode_utf8(F.col("value")).alias("payload"), "topic", "env", "tenant",
                          "topic_device", "kind")
 
 
@@ -145,12 +147,92 @@ def q_map_points(spark, sf_dir):
 
 
 def q_view_ttl(spark, sf_dir):
+    """Alive keys at the moment of the last write: the newest keys live, the rest have expired."""
+    v = _state_view(spark, sf_dir)
+    alive = LT.view_ttl(v, v.agg(F.max("written_at")).scalar())
+    return alive.select("redis_key", "written_at", (F.col("written_at") + F.expr("INTERVAL 600 SECONDS")).alias("expires_at"))
+
+
+def _one_device(spark, sf_dir):
+    """First device of the first tenant, and the first and middle second of its time range."""
+    e = flow.enriched_table(spark, sf_dir)
+    tenant = e.agg(F.min("tenant")).first()[0]
+    r = e.filter(F.col("tenant") == tenant).agg(F.min("device_id"), F.unix_seconds(F.min("measurement_event_ts")),
+                                               F.unix_seconds(F.max("measurement_event_ts"))).first()
+    return e, tenant, r[0], r[1], (r[1] + r[2]) // 2
+
+
+def q_device_metrics(spark, sf_dir):
+    e, tenant, device, lo, hi = _one_device(spark, sf_dir)
+    return SV.device_metrics(e, "prod", tenant, device, "DAY", lo, hi)
+
+
+def q_device_metrics_lookback(spark, sf_dir):
+    """Without a range: the day before the end of the data."""
+    e, tenant, device, _, _ = _one_device(spark, sf_dir)
+    return SV.device_metrics(e, "prod", tenant, device, "HOUR", as_of=e.agg(F.max("measurement_event_ts")).scalar())
+
+
+@FX.memo_plan
+def _history_path(spark, sf_dir):
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/history-{uuid.uuid4().hex[:12]}"
+    write_history(flow.enriched_table(spark, sf_dir), path, FX.fixture_history_clock())
+    return path
+
+
+def q_history_scan(spark, sf_dir):
+    """The history table is written, then one device's range is read from it."""
+    _, tenant, device, lo, hi = _one_device(spark, sf_dir)
+    return scan_history(spark, _history_path(spark, sf_dir), "prod", tenant, device,
+                        F.timestamp_seconds(F.lit(lo)), F.timestamp_seconds(F.lit(hi)))
+
+
+def q_history_metrics(spark, sf_dir):
+    _, tenant, device, lo, hi = _one_device(spark, sf_dir)
+    return SV.device_metrics_from_history(spark, _history_path(spark, sf_dir), "prod", tenant, device, "HOUR", lo, hi)
+
+
+def q_device(spark, sf_dir):
+    _, tenant, device, _, _ = _one_device(spark, sf_dir)
+    return SV.device(_state_view(spark, sf_dir), "prod", tenant, device)
+
+
+def q_recent_summary_for(spark, sf_dir):
+    """A tenant with a summary and one without."""
+    latest = SM.latest_closed_summary(flow.enriched_table(spark, sf_dir))
+    return SV.recent_summary_for(spark, latest, "prod", "tenant-1").unionByName(SV.recent_summary_for(spark, latest, "prod", "nobody"))
+
+
+def q_drought_summary_for(spark, sf_dir):
+    streaks = SK.low_humidity_streak(flow.enriched_table(spark, sf_dir))
+    return SV.drought_summary_for(spark, streaks, "prod", "tenant-2").unionByName(SV.drought_summary_for(spark, streaks, "prod", "nobody"))
+
+
+def q_match_key_pattern(spark, sf_dir):
+    """Keys of ``tenant-1``; ``tenant_1`` is another tenant, which has none."""
     v = _state_view(spark, sf_dir)
-    as_of = F.lit(TTL_AS_OF).cast("timestamp")
-    alive = F.col("written_at") > as_of - F.expr("INTERVAL 600 SECONDS")
-    return v.select("redis_key", "written_at",
-                    (F.col("written_at") + F.expr("INTERVAL 600 SECONDS")).alias("expires_at"),
-                    alive.alias("alive"))
+    parts = [SV.keys_like(v, K.state_key_pattern("prod", t)).select("redis_key", F.lit(t).alias("asked")) for t in ("tenant-1", "tenant_1")]
+    return parts[0].unionByName(parts[1])
+
+
+def q_rekey_by_device(spark, sf_dir):
+    return NM.rekey_by_device(flow.typed_from_raw(spark, sf_dir, "humidity"), 8).select("key", "deviceId", "seq")
+
+
+def q_stamp_seconds(spark, sf_dir):
+    """J1 with the reference's whole-second processing stamp."""
+    t = flow.typed_inputs(spark, sf_dir)
+    return MM.join_measurement(t["humidity"], t["temperature"],
+                               processing_ms=lambda: processing_ms(True, FX.fixture_measurement_clock()))
+
+
+def q_latency_by_run(spark, sf_dir):
+    """Two runs, devices named by prefix, appended to one results table and read back."""
+    h = flow.history(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/latency-{uuid.uuid4().hex[:12]}"
+    for prefix in ("device-0000", "device-0001"):
+        MT.append_results(SV.latency_by_run(h, prefix), path)
+    return spark.read.parquet(path)
 
 
 def q_history_rows(spark, sf_dir):
@@ -162,7 +244,7 @@ def q_latency_stats(spark, sf_dir):
 
 
 def q_latency_runs(spark, sf_dir):
-    return SV.latency_runs(flow.history(spark, sf_dir))
+    return SV.latency_runs(flow.history(spark, sf_dir), r"^(device-[0-9]{4})")
 
 
 def q_lenient_decoders(spark, sf_dir):
@@ -205,6 +287,16 @@ def q_stream_asof(spark, sf_dir):
     return replay_asof(spark, sf_dir)
 
 
+def q_stream_chain_replay(spark, sf_dir):
+    from fieldpulse.streaming.replay import replay_chain_twice
+    return replay_chain_twice(spark, sf_dir).drop("event_ts")
+
+
+def q_stream_latest_state(spark, sf_dir):
+    from fieldpulse.streaming.replay import replay_latest_state
+    return replay_latest_state(spark, sf_dir)
+
+
 def q_stream_summary(spark, sf_dir):
     from fieldpulse.streaming.replay import replay_summary
     return replay_summary(spark, sf_dir)
@@ -249,6 +341,19 @@ QUERIES: dict[str, Query] = {
     "latency_runs": q_latency_runs,
     "lenient_decoders": q_lenient_decoders,
     "device_from_key": q_device_from_key,
+    "device_metrics": q_device_metrics,
+    "device_metrics_lookback": q_device_metrics_lookback,
+    "history_scan": q_history_scan,
+    "history_metrics": q_history_metrics,
+    "device": q_device,
+    "recent_summary_for": q_recent_summary_for,
+    "drought_summary_for": q_drought_summary_for,
+    "match_key_pattern": q_match_key_pattern,
+    "rekey_by_device": q_rekey_by_device,
+    "stamp_seconds": q_stamp_seconds,
+    "latency_by_run": q_latency_by_run,
+    "stream_chain_replay": q_stream_chain_replay,
+    "stream_latest_state": q_stream_latest_state,
     "stream_parse_errors": q_stream_parse_errors,
     "stream_measurement": q_stream_measurement,
     "stream_asof": q_stream_asof,

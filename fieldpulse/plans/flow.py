@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from fieldpulse.operators.asof import asof_enrich
 from fieldpulse.operators.measurement import join_measurement
-from fieldpulse.operators.normalize import error_records, ok_records, parse_readings
+from fieldpulse.operators.normalize import FIELDS, parse_all
+from fieldpulse.schemas import PARSE_ERROR
 from fieldpulse.sources import fixtures as FX
 from fieldpulse.sources.fixtures import memo_plan
 from fieldpulse.sources.topics import route_by_topic
-from fieldpulse.session import checkpoint_dir
+from fieldpulse.session import written
 
 
 def _clocks(clock: str):
@@ -40,54 +41,43 @@ def measurement(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> Dat
 
 
 @memo_plan
-def enriched(spark: SparkSession, sf_dir: str, clock: str = "fixture", cut_lineage: bool = False) -> DataFrame:
-    """J1 then the as-of join; the as-of's per-bucket counts come from the humidity readings,
-    so J1 runs once. ``cut_lineage`` writes the measurements through ``checkpoint()`` to the
-    shared checkpoint folder first (as the reference writes them to a topic between two
-    jobs), which also bounds what a lost executor forces Spark to recompute."""
+def enriched(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
+    """J1 then the as-of join. The measurements are a table between the two (as they are a topic
+    between two jobs): the as-of reads its key and time columns once more for its bucket counts."""
     t = typed_inputs(spark, sf_dir)
     m_clock, e_clock = _clocks(clock)
-    m = join_measurement(t["humidity"], t["temperature"], processing_ms=m_clock)
-    if cut_lineage:
-        checkpoint_dir(spark)
-        m = m.checkpoint(eager=True)
-    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock, humidity=t["humidity"])
+    m = written(join_measurement(t["humidity"], t["temperature"], processing_ms=m_clock), "measurement")
+    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock)
 
 
 @memo_plan
 def enriched_table(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
-    """The enriched rows as downstream jobs read them: written once per session through
-    ``checkpoint()`` to the shared checkpoint folder (the reference publishes them to a topic
-    that its summary, streak and sink jobs consume). Summaries, streaks, metrics and the
-    views scan this instead of re-running the joins – some read it more than once."""
-    checkpoint_dir(spark)
-    return enriched(spark, sf_dir, clock).checkpoint(eager=True)
+    """The enriched rows as downstream jobs read them: a Parquet table written once a session and
+    input folder (the reference publishes them to a topic that its summary, streak and sink jobs
+    consume). An input folder that changes within a session needs a new session. Summaries,
+    streaks, metrics and views scan only the columns they use."""
+    return written(enriched(spark, sf_dir, clock), "enriched")
 
 
 # --- from raw device lines ------------------------------------------------------------------
 
 @memo_plan
-def parsed_from_raw(spark: SparkSession, sf_dir: str, kind: str, clock: str = "fixture") -> DataFrame:
-    """One kind's parse output (typed columns + errorMessage) from the raw feed. With the
-    fixture clock, ingestion time is the raw record's timestamp."""
-    routed = route_by_topic(FX.raw_messages(spark, sf_dir))
+def normalized_table(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
+    """All kinds' lines parsed in one pass over the raw feed and written once, in folders by kind and
+    status; typed readings and dead letters read their folder. With the fixture clock, ingestion time
+    is the raw record's timestamp."""
     stamp = F.unix_millis(F.col("timestamp")) if clock == "fixture" else None
-    return parse_readings(routed.filter(F.col("kind") == kind), kind, ingest_ms=stamp)
+    return written(parse_all(route_by_topic(FX.raw_messages(spark, sf_dir)), ingest_ms=stamp), "normalized", ("kind", "status"))
 
 
-@memo_plan
 def typed_from_raw(spark: SparkSession, sf_dir: str, kind: str, clock: str = "fixture") -> DataFrame:
-    return ok_records(parsed_from_raw(spark, sf_dir, kind, clock), kind, keep_event_ts=True)
+    t = normalized_table(spark, sf_dir, clock)
+    return t.filter((F.col("kind") == kind) & (F.col("status") == "ok")).select(*[n for n, _ in FIELDS[kind]], "ingestedAt", "sourceTopic",
+                                                                               "env", "tenant", "event_ts")
 
 
-@memo_plan
 def errors_from_raw(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
-    parts = [error_records(parsed_from_raw(spark, sf_dir, k, clock))
-             for k in ("humidity", "temperature", "location", "state")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return normalized_table(spark, sf_dir, clock).filter(F.col("status") == "error").select(*[f.name for f in PARSE_ERROR.fields])
 
 
 @memo_plan
@@ -95,8 +85,8 @@ def enriched_from_raw(spark: SparkSession, sf_dir: str, clock: str = "fixture")
     """The whole chain from raw device bytes to enriched rows."""
     t = {k: typed_from_raw(spark, sf_dir, k, clock) for k in ("humidity", "temperature", "location", "state")}
     m_clock, e_clock = _clocks(clock)
-    m = join_measurement(t["humidity"], t["temperature"], processing_ms=m_clock)
-    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock, humidity=t["humidity"])
+    m = written(join_measurement(t["humidity"], t["temperature"], processing_ms=m_clock), "measurement")
+    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock)
 
 
 @memo_plan
@@ -110,22 +100,14 @@ def history(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFra
 # --- batch normalizer job ---------------------------------------------------------------------
 
 def normalize_to_tables(raw: DataFrame, out_root: str, ingest_ms=None, mode: str = "overwrite") -> None:
-    """Batch twin of the streaming normalizer, for backfills: each kind's lines are parsed
-    exactly once and written once, partitioned by ``status`` (``ok`` rows carry the typed
-    columns, ``error`` rows the dead-letter columns). Readers take
-    ``<out_root>/<kind>/status=ok`` or ``status=error``; a filter on ``status`` prunes the
-    other folder. (Splitting with two filters instead would let Spark push each filter
-    below the parse and evaluate the parse twice.)"""
-    routed = route_by_topic(raw)
-    for kind in ("humidity", "temperature", "location", "state"):
-        parsed = parse_readings(routed.filter(F.col("kind") == kind), kind, ingest_ms=ingest_ms)
-        (parsed.withColumn("status", F.when(F.col("_ok"), F.lit("ok")).otherwise(F.lit("error")))
-               .drop("_ok")
-               .write.mode(mode).partitionBy("status").parquet(f"{out_root.rstrip('/')}/{kind}"))
+    """Batch twin of the streaming normalizer, for backfills: one pass over the raw feed, one write,
+    in folders ``kind=<kind>/status=ok|error``."""
+    (parse_all(route_by_topic(raw), ingest_ms=ingest_ms)
+     .write.mode(mode).partitionBy("kind", "status").parquet(out_root.rstrip("/")))
 
 
 def read_normalized(spark: SparkSession, out_root: str, kind: str, status: str = "ok") -> DataFrame:
-    df = spark.read.parquet(f"{out_root.rstrip('/')}/{kind}").filter(F.col("status") == status)
+    df = spark.read.parquet(out_root.rstrip("/")).filter((F.col("kind") == kind) & (F.col("status") == status))
     if status == "ok":
-        return ok_records(df.withColumn("_ok", F.lit(True)), kind, keep_event_ts=True)
-    return error_records(df.withColumn("_ok", F.lit(False)))
+        return df.select(*[n for n, _ in FIELDS[kind]], "ingestedAt", "sourceTopic", "env", "tenant", "event_ts")
+    return df.select(*[f.name for f in PARSE_ERROR.fields])

@@ -148,7 +148,7 @@ def latency_by_run(history: DataFrame, prefix: str) -> DataFrame:
 
 def keys_like(view: DataFrame, pattern: str, key_col: str = "redis_key") -> DataFrame:
     """Rows whose key matches a SQL LIKE pattern, e.g. ``keys.state_key_pattern(env, tenant)``
-    (the reference's key scan ``pvz:<env>:<tenant>:device:*:state``)."""
+    (a key scan ``<prefix>:<env>:<tenant>:device:*:state``)."""
     return view.filter(F.col(key_col).like(pattern))
 
 

@@ -58,8 +58,9 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we create a scratch folder and register
-    it, so the cluster's own setting always wins. Works with and without a SparkContext
+    Only when the setting is absent and the master is local (tests) is a scratch folder made and
+    registered; on a cluster a missing setting is an error, since executors can't see the driver's
+    own folders. Works with and without a SparkContext
     (Spark Connect sessions have none; they read the SQL conf).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -73,6 +74,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
+    if sc is None or not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="fieldpulse-ckpt-", dir=os.environ.get("FIELDPULSE_SCRATCH", "/tmp"))
     try:
         spark.conf.set("spark.checkpoint.dir", path)
@@ -83,6 +86,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def written(df, name: str, partition_by: tuple[str, ...] = ()):
+    """``df`` as a Parquet table in the shared folder: readers prune its columns, row groups and
+    partitions, and a lost executor re-reads files instead of running the plan again."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 _SHIPPED: set = set()
 
 

@@ -21,6 +21,7 @@ Raw device lines reproduce the devices' CSV text; by ``event_id % 20`` some are
 dead-letter path is exercised: 3 drops the last field, 7 puts ``abc`` in field 2, 11 appends a
 padding field, 13 and 17 break the integer field (``' 5'``, ``1.5``; for location: an empty
 longitude, and a latitude with surrounding blanks, which Java accepts), 19 sends a bad time.
+By ``event_id % 60``: 21 and 42 put ``inf`` and ``nan`` in field 2 of humidity, temperature and location, 24 ends the line with a line break, 28 begins it with the byte FF.
 By ``event_id % 50 == 23`` the topic is a device-command topic that routing must ignore.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.parsing import iso_millis
-from fieldpulse.session import checkpoint_dir, ensure_utc
+from fieldpulse.session import ensure_utc, written
 
 # Fixed fixture values.
 LAG_MS = {"humidity": (5, 11), "temperature": (7, 13), "location": (3, 7), "state": (4, 9)}
@@ -50,8 +51,8 @@ _PLAN_CACHE: dict = {}
 
 def memo_plan(fn):
     """Reuse the (lazy) DataFrame a fixture/flow function builds, per session and arguments.
-    No data is cached – every action still reads and computes everything – but the parquet
-    footers are not re-listed and the plan is not re-analysed for each query."""
+    The plan is not re-analysed for each query; where the function writes a table (``flow``), the
+    table is written once a session and arguments, and later changes of its input don't show."""
     def wrapper(spark, *args, **kw):
         key = (fn.__module__, fn.__qualname__, id(spark), args, tuple(sorted(kw.items())))
         hit = _PLAN_CACHE.get(key)
@@ -143,6 +144,11 @@ def _broken_line(kind: str) -> Column:
     edits = {}
     edits.setdefault(2, []).append((r == 7, F.lit("abc")))
     edits.setdefault(1, []).append((r == 19, F.lit("not-a-time")))
+    s = F.col("event_id") % 60
+    if kind != "state":
+        edits.setdefault(2, []).append((s == 21, F.lit("inf")))
+        edits.setdefault(2, []).append((s == 42, F.lit("nan")))
+    edits.setdefault(n - 1, []).append((s == 24, F.concat(f[n - 1], F.lit("\n"))))
     if kind == "location":
         edits.setdefault(3, []).append((r == 13, F.lit("")))
         edits.setdefault(2, []).append((r == 17, F.concat(F.lit(" "), f[2], F.lit(" "))))
@@ -168,16 +174,14 @@ def raw_messages(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     """The raw device feed: one row per message, shaped like the Kafka source
     ``(key binary, value binary, topic string, timestamp timestamp)``.
 
-    With ``materialize`` the feed is written once per session with ``checkpoint()`` (to the
-    shared ``spark.checkpoint.dir``) and read from there, so – like a real topic or file
-    source – it is an opaque input: filters on parsed fields stop at it instead of inlining
-    the line-building expression into every predicate.
+    With ``materialize`` the feed is written once per session as a Parquet table in the shared
+    folder and read from there, so – like a real topic or file source – it is an opaque input:
+    filters on parsed fields stop at it instead of inlining the line-building expression.
     """
     if materialize:
         key = (id(spark), sf_dir)
         if key not in _RAW_CACHE:
-            checkpoint_dir(spark)
-            _RAW_CACHE[key] = raw_messages(spark, sf_dir, materialize=False).checkpoint(eager=True)
+            _RAW_CACHE[key] = written(raw_messages(spark, sf_dir, materialize=False), "raw")
         return _RAW_CACHE[key]
     ev = base_events(spark, sf_dir)
     parts = []
@@ -188,7 +192,8 @@ def raw_messages(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
                        ).otherwise(device_topic(kind))
         parts.append(rows.select(
             F.col("device_id").cast("binary").alias("key"),
-            _broken_line(kind).cast("binary").alias("value"),
+            F.when(F.col("event_id") % 60 == 28, F.concat(F.lit(b"\xff"), _broken_line(kind).cast("binary")))
+            .otherwise(_broken_line(kind).cast("binary")).alias("value"),
             topic.alias("topic"),
             F.timestamp_millis(ingest_ms(kind)).alias("timestamp"),
         ))

@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldpulse.functions.clock import now_ms
-from fieldpulse.schemas import ENRICHED_COLUMNS
+from fieldpulse.schemas import ENRICHED, ENRICHED_COLUMNS
 
+HISTORY_SCHEMA = T.StructType([*ENRICHED.fields, T.StructField("postgres_inserted_at", T.TimestampType()),
+                               T.StructField("event_date", T.DateType())])
 SORT_COLUMNS = ["env", "tenant", "device_id", "measurement_event_ts"]
 
 
@@ -42,7 +45,8 @@ def write_history(enriched: DataFrame, path: str, inserted_at: Column | None = N
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    # a stream's folders add batch_id below the date
+    return spark.read.schema(HISTORY_SCHEMA).parquet(path).select(*HISTORY_SCHEMA.fieldNames())
 
 
 def scan_history(spark: SparkSession, path: str, env: str | None = None, tenant: str | None = None,

@@ -1,142 +1,114 @@
 """Streaming as-of (temporal LEFT) join: measurements x versioned location/state.
 
-Spark has no temporal join for streams, and a stream-stream range join would emit every
-earlier version. This is the one stateful Python operator of the package:
-``groupBy(device).applyInPandasWithState`` with an event-time timeout.
-
-Per device the state holds
-  * measurements not yet emitted, and
-  * dimension versions, pruned to those at/after the watermark plus the newest one before
-    it (an older version can never again be the answer: every measurement still to come
-    is at or after the watermark).
-A measurement is emitted once the watermark has passed its event time – from then on no
-version at or before it can arrive (it would be late) – with the newest version of each
-kind at or before it (ties: the later-ingested one). This is the reference's event-time
-temporal join, held until the watermarks pass, like its stream form.
-
-The per-group Python work is a small sort/search over one device's pending rows; all
-parsing and projection stays in Spark (payloads travel as JSON text and are re-typed with
-``from_json``). State size: one small row per device.
+Spark has no temporal join for streams, and a stream-stream range join would emit every earlier
+version. Here the three feeds are one stream whose micro-batches run the batch as-of join over state
+tables:
+
+* versions: every location and state version seen so far (an append-only log);
+* pending: measurements held back until the watermark passes them.
+
+The watermark is the least, over the feeds, of the newest event time seen less ``delay``; it never
+goes back. A feed that has brought nothing for ``idle_batches`` batches doesn't hold it up, so a quiet
+feed can't make ``pending`` grow. It only decides *when* a measurement is emitted. Nothing is dropped
+for being late: a late version counts for every measurement not yet emitted, and a late measurement is
+emitted at once with the versions known by then.
+
+State lives in tables in the shared folder, one folder a batch: no device's rows have to fit in one
+group or one state row, and a replayed batch starts from the state before it and writes nothing twice
+(``sinks.write_once``).
 """
 
 from __future__ import annotations
 
-import json
-from bisect import bisect_right
-from typing import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
-
-from fieldpulse.constants import KEY_PREFIX, READING_WATERMARK
-from fieldpulse.functions.clock import now_ms
-from fieldpulse.functions.keys import build_key_state
-from fieldpulse.operators.asof import LOCATION_FIELDS, STATE_FIELDS
-from fieldpulse.operators.measurement import MEASUREMENT_COLUMNS, with_event_ts
-from fieldpulse.schemas import ENRICHED_COLUMNS, MEASUREMENT
-from fieldpulse.session import ship_package
-
-OUT_SCHEMA = "device_id string, m string, l string, s string"
-STATE_SCHEMA = "pending string, versions string"
-
-
-def _to_ms(series: pd.Series) -> list[int]:
-    return [int(pd.Timestamp(x).value // 1_000_000) for x in series]
-
-
-def asof_state_fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    pending: list = []   # [ts_ms, payload]
-    versions: list = []  # [kind, ts_ms, ord, payload]
-    if state.exists:
-        st = state.get
-        pending, versions = json.loads(st[0]), json.loads(st[1])
-    for pdf in pdfs:
-        ts = _to_ms(pdf["_ts"])
-        for t, kind, ordv, payload in zip(ts, pdf["_kind"], pdf["_ord"], pdf["_payload"]):
-            if kind == "m":
-                pending.append([t, payload])
-            else:
-                versions.append([kind, t, 0 if pd.isna(ordv) else int(ordv), payload])
-
-    wm = state.getCurrentWatermarkMs()
-    ready = [p for p in pending if p[0] < wm]
-    pending = [p for p in pending if p[0] >= wm]
-    out = []
-    if ready:
-        by_kind = {k: sorted((v for v in versions if v[0] == k), key=lambda v: (v[1], v[2])) for k in ("l", "s")}
-        times = {k: [v[1] for v in vs] for k, vs in by_kind.items()}
-        for t, payload in ready:
-            found = {}
-            for k, vs in by_kind.items():
-                i = bisect_right(times[k], t)  # last version at/before t (latest ingest on ties)
-                found[k] = vs[i - 1][3] if i else None
-            out.append((key[0], payload, found["l"], found["s"]))
-
-    # prune: per kind, versions at/after the watermark + the newest one before it
-    kept = []
-    for k in ("l", "s"):
-        vs = sorted((v for v in versions if v[0] == k), key=lambda v: (v[1], v[2]))
-        older = [v for v in vs if v[1] < wm]
-        kept += older[-1:] + [v for v in vs if v[1] >= wm]
-    state.update((json.dumps(pending), json.dumps(kept)))
-    if pending:
-        # fires once the watermark passes the oldest held row (all held rows are >= wm)
-        state.setTimeoutTimestamp(min(p[0] for p in pending))
-    if out:
-        yield pd.DataFrame(out, columns=["device_id", "m", "l", "s"])
-
-
-def stream_asof_enrich(measurement: DataFrame, location: DataFrame, state: DataFrame,
-                       watermark: str = READING_WATERMARK, enrich_ms=None,
-                       key_prefix: str = KEY_PREFIX, salts: int = 1) -> DataFrame:
-    """Streaming measurement + location/state version streams -> enriched stream (append).
-
-    ``salts`` > 1 spreads each device over that many state groups: a measurement goes to
-    the group hash(row) mod ``salts``, every version to all of them (versions are the small
-    stream), so each group still sees the device's whole version history. Use it when one
-    device can carry a large share of a micro-batch."""
-    ship_package(measurement.sparkSession)  # the state function runs in Python workers
-    m = measurement.select(
-        F.col("device_id"), F.col("measurement_event_ts").alias("_ts"), F.lit("m").alias("_kind"),
-        F.lit(None).cast("long").alias("_ord"), F.to_json(F.struct(*MEASUREMENT_COLUMNS)).alias("_payload"))
-
-    def dim(df, kind, fields):
-        d = with_event_ts(df)
-        return d.select(F.col("deviceId").alias("device_id"), F.col("event_ts").alias("_ts"),
-                        F.lit(kind).alias("_kind"), F.col("ingestedAt").cast("long").alias("_ord"),
-                        F.to_json(F.struct(*fields)).alias("_payload"))
-
-    # each input carries its own watermark; the operator sees the minimum (Spark's default
-    # multiple-watermark policy), as the reference's join waits for both sides
-    parts = [m.withWatermark("_ts", watermark),
-             dim(location, "l", LOCATION_FIELDS).withWatermark("_ts", watermark),
-             dim(state, "s", STATE_FIELDS).withWatermark("_ts", watermark)]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    n = max(int(salts), 1)
-    salt = (F.when(F.col("_kind") == "m", F.array(F.pmod(F.xxhash64("_payload"), F.lit(n)).cast("int")))
-            .otherwise(F.sequence(F.lit(0), F.lit(n - 1))))
-    u = u.select("*", F.explode(salt).alias("_salt"))
-    joined = u.groupBy("device_id", "_salt").applyInPandasWithState(
-        asof_state_fn, OUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
-    loc_schema = "eventTime string, ingestedAt bigint, lat double, lon double"
-    st_schema = "eventTime string, ingestedAt bigint, rssi int, snr double, battery double, online boolean"
-    typed = joined.select(F.from_json("m", MEASUREMENT).alias("m"), F.from_json("l", loc_schema).alias("l"),
-                          F.from_json("s", st_schema).alias("s"))
-    enriched = typed.select(
-        "m.device_id", "m.env", "m.tenant", F.col("l.lat").alias("lat"), F.col("l.lon").alias("lon"),
-        "m.humidity", "m.temperature", "m.humidity_seq", "m.temperature_seq",
-        "m.humidity_event_time", "m.temperature_event_time",
-        F.col("s.eventTime").alias("state_event_time"), F.col("l.eventTime").alias("location_event_time"),
-        "m.humidity_ingested_at", "m.temperature_ingested_at",
-        F.col("s.ingestedAt").alias("state_ingested_at"), F.col("l.ingestedAt").alias("location_ingested_at"),
-        "m.measurement_event_ts", "m.measurement_processing_ts_ms",
-        F.col("s.rssi").alias("rssi"), F.col("s.snr").alias("snr"), F.col("s.battery").alias("battery"),
-        F.col("s.online").alias("online"))
-    stamp = enrich_ms() if callable(enrich_ms) else enrich_ms
-    enriched = enriched.withColumn("enriched_processing_ts_ms", (stamp if stamp is not None else now_ms()).cast("long"))
-    enriched = enriched.withColumn("redis_key", build_key_state(F.col("env"), F.col("tenant"),
-                                                                F.col("device_id"), key_prefix))
-    return enriched.select(*ENRICHED_COLUMNS)
 
+from fieldpulse.constants import KEY_PREFIX
+from fieldpulse.operators.asof import LOCATION_FIELDS, STATE_FIELDS, asof_enrich
+from fieldpulse.operators.measurement import MEASUREMENT_COLUMNS, tenancy, with_event_ts
+from fieldpulse.schemas import MEASUREMENT
+from fieldpulse.streaming import sinks
+
+DIMS = {"l": LOCATION_FIELDS, "s": STATE_FIELDS}
+IDLE_BATCHES = 6
+MARKS = "feed string, newest_ms long, last_batch long, watermark_ms long"
+
+
+def tagged_feeds(measurement: DataFrame, location: DataFrame, state: DataFrame) -> DataFrame:
+    """The three feeds as one stream: ``feed`` and a struct for each."""
+    def version(df: DataFrame, fields: list[str]) -> DataFrame:
+        return tenancy(with_event_ts(df)).select("env", "tenant", "deviceId", "event_ts", *fields)
+
+    feeds = {"m": measurement.select(*MEASUREMENT_COLUMNS), "l": version(location, LOCATION_FIELDS), "s": version(state, STATE_FIELDS)}
+    kinds = {n: df.select(F.struct(*df.columns).alias("x")).schema["x"].dataType for n, df in feeds.items()}
+    parts = [df.select(F.lit(n).alias("feed"), *[(F.struct(*df.columns) if k == n else F.lit(None).cast(kinds[k])).alias(k) for k in feeds])
+             for n, df in feeds.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _event_ms() -> Column:
+    return F.unix_millis(F.coalesce("m.measurement_event_ts", "l.event_ts", "s.event_ts"))
+
+
+class AsofBatches:
+    """``foreachBatch`` body: ``sink(enriched, batch_id)`` gets what each batch makes ready."""
+
+    def __init__(self, state_root: str, sink, delay_ms: int = 200, idle_batches: int = IDLE_BATCHES,
+                 enrich_ms=None, key_prefix: str = KEY_PREFIX):
+        self.root, self.sink, self.delay, self.idle = state_root.rstrip("/"), sink, delay_ms, idle_batches
+        self.enrich_ms, self.prefix = enrich_ms, key_prefix
+
+    def _marks(self, spark: SparkSession, batch_id: int) -> dict:
+        path = f"{self.root}/marks/batch_id={batch_id - 1}"
+        return {r["feed"]: r for r in spark.read.schema(MARKS).parquet(path).collect()} if batch_id and sinks.exists(spark, path) else {}
+
+    def _advance(self, batch: DataFrame, batch_id: int) -> list[tuple]:
+        """Newest time and last batch of each feed, and the watermark (three rows)."""
+        old = self._marks(batch.sparkSession, batch_id)
+        new = {r["feed"]: r["t"] for r in batch.groupBy("feed").agg(F.max(_event_ms()).alias("t")).collect()}
+        feeds = {}
+        for f in ("m", *DIMS):
+            was = old.get(f)
+            newest = max([t for t in (new.get(f), was and was["newest_ms"]) if t is not None], default=None)
+            feeds[f] = (newest, batch_id if f in new else was["last_batch"] if was else -1)
+        busy = [t for t, last in feeds.values() if batch_id - last < self.idle]
+        mark = None if not busy or None in busy else min(busy) - self.delay
+        before = max((r["watermark_ms"] for r in old.values() if r["watermark_ms"] is not None), default=None)
+        mark = max([x for x in (mark, before) if x is not None], default=None)
+        return [(f, t, last, mark) for f, (t, last) in feeds.items()]
+
+    def versions(self, spark: SparkSession, dim: str, upto: int, schema) -> DataFrame:
+        path = f"{self.root}/versions_{dim}"
+        folders = [f"{path}/{n}" for n in sinks.children(spark, path, "batch_id=") if int(n.split("=")[1]) <= upto]
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+    def _emit(self, spark: SparkSession, ready: DataFrame, batch_id: int, schemas: dict) -> None:
+        dims = {d: self.versions(spark, d, batch_id, schemas[d]) for d in DIMS}
+        self.sink(asof_enrich(ready, dims["l"], dims["s"], enrich_ms=self.enrich_ms, key_prefix=self.prefix), batch_id)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            marks = self._advance(batch, batch_id)
+            schemas = {d: batch.select(f"{d}.*").schema for d in DIMS}
+            for d in DIMS:
+                sinks.write_batch(batch.filter(F.col("feed") == d).select(f"{d}.*"), f"{self.root}/versions_{d}", batch_id)
+            rows = batch.filter("feed = 'm'").select("m.*")
+            held = f"{self.root}/pending/batch_id={batch_id - 1}"
+            if batch_id and sinks.exists(spark, held):
+                rows = rows.unionByName(spark.read.schema(MEASUREMENT).parquet(held))
+            mark = marks[0][3]
+            passed = F.lit(False) if mark is None else F.unix_millis("measurement_event_ts") < F.lit(mark)
+            self._emit(spark, rows.filter(passed), batch_id, schemas)
+            sinks.write_batch(rows.filter(~passed), f"{self.root}/pending", batch_id)
+            sinks.write_batch(spark.createDataFrame(marks, MARKS).coalesce(1), f"{self.root}/marks", batch_id)
+        finally:
+            batch.unpersist()
+
+    def finish(self, spark: SparkSession, location_schema, state_schema) -> None:
+        """End of all feeds: what is still held goes out (as a batch of its own)."""
+        last = max((int(n.split("=")[1]) for n in sinks.children(spark, f"{self.root}/pending", "batch_id=")), default=None)
+        if last is not None:
+            rows = spark.read.schema(MEASUREMENT).parquet(f"{self.root}/pending/batch_id={last}")
+            self._emit(spark, rows, last + 1, {"l": location_schema, "s": state_schema})

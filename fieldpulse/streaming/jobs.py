@@ -1,8 +1,8 @@
 """The reference's streaming jobs as Structured Streaming queries.
 
-  normalizer : raw feed -> typed readings per kind + dead letter      (foreachBatch, 2 sinks)
-  measurement: humidity x temperature, copies dropped, watermarked join (append, file sink)
-  enrichment : measurement x location/state versions, as-of            (append, fan-out sink)
+  normalizer : raw feed -> typed readings per kind + dead letter      (foreachBatch, one write)
+  measurement: humidity x temperature                                  (append, file sink)
+  enrichment : measurement x location/state versions, as-of            (foreachBatch, fan-out sink)
   summary    : hop 10 s / 10 min per tenant, 3 chained window aggs     (append, upsert sink)
   streak     : per-device streak, continuously updated                 (update, upsert sink)
 
@@ -16,15 +16,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldpulse.constants import KINDS, READING_WATERMARK, SUMMARY_WATERMARK
+from fieldpulse.constants import READING_WATERMARK, SUMMARY_WATERMARK
 from fieldpulse.operators import summary as SM
 from fieldpulse.operators.measurement import join_measurement, with_event_ts
-from fieldpulse.operators.normalize import error_records, ok_records, parse_readings
+from fieldpulse.operators.normalize import parse_all
 from fieldpulse.operators.streak import low_humidity_streak
-from fieldpulse.schemas import ENRICHED, MEASUREMENT, RAW, TYPED
+from fieldpulse.schemas import ENRICHED, MEASUREMENT, PARSE_ERROR, RAW, TYPED
 from fieldpulse.session import checkpoint_dir
 from fieldpulse.sources.topics import route_by_topic
 from fieldpulse.streaming import sinks
+from fieldpulse.streaming.asof_state import AsofBatches, tagged_feeds
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}  # the reference checkpoints every 10 s
 
@@ -47,40 +48,32 @@ def read_stream(spark: SparkSession, path: str, schema, max_files: int | None =
 
 
 def typed_stream(spark: SparkSession, root: str, kind: str, **kw) -> DataFrame:
-    """Typed readings written by the normalizer (``<root>/<kind>/batch_id=*``)."""
+    """Typed readings written by the normalizer."""
     from pyspark.sql import types as T
-    schema = T.StructType(TYPED[kind].fields + [T.StructField("env", T.StringType()),
-                                                T.StructField("tenant", T.StringType()),
-                                                T.StructField("batch_id", T.LongType())])
-    return read_stream(spark, f"{root.rstrip('/')}/{kind}", schema, **kw).drop("batch_id")
+    schema = T.StructType(TYPED[kind].fields + [T.StructField("env", T.StringType()), T.StructField("tenant", T.StringType())])
+    return read_stream(spark, f"{root.rstrip('/')}/batch_id=*/kind={kind}/status=ok", schema, **kw)
 
 
 # ---- normalizer ----------------------------------------------------------------------------
 
 def normalizer_batch(out_root: str, ingest_ms: Column | None = None):
-    """foreachBatch body: parse the batch once (persisted), write every kind's typed rows and
-    all parse errors. Dead-letter rows keep their source topic; the constant record key of
-    the reference's error topics is ``<kind>-parse-error``."""
+    """foreachBatch body: every line of the batch is parsed once and written once, in folders
+    ``batch_id=<n>/kind=<kind>/status=ok|error``. Dead-letter rows keep their source topic; the
+    constant record key of the reference's error topics is ``<kind>-parse-error``."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        routed = route_by_topic(batch).filter(F.col("kind").isNotNull()).persist()
-        try:
-            errors = None
-            for kind in KINDS:
-                parsed = parse_readings(routed.filter(F.col("kind") == kind), kind,
-                                        ingest_ms=ingest_ms).persist()
-                sinks.write_batch(ok_records(parsed, kind), f"{out_root}/{kind}", batch_id)
-                err = error_records(parsed).withColumn("key", F.lit(f"{kind}-parse-error"))
-                errors = err if errors is None else errors.unionByName(err)
-                parsed.unpersist()
-            sinks.write_batch(errors, f"{out_root}/parse_errors", batch_id)
-        finally:
-            routed.unpersist()
+        sinks.write_batch(parse_all(route_by_topic(batch), ingest_ms=ingest_ms), out_root, batch_id, ("kind", "status"))
     return run
 
 
+def read_parse_errors(spark: SparkSession, out_root: str) -> DataFrame:
+    """The dead-letter table, with its record key."""
+    rows = spark.read.option("basePath", out_root).parquet(f"{out_root.rstrip('/')}/batch_id=*/kind=*/status=error")
+    return rows.select(*[f.name for f in PARSE_ERROR.fields], F.concat("kind", F.lit("-parse-error")).alias("key"))
+
+
 def start_normalizer(spark: SparkSession, raw_path: str, out_root: str, trigger: dict | None = None,
-                     ckpt_base: str | None = None, ingest_ms: Column | None = None) -> StreamingQuery:
-    raw = read_stream(spark, raw_path, RAW)
+                     ckpt_base: str | None = None, ingest_ms: Column | None = None, max_files: int | None = None) -> StreamingQuery:
+    raw = read_stream(spark, raw_path, RAW, max_files)
     w = raw.writeStream.foreachBatch(normalizer_batch(out_root, ingest_ms)) \
         .option("checkpointLocation", _ckpt(spark, "normalizer", ckpt_base))
     return _trigger(w, trigger).start()
@@ -90,16 +83,22 @@ def start_normalizer(spark: SparkSession, raw_path: str, out_root: str, trigger:
 
 def measurement_stream(humidity: DataFrame, temperature: DataFrame, watermark: str = READING_WATERMARK,
                        max_time_skew: str | None = None, processing_ms=None,
-                       copies: str = "collapse") -> DataFrame:
-    """Watermarked stream-stream inner join. Without ``max_time_skew`` the join state is
-    unbounded, as in the reference; with it Spark drops state behind the watermark.
-
-    Redelivered copies of a reading are dropped first with ``dropDuplicatesWithinWatermark``
-    (the first delivery is kept; dedup state is bounded by the watermark), the streaming
-    counterpart of the batch join's copy collapsing."""
-    h = with_event_ts(humidity).withWatermark("event_ts", watermark)
-    t = with_event_ts(temperature).withWatermark("event_ts", watermark)
+                       copies: str = "keep") -> DataFrame:
+    """Stream-stream inner join on (env, tenant, device, seq).
+
+    By default a regular join, as in the reference: no row is late, copies multiply, and the state
+    grows with the readings. Production should give ``max_time_skew``: partners are then at most that
+    far apart, the watermark (widened by the skew) lets Spark drop state, and readings later than
+    that find no partner. ``copies="collapse"`` drops redelivered copies with
+    ``dropDuplicatesWithinWatermark``; it needs the skew, whose watermark bounds its state too.
+    """
+    h, t = with_event_ts(humidity), with_event_ts(temperature)
+    if max_time_skew:
+        bound = f"{max_time_skew} {watermark}"  # an interval: the skew and the delay together
+        h, t = h.withWatermark("event_ts", bound), t.withWatermark("event_ts", bound)
     if copies == "collapse":
+        if not max_time_skew:
+            raise ValueError("collapsing copies on a stream needs max_time_skew, which bounds its state")
         base = ["deviceId", "seq", "eventTime"] + (["env", "tenant"] if "env" in humidity.columns else [])
         h = h.dropDuplicatesWithinWatermark(base + ["humidity"])
         t = t.dropDuplicatesWithinWatermark(base + ["temperature"])
@@ -115,18 +114,16 @@ def start_measurement(spark: SparkSession, typed_root: str, out_path: str, trigg
     return _trigger(w, trigger).start()
 
 
-# ---- enrichment (J2/J3) ------------------------------------------------------------------------
+# ---- enrichment (J2/J3)
 
 def start_enrichment(spark: SparkSession, measurement_path: str, typed_root: str, enriched_path: str,
                      history_path: str, state_path: str, trigger: dict | None = None,
-                     ckpt_base: str | None = None, **kw) -> StreamingQuery:
-    from fieldpulse.streaming.asof_state import stream_asof_enrich
-    m = read_stream(spark, measurement_path, MEASUREMENT)
-    e = stream_asof_enrich(m, typed_stream(spark, typed_root, "location"),
-                           typed_stream(spark, typed_root, "state"), **kw)
-    w = (e.writeStream.foreachBatch(sinks.fanout_enriched(enriched_path, history_path, state_path))
-         .option("checkpointLocation", _ckpt(spark, "enrichment", ckpt_base)))
-    return _trigger(w, trigger).start()
+                     ckpt_base: str | None = None, max_files: int | None = None, **kw) -> StreamingQuery:
+    feeds = tagged_feeds(read_stream(spark, measurement_path, MEASUREMENT, max_files), typed_stream(spark, typed_root, "location"),
+                         typed_stream(spark, typed_root, "state"))
+    ckpt = _ckpt(spark, "enrichment", ckpt_base)
+    body = AsofBatches(f"{ckpt}-tables", sinks.fanout_enriched(enriched_path, history_path, state_path), **kw)
+    return _trigger(feeds.writeStream.foreachBatch(body).option("checkpointLocation", ckpt), trigger).start()
 
 
 # ---- summary and streak ------------------------------------------------------------------------
@@ -175,16 +172,16 @@ def enriched_stream(spark: SparkSession, enriched_path: str, **kw) -> DataFrame:
 
 
 def start_summary(spark: SparkSession, enriched_path: str, out_path: str, trigger: dict | None = None,
-                  ckpt_base: str | None = None) -> StreamingQuery:
-    e = enriched_stream(spark, enriched_path)
+                  ckpt_base: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    e = enriched_stream(spark, enriched_path, max_files=max_files)
     w = (summary_stream(e).writeStream.outputMode("append").foreachBatch(sinks.upsert_sink(out_path))
          .option("checkpointLocation", _ckpt(spark, "summary", ckpt_base)))
     return _trigger(w, trigger).start()
 
 
 def start_streak(spark: SparkSession, enriched_path: str, out_path: str, trigger: dict | None = None,
-                 ckpt_base: str | None = None) -> StreamingQuery:
-    e = enriched_stream(spark, enriched_path)
+                 ckpt_base: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    e = enriched_stream(spark, enriched_path, max_files=max_files)
     w = (streak_stream(e).writeStream.outputMode("update").foreachBatch(sinks.upsert_sink(out_path))
          .option("checkpointLocation", _ckpt(spark, "streak", ckpt_base)))
     return _trigger(w, trigger).start()

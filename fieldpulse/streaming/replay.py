@@ -1,104 +1,158 @@
 """Replay fixture tables through the streaming jobs (``trigger(availableNow=True)``).
 
-Used by the registered ``stream_*`` queries and by tests: inputs are written as time-ordered
-file slices (so the watermark advances between micro-batches) under the shared checkpoint
-folder, the streaming job runs to the end of its input, and the sink's content is returned
-as a batch DataFrame.
+Used by the registered ``stream_*`` queries and by tests. Inputs are cut by event time into slices,
+one file each, which arrive out of order (``ARRIVAL``), one file a micro-batch, so state, late rows
+and updates are all at work; the stream is stopped half way and resumed from its checkpoint. The
+sink's content is returned as a batch DataFrame. The number of micro-batches is checked.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldpulse.operators.measurement import tenancy, with_event_ts
 from fieldpulse.plans import flow
 from fieldpulse.schemas import ENRICHED, MEASUREMENT
 from fieldpulse.session import checkpoint_dir
 from fieldpulse.sources import fixtures as FX
+from fieldpulse.sources.history import read_history
 from fieldpulse.streaming import jobs
-from fieldpulse.streaming.asof_state import stream_asof_enrich
-from fieldpulse.streaming.sinks import read_upsert_view, upsert_sink
+from fieldpulse.streaming.asof_state import AsofBatches, tagged_feeds
+from fieldpulse.streaming.sinks import fanout_enriched, read_upsert_view, upsert_sink, write_batch
 
 ONCE = {"availableNow": True}
+ARRIVAL = (0, 2, 1, 4, 3, 5)
+IN_ORDER = tuple(range(len(ARRIVAL)))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/replay/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_slices(df: DataFrame, ts_col: str, path: str, slices: int = 4) -> None:
-    """Append ``df`` as ``slices`` time-ordered file groups (each slice one write job)."""
-    bounds = df.agg(F.min(ts_col), F.max(ts_col)).first()
-    if bounds[0] is None:
-        df.write.mode("append").parquet(path)
-        return
-    lo, hi = bounds
-    step = (hi - lo) / slices
-    for i in range(slices):
-        a = lo + step * i
-        cond = F.col(ts_col) >= a
-        if i < slices - 1:
-            cond = cond & (F.col(ts_col) < lo + step * (i + 1))
-        df.filter(cond).write.mode("append").parquet(path)
+def slice_bounds(df: DataFrame, ts_col: str, slices: int = len(ARRIVAL)) -> list:
+    """Event times that cut ``df`` into equal stretches of time."""
+    lo, hi = df.agg(F.min(ts_col), F.max(ts_col)).first()
+    return [] if lo is None else [lo + (hi - lo) / slices * i for i in range(1, slices)]
+
+
+def write_slices(df: DataFrame, ts_col: str, path: str, bounds: list, slices: list[int], done: int = 0) -> None:
+    """Append the given slices in that order, one file each. The file source takes the oldest file
+    first, so slices are written a little apart."""
+    number = F.lit(0)
+    for b in bounds:
+        number = number + F.when(F.col(ts_col) >= F.lit(b), 1).otherwise(0)
+    rows = df.withColumn("_slice", number)
+    for k in slices:
+        rows.filter(F.col("_slice") == k).drop("_slice").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+
+
+def run_in_two(start, feed, at_least: int) -> None:
+    """Feed half of the slices, run the query to their end and stop; feed the rest and resume from the
+    checkpoint. ``feed(slices)`` writes slices, ``start()`` gives a running query."""
+    half = len(ARRIVAL) // 2
+    last = -1
+    for part in (slice(None, half), slice(half, None)):
+        feed(part)
+        q = start()
+        q.awaitTermination()
+        if q.lastProgress:
+            last = max(last, q.lastProgress["batchId"])
+    if last + 1 < at_least:
+        raise RuntimeError(f"{last + 1} micro-batches ran, {at_least} were expected")
+
+
+def _feed(tables: dict[str, tuple[DataFrame, str]], root: str, order=ARRIVAL):
+    bounds = {n: slice_bounds(df, ts) for n, (df, ts) in tables.items()}
+    common = max(bounds.values(), key=len)  # one set of bounds for all feeds
+
+    def feed(part: slice) -> None:
+        for n, (df, ts) in tables.items():
+            write_slices(df, ts, f"{root}/in/{n}", common, list(order[part]))
+    return feed
 
 
 def replay_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "measurement")
-    for k in ("humidity", "temperature"):
-        t = FX.typed_readings(spark, sf_dir, k).withColumn("_ts", F.to_timestamp("eventTime"))
-        write_slices(t, "_ts", f"{root}/in/{k}")
-    m = jobs.measurement_stream(
-        jobs.read_stream(spark, f"{root}/in/humidity", _with_ts_schema(spark, sf_dir, "humidity")).drop("_ts"),
-        jobs.read_stream(spark, f"{root}/in/temperature", _with_ts_schema(spark, sf_dir, "temperature")).drop("_ts"),
-        processing_ms=FX.fixture_measurement_clock)
-    (m.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
-     .option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start().awaitTermination())
-    return spark.read.schema(MEASUREMENT).parquet(f"{root}/out")
+    tables = {k: (with_event_ts(FX.typed_readings(spark, sf_dir, k)), "event_ts") for k in ("humidity", "temperature")}
+    # the two feeds disagree on the order, so partners arrive batches apart
+    feeds = [_feed({"humidity": tables["humidity"]}, root), _feed({"temperature": tables["temperature"]}, root, ARRIVAL[::-1])]
 
+    def start():
+        h, t = (jobs.read_stream(spark, f"{root}/in/{k}", tables[k][0].schema, 1) for k in tables)
+        m = jobs.measurement_stream(h, t, processing_ms=FX.fixture_measurement_clock)
+        return (m.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
+                .option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start())
 
-def _with_ts_schema(spark: SparkSession, sf_dir: str, kind: str):
-    return FX.typed_readings(spark, sf_dir, kind).withColumn("_ts", F.to_timestamp("eventTime")).schema
+    run_in_two(start, lambda part: [f(part) for f in feeds], 4)
+    return spark.read.schema(MEASUREMENT).parquet(f"{root}/out")
 
 
 def replay_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched rows as the streaming as-of emits them."""
     root = _scratch(spark, "asof")
-    m = flow.measurement(spark, sf_dir).checkpoint(eager=True)  # sliced 4 times below
-    write_slices(m, "measurement_event_ts", f"{root}/in/measurement")
-    for k in ("location", "state"):
-        t = FX.typed_readings(spark, sf_dir, k).withColumn("_ts", F.to_timestamp("eventTime"))
-        write_slices(t, "_ts", f"{root}/in/{k}")
-    e = stream_asof_enrich(
-        jobs.read_stream(spark, f"{root}/in/measurement", MEASUREMENT),
-        jobs.read_stream(spark, f"{root}/in/location", _with_ts_schema(spark, sf_dir, "location")).drop("_ts"),
-        jobs.read_stream(spark, f"{root}/in/state", _with_ts_schema(spark, sf_dir, "state")).drop("_ts"),
-        enrich_ms=FX.fixture_enrich_clock)
-    (e.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
-     .option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start().awaitTermination())
-    return spark.read.schema(ENRICHED).parquet(f"{root}/out")
-
-
-def _enriched_files(spark: SparkSession, sf_dir: str, root: str) -> str:
-    write_slices(flow.enriched_table(spark, sf_dir), "measurement_event_ts", f"{root}/in/enriched")
-    return f"{root}/in/enriched"
+    _asof(spark, sf_dir, root, lambda df, n: write_batch(df, f"{root}/out", n))
+    return spark.read.option("basePath", f"{root}/out").schema(ENRICHED).parquet(f"{root}/out/batch_id=*").select(*ENRICHED.fieldNames())
+
+
+def replay_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The device-state view that the fan-out sink keeps of the same stream."""
+    root = _scratch(spark, "fanout")
+    _asof(spark, sf_dir, root, fanout_enriched(f"{root}/enriched", f"{root}/history", f"{root}/state", compact_every=3, ttl_seconds=None))
+    seen = read_history(spark, f"{root}/history").count()
+    kept = spark.read.parquet(f"{root}/enriched").count()
+    if seen != kept:
+        raise RuntimeError(f"history has {seen} rows, the enriched table {kept}")
+    return read_upsert_view(spark, f"{root}/state", "redis_key").drop("batch_id", "written_at")
+
+
+def _asof(spark: SparkSession, sf_dir: str, root: str, sink) -> None:
+    """The watermark's delay covers the disorder of the slices (two of them), so every version arrives
+    before the measurements it belongs to are emitted; what is held at the end goes out last."""
+    m = flow.written(flow.measurement(spark, sf_dir), "measurement")
+    dims = {k: tenancy(with_event_ts(FX.typed_readings(spark, sf_dir, k))) for k in ("location", "state")}
+    tables = {"measurement": (m, "measurement_event_ts"), **{k: (d, "event_ts") for k, d in dims.items()}}
+    feed = _feed(tables, root)
+    lo, hi = m.agg(F.min("measurement_event_ts"), F.max("measurement_event_ts")).first()
+    delay = int((hi - lo).total_seconds() * 1000 * 2.1 / len(ARRIVAL)) if lo is not None else 0
+    body = AsofBatches(f"{root}/asof", sink, delay_ms=delay, enrich_ms=FX.fixture_enrich_clock)
+
+    def start():
+        s = {n: jobs.read_stream(spark, f"{root}/in/{n}", df.schema, 1) for n, (df, _) in tables.items()}
+        feeds = tagged_feeds(s["measurement"], s["location"], s["state"])
+        return feeds.writeStream.foreachBatch(body).option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start()
+
+    run_in_two(start, feed, 4)
+    one = tagged_feeds(m, dims["location"], dims["state"])
+    body.finish(spark, one.select("l.*").schema, one.select("s.*").schema)
+
+
+def _replay_enriched(spark: SparkSession, sf_dir: str, root: str, order, query) -> None:
+    e = flow.enriched_table(spark, sf_dir)
+    feed = _feed({"enriched": (e, "measurement_event_ts")}, root, order)
+    run_in_two(lambda: query(jobs.read_stream(spark, f"{root}/in/enriched", ENRICHED, 1)).option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start(),
+               feed, 4)
 
 
 def replay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows the stream has emitted (closed by the watermark), as the changelog holds them."""
+    """Windows the stream has emitted (closed by the watermark), as the changelog holds them. Here
+    late rows are dropped, as in the reference, so the slices come in order."""
     root = _scratch(spark, "summary")
-    src = jobs.read_stream(spark, _enriched_files(spark, sf_dir, root), ENRICHED)
-    (jobs.summary_stream(src).writeStream.outputMode("append").foreachBatch(upsert_sink(f"{root}/out"))
-     .option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start().awaitTermination())
+    _replay_enriched(spark, sf_dir, root, IN_ORDER, lambda e: jobs.summary_stream(e).writeStream.outputMode("append")
+                     .foreachBatch(upsert_sink(f"{root}/out")))
     return spark.read.parquet(f"{root}/out").drop("batch_id", "written_at")
 
 
 def replay_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streak view (latest row per key of the update-mode changelog) after the stream."""
+    """The streak view (latest row per key of the update-mode changelog, compacted on the way) after
+    the stream."""
     root = _scratch(spark, "streak")
-    src = jobs.read_stream(spark, _enriched_files(spark, sf_dir, root), ENRICHED)
-    (jobs.streak_stream(src).writeStream.outputMode("update").foreachBatch(upsert_sink(f"{root}/out"))
-     .option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start().awaitTermination())
+    _replay_enriched(spark, sf_dir, root, ARRIVAL, lambda e: jobs.streak_stream(e).writeStream.outputMode("update")
+                     .foreachBatch(upsert_sink(f"{root}/out", compact_every=2)))
     return read_upsert_view(spark, f"{root}/out", "redis_key").drop("batch_id", "written_at")
 
 
@@ -106,8 +160,29 @@ def replay_normalizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dead-letter table the streaming normalizer writes for the raw feed (ingestion
     time = the raw record's timestamp, as in the batch twin)."""
     root = _scratch(spark, "normalizer")
-    raw = FX.raw_messages(spark, sf_dir).withColumn("_t", F.col("timestamp"))
-    write_slices(raw, "_t", f"{root}/in/raw")
-    jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/out", ONCE, f"{root}/ckpt",
-                          ingest_ms=F.unix_millis(F.col("timestamp"))).awaitTermination()
-    return spark.read.parquet(f"{root}/out/parse_errors").drop("batch_id", "key")
+    feed = _feed({"raw": (FX.raw_messages(spark, sf_dir), "timestamp")}, root)
+    run_in_two(lambda: jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/out", ONCE, f"{root}/ckpt",
+                                             ingest_ms=F.unix_millis(F.col("timestamp")), max_files=1), feed, 4)
+    return jobs.read_parse_errors(spark, f"{root}/out").drop("key")
+
+
+def replay_chain_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs in a row, with the first job's last batch replayed in between (as after a crash before
+    its checkpoint was written): humidity readings as the second job sees them."""
+    root = _scratch(spark, "chain")
+    raw = FX.raw_messages(spark, sf_dir)
+    feed = _feed({"raw": (raw, "timestamp")}, root)
+    stamp = F.unix_millis(F.col("timestamp"))
+    feed(slice(None))
+    jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/typed", ONCE, f"{root}/ckpt", stamp, max_files=1).awaitTermination()
+
+    def downstream():
+        s = jobs.typed_stream(spark, f"{root}/typed", "humidity")
+        (s.writeStream.format("parquet").option("path", f"{root}/seen").option("checkpointLocation", f"{root}/ckpt2")
+         .trigger(**ONCE).start().awaitTermination())
+    downstream()
+    body = jobs.normalizer_batch(f"{root}/typed", stamp)
+    for n in range(len(ARRIVAL)):
+        body(raw, n)  # whatever a replay brings, a batch that is there stays
+    downstream()
+    return spark.read.parquet(f"{root}/seen")

@@ -1,67 +1,162 @@
 """Streaming sinks.
 
-* Every ``foreachBatch`` write goes to ``<table>/batch_id=<id>`` with ``mode("overwrite")``:
-  a micro-batch that is replayed after a failure rewrites the same folder instead of
-  appending duplicates, so the sinks are idempotent (exactly-once with the checkpoint).
-* Upsert tables (the reference's keyed upsert topics and hashes) are kept as a *changelog*
-  of rows + ``batch_id``; :func:`read_upsert_view` gives the latest row per key. No row is
-  ever updated in place, which is what lets file sinks take keyed results.
+* A ``foreachBatch`` table is a set of ``batch_id=<id>`` folders. A batch is written beside the table
+  under a name that readers skip and renamed into place, so it appears whole or not at all; a batch
+  that is already there is left alone. A micro-batch replayed after a failure therefore changes no
+  file, and the job downstream, which remembers files, reads nothing twice. (The rename is atomic on
+  HDFS and local file systems; an object store needs a committer of its own.)
+* Upsert tables (keyed upsert topics and hashes) are a changelog of rows with ``batch_id`` and
+  ``written_at``, compacted now and then to a snapshot of the latest row a key;
+  :func:`read_upsert_view` reads the newest snapshot and the batches after it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldpulse.constants import KEY_TTL_SECONDS
 from fieldpulse.operators.latest import latest_by, view_ttl
-from fieldpulse.sources.history import history_rows
+from fieldpulse.sources.history import SORT_COLUMNS, history_rows
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def children(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    fs, p = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in names if n.startswith(prefix))
+
+
+def _move(spark: SparkSession, src: str, dst: str) -> None:
+    fs, s = _fs(spark, src)
+    d = spark._jvm.org.apache.hadoop.fs.Path(dst)
+    fs.mkdirs(d.getParent())
+    if not fs.exists(d) and not fs.rename(s, d) and not fs.exists(d):
+        raise OSError(f"could not move {src} to {dst}")
 
 
-def write_batch(df: DataFrame, table_path: str, batch_id: int, fmt: str = "parquet") -> None:
-    df.write.mode("overwrite").format(fmt).save(f"{table_path.rstrip('/')}/batch_id={int(batch_id)}")
+def write_once(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Write ``df`` as the folder ``path`` unless it is there already."""
+    spark = df.sparkSession
+    if exists(spark, path):
+        return
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    tmp = f"{parent}/_writing/{name}-{uuid.uuid4().hex[:12]}"
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(tmp)
+    _move(spark, tmp, path)
 
 
+def write_batch(df: DataFrame, table_path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
+    write_once(df, f"{table_path.rstrip('/')}/batch_id={int(batch_id)}", partition_by)
+
+
+def write_history_batch(enriched: DataFrame, path: str, batch_id: int, inserted_at: Column | None = None) -> None:
+    """A micro-batch into the history table: ``event_date=<date>/batch_id=<id>``, sorted as the batch
+    writer sorts, so a date range is one folder a date whatever the number of batches."""
+    spark = enriched.sparkSession
+    path = path.rstrip("/")
+    tmp = f"{path}/_writing/{int(batch_id)}-{uuid.uuid4().hex[:12]}"
+    rows = history_rows(enriched, inserted_at if inserted_at is not None else F.current_timestamp())
+    rows.repartition("event_date").sortWithinPartitions(*SORT_COLUMNS).write.partitionBy("event_date").parquet(tmp)
+    for day in children(spark, tmp, "event_date="):
+        _move(spark, f"{tmp}/{day}", f"{path}/{day}/batch_id={int(batch_id)}")
+
+
+def compact_history_dates(spark: SparkSession, path: str, into: str, dates: list[str]) -> None:
+    """Rewrite whole dates (those no stream writes to any more) as few sorted files under ``into``."""
+    from fieldpulse.sources.history import read_history
+    rows = read_history(spark, path).filter(F.col("event_date").isin(*[F.lit(d).cast("date") for d in dates]))
+    (rows.repartition("event_date").sortWithinPartitions(*SORT_COLUMNS)
+         .write.mode("append").partitionBy("event_date").parquet(into))
+
+
+# ---- upsert tables -------------------------------------------------------------------------------
+
 def append_changelog(df: DataFrame, table_path: str, batch_id: int, written_at: Column | None = None) -> None:
     """Upsert-sink write: the batch's rows + ``written_at`` (the batch's write time)."""
     stamp = written_at if written_at is not None else F.current_timestamp()
     write_batch(df.withColumn("written_at", stamp), table_path, batch_id)
 
 
-def read_upsert_view(spark: SparkSession, table_path: str, key: str, order: list[str] | None = None,
-                     as_of: Column | None = None, ttl_seconds: int | None = None) -> DataFrame:
-    """Latest row per ``key`` of a changelog (later batch wins, then ``order`` columns),
-    optionally restricted to keys still alive at ``as_of`` (time to live)."""
-    log = spark.read.parquet(table_path)
-    latest = latest_by(log, [key], ["batch_id", *(order or [])])
-    if as_of is not None and ttl_seconds is not None:
-        latest = view_ttl(latest, as_of, ttl_seconds)
-    return latest
+def _snapshots(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}.snapshots"
+
 
+def read_changelog(spark: SparkSession, table_path: str, alive_after: Column | None = None) -> DataFrame:
+    """The newest snapshot and every batch after it, with ``batch_id`` and ``written_at``.
+    ``alive_after`` drops rows written before that: a key's newest row decides whether the key is
+    alive, so older rows can go before any aggregate."""
+    upto = max((int(n.split("=")[1]) for n in children(spark, _snapshots(table_path), "upto=")), default=-1)
+    batches = [n for n in children(spark, table_path, "batch_id=") if int(n.split("=")[1]) > upto]
+    parts = [spark.read.parquet(f"{_snapshots(table_path)}/upto={upto}")] if upto >= 0 else []
+    if batches or not parts:
+        log = spark.read.option("basePath", table_path).parquet(*[f"{table_path.rstrip('/')}/{n}" for n in batches] or [table_path])
+        parts.append(log.withColumn("batch_id", F.col("batch_id").cast("long")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out if alive_after is None else out.filter(F.col("written_at") > alive_after)
+
+
+def read_upsert_view(spark: SparkSession, table_path: str, key: str, as_of: Column | None = None,
+                     ttl_seconds: int | None = None) -> DataFrame:
+    """Latest row per ``key`` of a changelog (the later batch wins), of the keys alive at ``as_of`` if
+    a time to live is given."""
+    ttl = as_of is not None and ttl_seconds is not None
+    since = as_of - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS") if ttl else None
+    latest = latest_by(read_changelog(spark, table_path, since), [key], ["batch_id"])
+    return view_ttl(latest, as_of, ttl_seconds) if ttl else latest
+
+
+def compact_changelog(spark: SparkSession, table_path: str, key: str, upto: int, as_of: Column | None = None,
+                      ttl_seconds: int | None = None) -> None:
+    """Snapshot of the latest row a key over batches up to ``upto``; with a time to live, expired keys
+    are left out. Readers then skip the batches it covers, which may be deleted."""
+    since = as_of - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS") if as_of is not None and ttl_seconds else None
+    log = read_changelog(spark, table_path, since).filter(F.col("batch_id") <= upto)
+    write_once(latest_by(log, [key], ["batch_id"]), f"{_snapshots(table_path)}/upto={int(upto)}")
+
+
+def upsert_sink(table_path: str, key: str = "redis_key", compact_every: int = 0, ttl_seconds: int | None = None):
+    """``foreachBatch`` body; every ``compact_every`` batches (0: never) the log is compacted."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        append_changelog(batch, table_path, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_changelog(batch.sparkSession, table_path, key, batch_id, F.current_timestamp() if ttl_seconds else None, ttl_seconds)
+    return run
+
+
+def fanout_enriched(enriched_path: str, history_path: str, state_path: str, compact_every: int = 100,
+                    ttl_seconds: int | None = KEY_TTL_SECONDS):
+    """One enriched batch to three sinks (enriched topic, history table, device-state hashes): kept
+    once, written three times."""
+    state = upsert_sink(state_path, "redis_key", compact_every, ttl_seconds)
 
-def fanout_enriched(enriched_path: str, history_path: str, state_path: str):
-    """One ``foreachBatch`` writing the same enriched batch to three sinks (the reference's
-    enriched topic, history table and device-state hashes): persisted once, written 3x."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             write_batch(batch, enriched_path, batch_id)
-            rows = history_rows(batch, F.current_timestamp()).withColumn("batch_id", F.lit(int(batch_id)))
-            # history: partition folders by event date; the batch id keeps a replay idempotent
-            (rows.write.mode("overwrite").partitionBy("event_date")
-                 .parquet(f"{history_path.rstrip('/')}/batch_id={int(batch_id)}"))
-            latest = latest_by(batch, ["redis_key"], ["measurement_event_ts", "humidity_seq"])
-            append_changelog(latest, state_path, batch_id)
+            write_history_batch(batch, history_path, batch_id)
+            state(latest_by(batch, ["redis_key"], ["measurement_event_ts", "humidity_seq"]), batch_id)
         finally:
             batch.unpersist()
     return run
 
 
-def upsert_sink(table_path: str):
-    def run(batch: DataFrame, batch_id: int) -> None:
-        append_changelog(batch, table_path, batch_id)
-    return run
-
-
 def kafka_append(df: DataFrame, bootstrap: str, topic: str, key_col: str, checkpoint: str):
     """Append rows to a Kafka topic as JSON values keyed by ``key_col`` (the reference's typed
     topics). Needs the spark-sql-kafka package; untested here (no connector jar)."""

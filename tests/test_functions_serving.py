@@ -157,6 +157,9 @@ def test_keys_like_and_latency_runs(spark, views):
     assert SV.keys_like(streaks, streak_key_pattern(one.env, one.tenant)).count() > 0
     assert SV.keys_like(state, streak_key_pattern(one.env, one.tenant)).count() == 0
     h = flow.history(spark, SF_SMALL)
+    v = spark.createDataFrame([("pvz:prod:t_1:device:a:state",), ("pvz:prod:tx1:device:a:state",), ("pvz:prod:t%:device:a:state",)], "redis_key string")
+    assert [r[0] for r in SV.keys_like(v, state_key_pattern("prod", "t_1")).collect()] == ["pvz:prod:t_1:device:a:state"]
+    assert [r[0] for r in SV.keys_like(v, state_key_pattern("prod", "t%")).collect()] == ["pvz:prod:t%:device:a:state"]
     runs = SV.latency_runs(h).collect()
     assert len(runs) == 1 and runs[0].run == "device-" and runs[0].samples == h.count()
     one_run = SV.latency_by_run(h, "device-").collect()[0]
@@ -188,7 +191,7 @@ def test_readme_usage_chain(spark):
     loc, _ = normalize.normalize(routed, "location")
     sta, _ = normalize.normalize(routed, "state")
     m = measurement.join_measurement(hum, tmp)
-    e = asof.asof_enrich(m, loc, sta, humidity=hum)
+    e = asof.asof_enrich(m, loc, sta)
     assert e.count() == m.count() > 0 and hum_err.count() > 0
     assert summary.recent_summary(e).count() > 0 and streak.low_humidity_streak(e).count() > 0
     r = SV.recent_summary_from_rows(spark, e, "prod", "tenant-1").collect()

@@ -38,9 +38,16 @@ def test_join_collapses_exact_copies(spark):
     row = ("d", ts("10:00:00.000"), 40.0, 1, 1, "h")
     h = spark.createDataFrame([row, row[:4] + (5, "h"), row], H)          # 3 deliveries of one reading
     t = spark.createDataFrame([("d", ts("10:00:00.100"), 5.0, 1, 2, "t")] * 2, TT)
-    m = join_measurement(h, t, processing_ms=F.lit(0))
+    m = join_measurement(h, t, processing_ms=F.lit(0), copies="collapse")
     assert [(r.humidity, r.temperature, r.humidity_ingested_at) for r in m.collect()] == [(40.0, 5.0, 1)]
-    assert join_measurement(h, t, processing_ms=F.lit(0), copies="keep").count() == 6  # like the reference
+    assert join_measurement(h, t, processing_ms=F.lit(0)).count() == 6  # by default copies multiply
+
+
+def test_asof_keeps_tenants_apart(spark):
+    ev = spark.createDataFrame([("a", "d", _t(10, 0), 1), ("b", "d", _t(10, 0), 2), (None, "d", _t(10, 0), 3)], "tenant string, device_id string, ts timestamp, id long")
+    vv = spark.createDataFrame([("b", "d", _t(9, 0), 1, "b9"), (None, "d", _t(8, 0), 1, "n8")], "tenant string, device_id string, event_ts timestamp, ingestedAt long, v string")
+    out = asof_latest(ev, {"x": (vv, ["v"])}, keys=["tenant", "device_id"], ts="ts")
+    assert {r.id: r.x and r.x.v for r in out.collect()} == {1: None, 2: "b9", 3: "n8"}
 
 
 def _asof_inputs(spark, events, versions):
@@ -65,7 +72,7 @@ def test_asof_edges(spark, bucket_seconds):
                 ("a", _t(10, 15), 2, "v1015-early"), ("a", _t(13, 0), 4, "v13"),
                 ("b", _t(8, 0), 1, "b8")]
     ev, vv = _asof_inputs(spark, events, versions)
-    out = asof_latest(ev, {"x": (vv, ["v"])}, key="device_id", ts="ts", bucket_seconds=bucket_seconds)
+    out = asof_latest(ev, {"x": (vv, ["v"])}, keys=["device_id"], ts="ts", bucket_seconds=bucket_seconds)
     got = {r.id: (r.x.v if r.x is not None else None) for r in out.collect()}
     assert got == {1: None, 2: "v10", 3: "v1015-late", 4: "v1015-late", 5: "b8"}
 
@@ -88,7 +95,7 @@ def test_asof_matches_brute_force_on_random_data(spark):
     want = {e[2]: brute(e) for e in events}
     for bucket, max_rows in ((30, 10**9), (600, 10**9), (7200, 10**9), (7200, 3), (86400, 1)):
         # max_rows small: every bucket is "hot" and salted (versions copied to each salt)
-        out = asof_latest(ev, {"x": (vv, ["v"])}, key="device_id", ts="ts", bucket_seconds=bucket,
+        out = asof_latest(ev, {"x": (vv, ["v"])}, keys=["device_id"], ts="ts", bucket_seconds=bucket,
                           max_rows_per_bucket=max_rows)
         got = {r.id: (r.x.v if r.x is not None else None) for r in out.collect()}
         assert got == want

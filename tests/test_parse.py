@@ -114,3 +114,15 @@ def test_read_raw_files_batch_and_stream(spark, tmp_path):
     q.awaitTermination()
     assert spark.table("raw_files").filter("kind IS NOT NULL").count() == \
         route_by_topic(batch).filter("kind IS NOT NULL").count()
+
+
+def test_java_words_line_breaks_and_bad_bytes(spark):
+    lines = [b"d,2024-01-05T10:00:00.000Z,%s,%s" % v for v in ((b"inf", b"1"), (b"NaN", b"2"), (b"nan", b"3"), (b"-Infinity", b"4"), (b"infinity", b"5"),
+                                                               (b"7.5\n", b"6"), (b"1", b"7\n"), (b"+NaN ", b"8"), (b"5f", b"9"))]
+    lines += [b"\xffd,2024-01-05T10:00:00.000Z,1,10", b"d,2024-01-05T10:00:00.000Z,\xff,11", b"d,2024-01-05T10:00:00.000Z,1,\xff", b"d,\xff,1,12"]
+    df = parse_readings(spark.createDataFrame([(b, "t") for b in lines], "value binary, topic string"), "humidity", ingest_ms=F.lit(0))
+    ok = {r.seq: (r.deviceId, str(r.humidity)) for r in ok_records(df, "humidity").collect()}
+    assert ok == {2: ("d", "nan"), 4: ("d", "-inf"), 6: ("d", "7.5"), 8: ("d", "nan"), 9: ("d", "5.0"), 10: ("\ufffdd", "1.0")}
+    errors = sorted(r.errorMessage for r in error_records(df).collect())
+    assert errors == sorted(['For input string: "inf"', 'For input string: "nan"', 'For input string: "infinity"', 'For input string: "7\n"',
+                             'For input string: "\ufffd"', 'For input string: "\ufffd"', 'Invalid event time: "\ufffd"'])
