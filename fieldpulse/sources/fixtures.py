@@ -63,6 +63,12 @@ def memo_plan(fn):
     return wrapper
 
 
+def forget() -> None:
+    """Build plans and tables anew from here on."""
+    _PLAN_CACHE.clear()
+    _RAW_CACHE.clear()
+
+
 @memo_plan
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events + the columns every fixture shares."""

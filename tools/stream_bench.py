@@ -22,12 +22,12 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from fieldpulse import build_session
-    from fieldpulse.plans import flow
-    from fieldpulse.schemas import ENRICHED, MEASUREMENT
+    from fieldpulse.operators.metrics import latency_stats
+    from fieldpulse.schemas import MEASUREMENT
     from fieldpulse.sources import fixtures as FX
+    from fieldpulse.sources.history import read_history
     from fieldpulse.streaming import jobs
-    from fieldpulse.streaming.replay import write_slices
-    from fieldpulse.streaming.sinks import upsert_sink
+    from fieldpulse.streaming.replay import _feed
 
     spark = build_session("local[8]", shuffle_partitions=16)
     root = tempfile.mkdtemp(prefix="fieldpulse-stream-bench-")
@@ -40,32 +40,33 @@ def main() -> None:
         dt = time.perf_counter() - t0
         out[name] = {"rows": rows, "sec": round(dt, 2), "rows_per_sec": round(rows / dt, 1)}
 
-    # normalizer over the raw feed
-    raw = FX.raw_messages(spark, sf).withColumn("_t", F.col("timestamp"))
-    write_slices(raw, "_t", f"{root}/raw", slices=8)
-    n_raw = spark.read.parquet(f"{root}/raw").count()
-    timed("normalizer", lambda: jobs.start_normalizer(spark, f"{root}/raw", f"{root}/typed", once, f"{root}/ck"),
-          n_raw)
-    # measurement join
-    n_ht = sum(spark.read.parquet(f"{root}/typed/{k}").count() for k in ("humidity", "temperature"))
-    timed("measurement", lambda: jobs.start_measurement(spark, f"{root}/typed", f"{root}/m", once, f"{root}/ck"),
-          n_ht)
-    # as-of enrichment (fan-out sink)
+    # normalizer over the raw feed, in six slices out of order
+    raw = FX.raw_messages(spark, sf)
+    feed = _feed({"raw": (raw, "timestamp")}, root)
+    feed(slice(None))
+    n_raw = raw.count()
+    timed("normalizer", lambda: jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/typed", once, f"{root}/ck", max_files=1), n_raw)
+    typed = lambda k: spark.read.parquet(f"{root}/typed/batch_id=*/kind={k}/status=ok").count()
+    timed("measurement", lambda: jobs.start_measurement(spark, f"{root}/typed", f"{root}/m", once, f"{root}/ck"), typed("humidity") + typed("temperature"))
     n_m = spark.read.schema(MEASUREMENT).parquet(f"{root}/m").count()
-    n_dims = sum(spark.read.parquet(f"{root}/typed/{k}").count() for k in ("location", "state"))
-    timed("enrichment_asof", lambda: jobs.start_enrichment(
-        spark, f"{root}/m", f"{root}/typed", f"{root}/e", f"{root}/h", f"{root}/s", once, f"{root}/ck"),
-        n_m + n_dims)
-    # summary and streak over the batch-enriched rows
-    write_slices(flow.enriched(spark, sf), "measurement_event_ts", f"{root}/eb", slices=8)
-    n_e = spark.read.parquet(f"{root}/eb").count()
-    src = lambda: jobs.read_stream(spark, f"{root}/eb", ENRICHED)
-    timed("summary", lambda: jobs.summary_stream(src()).writeStream.outputMode("append")
-          .foreachBatch(upsert_sink(f"{root}/sum")).option("checkpointLocation", f"{root}/ck/sum")
-          .trigger(**once).start(), n_e)
-    timed("streak", lambda: jobs.streak_stream(src()).writeStream.outputMode("update")
-          .foreachBatch(upsert_sink(f"{root}/st")).option("checkpointLocation", f"{root}/ck/st")
-          .trigger(**once).start(), n_e)
+    timed("enrichment_asof", lambda: jobs.start_enrichment(spark, f"{root}/m", f"{root}/typed", f"{root}/e", f"{root}/h", f"{root}/s", once, f"{root}/ck",
+                                                           max_files=1), n_m + typed("location") + typed("state"))
+    n_e = spark.read.parquet(f"{root}/e").count()
+    timed("summary", lambda: jobs.start_summary(spark, f"{root}/e", f"{root}/sum", once, f"{root}/ck"), n_e)
+    timed("streak", lambda: jobs.start_streak(spark, f"{root}/e", f"{root}/st", once, f"{root}/ck"), n_e)
+
+    # create -> normalized / measurement / enriched / stored: lines whose event time is the time they
+    # are written, handed through the chain at once
+    live = f"{root}/live"
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    text = F.regexp_replace(F.col("value").cast("string"), r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:.]+Z", now)
+    raw.withColumn("value", text.cast("binary")).limit(20_000).coalesce(1).write.parquet(f"{live}/raw")
+    ck = f"{live}/ck"
+    jobs.start_normalizer(spark, f"{live}/raw", f"{live}/typed", once, ck).awaitTermination()
+    jobs.start_measurement(spark, f"{live}/typed", f"{live}/m", once, ck).awaitTermination()
+    jobs.start_enrichment(spark, f"{live}/m", f"{live}/typed", f"{live}/e", f"{live}/h", f"{live}/s", once, ck, delay_ms=-60_000).awaitTermination()
+    stats = latency_stats(read_history(spark, f"{live}/h")).first()
+    out["create_to_stored_ms"] = {k: v for k, v in stats.asDict().items()}
     print(json.dumps({"metric": "stream_rows_per_sec", "sf": sf, "jobs": out}))
     spark.stop()
 
