@@ -3,7 +3,7 @@
   normalizer : raw feed -> typed readings per kind + dead letter      (foreachBatch, one write)
   measurement: humidity x temperature                                  (append, file sink)
   enrichment : measurement x location/state versions, as-of            (foreachBatch, fan-out sink)
-  summary    : hop 10 s / 10 min per tenant, 3 chained window aggs     (append, upsert sink)
+  summary    : hop 10 s / 10 min per tenant, windows as they close     (foreachBatch, upsert sink)
   streak     : per-device streak, continuously updated                 (update, upsert sink)
 
 Each builder returns the streaming DataFrame (testable on its own); ``start_*`` wires the
@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldpulse.constants import READING_WATERMARK, SUMMARY_WATERMARK
-from fieldpulse.operators import summary as SM
+from fieldpulse.constants import READING_WATERMARK
 from fieldpulse.operators.measurement import join_measurement, with_event_ts
 from fieldpulse.operators.normalize import parse_all
 from fieldpulse.operators.streak import low_humidity_streak
@@ -26,6 +25,7 @@ from fieldpulse.session import checkpoint_dir
 from fieldpulse.sources.topics import route_by_topic
 from fieldpulse.streaming import sinks
 from fieldpulse.streaming.asof_state import AsofBatches, tagged_feeds
+from fieldpulse.streaming.summary_state import SummaryBatches
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}  # the reference checkpoints every 10 s
 
@@ -128,38 +128,6 @@ def start_enrichment(spark: SparkSession, measurement_path: str, typed_root: str
 
 # ---- summary and streak ------------------------------------------------------------------------
 
-def summary_stream(enriched: DataFrame, watermark: str = SUMMARY_WATERMARK,
-                   window_seconds: int = 600, slide_seconds: int = 10) -> DataFrame:
-    """Append-mode hop summary as three chained event-time aggregations (exact distinct
-    counts on a stream):
-
-    1. per (device, pane): 10-second tumbling panes – readings of one device collapse here;
-    2. per (device, window): each pane goes to the hop windows containing it
-       (``window(window_time(pane), ...)`` keeps the event-time lineage);
-    3. per window: device counts and the measures.
-
-    A window is emitted once, when the watermark passes its end. At one reading per device
-    and second, stage 2 sees 10x fewer rows than an expansion of the raw readings."""
-    e = enriched.withWatermark("measurement_event_ts", watermark)
-    panes = SM.device_partials(e.withColumn("pane", F.window("measurement_event_ts", f"{slide_seconds} seconds")),
-                               ["env", "tenant", "device_id", "pane"], True)
-    hop = F.window(F.window_time("pane"), f"{window_seconds} seconds", f"{slide_seconds} seconds")
-    per_device = SM.device_partials(panes.withColumn("window", hop), ["env", "tenant", "window", "device_id"], False)
-    totals = per_device.groupBy("env", "tenant", "window").agg(
-        F.count("*").alias("totalDevices"),
-        F.count_if(F.col("on") == 1).alias("onlineDevices"),
-        F.count_if(F.col("off") == 1).alias("offlineDevices"),
-        (F.sum("t_sum") / F.sum("t_cnt")).alias("avgTemp"),
-        (F.sum("h_sum") / F.sum("h_cnt")).alias("avgHumidity"),
-        F.min("ts_min").alias("minEventTs"), F.max("ts_max").alias("maxEventTs"),
-        F.min("mp_min").alias("minMeasurementProcessingTsMs"),
-        F.max("mp_max").alias("maxMeasurementProcessingTsMs"),
-        F.min("ep_min").alias("minEnrichedProcessingTsMs"),
-        F.max("ep_max").alias("maxEnrichedProcessingTsMs"))
-    return SM.finish_summary(totals.withColumn("window_start", F.col("window.start"))
-                             .withColumn("window_end", F.col("window.end")), window_seconds)
-
-
 def streak_stream(enriched: DataFrame, **kw) -> DataFrame:
     """Unwindowed per-device aggregate; run in update mode (state: one row per device)."""
     return low_humidity_streak(enriched, **kw)
@@ -174,9 +142,9 @@ def enriched_stream(spark: SparkSession, enriched_path: str, **kw) -> DataFrame:
 def start_summary(spark: SparkSession, enriched_path: str, out_path: str, trigger: dict | None = None,
                   ckpt_base: str | None = None, max_files: int | None = None) -> StreamingQuery:
     e = enriched_stream(spark, enriched_path, max_files=max_files)
-    w = (summary_stream(e).writeStream.outputMode("append").foreachBatch(sinks.upsert_sink(out_path))
-         .option("checkpointLocation", _ckpt(spark, "summary", ckpt_base)))
-    return _trigger(w, trigger).start()
+    ckpt = _ckpt(spark, "summary", ckpt_base)
+    body = SummaryBatches(f"{ckpt}-tables", sinks.upsert_sink(out_path))
+    return _trigger(e.writeStream.foreachBatch(body).option("checkpointLocation", ckpt), trigger).start()
 
 
 def start_streak(spark: SparkSession, enriched_path: str, out_path: str, trigger: dict | None = None,

@@ -22,6 +22,7 @@ from fieldpulse.sources import fixtures as FX
 from fieldpulse.sources.history import read_history
 from fieldpulse.streaming import jobs
 from fieldpulse.streaming.asof_state import AsofBatches, tagged_feeds
+from fieldpulse.streaming.summary_state import SummaryBatches
 from fieldpulse.streaming.sinks import fanout_enriched, read_upsert_view, upsert_sink, write_batch
 
 ONCE = {"availableNow": True}
@@ -140,10 +141,10 @@ def _replay_enriched(spark: SparkSession, sf_dir: str, root: str, order, query)
 
 def replay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows the stream has emitted (closed by the watermark), as the changelog holds them. Here
-    late rows are dropped, as in the reference, so the slices come in order."""
+    readings count only for windows still open, as in the reference, so the slices come in order."""
     root = _scratch(spark, "summary")
-    _replay_enriched(spark, sf_dir, root, IN_ORDER, lambda e: jobs.summary_stream(e).writeStream.outputMode("append")
-                     .foreachBatch(upsert_sink(f"{root}/out")))
+    body = SummaryBatches(f"{root}/state", upsert_sink(f"{root}/out"))
+    _replay_enriched(spark, sf_dir, root, IN_ORDER, lambda e: e.writeStream.foreachBatch(body))
     return spark.read.parquet(f"{root}/out").drop("batch_id", "written_at")
 
 

@@ -165,6 +165,32 @@ def test_stream_asof_loses_nothing(spark, scratch):
     assert spark.read.parquet(f"{root}/out/batch_id=*").count() == 9
 
 
+def test_summary_stream_late_rows_count_for_open_windows(spark, scratch):
+    """A reading behind the watermark counts for its windows that are still open, and not for those
+    already emitted; every window is emitted once."""
+    from fieldpulse.schemas import ENRICHED
+    from fieldpulse.streaming.summary_state import SummaryBatches
+    from fieldpulse.streaming.sinks import upsert_sink
+    root = f"{scratch}/summary-late"
+    body = SummaryBatches(f"{root}/state", upsert_sink(f"{root}/out"))
+    base = dict.fromkeys(ENRICHED.fieldNames())
+
+    def send(n, *readings):
+        data = [tuple({**base, "device_id": d, "env": "prod", "tenant": "t1", "humidity": 1.0, "temperature": 1.0, "online": True, "humidity_seq": 1,
+                       "measurement_event_ts": dt.datetime(2024, 1, 5, 10, 0) + dt.timedelta(seconds=t)}.values()) for d, t in readings]
+        for _ in range(2):  # each batch is replayed once
+            body(spark.createDataFrame(data, ENRICHED), n)
+
+    send(0, ("a", 0), ("a", 300))            # watermark 295
+    send(1, ("b", 100), ("a", 320))          # b is late: windows up to 290 are out
+    send(2, ("a", 2000))
+    got = {(r.window_end - dt.datetime(2024, 1, 5, 10, 0)).total_seconds(): r.totalDevices for r in spark.read.parquet(f"{root}/out").collect()}
+    n = spark.read.parquet(f"{root}/out").count()
+    # ends from 10 s on hold a's reading at 0; from 300 s on (still open when b came), b's at 100 too
+    assert n == len(got) and all(got[e] == 1 for e in range(10, 300, 10)) and all(got[e] == 2 for e in range(300, 610, 10))
+    assert got[700] == 2 and got[710] == 1 and max(got) == 920
+
+
 def test_stream_join_keeps_late_rows_and_copies(spark, scratch):
     """Partners far behind the newest reading still meet; copies multiply unless collapsed."""
     root = f"{scratch}/j1-late"
