@@ -13,9 +13,11 @@ Counts are (context, byte) grams: all nodes follow from them. Nothing is sampled
 grows with the corpus is broadcast or collected:
 
 * texts are written in blocks; each block lists its distinct grams and words with training counts;
-* grams are added up over blocks, dealt by the last two context bytes and weighted there from depth
-  ``DEPTH`` up to two; depths one and zero are finished on the driver from sums that number 65,536 at most;
-* each block gets the probabilities of its own grams and words back and is scored from them.
+* a gram's or word's counts are added up over the blocks, together with the list of those blocks;
+* grams are dealt by the last two context bytes and weighted there from depth ``DEPTH`` up to two;
+  depths one and zero are finished on the driver from sums that number 65,536 at most;
+* each block gets the probabilities of its own grams and the counts of its own words back, packed,
+  and is scored from them.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,7 @@ from fieldpulse.llm._common import map_batches, slices, staged, utf8
 
 DEPTH = 5
 CHUNK_BYTES = 2 << 20
-BLOCK_ROWS_LOG2 = 15
+BLOCK_BYTES, BLOCK_ROWS_LOG2 = 64 << 20, 16
 _U = np.uint64
 _HALF = np.log(0.5)
 
@@ -211,27 +214,27 @@ class Table:
         return self.values[at]
 
 
-_BLOCK_ROW = "block long, word binary, code long, n long"
+def word_code(word: bytes) -> int:
+    """A word's 64-bit hash with the sign bit set, so that it can't be a gram."""
+    return (xxhash.xxh3_64_intdigest(word) & ((1 << 63) - 1)) - (1 << 63)
 
 
 def _list_batches(depth: int):
+    """(block, code, n): the distinct grams and words of a block's rows with their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, words, codes, counts = None, Counter(), [], []
 
         def emit():
-            out = []
+            parts = []
             if codes:
                 c, n = _add_up(codes, counts)
+                parts.append((c.view(np.int64), n))
+            if words:
+                parts.append((np.fromiter(map(word_code, words), np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words))))
+            for c, n in parts:
                 for k in range(0, len(c), 1 << 16):
                     m = len(c[k:k + (1 << 16)])
-                    out.append(pa.RecordBatch.from_arrays([pa.array(np.full(m, block)), pa.nulls(m, pa.binary()), pa.array(c[k:k + m].view(np.int64)),
-                                                           pa.array(n[k:k + m])], names=["block", "word", "code", "n"]))
-            keys = list(words)
-            for k in range(0, len(keys), 1 << 16):
-                part = keys[k:k + (1 << 16)]
-                out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part, pa.binary()), pa.nulls(len(part), pa.int64()),
-                                                       pa.array([words[w] for w in part], pa.int64())], names=["block", "word", "code", "n"]))
-            return out
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block, np.int64)), pa.array(c[k:k + m]), pa.array(n[k:k + m])], names=["block", "code", "n"])
 
         for b in batches:
             ids = b.column("block").to_numpy()
@@ -252,7 +255,7 @@ def _list_batches(depth: int):
                         c, n = _distinct(np.sort(grams(mine[i:j], depth)[0]))
                         codes.append(c)
                         counts.append(n * (0 if out else 1))
-                if sum(map(len, codes)) > 8 * CHUNK_BYTES:
+                if sum(map(len, codes)) > 4 * CHUNK_BYTES:
                     c, n = _add_up(codes, counts)
                     codes, counts = [c], [n]
         yield from emit()
@@ -275,38 +278,54 @@ def _sum_batches(depth: int):
     return run
 
 
+def _by_place(x: np.ndarray) -> bytes:
+    """An array's first bytes, then all second bytes, and so on: sorted numbers then compress well."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _from_places(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
+def _packed(block: np.ndarray, code: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+    """Rows (block, code, value) as one row a block: far fewer bytes for the shuffle to the blocks."""
+    order = np.argsort(block, kind="stable")
+    block, code, value = block[order], code[order], value[order]
+    at = [*_runs(block).tolist(), len(block)] if len(block) else [0]
+    spans = list(zip(at[:-1], at[1:]))
+    return pa.RecordBatch.from_arrays([pa.array([int(block[i]) for i, _ in spans], pa.int64()), pa.array([_by_place(code[i:j]) for i, j in spans], pa.binary()),
+                                       pa.array([_by_place(value[i:j]) for i, j in spans], pa.binary())], names=["block", "a", "b"])
+
+
+def _spread(batch: pa.RecordBatch, values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A batch's (code, blocks) rows as one entry a block."""
+    lists = batch.column("blocks")
+    n = np.diff(lists.offsets.to_numpy())
+    return lists.flatten().to_numpy(), np.repeat(batch.column("code").to_numpy(), n), np.repeat(values, n)
+
+
 def _probability_batches(depth: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, tree = _tree_of(batches, depth)
+        held = [b for b in batches if b.num_rows]
+        codes, tree = _tree_of(iter(held), depth)
         if tree:
-            p = log10_probabilities(codes, tree, shared.value, depth)
-            for k in range(0, len(codes), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(codes[k:k + (1 << 16)].view(np.int64)), pa.array(p[k:k + (1 << 16)])], names=["code", "p"])
+            p = Table(codes, log10_probabilities(codes, tree, shared.value, depth).astype(np.float32))
+            for k in range(0, len(held), 16):
+                parts = [_spread(b, p[b.column("code").to_numpy().view(_U)]) for b in held[k:k + 16]]
+                yield _packed(*(np.concatenate([x[i] for x in parts]) for i in range(3)))
     return run
 
 
-def _pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, code, p) into one row a block: far fewer bytes for the shuffle to the blocks."""
-    for b in batches:
-        block, code, p = (b.column(c).to_numpy() for c in ("block", "code", "p"))
-        order = np.argsort(block, kind="stable")
-        block, code, p = block[order], code[order], p[order].astype(np.float64)
-        at = [*_runs(block).tolist(), len(block)] if len(block) else [0]
-        out = [(int(block[i]), code[i:j].tobytes(), p[i:j].tobytes()) for i, j in zip(at[:-1], at[1:])]
-        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()),
-                                          pa.array([o[2] for o in out], pa.binary())], names=["block", "a", "b"])
-
-
-def _pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words hold no newline, so a block's words travel as lines."""
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list = []
     for b in batches:
-        by: dict = {}
-        for block, word, c in zip(*(b.column(x).to_pylist() for x in ("block", "word", "c"))):
-            by.setdefault(block, ([], []))
-            by[block][0].append(word)
-            by[block][1].append(c)
-        yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.int64()), pa.array([b"\n".join(v[0]) for v in by.values()], pa.binary()),
-                                          pa.array([np.array(v[1], np.int64).tobytes() for v in by.values()], pa.binary())], names=["block", "a", "b"])
+        held.append(_spread(b, b.column("n").to_numpy()))
+        if sum(len(h[0]) for h in held) > 1 << 19:
+            yield _packed(*(np.concatenate([x[i] for x in held]) for i in range(3)))
+            held = []
+    if held:
+        yield _packed(*(np.concatenate([x[i] for x in held]) for i in range(3)))
 
 
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
@@ -317,7 +336,7 @@ def _score_batches(depth: int, n_all: int, n_words: int, n_ends: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = np.log10(n_all + n_words + 1)
         end = np.log10(n_ends + 1) - whole
-        block, parts, counts, table = None, [], {}, None
+        block, parts, tables = None, ([], []), None
         for b in batches:
             kinds, ids = b.column("kind").to_pylist(), b.column("block").to_pylist()
             docs: list[int] = []
@@ -328,14 +347,14 @@ def _score_batches(depth: int, n_all: int, n_words: int, n_ends: int):
                 for i, j in slices([len(t) for t in texts], CHUNK_BYTES):
                     if any(texts[i:j]):
                         c, sizes = grams(texts[i:j], depth)
-                        p = np.concatenate((table[c], [0.0]))
+                        p = np.concatenate((tables[0][c].astype(float), [0.0]))
                         at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                         scores[i:j] = np.where(sizes > 0, np.add.reduceat(p, at), 0.0)
-                rows = [[counts.get(w, 0) for w in t.split()] for t in texts]
-                base = [float(np.log10(np.array(r) + 1).sum() - len(r) * whole + end) if r else float(end) for r in rows]
+                rows = [tables[1][np.fromiter(map(word_code, t.split()), np.int64).view(_U)] for t in texts]
+                base = [float(np.log10(r + 1.0).sum() - len(r) * whole + end) for r in rows]
                 return pa.RecordBatch.from_arrays(
                     [pa.array([b.column("doc_id")[i].as_py() for i in docs], pa.int64()), pa.array([b.column("held_out")[i].as_py() for i in docs], pa.bool_()),
-                     pa.array([len(r) + 1 for r in rows], pa.int64()), pa.array([sum(x > 0 for x in r) + (n_ends > 0) for r in rows], pa.int64()),
+                     pa.array([len(r) + 1 for r in rows], pa.int64()), pa.array([int((r > 0).sum()) + (n_ends > 0) for r in rows], pa.int64()),
                      pa.array(base, pa.float64()), pa.array(scores), pa.array([len(t) for t in texts], pa.int64())],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
 
@@ -344,23 +363,21 @@ def _score_batches(depth: int, n_all: int, n_words: int, n_ends: int):
                     if docs:
                         yield flush()
                         docs = []
-                    block, parts, counts, table = at, [], {}, None
-                if k == 0:
-                    parts.append((np.frombuffer(b.column("a")[i].as_py(), np.int64).view(_U), np.frombuffer(b.column("b")[i].as_py(), np.float64)))
-                elif k == 1:
-                    counts.update(zip(b.column("a")[i].as_py().split(b"\n"), np.frombuffer(b.column("b")[i].as_py(), np.int64).tolist()))
+                    block, parts, tables = at, ([], []), None
+                if k < 2:
+                    parts[k].append((_from_places(b.column("a")[i].as_py(), _U), _from_places(b.column("b")[i].as_py(), (np.float32, np.int64)[k])))
                 else:
-                    if table is None:
-                        c = np.concatenate([x[0] for x in parts] or [np.zeros(0, _U)])
-                        p = np.concatenate([x[1] for x in parts] or [np.zeros(0)])
-                        table, parts = Table(c, p), []
+                    if tables is None:
+                        tables = [Table(*(np.concatenate([x[j] for x in part]) if part else np.zeros(0, kind) for j, kind in enumerate((_U, value))))
+                                  for part, value in zip(parts, (np.float32, np.int64))]
+                        parts = ([], [])
                     docs.append(i)
             if docs:
                 yield flush()
     return run
 
 
-def score_corpus(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, int]:
+def score_corpus(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """Scores of every row (columns of ``_SCORE``) and the number of training tokens.
 
     Training rows are those whose crc32 of the doc_id as text is not 2 modulo 7 (null doc_id: training).
@@ -371,28 +388,24 @@ def score_corpus(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, int]:
     spark = docs.sparkSession
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc % 7 == 2).alias("held_out"), utf8("text").alias("_text"))
-    src = staged(src.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_ROWS_LOG2)), "lm-texts")
-    listed = staged(map_batches(src.select("block", "held_out", "_text"), _list_batches(depth), _BLOCK_ROW), "lm-lists")
-
-    # words: corpus counts, and back to the blocks that hold them
-    words = listed.filter("word is not null")
-    corpus = staged(words.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    n_words_all, n_distinct = corpus.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    total = int(src.agg(F.sum(F.length("_text"))).first()[0] or 0)
+    tasks = max(-(-total // block_bytes), spark.sparkContext.defaultParallelism, 1)
+    src = staged(src.coalesce(tasks).withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_ROWS_LOG2)), "lm-texts", "zstd")
+
+    # every gram and word of the corpus: its training count, and the blocks that hold it
+    listed = map_batches(src.select("block", "held_out", "_text"), _list_batches(depth), "block long, code long, n long")
+    corpus = staged(listed.groupBy("code").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks")), "lm-corpus", "zstd")
+    words, all_grams = corpus.filter("code < 0"), corpus.filter("code >= 0")
+    n_words_all, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     n_ends = src.filter("not held_out").count()
     n_all, n_distinct = int(n_words_all) + n_ends, n_distinct + (1 if n_ends else 0)
-    packed_words = map_batches(words.select("block", "word").join(corpus, "word").select("block", "word", "c"), _pack_words, "block long, a binary, b binary")
 
-    # grams: the model, and back to the blocks
-    by_block = listed.filter("word is null").select("block", "code", "n")
-    total = staged(by_block.groupBy("code").agg(F.sum("n").alias("n")), "lm-grams")
     suffix = F.shiftrightunsigned(F.col("code"), 8 * (depth - 1))
-    dealt = total.repartition(suffix)
-    sums = map_batches(dealt, _sum_batches(depth), "key long, n0 double, n1 double, w double").groupBy("key").agg(
+    sums = map_batches(all_grams.select("code", "n").repartition(suffix), _sum_batches(depth), "key long, n0 double, n1 double, w double").groupBy("key").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("w").alias("w")).toArrow()  # 65,536 rows at most
     top = Top(*(sums.column(c).to_numpy() for c in ("key", "n0", "n1", "w")))
-    model = map_batches(dealt, _probability_batches(depth, spark.sparkContext.broadcast(top)), "code long, p double")
-    packed = map_batches(by_block.select("block", "code").join(staged(model, "lm-model"), "code").select("block", "code", "p"), _pack_batches,
-                         "block long, a binary, b binary")
+    packed = map_batches(all_grams.repartition(suffix), _probability_batches(depth, spark.sparkContext.broadcast(top)), "block long, a binary, b binary")
+    packed_words = map_batches(words, _count_batches, "block long, a binary, b binary")
 
     none = [F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out")]
     rows = packed.select("block", F.lit(0).alias("kind"), "a", "b", *none).unionByName(

