@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from fieldpulse.llm._common import map_batches, slices, staged, utf8
 
 DEPTH = 5
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BLOCK_BYTES, BLOCK_ROWS_LOG2 = 64 << 20, 16
 _U = np.uint64
 _HALF = np.log(0.5)
@@ -255,7 +255,7 @@ def _list_batches(depth: int):
                         c, n = _distinct(np.sort(grams(mine[i:j], depth)[0]))
                         codes.append(c)
                         counts.append(n * (0 if out else 1))
-                if sum(map(len, codes)) > 4 * CHUNK_BYTES:
+                if sum(map(len, codes)) > 2 * CHUNK_BYTES:
                     c, n = _add_up(codes, counts)
                     codes, counts = [c], [n]
         yield from emit()
