@@ -280,11 +280,14 @@ def op3_warc(spark, sf_dir: str) -> DataFrame:
     index = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch_path(spark, "warc"))
     records = staged(read_archives(index).select("record_id", "page_id", "record_type", "refers_to_record", "digest",
                                                  F.length("payload").cast("long").alias("n")), "warc-records")
-    full = (records.filter("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_record"))
-            .agg(F.min("page_id").alias("refers_to"), F.min("n").alias("m"), F.min("digest").alias("d")))
-    out = records.join(full, "refers_to_record", "left")
-    return out.select("page_id", F.coalesce("n", "m").alias("payload_bytes"), F.coalesce("d", "digest").alias("payload_digest"),
-                      "record_type", "refers_to")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    responses = records.filter("record_type = 'response'")
+    full = (responses.groupBy(F.col("record_id").alias("refers_to_record"))
+            .agg(F.min("page_id").alias("refers_to"), F.min("n").alias("payload_bytes"), F.min("digest").alias("payload_digest")))
+    # only revisits look anything up: responses, whose reference is null, would all meet in one task
+    again = records.filter("record_type <> 'response'").join(full, "refers_to_record").select(*columns)
+    return responses.select("page_id", F.col("n").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type",
+                            F.lit(None).cast("long").alias("refers_to")).unionByName(again)
 
 
 OP3_SQL = """
