@@ -88,13 +88,13 @@ class Sparse:
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], width: int = 1 << HASH_BITS):
         self.n, self.width = len(rows), width
-        self.row = np.repeat(np.arange(self.n), [len(r[0]) for r in rows])
-        self.col = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int64)
-        self.val = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r[0]) for r in rows])
+        self.col = np.concatenate([r[0] for r in rows]).astype(np.int32) if rows else np.zeros(0, np.int32)
+        self.val = np.concatenate([r[1] for r in rows]).astype(np.float32) if rows else np.zeros(0, np.float32)
 
     def take(self, pick: np.ndarray) -> Sparse:
         out = Sparse([])
-        new = np.full(self.n, -1)
+        new = np.full(self.n, -1, np.int32)
         new[pick] = np.arange(len(pick))
         keep = new[self.row] >= 0
         out.n, out.row, out.col, out.val = len(pick), new[self.row[keep]], self.col[keep], self.val[keep]
@@ -120,10 +120,10 @@ def fit_linear(x: Sparse, prior: np.ndarray, y: np.ndarray, steps: int = STEPS)
     ratio = np.log((with_pos + 1) / (pos + 2)) - np.log((seen - with_pos + 1) / (neg + 2))
     ratio[seen < MIN_ROWS] = 0
     cols = np.flatnonzero(ratio)  # only these are fitted
-    place = np.zeros(size, np.int64)
+    place = np.zeros(size, np.int32)
     place[cols] = np.arange(len(cols))
     used, on = Sparse([], len(cols)), ratio[x.col] != 0
-    used.n, used.row, used.col, used.val = x.n, x.row[on], place[x.col[on]], x.val[on] * ratio[x.col[on]]
+    used.n, used.row, used.col, used.val = x.n, x.row[on], place[x.col[on]], (x.val[on] * ratio[x.col[on]]).astype(np.float32)
     odds = _log_odds(prior) if prior.size else prior
     theta = np.zeros(len(cols) + prior.shape[1] + 1)
     ahead, rate = theta.copy(), 2.0 / (1 + np.bincount(used.row, used.val ** 2, x.n).max(initial=0))
@@ -179,8 +179,8 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for b in batches:
         rows = [text_features(t, memo) for t in b.column("_text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [*(b.column(c) for c in keep), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
-             pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=[*keep, "ids", "vals"])
+            [*(b.column(c) for c in keep), pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
+             pa.array([r[1].astype(np.float32) for r in rows], pa.list_(pa.float32()))], names=[*keep, "ids", "vals"])
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample_rows: int = SAMPLE_ROWS,
@@ -197,11 +197,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, s
     h = F.pmod(F.xxhash64("_id", F.lit(4)), F.lit(1_000_003))
     lab = lab.withColumn("_order", h).filter(h < F.lit(int(share * 1_000_003) + 1))
     texts = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("_id"), utf8("text").alias("_text"))
-    met = texts.join(lab, "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_order").alias("_order"),
+    # the sample has about ``sample_rows`` rows whatever the corpus, so the texts need no shuffle
+    met = texts.join(F.broadcast(lab), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_order").alias("_order"),
                                                     F.first("_labels").alias("_labels"))
     fold = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(folds)).cast("int")
     return map_batches(met.select("_text", "_order", fold.alias("_fold"), "_labels"), _feature_batches,
-                       "_order long, _fold int, _labels array<int>, ids array<long>, vals array<double>")
+                       "_order long, _fold int, _labels array<int>, ids array<int>, vals array<float>")
 
 
 @dataclass
@@ -225,7 +226,9 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample_rows
     if not rows:
         flat = [Linear(np.zeros(1 << HASH_BITS), np.zeros(k), -1.0) for k in range(len(names))]
         return Chain(names, flat, [2.0] * len(names), np.zeros((0, len(names))), y)
-    models, held = fit_chain(Sparse(rows), y, np.array(t.column("_fold").to_pylist()), folds)
+    x, fold = Sparse(rows), np.array(t.column("_fold").to_pylist())
+    del rows, t
+    models, held = fit_chain(x, y, fold, folds)
     return Chain(names, models, [best_threshold(held[:, k], y[:, k]) for k in range(len(names))], held, y)
 
 
