@@ -36,7 +36,7 @@ from fieldpulse.llm._common import map_batches, staged, utf8
 
 LENGTH, GRAM = 400, 64
 PIECE = 1 << 22  # window starts handled at once; longer texts go piece by piece
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 _U = np.uint64
 _PLACE = _U((1 << 24) - 1)
 
