@@ -55,3 +55,39 @@ def test_sample_keeps_rows_and_columns(spark):
 def test_topic():
     assert M.topic_of(b"") == 0 == M.topic_of(b"a bb ccc")
     assert M.topic_of(b"word word other") == M.topic_of(b"WORD other word")
+
+
+def test_one_rare_cell_does_not_scale_the_corpus(spark):
+    docs = make(spark)
+    rare = spark.createDataFrame([(-3, "seldom " * 20, "xx", "lone", 0)], SCHEMA)
+    for kw in ({}, {"max_local_cells": 0, "rounds": 12, "tolerance": 1e-7}):
+        cells = M.calibrated_cells(M.cells_of(M.described(docs.unionByName(rare), ["doc_id", "source", "lang"])), **kw)
+        got = cells.toPandas()
+        kept = (got.tokens * got.probability).sum() / got.tokens.sum()
+        assert abs(kept - M.KEPT) < 1e-4 and got.probability.between(0, 1).all()
+        assert got[got.source == "lone"].probability.tolist() == [1.0] and got[got.tokens > 0].probability.min() > 0.05
+        # the rare values fall short and are named, the others follow their targets
+        short = M.shortfalls(cells).toPandas()
+        assert set(zip(short.dimension, short.value)) >= {("source", "lone"), ("lang", "xx")}
+        own, drawn = got.groupby("source").tokens.sum(), (got.tokens * got.probability).groupby(got.source).sum()
+        for v in ("s0", "s1"):
+            assert abs(drawn[v] / drawn["big"] / (own[v] / own["big"]) ** 0.7 - 1) < 1e-3
+    got = M.mix(docs.unionByName(rare)).toPandas()
+    assert abs(got[got.sampled].n_tokens.sum() / got.n_tokens.sum() - M.KEPT) < 0.05
+
+
+def test_contradicting_targets_lose_no_cell(spark):
+    # each source has a language of its own, and the two targets differ
+    rows = [(i, "alpha beta gamma delta", "en" if i % 4 else "de", "big" if i % 4 else "small", 0) for i in range(400)]
+    cells = M.cells_of(M.described(spark.createDataFrame(rows, SCHEMA), ["doc_id", "source", "lang"]))
+    got = M.calibrated_cells(cells, targets={"source": {"big": 0.9, "small": 0.1}, "lang": {"en": 0.5, "de": 0.5}}).toPandas()
+    assert got.probability.between(0.01, 1).all()
+    none = M.calibrated_cells(cells, targets={"lang": {"en": 1.0}}).toPandas()
+    assert none[none.lang == "de"].probability.tolist() == [0.0] and none[none.lang == "en"].probability.iloc[0] > 0.6
+
+
+def test_kept_share_is_stated(spark):
+    cells = M.cells_of(M.described(make(spark), ["doc_id", "source", "lang"]))
+    for kept in (0.1, 0.8, 1.0):
+        got = M.calibrated_cells(cells, kept=kept).toPandas()
+        assert abs((got.tokens * got.probability).sum() / got.tokens.sum() - kept) < 1e-3
