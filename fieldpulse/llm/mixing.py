@@ -54,20 +54,22 @@ def topic_of(text: bytes, topics: int = TOPICS) -> int:
     return zlib.crc32(min(w for w, n in counts.items() if n == most)) % topics
 
 
-def _token_batches(topics: int):
+def _token_batches(topics: int, given: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("_text").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.array([len(t.split()) for t in texts], pa.int64()),
-                 pa.array([str(topic_of(t, topics)) for t in texts], pa.string())], names=["row", "n_tokens", "topic"])
+            topic = b.column("_topic") if given else pa.array([str(topic_of(t, topics)) for t in texts], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([len(t.split()) for t in texts], pa.int64()), topic],
+                                             names=["row", "n_tokens", "topic"])
     return run
 
 
-def described(docs: DataFrame, keep: list[str], topics: int = TOPICS) -> DataFrame:
-    """``row`` (struct of the ``keep`` columns), ``n_tokens``, ``source``, ``lang``, ``topic``."""
-    src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), utf8("text").alias("_text"))
-    out = map_batches(src, _token_batches(topics), f"row {src.schema['row'].dataType.simpleString()}, n_tokens long, topic string")
+def described(docs: DataFrame, keep: list[str], topics: int = TOPICS, topic: str | None = None) -> DataFrame:
+    """``row`` (struct of the ``keep`` columns), ``n_tokens``, ``source``, ``lang``, ``topic`` (of the
+    column that ``topic`` names, else :func:`topic_of` the text)."""
+    src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), utf8("text").alias("_text"),
+                      *([F.coalesce(F.col(topic).cast("string"), F.lit(NONE)).alias("_topic")] if topic else []))
+    out = map_batches(src, _token_batches(topics, topic is not None), f"row {src.schema['row'].dataType.simpleString()}, n_tokens long, topic string")
     return out.withColumn("source", F.coalesce(F.col("row.source").cast("string"), F.lit(NONE))).withColumn(
         "lang", F.coalesce(F.col("row.lang").cast("string"), F.lit(NONE)))
 
@@ -253,16 +255,17 @@ def uniform(seed: int, *cols: Column) -> Column:
 
 
 def mix(docs: DataFrame, keep: list[str] | None = None, targets: dict | None = None, temper: dict | None = None,
-        topics: int = TOPICS, seed: int = SEED, **kw) -> DataFrame:
+        topics: int = TOPICS, seed: int = SEED, topic: str | None = None, **kw) -> DataFrame:
     """Every row as ``row`` with source, lang, topic, n_tokens, weight, probability and ``sampled``.
 
     ``targets``: {dimension: {value: share}}; dimensions left out are tempered. ``kept``: the share of
-    all tokens to keep; a value that holds less than its target is kept whole. A null source or
-    language is a value of its own. A null or empty text has no tokens and topic 0, and gets the
+    all tokens to keep; a value that holds less than its target is kept whole. ``topic``: the column of
+    ``docs`` that holds the topics, if they are known. A null source, language or topic given is a value
+    of its own. A null or empty text has no tokens and topic 0, and gets the
     weight of its cell. The draw depends on doc_id and text, so rows equal in both are drawn alike.
     """
     keep = keep or ["doc_id", "source", "lang", "text"]
-    rows = described(docs, sorted({*keep, "doc_id", "source", "lang", "text"}, key=[*keep, "doc_id", "source", "lang", "text"].index), topics)
+    rows = described(docs, sorted({*keep, "doc_id", "source", "lang", "text"}, key=[*keep, "doc_id", "source", "lang", "text"].index), topics, topic)
     narrow = staged(rows.select("source", "lang", "topic", "n_tokens"), "tokens")
     cells = calibrated_cells(cells_of(narrow), targets, temper, **kw)
     drawn = uniform(seed, F.col("row.doc_id"), F.xxhash64("row.text")) < F.col("probability")

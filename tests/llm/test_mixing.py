@@ -91,3 +91,13 @@ def test_kept_share_is_stated(spark):
     for kept in (0.1, 0.8, 1.0):
         got = M.calibrated_cells(cells, kept=kept).toPandas()
         assert abs((got.tokens * got.probability).sum() / got.tokens.sum() - kept) < 1e-3
+
+
+def test_topic_column_of_the_caller(spark):
+    docs = make(spark, 600).selectExpr("*", "CASE WHEN doc_id % 5 = 0 THEN 'law' WHEN doc_id % 5 < 4 THEN 'art' END AS subject")
+    got = M.mix(docs, topic="subject", targets={"topic": {"law": 0.4, "art": 0.4, M.NONE: 0.2}}, kept=0.3).toPandas()
+    assert set(got.topic) == {"law", "art", M.NONE} and len(got) == 602
+    drawn = (got.n_tokens * got.probability).groupby(got.topic).sum()
+    assert abs(drawn["law"] / drawn.sum() - 0.4) < 1e-6 and abs(drawn[M.NONE] / drawn.sum() - 0.2) < 1e-6
+    kept = M.sample_to_targets(docs, topic="subject")
+    assert kept.columns == docs.columns and 0 < kept.count() < 602
