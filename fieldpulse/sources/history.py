@@ -18,6 +18,8 @@ from fieldpulse.schemas import ENRICHED, ENRICHED_COLUMNS
 HISTORY_SCHEMA = T.StructType([*ENRICHED.fields, T.StructField("postgres_inserted_at", T.TimestampType()),
                                T.StructField("event_date", T.DateType())])
 SORT_COLUMNS = ["env", "tenant", "device_id", "measurement_event_ts"]
+#: A date has one writer for each so many rows.
+ROWS_PER_WRITER = 1_000_000
 
 
 def history_rows(enriched: DataFrame, inserted_at: Column | None = None) -> DataFrame:
@@ -44,6 +46,18 @@ def write_history(enriched: DataFrame, path: str, inserted_at: Column | None = N
          .parquet(path))
 
 
+def dealt_by_date(rows: DataFrame, rows_per_writer: int = ROWS_PER_WRITER) -> DataFrame:
+    """History rows sorted in partitions of ``(event_date, salt)``, with as many salts as the rows of
+    the date need: a small date is one file, a large one has several writers."""
+    writers = rows.groupBy(F.col("event_date").alias("_date")).agg(F.ceil(F.count("*") / F.lit(rows_per_writer)).alias("_writers"))
+    salt = F.pmod(F.xxhash64("device_id", "humidity_seq", "measurement_event_ts"), F.coalesce("_writers", F.lit(1)))
+    return (rows.join(F.broadcast(writers), F.col("event_date").eqNullSafe(F.col("_date")), "left")
+            .select(*rows.columns, salt.alias("_salt"))
+            .repartition("event_date", "_salt")
+            .sortWithinPartitions("event_date", *SORT_COLUMNS)  # dates first, as partitionBy wants them
+            .drop("_salt"))
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     # a stream's folders add batch_id below the date
     return spark.read.schema(HISTORY_SCHEMA).parquet(path).select(*HISTORY_SCHEMA.fieldNames())

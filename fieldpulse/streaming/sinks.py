@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse.constants import KEY_TTL_SECONDS
 from fieldpulse.operators.latest import latest_by, view_ttl
-from fieldpulse.sources.history import SORT_COLUMNS, history_rows
+from fieldpulse.sources.history import ROWS_PER_WRITER, dealt_by_date, history_rows
 
 
 def _fs(spark: SparkSession, path: str):
@@ -64,24 +64,27 @@ def write_batch(df: DataFrame, table_path: str, batch_id: int, partition_by: tup
     write_once(df, f"{table_path.rstrip('/')}/batch_id={int(batch_id)}", partition_by)
 
 
-def write_history_batch(enriched: DataFrame, path: str, batch_id: int, inserted_at: Column | None = None) -> None:
+def write_history_batch(enriched: DataFrame, path: str, batch_id: int, inserted_at: Column | None = None,
+                        rows_per_writer: int = ROWS_PER_WRITER) -> None:
     """A micro-batch into the history table: ``event_date=<date>/batch_id=<id>``, sorted as the batch
-    writer sorts, so a date range is one folder a date whatever the number of batches."""
+    writer sorts, so a date range is one folder a date whatever the number of batches. A date with many
+    rows (a backlog) is written by several tasks."""
     spark = enriched.sparkSession
     path = path.rstrip("/")
     tmp = f"{path}/_writing/{int(batch_id)}-{uuid.uuid4().hex[:12]}"
     rows = history_rows(enriched, inserted_at if inserted_at is not None else F.current_timestamp())
-    rows.repartition("event_date").sortWithinPartitions(*SORT_COLUMNS).write.partitionBy("event_date").parquet(tmp)
+    dealt_by_date(rows, rows_per_writer).write.partitionBy("event_date").parquet(tmp)
     for day in children(spark, tmp, "event_date="):
         _move(spark, f"{tmp}/{day}", f"{path}/{day}/batch_id={int(batch_id)}")
 
 
-def compact_history_dates(spark: SparkSession, path: str, into: str, dates: list[str]) -> None:
-    """Rewrite whole dates (those no stream writes to any more) as few sorted files under ``into``."""
+def compact_history_dates(spark: SparkSession, path: str, into: str, dates: list[str],
+                          rows_per_writer: int = ROWS_PER_WRITER) -> None:
+    """Rewrite whole dates (those no stream writes to any more) as few sorted files under ``into``, one
+    for each ``rows_per_writer`` rows or so."""
     from fieldpulse.sources.history import read_history
     rows = read_history(spark, path).filter(F.col("event_date").isin(*[F.lit(d).cast("date") for d in dates]))
-    (rows.repartition("event_date").sortWithinPartitions(*SORT_COLUMNS)
-         .write.mode("append").partitionBy("event_date").parquet(into))
+    dealt_by_date(rows, rows_per_writer).write.mode("append").partitionBy("event_date").parquet(into)
 
 
 # ---- upsert tables -------------------------------------------------------------------------------

@@ -258,3 +258,30 @@ def test_foreach_batch_sinks_are_idempotent_on_replay(spark, scratch):
     sink(e.select("redis_key", "humidity"), 1)
     sink(e.select("redis_key", "humidity"), 1)
     assert spark.read.parquet(f"{root}/kv").count() == e.count()
+
+
+def test_one_large_day_has_several_history_writers(spark, tmp_path):
+    from fieldpulse.sources.history import SORT_COLUMNS, read_history
+    from fieldpulse.streaming.sinks import children, compact_history_dates, write_history_batch
+    e = flow.enriched_table(spark, SF_SMALL)
+    day = F.to_timestamp(F.lit("2024-05-01 00:00:00")) + F.make_dt_interval(secs=F.pmod(F.col("humidity_seq"), F.lit(86400)).cast("decimal(18,6)"))
+    small = e.limit(3).withColumn("measurement_event_ts", F.to_timestamp(F.lit("2024-05-02 00:00:00")))
+    none = e.limit(2).withColumn("measurement_event_ts", F.lit(None).cast("timestamp"))
+    big = e.withColumn("measurement_event_ts", day).unionByName(small).unionByName(none)
+    path, n = str(tmp_path / "history"), e.count()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # would put this little into one task again
+    try:
+        write_history_batch(big, path, 0, F.to_timestamp(F.lit("2024-06-01")), rows_per_writer=max(1, n // 6))
+        compact_history_dates(spark, path, str(tmp_path / "compact"), ["2024-05-01", "2024-05-02"], rows_per_writer=max(1, n // 6))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for root, folder in ((path, "/batch_id=0"), (str(tmp_path / "compact"), "")):
+        files = children(spark, f"{root}/event_date=2024-05-01{folder}", "part-")
+        assert len(files) > 1 and len(children(spark, f"{root}/event_date=2024-05-02{folder}", "part-")) == 1
+        for f in files:  # each sorted as the batch writer sorts
+            got = [tuple(r) for r in spark.read.parquet(f"{root}/event_date=2024-05-01{folder}/{f}").select(*SORT_COLUMNS).toPandas().itertuples(index=False)]
+            assert got == sorted(got)
+    assert read_history(spark, path).count() == n + 5
+    cols = [c for c in e.columns]
+    assert rows(read_history(spark, path).select(*cols)) == rows(big.select(*cols))
+    assert read_history(spark, str(tmp_path / "compact")).count() == n + 3
