@@ -16,6 +16,7 @@ COLUMNS = {
     "op8_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op9_fingerprint": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_chat": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+    "op11_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
