@@ -8,6 +8,7 @@ from fieldpulse.llm.decontaminate import OP6_SQL, op6_decontaminate
 from fieldpulse.llm.fingerprint import op9_fingerprint
 from fieldpulse.llm.mixing import op7_mixing
 from fieldpulse.llm.piece_bpe import op11_sentencepiece
+from fieldpulse.llm.repair import op13_repair
 from fieldpulse.llm.sharding import op8_sharding
 from fieldpulse.llm.simhash import op2_simhash
 from fieldpulse.llm.suffix_dedup import op1_suffix_dedup
@@ -33,6 +34,7 @@ QUERIES = {
     "op9_fingerprint": op9_fingerprint,
     "op10_chat": op10_chat,
     "op11_sentencepiece": op11_sentencepiece,
+    "op13_repair": op13_repair,
     "pipeline": _pipeline,
 }
 ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op6_decontaminate": OP6_SQL, "op10_chat": OP10_SQL}

@@ -17,6 +17,7 @@ COLUMNS = {
     "op9_fingerprint": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_chat": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op11_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op13_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 
 
@@ -24,7 +25,7 @@ COLUMNS = {
 def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, SF)
     assert set(COLUMNS[name]) <= set(df.columns)
-    table, key = {"op3_warc": ("pages", "page_id"), "op10_chat": ("conversations", "conv_id")}.get(name, ("documents", "doc_id"))
+    table, key = {"op3_warc": ("pages", "page_id"), "op10_chat": ("conversations", "conv_id"), "op13_repair": ("conversations", "conv_id")}.get(name, ("documents", "doc_id"))
     want = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect()} | ({-1} if name == "op10_chat" else set())
     ids = [r[key] for r in df.collect()]
     assert set(ids) == want and len(ids) == len(want)
