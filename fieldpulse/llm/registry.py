@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fieldpulse.llm.align import op12_align
 from fieldpulse.llm.chat import OP10_SQL, op10_chat
 from fieldpulse.llm.ctw import op5_ctw
 from fieldpulse.llm.decontaminate import OP6_SQL, op6_decontaminate
@@ -34,6 +35,7 @@ QUERIES = {
     "op9_fingerprint": op9_fingerprint,
     "op10_chat": op10_chat,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_align": op12_align,
     "op13_repair": op13_repair,
     "pipeline": _pipeline,
 }

@@ -17,6 +17,7 @@ COLUMNS = {
     "op9_fingerprint": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_chat": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op11_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op12_align": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     "op13_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 

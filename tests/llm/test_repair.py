@@ -137,7 +137,7 @@ def test_repaired_rows(spark):
     rows = [(7, 0, "assistant", "Hello."), (7, 1, "user", "Hi"), (7, 1, "user", "Hi"), (7, 2, "assistant", " "), (8, 0, "user", ""), (9, 0, "system", "Be brief.")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     found = repair.audits(repair.facts(df))
-    assert {r.conv_id: (r.cost, r.audit) for r in found.collect()} == {7: (11, "IKKDDI"), 8: (3, "D"), 9: (3, "D")}
+    assert {r.conv_id: (r.cost, r.audit) for r in found.collect()} == {7: (11, "IKDDD"), 8: (3, "D"), 9: (3, "D")}
     got = [tuple(r) for r in repair.repaired_rows(df, found).orderBy("conv_id", "position").collect()]
     for conv in (7, 8, 9):
         said = "".join(r[4][0] for r in got if r[0] == conv)
