@@ -137,36 +137,43 @@ class Aligner:
 
     def learn(self, parts: list[str]) -> dict[str, tuple]:
         """``part -> (tokens, groups as text, pair codes, links of each)``; None where bytes differ. ``tokens`` is
-        (first side's, second side's, groups, links)."""
-        ids_a = self.a.encode([" " + p for p in parts])
-        ids_b = [self.b.encode(p) for p in parts]
-        same = []
-        for p, x, y in zip(parts, ids_a, ids_b):
-            raw = b" " + p.encode()
-            same.append(b"".join([self.a.bytes_of[i] for i in x]) == raw == self.b.decode_bytes(y).tobytes())
-        out: dict[str, tuple] = {p: None for p, ok in zip(parts, same) if not ok}
-        kept = [i for i, ok in enumerate(same) if ok]
-        if not kept:
-            return out
-        na, nb = (np.array([len(ids[i]) for i in kept]) for ids in (ids_a, ids_b))
-        a = np.fromiter((t for i in kept for t in ids_a[i]), np.int64, int(na.sum()))
-        b = np.concatenate([ids_b[i] for i in kept]).astype(np.int64)
+        (first side's, second side's, groups, links); links are left out where all are 1."""
+        texts = [" " + p for p in parts]
+        ids_a, ids_b = self.a.encode(texts), [self.b.packed(p) for p in parts]
+        na, nb = np.array([len(x) for x in ids_a]), np.array([len(x) >> 2 for x in ids_b])
+        a = np.fromiter((t for x in ids_a for t in x), np.int64, int(na.sum()))
+        b = np.frombuffer(b"".join(ids_b), np.int32).astype(np.int64)
+        raw = [t.encode() for t in texts]
+        if not self._same(raw, a, na, b, nb):  # rare: look at each
+            upto_a, upto_b = np.cumsum(na), np.cumsum(nb)
+            kept = [self._same(raw[i:i + 1], a[e - n:e], na[i:i + 1], b[f - m:f], nb[i:i + 1]) for i, (n, e, m, f) in enumerate(zip(na, upto_a, nb, upto_b))]
+            good = [p for p, ok in zip(parts, kept) if ok]
+            return {p: None for p, ok in zip(parts, kept) if not ok} | (self.learn(good) if good else {})
         group_a, group_b = group_ends(np.cumsum(self.a.length_of[a]), np.cumsum(self.b.length_of[b]))
         owner_of = np.empty(int(group_a[-1]) + 1, dtype=np.int64)
-        owner_of[group_a] = np.repeat(np.arange(len(kept)), na)
-        groups = np.bincount(owner_of, minlength=len(kept))
-        links = np.bincount(owner_of, weights=np.bincount(group_a) * np.bincount(group_b), minlength=len(kept)).astype(np.int64)
+        owner_of[group_a] = np.repeat(np.arange(len(parts)), na)
+        groups = np.bincount(owner_of, minlength=len(parts))
+        links = np.bincount(owner_of, weights=np.bincount(group_a) * np.bincount(group_b), minlength=len(parts)).astype(np.int64)
         said = _said(a, group_a, b, group_b, np.cumsum(groups))
-        codes = [[] for _ in kept]
+        codes, counts = [b""] * len(parts), [b""] * len(parts)
         for key, code, n in _pairs(a, b, group_a, group_b, owner_of):
             cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            for lo, hi in zip(cut[:-1], cut[1:]):
-                codes[key[lo]].append((code[lo:hi], n[lo:hi]))
-        for j, i in enumerate(kept):
-            both = codes[j]
-            out[parts[i]] = ((int(na[j]), int(nb[j]), int(groups[j]), int(links[j])), said[j],
-                             b"".join(c.tobytes() for c, _ in both), b"".join(n.astype(np.int64).tobytes() for _, n in both))
-        return out
+            several = np.add.reduceat(n, cut[:-1]) > np.diff(cut)
+            at, code, n = (cut * 8).tolist(), code.tobytes(), n.astype(np.int64).tobytes()
+            for own, lo, hi, more in zip(key[cut[:-1]].tolist(), at, at[1:], several.tolist()):
+                if more and not counts[own] and codes[own]:
+                    counts[own] = np.ones(len(codes[own]) >> 3, np.int64).tobytes()
+                codes[own] += code[lo:hi]
+                if more or counts[own]:
+                    counts[own] += n[lo:hi]
+        return dict(zip(parts, zip(zip(na.tolist(), nb.tolist(), groups.tolist(), links.tolist()), said, codes, counts)))
+
+    def _same(self, raw: list[bytes], a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> bool:
+        """Whether the tokens' bytes of both sides are the texts', text by text."""
+        sizes, whole = np.array([len(r) for r in raw]), b"".join(raw)
+        lengths = [np.add.reduceat(table[ids], np.cumsum(n) - n) if n.all() else None for table, ids, n in ((self.a.length_of, a, na), (self.b.length_of, b, nb))]
+        return (all(x is not None and np.array_equal(x, sizes) for x in lengths)
+                and b"".join(map(self.a.bytes_of.__getitem__, a.tolist())) == whole == self.b.decode_bytes(b).tobytes())
 
     def align(self, texts: list[str]) -> Iterator[tuple | None]:
         """``(n_a, n_b, n_groups, n_links, groups, pair codes, links of each)`` of each text; None: no tokens."""
@@ -182,7 +189,10 @@ class Aligner:
                 continue
             totals = np.array([g[0] for g in got], dtype=np.int64).sum(axis=0)
             code = np.frombuffer(b"".join([g[2] for g in got]), dtype=np.int64)
-            n = np.frombuffer(b"".join([g[3] for g in got]), dtype=np.int64)
+            if any([g[3] for g in got]):
+                n = np.frombuffer(b"".join([g[3] or np.ones(len(g[2]) >> 3, np.int64).tobytes() for g in got]), dtype=np.int64)
+            else:
+                n = np.ones(len(code), dtype=np.int64)
             order = np.argsort(code, kind="stable")
             code, n = code[order], n[order]
             first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))

@@ -34,8 +34,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from fieldpulse.llm._common import map_batches, read_table, slices
 
 MARK = "▁"  # stands for a space in pieces
-#: Parts remembered by a task (the memory is emptied when full), and the longest part remembered.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 48
+#: Parts and pairs remembered by a task (a memory is emptied when full), and the longest part remembered.
+REMEMBERED, REMEMBERED_PAIRS, REMEMBERED_CHARS = 300_000, 250_000, 48
 NEVER = float("-inf")  # the score of what is no piece
 #: Values worked on at once, in bytes of text or in ids (one value at least).
 BATCH_UNITS = 4_000_000
@@ -115,7 +115,7 @@ class PieceBpe:
 
     def fit(self, a: str, b: str) -> bool:
         """Whether ``b`` can follow ``a``: merging the two gives them back. ``a`` empty: ``b`` alone."""
-        if len(self._fits) >= REMEMBERED:
+        if len(self._fits) >= REMEMBERED_PAIRS:
             self._fits.clear()
         known = self._fits[a, b] = self.merged(a + b) == ([a, b] if a else [b])
         return known
@@ -169,11 +169,12 @@ class PieceBpe:
             self._memory[part] = got
         return got
 
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers."""
+        return b"".join(map(self.part_ids, self.parts.findall(MARK + text.replace(" ", MARK)))) if text else b""
+
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, dtype=np.int32)
-        parts = self.parts.findall(MARK + text.replace(" ", MARK))
-        return np.frombuffer(b"".join(map(self.part_ids, parts)), dtype=np.int32)
+        return np.frombuffer(self.packed(text), dtype=np.int32)
 
     def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
         """The pieces' bytes joined, marks as spaces, the space in front included."""
