@@ -1,23 +1,26 @@
 """Language-model scoring by context-tree weighting over bytes.
 
-A byte is eight binary decisions, most significant bit first. The decision at a node of the byte
-(the bits before it) is predicted in a context: the last 0, 1, ... ``DEPTH`` bytes. Every node of that
-tree has a Krichevsky-Trofimov estimate from its counts over the whole training part of the corpus,
-and weighting mixes the estimates of all depths: a node's weighted probability is one half its own
-estimate and one half the product of its children's. After training, the share of its own estimate in
-a node's weighted probability says how far to trust it against the deeper contexts, so the probability
-of a bit is mixed along the path from the deepest context up. The sum over a text's bits is its log
-probability; over its bytes, its code length.
-
-Counts are (context, byte) grams: all nodes follow from them. Nothing is sampled, and no table that
+A text is its bytes, then an end. A symbol is nine binary decisions: whether the text ends here, then the
+byte's bits, most significant first. The decision at a node of the symbol (the decisions before it) is
+predicted in a context: the last 0, 1, ... ``DEPTH`` bytes. Every node of that tree has a
+Krichevsky-Trofimov estimate from its counts over the whole training part of the corpus, and weighting mixes
+the estimates of all depths: a node's weighted probability is one half its own estimate and one half the
+product of its children's. After training, the share of its own estimate in a node's weighted probability
+says how far to trust it against the deeper contexts, so the probability of a decision is mixed along the
+path from the deepest context that training has seen up. The sum over a text's decisions is its log
+probability, so the probabilities of all texts sum to one; over its bytes, its code length.
+
+Counts are (context, symbol) grams: all nodes follow from them. Nothing is sampled, and no table that
 grows with the corpus is broadcast or collected:
 
-* texts are written in blocks; each block lists its distinct grams and words with training counts;
-* a gram's or word's counts are added up over the blocks, together with the list of those blocks;
-* grams are dealt by the last two context bytes and weighted there from depth ``DEPTH`` up to two;
-  depths one and zero are finished on the driver from sums that number 65,536 at most;
-* each block gets the probabilities of its own grams and the counts of its own words back, packed,
-  and is scored from them.
+* texts are cut into blocks by bytes; each block lists its distinct grams and words with training counts;
+* a gram's or word's counts are added up over the blocks by a plain aggregate;
+* grams are dealt by the last three context bytes, sorted, and weighted there from depth ``DEPTH`` up to
+  three, a few contexts at a time; a context of three bytes has 2^25 grams at most, whatever the corpus;
+* depth two is finished from sums by a task a share, depths one and zero on the driver; what the tasks get of
+  the three is bounded by the contexts there can be (2^25 nodes; some 10^5 in texts);
+* probabilities of grams and counts of words are joined with the blocks' lists, and each block is scored from
+  its own.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +39,11 @@ from fieldpulse.llm._common import map_batches, slices, staged, utf8
 
 DEPTH = 5
 CHUNK_BYTES = 1 << 20
-BLOCK_BYTES, BLOCK_ROWS_LOG2 = 64 << 20, 16
+#: Texts of a block (one text at least), and grams weighted at once (one context of three bytes at least).
+BLOCK_BYTES, GRAMS_AT_ONCE = 16 << 20, 1 << 20
+#: Decisions of a symbol, and the symbol that ends a text.
+BITS, END = 9, 1 << 8
+NODES = 1 << BITS
 _U = np.uint64
 _HALF = np.log(0.5)
 
@@ -65,104 +73,141 @@ def _runs(keys: np.ndarray) -> np.ndarray:
 
 
 class Layer:
-    """Nodes of one depth at one bit: sorted keys (context << bit | bits before), stop shares, estimates
-    of a one, and log weighted probabilities."""
+    """Nodes of one depth at one decision: sorted keys (context << bit | decisions before), stop shares,
+    estimates of a one (none where training has not been), and log weighted probabilities."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, bit: int, child: Layer | None, below: np.ndarray | None = None):
-        key = codes >> _U(8 - bit)
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, bit: int, child: Layer | None):
+        key = codes >> _U(BITS - bit)
         at = _runs(key)
         self.bit, self.key = bit, key[at]
-        ones = counts * ((codes >> _U(7 - bit)) & _U(1)).astype(np.int64)
+        ones = counts * ((codes >> _U(BITS - 1 - bit)) & _U(1)).astype(np.int64)
         n, n1 = np.add.reduceat(counts, at).astype(float), np.add.reduceat(ones, at).astype(float)
         self.n0, self.n1 = n - n1, n1
-        self.own = log_kt(self.n0, n1)
-        self.one = (n1 + 0.5) / (n + 1)
+        self.one = _estimate(self.n0, n1)
+        self.weighted, self.stop = log_kt(self.n0, n1), np.ones(len(at))
         if child is not None:
             b = _U(bit)
             up = ((child.key >> b) >> _U(8)) << b | child.key & ((_U(1) << b) - _U(1))
-            below = np.bincount(np.searchsorted(self.key, up), child.weighted, len(at))
-        if below is None:
-            self.weighted, self.stop = self.own, np.ones(len(at))
-        else:
-            self.weighted, self.stop = _weigh(self.own, below)
+            self.weighted, self.stop = _weigh(self.weighted, np.bincount(np.searchsorted(self.key, up), child.weighted, len(at)))
 
 
-def layers(codes: np.ndarray, counts: np.ndarray, depth: int, top: int = 2) -> list[list[Layer]]:
-    """Layers by depth (from ``depth`` down to ``top``) and bit. ``codes``: sorted distinct grams,
-    the context's latest byte first, then the byte itself."""
+def _estimate(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    return np.where(n0 + n1 > 0, (n1 + 0.5) / (n0 + n1 + 1), np.nan)
+
+
+def _mix(p: np.ndarray, stop: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """The probability of a one at a context, from that at the next deeper one (none: not seen)."""
+    return np.where(np.isnan(one), p, np.where(np.isnan(p), one, stop * one + (1 - stop) * p))
+
+
+def _context(codes: np.ndarray, depth: int, d: int) -> np.ndarray:
+    """The last ``d`` bytes of grams of ``depth``."""
+    return codes >> _U(8 * (depth - d) + BITS)
+
+
+def _going_on(codes: np.ndarray) -> np.ndarray:
+    return (codes & _U(END)) == 0
+
+
+def layers(codes: np.ndarray, counts: np.ndarray, depth: int, top: int = 3) -> list[list[Layer]]:
+    """Layers by depth (from ``depth`` down to ``top``) and decision. ``codes``: sorted distinct grams,
+    the context's latest byte first, then the symbol. An end has no decisions but the first."""
     out: list[list[Layer]] = []
     for d in range(depth, top - 1, -1):
-        at_d = (codes >> _U(8 * (depth - d + 1))) << _U(8) | codes & _U(255)
+        at_d = _context(codes, depth, d) << _U(BITS) | codes & _U(NODES - 1)
         order = np.argsort(at_d, kind="stable")
-        sorted_codes, n = at_d[order], counts[order]
-        first = _runs(sorted_codes)
-        sorted_codes, n = sorted_codes[first], np.add.reduceat(n, first)
-        out.append([Layer(sorted_codes, n, b, out[-1][b] if out else None) for b in range(8)])
+        own, n = at_d[order], counts[order]
+        first = _runs(own)
+        own, n = own[first], np.add.reduceat(n, first)
+        on = _going_on(own)
+        rest, m = own[on], n[on]
+        out.append([Layer(own if b == 0 else rest, n if b == 0 else m, b, out[-1][b] if out else None) for b in range(BITS if len(rest) else 1)])
     return out
 
 
-class Top:
-    """Depths one and zero, dense: stop shares and estimates by [last byte, node] and [node]; a node's
-    number is 1 followed by the bits before it."""
-
-    def __init__(self, key: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: np.ndarray):
-        a0, a1, lower = np.zeros((256, 256)), np.zeros((256, 256)), np.zeros((256, 256))
-        c, node = key >> 8, key & 255
-        a0[c, node], a1[c, node], lower[c, node] = n0, n1, below
-        weighted, self.stop1 = _weigh(log_kt(a0, a1), lower)
-        self.one1 = (a1 + 0.5) / (a0 + a1 + 1)
-        b0, b1 = a0.sum(axis=0), a1.sum(axis=0)
-        _, self.stop0 = _weigh(log_kt(b0, b1), weighted.sum(axis=0))
-        self.one0 = (b1 + 0.5) / (b0 + b1 + 1)
-
-
-def top_sums(tree: list[list[Layer]]) -> tuple[np.ndarray, ...]:
-    """What depth one needs of the depth-two layers: (last byte << 8 | node, n0, n1, log weighted)."""
+def upper_sums(tree: list[list[Layer]]) -> tuple[np.ndarray, ...]:
+    """What the depth above needs of the uppermost layers: (its context << 9 | node, n0, n1, log weighted); a
+    node's number is 1 followed by the decisions before it."""
     parts = []
     for layer in tree[-1]:
         b = _U(layer.bit)
-        last = layer.key >> b >> _U(8)  # depth-two context: last byte, byte before
         node = (_U(1) << b) | layer.key & ((_U(1) << b) - _U(1))
-        parts.append(((last << _U(8) | node).astype(np.int64), layer.n0, layer.n1, layer.weighted))
+        parts.append((((layer.key >> b >> _U(8)) << _U(BITS) | node).astype(np.int64), layer.n0, layer.n1, layer.weighted))
     key, n0, n1, w = (np.concatenate([p[k] for p in parts]) for k in range(4))
     seen, inv = np.unique(key, return_inverse=True)
     return seen, *(np.bincount(inv, v, len(seen)) for v in (n0, n1, w))
 
 
+def finished(n0: np.ndarray, n1: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log weighted probability, stop share and estimate of nodes from their sums."""
+    weighted, stop = _weigh(log_kt(n0, n1), below)
+    return weighted, stop, _estimate(n0, n1)
+
+
+class Top:
+    """Depth two by key (context << 9 | node), depths one and zero dense."""
+
+    def __init__(self, two: tuple[np.ndarray, np.ndarray, np.ndarray], one: tuple[np.ndarray, ...]):
+        order = np.argsort(two[0])
+        self.key2, self.stop2, self.one2 = (x[order] for x in two)
+        a0, a1, lower = np.zeros((256, NODES)), np.zeros((256, NODES)), np.zeros((256, NODES))
+        key, n0, n1, below = one
+        c, node = key >> BITS, key & (NODES - 1)
+        a0[c, node], a1[c, node], lower[c, node] = n0, n1, below
+        weighted, self.stop1, self.one1 = finished(a0, a1, lower)
+        _, self.stop0, self.one0 = finished(a0.sum(axis=0), a1.sum(axis=0), weighted.sum(axis=0))
+
+
+def top_of(sums: tuple[np.ndarray, ...]) -> Top:
+    """From all sums of depth two at once (the Spark job does the same share by share)."""
+    key, n0, n1, below = sums
+    weighted, stop, one = finished(n0, n1, below)
+    up = (key >> (BITS + 8)) << BITS | key & (NODES - 1)
+    seen, inv = np.unique(up, return_inverse=True)
+    return Top((key, stop, one), (seen, *(np.bincount(inv, v, len(seen)) for v in (n0, n1, weighted))))
+
+
 def log10_probabilities(codes: np.ndarray, tree: list[list[Layer]], top: Top, depth: int) -> np.ndarray:
-    """Of each gram's byte in its context."""
+    """Of each gram's symbol in its context."""
     total = np.zeros(len(codes))
-    for b in range(8):
-        bit = ((codes >> _U(7 - b)) & _U(1)).astype(bool)
-        p = np.full(len(codes), 0.5)
+    for b in range(BITS):
+        live = np.flatnonzero(_going_on(codes)) if b else np.arange(len(codes))
+        if not len(live):
+            break
+        c = codes[live]
+        bit = ((c >> _U(BITS - 1 - b)) & _U(1)).astype(bool)
+        p = np.full(len(c), np.nan)
+        before = (c & _U(NODES - 1)) >> _U(BITS - b)
         for k, row in enumerate(tree):
-            d = depth - k
-            at_d = (codes >> _U(8 * (depth - d + 1))) << _U(8) | codes & _U(255)
             layer = row[b]
-            i = np.searchsorted(layer.key, at_d >> _U(8 - b))
-            p = layer.stop[i] * layer.one[i] + (1 - layer.stop[i]) * p
-        last = (codes >> _U(8 * depth)).astype(np.int64)
-        node = ((_U(1) << _U(b)) | (codes & _U(255)) >> _U(8 - b)).astype(np.int64)
-        p = top.stop1[last, node] * top.one1[last, node] + (1 - top.stop1[last, node]) * p
-        p = top.stop0[node] * top.one0[node] + (1 - top.stop0[node]) * p
-        total += np.log10(np.where(bit, p, 1 - p))
+            i = np.searchsorted(layer.key, _context(c, depth, depth - k) << _U(b) | before)
+            p = _mix(p, layer.stop[i], layer.one[i])
+        node = ((_U(1) << _U(b)) | before).astype(np.int64)
+        i = np.searchsorted(top.key2, _context(c, depth, 2).astype(np.int64) << BITS | node)
+        p = _mix(p, top.stop2[i], top.one2[i])
+        last = _context(c, depth, 1).astype(np.int64)
+        p = _mix(p, top.stop1[last, node], top.one1[last, node])
+        p = _mix(p, top.stop0[node], top.one0[node])
+        p = np.where(np.isnan(p), 0.5, p)  # no training at all
+        total[live] += np.log10(np.where(bit, p, 1 - p))
     return total
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """The gram at every byte of the texts, text after text, and how many each has. Contexts beyond a
-    text's start are zero bytes."""
+    """The gram at every symbol of the texts, text after text, and how many each has (its bytes and the end).
+    Contexts beyond a text's start are zero bytes."""
     pad = b"\0" * depth
-    x = np.frombuffer(pad + pad.join(texts), np.uint8).astype(_U)
+    x = np.frombuffer(pad + pad.join(texts) + pad, np.uint8).astype(_U)
     n = len(x) - depth
     codes = x[depth:].copy()
     for j in range(1, depth + 1):  # the latest byte on top
-        codes |= x[depth - j:depth - j + n] << _U(8 * (depth - j + 1))
-    sizes = np.array([len(t) for t in texts])
+        codes |= x[depth - j:depth - j + n] << _U(8 * (depth - j) + BITS)
+    sizes = np.array([len(t) + 1 for t in texts])
+    ends = np.cumsum(sizes + depth - 1) - depth
+    codes[ends] |= _U(END)
     keep = np.ones(n, bool)
-    ends = np.cumsum(sizes + depth) - depth
-    for j in range(depth):
-        keep[(ends + j)[:-1]] = False
+    for j in range(1, depth):
+        keep[ends + j] = False
     return codes[keep], sizes
 
 
@@ -219,19 +264,32 @@ def word_code(word: bytes) -> int:
     return (xxhash.xxh3_64_intdigest(word) & ((1 << 63) - 1)) - (1 << 63)
 
 
+def _cut_batches(block_bytes: int):
+    """Rows with the number of their block: consecutive rows of a task, cut by bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, 0
+        for b in batches:
+            sizes = pc.binary_length(b.column("_text")).to_numpy()
+            blocks = np.empty(len(sizes), np.int64)
+            for i, (n, task) in enumerate(zip(sizes.tolist(), b.column("task").to_pylist())):
+                if block is None:
+                    block = task << 32
+                elif held and held + n > block_bytes:
+                    block, held = block + 1, 0
+                held += n
+                blocks[i] = block
+            yield pa.RecordBatch.from_arrays([pa.array(blocks), *(b.column(c) for c in ("doc_id", "held_out", "_text"))], names=["block", "doc_id", "held_out", "_text"])
+    return run
+
+
 def _list_batches(depth: int):
     """(block, code, n): the distinct grams and words of a block's rows with their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, words, codes, counts = None, Counter(), [], []
+        block, codes, counts = None, [], []
 
         def emit():
-            parts = []
             if codes:
                 c, n = _add_up(codes, counts)
-                parts.append((c.view(np.int64), n))
-            if words:
-                parts.append((np.fromiter(map(word_code, words), np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words))))
-            for c, n in parts:
                 for k in range(0, len(c), 1 << 16):
                     m = len(c[k:k + (1 << 16)])
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block, np.int64)), pa.array(c[k:k + m]), pa.array(n[k:k + m])], names=["block", "code", "n"])
@@ -241,40 +299,67 @@ def _list_batches(depth: int):
             for lo, hi in zip(_runs(ids).tolist(), [*_runs(ids)[1:].tolist(), len(ids)]) if len(ids) else ():
                 if ids[lo] != block:
                     yield from emit()
-                    block, words, codes, counts = int(ids[lo]), Counter(), [], []
-                texts = [t.lower() for t in b.column("_text").slice(lo, hi - lo).to_pylist()]
-                held = b.column("held_out").slice(lo, hi - lo).to_pylist()
-                for t, out in zip(texts, held):
-                    if out:
-                        words.update(dict.fromkeys(t.split(), 0))
-                    else:
-                        words.update(t.split())
-                for out in (True, False):
-                    mine = [t for t, h in zip(texts, held) if h == out and t]
-                    for i, j in slices([len(t) for t in mine], CHUNK_BYTES):
-                        c, n = _distinct(np.sort(grams(mine[i:j], depth)[0]))
-                        codes.append(c)
-                        counts.append(n * (0 if out else 1))
-                if sum(map(len, codes)) > 2 * CHUNK_BYTES:
-                    c, n = _add_up(codes, counts)
-                    codes, counts = [c], [n]
+                    block, codes, counts = int(ids[lo]), [], []
+                sizes = pc.binary_length(b.column("_text").slice(lo, hi - lo)).to_pylist()
+                for i, j in slices(sizes, CHUNK_BYTES):
+                    texts = [t.lower() for t in b.column("_text").slice(lo + i, j - i).to_pylist()]
+                    held = b.column("held_out").slice(lo + i, j - i).to_pylist()
+                    for out in (True, False):
+                        mine = [t for t, h in zip(texts, held) if h == out]
+                        if not mine:
+                            continue
+                        c, n = _distinct(np.sort(grams(mine, depth)[0]))
+                        words = Counter(w for t in mine for w in t.split())
+                        codes += [c.view(np.int64), np.fromiter(map(word_code, words), np.int64, len(words))]
+                        counts += [n * (not out), np.fromiter(words.values(), np.int64, len(words)) * (not out)]
+                    if sum(map(len, codes)) > 2 * CHUNK_BYTES and len(codes) > 4:
+                        c, n = _add_up(codes, counts)
+                        codes, counts = [c], [n]
         yield from emit()
     return run
 
 
-def _tree_of(batches: Iterator[pa.RecordBatch], depth: int):
-    got = [(b.column("code").to_numpy().view(_U), b.column("n").to_numpy()) for b in batches if b.num_rows]
-    if not got:
-        return None, None
-    codes, counts = _add_up([g[0] for g in got], [g[1] for g in got])
-    return codes, layers(codes, counts, depth)
+def _whole_contexts(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted (code, n) rows in stretches that hold contexts of three bytes whole."""
+    codes, counts, size, enough = [], [], 0, GRAMS_AT_ONCE
+    for b in batches:
+        if not b.num_rows:
+            continue
+        codes.append(b.column("code").to_numpy().view(_U))
+        counts.append(b.column("n").to_numpy())
+        size += b.num_rows
+        if size >= enough:
+            c, n = np.concatenate(codes), np.concatenate(counts)
+            context = _context(c, depth, 3)
+            cut = int(np.searchsorted(context, context[-1]))
+            if cut:
+                yield c[:cut], n[:cut]
+            codes, counts, size = [c[cut:]], [n[cut:]], len(c) - cut
+            enough = max(GRAMS_AT_ONCE, 2 * size)
+    if size:
+        yield np.concatenate(codes), np.concatenate(counts)
 
 
 def _sum_batches(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, tree = _tree_of(batches, depth)
-        if tree:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in top_sums(tree)], names=["key", "n0", "n1", "w"])
+        for codes, counts in _whole_contexts(batches, depth):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in upper_sums(layers(codes, counts, depth))], names=["key", "n0", "n1", "w"])
+    return run
+
+
+def _finish_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Depth two: each node's sums with its share, estimate and log weighted probability."""
+    for b in batches:
+        weighted, stop, one = finished(*(b.column(c).to_numpy() for c in ("n0", "n1", "w")))
+        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("n0"), b.column("n1"), pa.array(weighted), pa.array(stop), pa.array(one)], names=["key", "n0", "n1", "w", "stop", "one"])
+
+
+def _probability_batches(depth: int, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for codes, counts in _whole_contexts(batches, depth):
+            p = log10_probabilities(codes, layers(codes, counts, depth), shared.value, depth).astype(np.float32).astype(float)
+            for k in range(0, len(codes), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(codes[k:k + (1 << 16)].view(np.int64)), pa.array(p[k:k + (1 << 16)])], names=["code", "v"])
     return run
 
 
@@ -298,119 +383,100 @@ def _packed(block: np.ndarray, code: np.ndarray, value: np.ndarray) -> pa.Record
                                        pa.array([_by_place(value[i:j]) for i, j in spans], pa.binary())], names=["block", "a", "b"])
 
 
-def _spread(batch: pa.RecordBatch, values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """A batch's (code, blocks) rows as one entry a block."""
-    lists = batch.column("blocks")
-    n = np.diff(lists.offsets.to_numpy())
-    return lists.flatten().to_numpy(), np.repeat(batch.column("code").to_numpy(), n), np.repeat(values, n)
-
-
-def _probability_batches(depth: int, shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        codes, tree = _tree_of(iter(held), depth)
-        if tree:
-            p = Table(codes, log10_probabilities(codes, tree, shared.value, depth).astype(np.float32))
-            for k in range(0, len(held), 16):
-                parts = [_spread(b, p[b.column("code").to_numpy().view(_U)]) for b in held[k:k + 16]]
-                yield _packed(*(np.concatenate([x[i] for x in parts]) for i in range(3)))
-    return run
-
-
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list = []
+def _pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
     for b in batches:
-        held.append(_spread(b, b.column("n").to_numpy()))
-        if sum(len(h[0]) for h in held) > 1 << 19:
-            yield _packed(*(np.concatenate([x[i] for x in held]) for i in range(3)))
-            held = []
-    if held:
-        yield _packed(*(np.concatenate([x[i] for x in held]) for i in range(3)))
+        held.append([b.column(c).to_numpy() for c in ("block", "code", "v")])
+        size += b.num_rows
+        if size > 1 << 20:
+            yield _packed(*map(np.concatenate, zip(*held)))
+            held, size = [], 0
+    if size:
+        yield _packed(*map(np.concatenate, zip(*held)))
 
 
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
 
 
 def _score_batches(depth: int, n_all: int, n_words: int, n_ends: int):
-    """Rows of a block in order: packed grams (kind 0), packed words (1), texts (2)."""
+    """Rows of a block in order: packed values of grams and words (kind 0), then texts (1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = np.log10(n_all + n_words + 1)
         end = np.log10(n_ends + 1) - whole
-        block, parts, tables = None, ([], []), None
+        block, parts, p_of, n_of = None, [], None, None
         for b in batches:
-            kinds, ids = b.column("kind").to_pylist(), b.column("block").to_pylist()
-            docs: list[int] = []
+            kinds, ids, docs = b.column("kind").to_pylist(), b.column("block").to_pylist(), []
 
             def flush():
                 texts = [b.column("a")[i].as_py().lower() for i in docs]
-                scores = np.zeros(len(texts))
+                scores = []
                 for i, j in slices([len(t) for t in texts], CHUNK_BYTES):
-                    if any(texts[i:j]):
-                        c, sizes = grams(texts[i:j], depth)
-                        p = np.concatenate((tables[0][c].astype(float), [0.0]))
-                        at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                        scores[i:j] = np.where(sizes > 0, np.add.reduceat(p, at), 0.0)
-                rows = [tables[1][np.fromiter(map(word_code, t.split()), np.int64).view(_U)] for t in texts]
+                    c, sizes = grams(texts[i:j], depth)
+                    scores.append(np.add.reduceat(p_of[c], np.cumsum(sizes) - sizes))
+                rows = [n_of[np.fromiter(map(word_code, t.split()), np.int64).view(_U)] for t in texts]
                 base = [float(np.log10(r + 1.0).sum() - len(r) * whole + end) for r in rows]
                 return pa.RecordBatch.from_arrays(
                     [pa.array([b.column("doc_id")[i].as_py() for i in docs], pa.int64()), pa.array([b.column("held_out")[i].as_py() for i in docs], pa.bool_()),
                      pa.array([len(r) + 1 for r in rows], pa.int64()), pa.array([int((r > 0).sum()) + (n_ends > 0) for r in rows], pa.int64()),
-                     pa.array(base, pa.float64()), pa.array(scores), pa.array([len(t) for t in texts], pa.int64())],
+                     pa.array(base, pa.float64()), pa.array(np.concatenate(scores)), pa.array([len(t) for t in texts], pa.int64())],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
 
-            for i, (k, at) in enumerate(zip(kinds, ids)):
+            for i, (kind, at) in enumerate(zip(kinds, ids)):
                 if at != block:
                     if docs:
                         yield flush()
                         docs = []
-                    block, parts, tables = at, ([], []), None
-                if k < 2:
-                    parts[k].append((_from_places(b.column("a")[i].as_py(), _U), _from_places(b.column("b")[i].as_py(), (np.float32, np.int64)[k])))
-                else:
-                    if tables is None:
-                        tables = [Table(*(np.concatenate([x[j] for x in part]) if part else np.zeros(0, kind) for j, kind in enumerate((_U, value))))
-                                  for part, value in zip(parts, (np.float32, np.int64))]
-                        parts = ([], [])
-                    docs.append(i)
+                    block, parts, p_of, n_of = at, [], None, None
+                if kind == 0:
+                    parts.append((_from_places(b.column("a")[i].as_py(), _U), _from_places(b.column("b")[i].as_py(), np.float64)))
+                    continue
+                if p_of is None:
+                    code, value = map(np.concatenate, zip(*parts))
+                    parts, word = [], code >= _U(1 << 63)
+                    p_of, n_of = Table(code[~word], value[~word]), Table(code[word], value[word])
+                docs.append(i)
             if docs:
                 yield flush()
     return run
 
 
-def score_corpus(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+def score_corpus(docs: DataFrame, depth: int = DEPTH, block_bytes: int | None = None) -> tuple[DataFrame, int]:
     """Scores of every row (columns of ``_SCORE``) and the number of training tokens.
 
     Training rows are those whose crc32 of the doc_id as text is not 2 modulo 7 (null doc_id: training).
-    Null text is empty: one token (the end), score 0 (a text without bytes is certain). Repeated rows
-    count and are scored as often as they stand. Without training rows every byte costs eight bits.
-    Only ``doc_id`` and ``text`` are read.
+    Null text is empty: one token and one symbol (the end). Repeated rows count and are scored as often as they
+    stand. Without training rows every decision is even. ``depth`` is 3 to 6. Only ``doc_id`` and ``text`` are
+    read.
     """
+    if not 3 <= depth <= 6:
+        raise ValueError("depth: 3 to 6 bytes")
     spark = docs.sparkSession
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc % 7 == 2).alias("held_out"), utf8("text").alias("_text"))
-    total = int(src.agg(F.sum(F.length("_text"))).first()[0] or 0)
-    tasks = max(-(-total // block_bytes), spark.sparkContext.defaultParallelism, 1)
-    src = staged(src.coalesce(tasks).withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_ROWS_LOG2)), "lm-texts", "zstd")
-
-    # every gram and word of the corpus: its training count, and the blocks that hold it
-    listed = map_batches(src.select("block", "held_out", "_text"), _list_batches(depth), "block long, code long, n long")
-    corpus = staged(listed.groupBy("code").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks")), "lm-corpus", "zstd")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc % 7 == 2).alias("held_out"), utf8("text").alias("_text"), F.spark_partition_id().alias("task"))
+    src = staged(map_batches(src, _cut_batches(block_bytes or BLOCK_BYTES), "block long, doc_id long, held_out boolean, _text binary"), "lm-texts", "zstd")
+
+    # every gram and word of a block, then their training counts in the corpus
+    listed = staged(map_batches(src.select("block", "held_out", "_text"), _list_batches(depth), "block long, code long, n long"), "lm-listed", "zstd")
+    corpus = staged(listed.groupBy("code").agg(F.sum("n").alias("n")), "lm-corpus", "zstd")
     words, all_grams = corpus.filter("code < 0"), corpus.filter("code >= 0")
     n_words_all, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     n_ends = src.filter("not held_out").count()
     n_all, n_distinct = int(n_words_all) + n_ends, n_distinct + (1 if n_ends else 0)
 
-    suffix = F.shiftrightunsigned(F.col("code"), 8 * (depth - 1))
-    sums = map_batches(all_grams.select("code", "n").repartition(suffix), _sum_batches(depth), "key long, n0 double, n1 double, w double").groupBy("key").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("w").alias("w")).toArrow()  # 65,536 rows at most
-    top = Top(*(sums.column(c).to_numpy() for c in ("key", "n0", "n1", "w")))
-    packed = map_batches(all_grams.repartition(suffix), _probability_batches(depth, spark.sparkContext.broadcast(top)), "block long, a binary, b binary")
-    packed_words = map_batches(words, _count_batches, "block long, a binary, b binary")
-
-    none = [F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out")]
-    rows = packed.select("block", F.lit(0).alias("kind"), "a", "b", *none).unionByName(
-        packed_words.select("block", F.lit(1).alias("kind"), "a", "b", *none)).unionByName(
-        src.select("block", F.lit(2).alias("kind"), F.col("_text").alias("a"), F.lit(None).cast("binary").alias("b"), "doc_id", "held_out"))
+    context = F.shiftrightunsigned(F.col("code"), 8 * (depth - 3) + BITS)
+    dealt = all_grams.repartition(context).sortWithinPartitions("code")
+    sums = map_batches(dealt, _sum_batches(depth), "key long, n0 double, n1 double, w double").groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "w")])
+    two = staged(map_batches(sums, _finish_batches, "key long, n0 double, n1 double, w double, stop double, one double"), "lm-depth-two")
+    up = F.expr(f"(key >> {BITS + 8} << {BITS}) | (key & {NODES - 1})")
+    one = two.groupBy(up.alias("key")).agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "w")]).toArrow()  # 256 contexts of 384 nodes at most
+    known = two.select("key", "stop", "one").toArrow()  # contexts of two bytes
+    top = Top(tuple(known.column(c).to_numpy() for c in ("key", "stop", "one")), tuple(one.column(c).to_numpy() for c in ("key", "n0", "n1", "w")))
+    values = map_batches(dealt, _probability_batches(depth, spark.sparkContext.broadcast(top)), "code long, v double").unionByName(
+        words.select("code", F.col("n").cast("double").alias("v")))
+    packed = map_batches(listed.select("block", "code").join(values, "code").select("block", "code", "v"), _pack_batches, "block long, a binary, b binary")
+
+    rows = packed.select("block", F.lit(0).alias("kind"), "a", "b", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out")).unionByName(
+        src.select("block", F.lit(1).alias("kind"), F.col("_text").alias("a"), F.lit(None).cast("binary").alias("b"), "doc_id", "held_out"))
     rows = rows.repartition("block").sortWithinPartitions("block", "kind")
     return map_batches(rows, _score_batches(depth, n_all, n_distinct, n_ends), _SCORE), n_all
 
