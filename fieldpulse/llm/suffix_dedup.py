@@ -7,13 +7,14 @@ window is a stretch of ``LENGTH`` bytes; equal windows must be found wherever th
    Equal windows choose equal anchors at the same place, so windows can only be equal within one
    anchor's group. Windows in a row that share an anchor make a segment: one row ``(anchor, segment
    hash, text, start)``, narrow, aggregated before it is shuffled.
-2. *Shards.* Anchors that start once are dropped. Of the rest, each distinct segment's bytes go to the
+2. *Shards.* Anchors of a segment that stands once are dropped, unless the segment may repeat itself. Of the rest, each distinct segment's bytes go to the
    shard of its anchor. A group above ``shard_bytes`` is dealt over several shards.
 3. *Suffix arrays.* A shard sorts the suffixes of its segments by Larsson-Sadakane refinement: ranks
    by the first 8 bytes, then pairs of ranks double the sorted length, each time only inside the
-   groups that are still tied. Kasai's scan, run on all segments of the shard side by side, gives the
-   common prefixes of neighbours. A run of neighbours with ``LENGTH`` bytes in common that starts
-   twice (a segment counts as often as it stands in the corpus) is repeated.
+   groups that are still tied, until ``LENGTH`` bytes are sorted; what reaches over a segment's end is
+   left as it is. Kasai's scan, run on all segments of the shard side by side and eight bytes at a time,
+   gives the common prefixes of neighbouring windows. A run of neighbours with ``LENGTH`` bytes in common
+   that starts twice (a segment counts as often as it stands in the corpus) is repeated.
 4. *Merging.* Groups spread over shards are merged: every shard lists its distinct windows of those
    groups as a sorted run of 128-bit keys, runs are cut by key range, and in each range every run is
    looked up in the union of the others by binary search; a key that two runs hold is repeated in both.
@@ -36,6 +37,7 @@ from fieldpulse.llm._common import map_batches, staged, utf8
 
 LENGTH, GRAM = 400, 64
 PIECE = 1 << 22  # window starts handled at once; longer texts go piece by piece
+SEGMENT = 4096  # windows of a segment at most
 SHARD_BYTES = 4 << 20
 _U = np.uint64
 _PLACE = _U((1 << 24) - 1)
@@ -66,82 +68,104 @@ def sliding_least(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1:width - 1 + n])
 
 
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, int, int, int]]:
-    """(anchor hash, segment hash, start, bytes) of each segment of a text."""
+def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, int, int, int, bool]]:
+    """(anchor hash, segment hash, start, bytes, whether its windows have several anchors, so that some may be
+    equal) of each segment of a text."""
     for base in range(0, max(0, len(text) - length + 1), PIECE):
         x = np.frombuffer(text, np.uint8)[base:base + PIECE + length - 1]
         h = gram_hashes(x, gram)
         key = (h & ~_PLACE) | np.arange(len(h), dtype=_U)
         at = (sliding_least(key, length - gram + 1) & _PLACE).astype(np.int64)
-        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        ends = np.append(first[1:], len(at)) - 1 + length
-        for a, s, e in zip(h[at[first]].view(np.int64).tolist(), (first + base).tolist(), (ends + base).tolist()):
-            yield a, xxhash.xxh3_64_intdigest(text[s:e]) - (1 << 63), s, e - s
+        of = h[at]
+        first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        runs = np.diff(first, append=len(of))
+        if runs.max() > SEGMENT:  # long runs are cut from their starts
+            n = -(-runs // SEGMENT)
+            first = np.repeat(first, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * SEGMENT
+        last = np.append(first[1:], len(of)) - 1
+        for a, s, e, more in zip(of[first].view(np.int64).tolist(), (first + base).tolist(), (last + length + base).tolist(), (at[first] != at[last]).tolist()):
+            yield a, xxhash.xxh3_64_intdigest(text[s:e]) - (1 << 63), s, e - s, more
 
 
 # ---- suffix arrays ---------------------------------------------------------------------------------
 
-def suffix_array(x: np.ndarray) -> np.ndarray:
-    """Places of ``x`` in the order of their suffixes (Larsson-Sadakane: ranks by the first 8 bytes,
-    then by pairs of ranks, sorting only the groups still tied until none is)."""
-    n = len(x)
+def words8(x: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on (zeros beyond the end), the first byte on top."""
     wide = np.concatenate((x, np.zeros(8, np.uint8)))
-    key = np.zeros(n, _U)
+    out = np.zeros(len(x), _U)
     for j in range(8):
-        key |= wide[j:j + n].astype(_U) << _U(56 - 8 * j)
-    sa = np.argsort(key, kind="stable")
+        out |= wide[j:j + len(x)].astype(_U) << _U(56 - 8 * j)
+    return out
+
+
+def suffix_array(x: np.ndarray, room: np.ndarray, most: int) -> np.ndarray:
+    """Places of ``x`` in the order of their suffixes' first ``most`` bytes (Larsson-Sadakane: ranks by the
+    first 8 bytes, then by pairs of ranks, sorting only the groups still tied). ``room`` is how many bytes a
+    place has to its segment's end; a place with less than what is compared stays in front of its equals so
+    far, and nothing asks for its order."""
+    n = len(x)
+    key = words8(x)
+    sa = np.argsort(key)
     key = key[sa]
     head = np.concatenate(([True], key[1:] != key[:-1]))
     start = np.flatnonzero(head)
     rank = np.empty(n, np.int64)
     rank[sa] = np.repeat(start, np.diff(start, append=n))
     tied = np.flatnonzero(~(head & np.append(head[1:], True)))  # places in the array whose group has others
-    done = 8
-    while len(tied):
+    done = min(8, most)
+    while len(tied) and done < most:
+        step = min(done, most - done)
         at = sa[tied]
-        ahead = at + done
-        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + done + 1, n - at)  # the shorter comes first
+        # two stretches of ``done`` bytes, the second from ``step`` on (the last pair overlaps)
+        fits = room[at] >= done + step
+        second = np.where(fits, rank[np.minimum(at + step, n - 1)] + 1, 0)
         key = (rank[at].astype(_U) << _U(32)) | second.astype(_U)
-        order = np.argsort(key, kind="stable")
-        at, key = at[order], key[order]
+        order = np.argsort(key)
+        at, key, fits = at[order], key[order], fits[order]
         sa[tied] = at
         head = np.concatenate(([True], key[1:] != key[:-1]))
         start = np.flatnonzero(head)
         rank[at] = np.repeat(tied[start], np.diff(start, append=len(tied)))
-        tied = tied[~(head & np.append(head[1:], True))]
-        done *= 2
+        tied = tied[~(head & np.append(head[1:], True)) & fits]
+        done += step
     return sa
 
 
-def common_prefixes(x: np.ndarray, sa: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int) -> np.ndarray:
-    """Kasai's scan: for every place, the bytes (``most`` at most) it has in common with the suffix
-    before it in the array. Going one place on loses one byte at most, so a scan carries its count
-    along; all segments scan side by side."""
+def common_prefixes(x: np.ndarray, windows: np.ndarray, starts: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """Kasai's scan: for every place of ``windows`` (sorted by their first ``most`` bytes), the bytes (``most`` at
+    most) it has in common with the one before it. Going one place on loses one byte at most where both go on to
+    places in the same order, so a scan carries its count along; all segments (``counts`` windows from each of
+    ``starts``) scan side by side, eight bytes a step."""
     n = len(x)
-    before = np.empty(n, np.int64)  # the place whose suffix comes before
-    before[sa[1:]] = sa[:-1]
-    before[sa[0]] = -1
-    wide = np.concatenate((x, np.zeros(8, np.uint8)))
+    before, rank = np.full(n + 1, -1, np.int64), np.full(n + 1, -1, np.int64)
+    before[windows[1:]] = windows[:-1]
+    rank[windows] = np.arange(len(windows))
+    eight = np.append(words8(x), np.zeros(1, _U))
     common = np.zeros(n, np.int32)
-    order = np.argsort(-sizes, kind="stable")
-    starts, sizes = starts[order], sizes[order]
-    have = np.zeros(len(starts), np.int64)
-    for t in range(int(sizes.max(initial=0))):
-        live = int(np.searchsorted(-sizes, -t, side="left"))  # segments longer than t
+    order = np.argsort(-counts, kind="stable")
+    starts, counts = starts[order], counts[order]
+    have, last = np.zeros(len(starts), np.int64), np.full(len(starts), -1, np.int64)
+    for t in range(int(counts.max(initial=0))):
+        live = int(np.searchsorted(-counts, -t, side="left"))  # segments with more than t windows
         i = starts[:live] + t
         j = before[i]
-        h = np.maximum(have[:live] - 1, 0)
+        along = last[:live] + 1
+        carried = (last[:live] >= 0) & (rank[along] >= 0) & (rank[along] < rank[i])
+        h = np.where(carried, np.maximum(have[:live] - 1, 0), 0)
         open_ = np.flatnonzero((j >= 0) & (h < most))
         while len(open_):
             a, b = i[open_] + h[open_], j[open_] + h[open_]
-            inside = (a < n) & (b < n)
-            same = inside & (wide[np.minimum(a, n)] == wide[np.minimum(b, n)])
+            differ = eight[np.minimum(a, n)] ^ eight[np.minimum(b, n)]
+            same = differ == 0
+            h[open_[same]] += 8
+            rest = differ[~same]
+            h[open_[~same]] += np.add.reduce([rest < _U(1 << k) for k in range(8, 64, 8)], axis=0) if len(rest) else 0
             open_ = open_[same]
-            h[open_] += 1
             open_ = open_[h[open_] < most]
+        h = np.minimum(h, most)
         h[j < 0] = 0
         common[i] = h
-        have[:live] = h
+        have[:live], last[:live] = h, j
     return common
 
 
@@ -151,19 +175,19 @@ def repeated_windows(segments: list[bytes], times: list[int], length: int = LENG
     sizes = np.array([len(s) for s in segments], np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
     x = np.frombuffer(b"".join(segments), np.uint8)
-    sa = suffix_array(x)
-    lcp = common_prefixes(x, sa, starts, sizes, length)
-    owner = np.repeat(np.arange(len(segments)), sizes)
     room = np.repeat(starts + sizes, sizes) - np.arange(len(x))
+    sa = suffix_array(x, room, length)
     window = sa[room[sa] >= length]  # windows in the array's order
-    # neighbours among windows: equal if every suffix between them shares the length
-    low = lcp[sa] >= length
-    group_all = np.cumsum(~low)
-    group = group_all[room[sa] >= length]
-    head = np.concatenate(([True], group[1:] != group[:-1])) if len(group) else np.zeros(0, bool)
+    if not len(window):
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(bool), none.astype(bool), starts
+    lcp = common_prefixes(x, window, starts, np.maximum(sizes - length + 1, 0), length)
+    owner = np.repeat(np.arange(len(segments)), sizes)[window]
+    head = lcp[window] < length
+    head[0] = True
     number = np.cumsum(head) - 1
-    weight = np.bincount(number, np.array(times, float)[owner[window]], number[-1] + 1 if len(number) else 0)
-    return window, owner[window], weight[number] >= 2 if len(number) else np.zeros(0, bool), head, starts
+    weight = np.bincount(number, np.array(times, float)[owner])
+    return window, owner, weight[number] >= 2, head, starts
 
 
 def spans_of(at: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -205,18 +229,18 @@ def _spans_array(rows: list[list[tuple[int, int]]]) -> pa.Array:
 def _anchor_batches(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows, tids):
-            cols = list(zip(*rows)) if rows else [()] * 4
-            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(tids, pa.binary())],
-                                              names=["h", "s", "start", "size", "tid"])
+            *cols, more = zip(*rows) if rows else [()] * 5
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(more, pa.bool_()), pa.array(tids, pa.binary())],
+                                              names=["h", "s", "start", "size", "more", "tid"])
         for b in batches:
             rows, tids = [], []
             for text, tid in zip(b.column("_text").to_pylist(), b.column("tid").to_pylist()):
-                got = list(anchors(text, length, gram))
-                rows += got
-                tids += [tid] * len(got)
-                if len(rows) > 50_000:
-                    yield out(rows, tids)
-                    rows, tids = [], []
+                for segment in anchors(text, length, gram):
+                    rows.append(segment)
+                    tids.append(tid)
+                    if len(rows) >= 50_000:
+                        yield out(rows, tids)
+                        rows, tids = [], []
             yield out(rows, tids)
     return run
 
@@ -320,15 +344,17 @@ def _remove_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def repeated_segments(texts: DataFrame, copies: DataFrame, length: int = LENGTH, gram: int = GRAM,
                       shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``tid, a, e``-spans of repeated windows of texts that stand once in the corpus, not yet joined."""
-    places = staged(map_batches(texts.select("_text", "tid"), _anchor_batches(length, gram), "h long, s long, start long, size long, tid binary"), "places")
-    segments = staged(places.groupBy("h", "s").agg(F.count("*").alias("times"), F.min(F.struct("tid", "start")).alias("at"), F.first("size").alias("size")), "segments")
-    groups = (segments.groupBy("h").agg(F.sum("times").alias("n"), F.count("*").alias("kinds"), F.sum("size").alias("bytes"))
-              .filter("n > 1"))
+    each = map_batches(texts.select("_text", "tid"), _anchor_batches(length, gram), "h long, s long, start long, size long, more boolean, tid binary")
+    # copies of a text make one row a place: n is how often the text stands in the corpus
+    places = staged(each.groupBy("h", "s", "tid", "start", "size", "more").agg(F.count("*").alias("n")), "places")
+    segments = staged(places.groupBy("h", "s").agg(F.sum("n").alias("times"), F.min(F.struct("tid", "start")).alias("at"), F.first("size").alias("size"), F.max("more").alias("more")), "segments")
+    groups = (segments.groupBy("h").agg(F.sum("times").alias("n"), F.count("*").alias("kinds"), F.sum("size").alias("bytes"), F.max("more").alias("own"))
+              .filter("n > 1 or own").drop("own"))
     met = staged(segments.join(groups, "h"), "met")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("e")))
-    alone = met.filter("kinds = 1").select("h", "s", whole.alias("spans"))  # equal segments have met already
+    alone = met.filter("kinds = 1 and n > 1").select("h", "s", whole.alias("spans"))  # equal segments have met already
 
-    many = met.filter("kinds > 1")
+    many = met.filter("kinds > 1 or n = 1")
     total = int(many.agg(F.sum("size")).first()[0] or 0)
     shards = max(1, -(-2 * total // shard_bytes))
     hot = F.col("bytes") > shard_bytes
@@ -336,10 +362,10 @@ def repeated_segments(texts: DataFrame, copies: DataFrame, length: int = LENGTH,
     shard = F.when(hot, -1 - F.pmod(F.xxhash64("h", F.pmod(F.col("s"), parts)), F.lit(1 << 62))).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards)))
     need = many.select(F.col("at.tid").alias("tid"), F.struct(shard.cast("long").alias("shard"), hot.alias("hot"), "h", "s", "times",
                                                               F.col("at.start").alias("start"), "size").alias("n"))
-    need = need.groupBy("tid").agg(F.collect_list("n").alias("need")).join(copies.select("tid", F.col("least").alias("doc_id")), "tid")
-    held = texts.select("tid", "doc_id", "_text")
-    same = (held["tid"] == need["tid"]) & held["doc_id"].eqNullSafe(need["doc_id"])
-    cut = map_batches(held.join(need, same).select("_text", "need"), _cut_batches, "shard long, hot boolean, h long, s long, times long, bytes binary")
+    # one of a text's copies delivers its segments; copies are told apart in the key, so they don't meet
+    need = need.groupBy("tid").agg(F.collect_list("n").alias("need")).join(copies, "tid").select(F.struct("tid", F.col("least").alias("doc_id")).alias("who"), "need")
+    held = texts.select(F.struct("tid", "doc_id").alias("who"), "_text")
+    cut = map_batches(held.join(need, "who").select("_text", "need"), _cut_batches, "shard long, hot boolean, h long, s long, times long, bytes binary")
     # rows equal in doc_id and text may each deliver a segment; one is enough
     cut = cut.repartition("shard").sortWithinPartitions("shard", "h", "s")
     ranges = max(1, min(1 << 12, -(-total // shard_bytes)))
@@ -348,9 +374,9 @@ def repeated_segments(texts: DataFrame, copies: DataFrame, length: int = LENGTH,
     runs = solved.filter("keys is not null").repartition("h", "part").sortWithinPartitions("h", "part").select("h", "part", "keys", "owners", "places")
     across = map_batches(runs, _merge_batches(length), f"h long, s long, spans {_SPANS}")
     found = alone.unionByName(inside).unionByName(across)
-    once = copies.filter("copies = 1").select("tid")
-    return places.select("h", "s", "tid", "start").join(found, ["h", "s"]).select(
-        "tid", F.transform("spans", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["e"] + F.col("start")).alias("e"))).alias("spans")).join(once, "tid")
+    once = places.filter("n = 1").select("h", "s", "tid", "start")
+    return once.join(found, ["h", "s"]).select(
+        "tid", F.transform("spans", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["e"] + F.col("start")).alias("e"))).alias("spans"))
 
 
 def _unique_then(fn):
