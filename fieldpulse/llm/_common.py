@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldpulse.session import checkpoint_dir, ship_package
 
@@ -38,8 +39,28 @@ def byte_size(col: str) -> Column:
     return F.coalesce(F.octet_length(F.col(col)), F.lit(0)).cast("long")
 
 
+def quoted(name: str) -> str:
+    """A column name as a reference that dots don't take apart."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def row_of(columns: list[str]) -> Column:
+    """The columns as one struct, so that their names can't clash with an operator's own."""
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in columns])
+
+
+def row_columns(columns: list[str], row: str = "row") -> list[Column]:
+    """The columns of such a struct again."""
+    return [F.col(row).getField(c).alias(c) for c in columns]
+
+
+def with_fields(df: DataFrame, fields: str, row: str = "row") -> StructType:
+    """The schema of a column of ``df`` followed by further fields (DDL)."""
+    return StructType([df.schema[row], *StructType.fromDDL(fields).fields])
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
+                schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with the package shipped to the Python workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)

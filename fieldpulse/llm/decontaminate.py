@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.llm._common import map_batches, staged, utf8
+from fieldpulse.llm._common import map_batches, row_columns, row_of, staged, utf8, with_fields
 
 WINDOW, SHINGLE = 13, 3
 BLOCK_WORDS = 1_000_000
@@ -233,11 +233,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     """
     spark = docs.sparkSession
     keep = keep or ["doc_id"]
-    src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), utf8("text").alias("_text"))
-    kind = src.schema["row"].dataType.simpleString()
+    src = docs.select(row_of(keep).alias("row"), utf8("text").alias("_text"))
     blocks = list(_prepared(src, benchmark, window, block_words, spark))
     if len(blocks) == 1:
-        out = map_batches(src, _hit_batches(blocks[0]), f"row {kind}, {_OUT}")
+        out = map_batches(src, _hit_batches(blocks[0]), with_fields(src, _OUT))
         out = out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"]))
     else:
         numbered = staged(src.withColumn("_row", F.monotonically_increasing_id()), "numbered")
@@ -248,7 +247,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
         merged = parts.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("spans"),
                                            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         count = map_batches(numbered.select("row", "_row", "_text"), _hit_batches(spark.sparkContext.broadcast(choose_prefixes(make_windows([]), {}))),
-                            f"row {kind}, _row long, {_OUT}").drop("spans", "items")
+                            with_fields(src, f"_row long, {_OUT}")).drop("spans", "items")
         out = count.join(merged, "_row", "left").drop("_row")
         out = (out.withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<s:long,e:long>>)")))
                .withColumn("items", F.coalesce("items", F.expr("cast(array() as array<string>)")))
@@ -270,7 +269,7 @@ def _prepared(src: DataFrame, benchmark: DataFrame, window: int, block_words: in
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """``docs`` without contaminated rows, all columns as they were."""
-    return contamination(docs, benchmark, keep=docs.columns, **kw).filter(~F.col("contaminated")).select("row.*")
+    return contamination(docs, benchmark, keep=docs.columns, **kw).filter(~F.col("contaminated")).select(*row_columns(docs.columns))
 
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.llm._common import map_batches, staged, utf8
+from fieldpulse.llm._common import map_batches, quoted, row_columns, row_of, staged, utf8, with_fields
 
 DIMS = ("source", "lang", "topic")
 #: Default targets: a value's share is its token share to this power (1 keeps the mix, 0 levels it).
@@ -67,9 +67,9 @@ def _token_batches(topics: int, given: bool):
 def described(docs: DataFrame, keep: list[str], topics: int = TOPICS, topic: str | None = None) -> DataFrame:
     """``row`` (struct of the ``keep`` columns), ``n_tokens``, ``source``, ``lang``, ``topic`` (of the
     column that ``topic`` names, else :func:`topic_of` the text)."""
-    src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), utf8("text").alias("_text"),
-                      *([F.coalesce(F.col(topic).cast("string"), F.lit(NONE)).alias("_topic")] if topic else []))
-    out = map_batches(src, _token_batches(topics, topic is not None), f"row {src.schema['row'].dataType.simpleString()}, n_tokens long, topic string")
+    src = docs.select(row_of(keep).alias("row"), utf8("text").alias("_text"),
+                      *([F.coalesce(F.col(quoted(topic)).cast("string"), F.lit(NONE)).alias("_topic")] if topic else []))
+    out = map_batches(src, _token_batches(topics, topic is not None), with_fields(src, "n_tokens long, topic string"))
     return out.withColumn("source", F.coalesce(F.col("row.source").cast("string"), F.lit(NONE))).withColumn(
         "lang", F.coalesce(F.col("row.lang").cast("string"), F.lit(NONE)))
 
@@ -275,7 +275,7 @@ def mix(docs: DataFrame, keep: list[str] | None = None, targets: dict | None = N
 def sample_to_targets(docs: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs`` that are drawn, all columns as they were."""
     out = mix(docs, keep=list(docs.columns), **kw).filter("sampled")
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return out.select(*row_columns(docs.columns))
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:

@@ -4,12 +4,16 @@
 2. Rows collapse to distinct fingerprints before anything is shuffled by content.
 3. Distinct fingerprints are dealt to buckets: 64 bits are cut into six blocks and a bucket fixes
    two of them. Two fingerprints that differ in four bits or fewer agree in two blocks at least, so
-   they meet in a bucket. A bucket above ``bucket_limit`` is cut again: its open bits are divided
-   into five parts, of which at least one agrees, and so on. Nothing is capped.
+   they meet in a bucket. A bucket above ``bucket_limit`` is dealt to cells by the distances to three
+   pivots, in steps of five: coordinates of a link differ by four at most, so a member goes to its own
+   cell and the next one by each pivot, and every link meets in a cell. Nothing is capped, and the plan
+   does not depend on the data.
 4. In a bucket, a pivot table holds each fingerprint's Hamming distances to ``PIVOTS``. By the
    triangle inequality a pair whose coordinates differ by more than the limit at any pivot cannot
    be a link, so the pair is discarded by its largest coordinate difference; survivors are verified
    on the fingerprints themselves.
+   A bucket too large for one sweep cuts the bits that differ in it into five parts, of which a link
+   agrees in one; parts whose members are already in one component are passed over.
 5. A bucket emits a spanning forest of its links (at most one edge a member, never all pairs), and
    connected components join the forests.
 """
@@ -22,10 +26,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.llm._common import map_batches, staged, utf8
+from fieldpulse.llm._common import map_batches, row_columns, row_of, staged, utf8
 from fieldpulse.llm._graph import connected_components
 
 SHINGLE, MAX_BITS = 4, 4
@@ -33,8 +37,8 @@ BLOCKS = 6
 #: Reference fingerprints: balanced Walsh patterns (mutually 32 bits apart), so that the coordinates
 #: at different pivots carry independent information.
 N_PIVOTS = 16
-BUCKET_LIMIT = 20_000
-SMALL = 64
+BUCKET_LIMIT, CELL_PIVOTS = 20_000, 3
+SMALL, SWEEP = 64, 4096
 
 
 def walsh_pivots(n: int) -> np.ndarray:
@@ -88,8 +92,7 @@ def _cut(bits: list[int], parts: int) -> list[list[int]]:
 
 
 def _mask(bits: list[int]) -> int:
-    m = sum(1 << b for b in bits)
-    return m - (1 << 64) if m >> 63 else m
+    return signed(sum(1 << b for b in bits))
 
 
 def first_masks(max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> list[int]:
@@ -97,32 +100,25 @@ def first_masks(max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> list[int]:
     return [_mask(sum(c, [])) for c in combinations(cut, blocks - max_bits)]
 
 
-def finer_masks(mask: int, max_bits: int = MAX_BITS) -> list[int]:
-    fixed = [i for i in range(64) if mask >> i & 1]
-    rest = [i for i in range(64) if not mask >> i & 1]
-    return [_mask(fixed + p) for p in _cut(rest, max_bits + 1)] if len(rest) > max_bits + 1 else []
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def cells(max_bits: int) -> Column:
+    """The cells of the fingerprint ``fp`` by its distances to the first pivots: its own and the next of each."""
+    width = max_bits + 1
+    own = [F.floor(F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(p))))) / F.lit(width)) for p in PIVOTS[:CELL_PIVOTS]]
+    return F.array(*[sum(((o + F.lit(k >> i & 1)) * F.lit(100 ** i) for i, o in enumerate(own)), F.lit(0)).cast("int") for k in range(1 << CELL_PIVOTS)])
 
 
 def bucket_rows(distinct_fps: DataFrame, max_bits: int, blocks: int, bucket_limit: int) -> DataFrame:
-    """``(mask, key, fp)``: each fingerprint in every bucket where it may meet a partner."""
-    masks = first_masks(max_bits, blocks)
-    rows = distinct_fps.select("fp", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
+    """``(fp, mask, key, cell)``: each fingerprint in every bucket, and in every cell of a large bucket, where it
+    may meet a partner."""
+    rows = distinct_fps.select("fp", F.explode(F.array(*map(F.lit, first_masks(max_bits, blocks)))).alias("mask"))
     rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
-    done = None
-    while masks:
-        hot = staged(rows.groupBy("mask", "key").count().filter(F.col("count") > bucket_limit)
-                     .select("mask", "key", F.lit(True).alias("hot")), "hot-buckets")
-        finer = {m: finer_masks(m, max_bits) for m in masks}
-        if hot.isEmpty() or not all(finer.values()):
-            break
-        marked = rows.join(hot, ["mask", "key"], "left")
-        cool = marked.filter("hot is null").select("fp", "mask", "key")
-        done = cool if done is None else done.unionByName(cool)
-        table = F.create_map(*[x for m, fm in finer.items() for x in (F.lit(m), F.array(*map(F.lit, fm)))])
-        rows = (marked.filter("hot").select("fp", F.explode(table[F.col("mask")]).alias("mask"))
-                .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
-        masks = sorted({m for fm in finer.values() for m in fm})
-    return rows.select("fp", "mask", "key") if done is None else done.unionByName(rows.select("fp", "mask", "key"))
+    hot = staged(rows.groupBy("mask", "key").count().filter(F.col("count") > bucket_limit).select("mask", "key", F.lit(True).alias("hot")), "hot-buckets")
+    marked = rows.join(hot, ["mask", "key"], "left")
+    return marked.select("fp", "mask", "key", F.explode(F.when(F.col("hot"), cells(max_bits)).otherwise(F.array(F.lit(-1)))).alias("cell"))
 
 
 # ---- links inside buckets ------------------------------------------------------------------------
@@ -140,9 +136,9 @@ def _close(fps: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, max
     return keep[np.bitwise_count(fps[i[keep]] ^ fps[j[keep]]) <= max_bits]
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The least index reachable from each of ``n`` members over the links."""
-    root = np.arange(n)
+def _forest(n: int, i: np.ndarray, j: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
+    """The least index reachable from each of ``n`` members over the links (and what ``root`` has joined)."""
+    root = np.arange(n) if root is None else root.copy()
     while len(i):
         a, b = root[i], root[j]
         if (a == b).all():
@@ -181,6 +177,61 @@ def _sweep(fps: np.ndarray, max_bits: int) -> np.ndarray:
     return root
 
 
+def _near_pairs(group: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within groups of ``SMALL`` rows at most (rows sorted by group): every distance apart at once."""
+    table = pivot_table(fps)
+    ii, jj = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for d in range(1, SMALL):
+        i = np.flatnonzero(group[d:] == group[:-d])
+        if not len(i):
+            break
+        hit = i[_close(fps, table, i, i + d, max_bits)]
+        ii.append(hit)
+        jj.append(hit + d)
+    return np.concatenate(ii), np.concatenate(jj)
+
+
+def _large(fps: np.ndarray, root: np.ndarray, max_bits: int) -> np.ndarray:
+    """Roots in a bucket of any size. ``root`` is what is known of its components (least members).
+
+    The bits that differ are cut into ``max_bits + 1`` parts; a link agrees in one of them, so its ends have equal
+    bits there. Groups of equal bits are solved one by one; a group in one component has nothing to add, one with
+    few members outside its largest component compares those with all."""
+    n = len(fps)
+    names, number, size = np.unique(root, return_inverse=True, return_counts=True)
+    if len(names) == 1:
+        return root
+    few = np.flatnonzero(number != size.argmax())
+    if n <= SWEEP or len(few) <= SMALL:
+        if n <= SWEEP and len(few) > SMALL:
+            found = _sweep(fps, max_bits)
+            return _forest(n, np.arange(n), found, root)
+        table, every = pivot_table(fps), np.arange(n)
+        for x in few.tolist():
+            hit = _close(fps, table, np.full(n, x), every, max_bits)
+            root = _forest(n, np.full(len(hit), x), hit, root)
+        return root
+    differ = int(np.bitwise_or.reduce(fps ^ fps[0]))
+    for part in _cut([b for b in range(64) if differ >> b & 1], max_bits + 1):
+        key = fps & np.uint64(sum(1 << b for b in part))
+        order = np.argsort(key, kind="stable")
+        starts = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
+        sizes = np.diff(starts, append=n)
+        small = order[np.repeat((sizes > 1) & (sizes <= SMALL), sizes)]
+        if len(small):
+            i, j = _near_pairs(key[small], fps[small], max_bits)
+            root = _forest(n, small[i], small[j], root)
+        for s, m in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+            members = np.sort(order[s:s + m])
+            known = root[members]
+            first = np.unique(known, return_index=True, return_inverse=True)
+            found = _large(fps[members], first[1][first[2]], max_bits)
+            root = _forest(n, members, members[found], root)
+        if (root == root[0]).all():
+            break
+    return root
+
+
 def bucket_links(group: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links of rows sorted by bucket number ``group``: pairs (member, root)."""
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.zeros(0, int)
@@ -188,23 +239,14 @@ def bucket_links(group: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.
     out_a, out_b = [], []
     for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
         part = fps[s:s + n]
-        root = _sweep(part, max_bits)
+        root = _sweep(part, max_bits) if n <= SWEEP else _large(part, np.arange(n), max_bits)
         moved = root != np.arange(n)
         out_a.append(part[moved])
         out_b.append(part[root[moved]])
     small = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
     g, f = group[small], fps[small]
     if len(f):
-        table = pivot_table(f)
-        ii, jj = [], []
-        for d in range(1, SMALL):
-            i = np.flatnonzero(g[d:] == g[:-d])
-            if not len(i):
-                break
-            hit = i[_close(f, table, i, i + d, max_bits)]
-            ii.append(hit)
-            jj.append(hit + d)
-        root = _forest(len(f), np.concatenate(ii), np.concatenate(jj)) if ii else np.arange(len(f))
+        root = _forest(len(f), *_near_pairs(g, f, max_bits))
         moved = root != np.arange(len(f))
         out_a.append(f[moved])
         out_b.append(f[root[moved]])
@@ -217,21 +259,21 @@ def _link_batches(max_bits: int):
         held: list[np.ndarray] = []
 
         def emit(rows: np.ndarray):
-            change = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+            change = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
             group = np.concatenate(([0], np.cumsum(change)))
-            a, b = bucket_links(group, rows[:, 2].copy().view(np.uint64), max_bits)
+            a, b = bucket_links(group, rows[:, 3].copy().view(np.uint64), max_bits)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "key", "fp")], axis=1)
-            last = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(axis=1))
+            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "key", "cell", "fp")], axis=1)
+            last = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
             cut = int(last[-1]) + 1 if len(last) else 0  # the batch's last bucket may go on
             if cut:
                 yield emit(np.concatenate(held + [rows[:cut]]))
                 held = []
-            elif held and (held[-1][-1, :2] != rows[0, :2]).any():
+            elif held and (held[-1][-1, :3] != rows[0, :3]).any():
                 yield emit(np.concatenate(held))
                 held = []
             held.append(rows[cut:])
@@ -244,7 +286,7 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = MAX_BITS, blocks:
                       bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """``(a, b)``: links between distinct fingerprints that span every component."""
     rows = bucket_rows(distinct_fps, max_bits, blocks, bucket_limit)
-    rows = rows.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
+    rows = rows.repartition("mask", "key", "cell").sortWithinPartitions("mask", "key", "cell", "fp")
     return map_batches(rows, _link_batches(max_bits), "a long, b long")
 
 
@@ -274,11 +316,10 @@ def keep_one_per_group(docs: DataFrame, **kw) -> DataFrame:
     they were. The one with the smallest doc_id stays (of rows that share it, the one with the least
     text hash; of rows equal in both, one)."""
     found = near_duplicate_classes(docs, **kw)
-    reps = found.select(F.col("component_id").alias("_d"), F.col("rep_copy").alias("_c")).distinct()
-    kept = docs.withColumn("_c", F.xxhash64("text")).withColumn("_d", F.col("doc_id").cast("long"))
-    joined = kept.join(reps.withColumnsRenamed({"_d": "_rd", "_c": "_rc"}),
-                       F.col("_d").eqNullSafe(F.col("_rd")) & (F.col("_c") == F.col("_rc")), "left_semi")
-    return joined.dropDuplicates(["_d", "_c"]).select(*docs.columns)
+    # settled on ids; the texts move once, by the key that copies are told apart by
+    reps = found.select(F.struct(F.col("component_id").alias("d"), F.col("rep_copy").alias("c")).alias("who")).distinct()
+    rows = docs.select(row_of(docs.columns).alias("row"), F.struct(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("c")).alias("who"))
+    return rows.join(reps, "who", "left_semi").dropDuplicates(["who"]).select(*row_columns(docs.columns))
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

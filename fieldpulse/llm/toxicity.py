@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.llm._common import map_batches, utf8
+from fieldpulse.llm._common import map_batches, row_columns, row_of, utf8, with_fields
 
 HASH_BITS = 18
 PREFIX_BYTES = 4
@@ -273,10 +273,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, category: str = "toxic", **kw
     chain = train(docs, labels, **kw)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     cols = ", ".join(f"p{k} double" for k in range(len(chain.names)))
-    inner = docs.select(F.struct(*docs.columns).alias("row"), utf8("text").alias("_text"))
-    kind = inner.schema["row"].dataType.simpleString()
-    scored = map_batches(inner, _score_batches(shared), f"row {kind}, {cols}")
-    return scored.filter(~is_rejected(chain, category) | (F.trim(F.coalesce("row.text", F.lit(""))) == "")).select("row.*")
+    inner = docs.select(row_of(docs.columns).alias("row"), utf8("text").alias("_text"))
+    scored = map_batches(inner, _score_batches(shared), with_fields(inner, cols))
+    return scored.filter(~is_rejected(chain, category) | (F.trim(F.coalesce("row.text", F.lit(""))) == "")).select(*row_columns(docs.columns))
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

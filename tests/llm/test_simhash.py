@@ -102,6 +102,66 @@ def test_sweep_equals_pairs():
     assert [find(i) for i in range(len(fps))] == plain_classes([int(f) for f in fps])
 
 
+def components(fps, links):
+    place = {int(f): i for i, f in enumerate(fps)}
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+    for x, y in links:
+        i, j = find(place[int(x)]), find(place[int(y)])
+        root[max(i, j)] = min(i, j)
+    return [find(i) for i in range(len(fps))]
+
+
+def test_large_bucket_equals_pairs(monkeypatch):
+    """Buckets over the sweep's size: tight clusters, chains and noise."""
+    monkeypatch.setattr(S, "SWEEP", 70)
+    rng = np.random.default_rng(9)
+    for noise in (50, 900):
+        fps = [rng.integers(0, 1 << 63, noise, dtype=np.uint64)]
+        for base in fps[0][:8]:
+            flips = rng.integers(0, 64, (60, 4)).astype(np.uint64)
+            fps.append(base ^ (np.uint64(1) << flips).sum(axis=1, dtype=np.uint64))
+        fps = np.unique(np.concatenate(fps))
+        a, b = S.bucket_links(np.zeros(len(fps), int), fps, 4)
+        assert components(fps, zip(a, b)) == plain_classes([int(f) for f in fps])
+
+
+def test_tight_cluster_of_fifty_thousand():
+    import time
+
+    rng = np.random.default_rng(1)
+    base = np.uint64(0x123456789ABCDEF0)
+    flips = rng.integers(0, 64, (60_000, 6)).astype(np.uint64)
+    fps = base
+    for k in range(6):
+        fps = fps ^ (np.uint64(1) << flips[:, k])
+    fps = np.unique(fps)
+    assert len(fps) > 50_000
+    start = time.time()
+    a, b = S.bucket_links(np.zeros(len(fps), int), fps, 4)
+    assert time.time() - start < 60
+    assert len(a) < len(fps)
+    got = components(fps, zip(a, b))
+    for i in rng.integers(0, len(fps), 40).tolist():  # each one's links, against all
+        near = np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 4)
+        assert {got[j] for j in near.tolist()} == {got[i]}
+
+
+def test_plan_does_not_depend_on_the_data(spark):
+    near = [(i,) for i in range(300)]  # low bits only: one hot bucket after the other
+    far = [(int(x),) for x in np.random.default_rng(0).integers(0, 1 << 62, 300)]
+    sizes = []
+    for data in (near, far):
+        plan = S.fingerprint_links(spark.createDataFrame(data, "fp long"), bucket_limit=3)._jdf.queryExecution().analyzed().treeString()
+        sizes.append(len(plan.split("\n")))
+    assert sizes[0] == sizes[1]
+
+
 def test_pivots_never_discard_a_link():
     rng = np.random.default_rng(5)
     f = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
@@ -116,8 +176,9 @@ def test_pivots_never_discard_a_link():
 def test_keep_one_nulls_ties_and_extra_columns(spark):
     rows = [(5, "a b c d e f", "x"), (3, "a b c d e f", "y"), (3, "a b c d e f", "y"), (None, "a b c d e f", None), (None, "lonely words stand here now", "z"),
             (9, None, "n"), (8, "", "n")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string").selectExpr("*", "1 as _c", "2 as _d", "3 as `a.b`", "4 as who")
     kept = sorted(((r["doc_id"] is None, r["doc_id"], r["text"]) for r in S.keep_one_per_group(df).collect()), key=str)
     assert kept == sorted([(False, 3, "a b c d e f"), (True, None, "lonely words stand here now"), (False, 8, "")], key=str)
     assert S.keep_one_per_group(df).columns == df.columns
+    assert {tuple(r)[3:] for r in S.keep_one_per_group(df).collect()} == {(1, 2, 3, 4)}
     assert S.near_duplicate_classes(df.limit(0)).collect() == []
