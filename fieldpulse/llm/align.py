@@ -10,10 +10,10 @@ Within a group every token of one side is linked with every token of the other.
 a group's ids are counted before they are paired, so a long group makes as many pairs as it has different ids,
 and pairs of one task are added up before the next are made.
 
-A text is cut at single spaces between two other characters first. Both tokenizers end a token there (words
-carry the space in front of them; the first side's pattern never joins what lies on both sides, and no piece
-of the second has the mark behind another character), so tokens and groups of a text are those of its parts
-in a row, and parts can be remembered between texts.
+Texts are encoded whole and aligned many at a time. A very long text is encoded in stretches that end before
+a single space between two other characters: both tokenizers end a token there (words carry the space in front
+of them, the first side's pattern never joins what lies on both sides, and no piece of the second has the mark
+behind another character).
 
 How many documents hold a pair is summed over *blocks* of documents: a task names each pair of a block once,
 with the number of the block's documents that hold it, and numbers it. Documents keep numbers of pairs alone.
@@ -25,6 +25,7 @@ as a space), have no tokens. Repeated rows are documents of their own. Extra col
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
@@ -37,10 +38,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from fieldpulse.llm._common import map_batches, read_table, slices, staged
 from fieldpulse.llm.piece_bpe import MARK, loaded, model_bytes
 
-#: A block of documents, in bytes of text (one document at least).
-BLOCK_BYTES = 4 << 20
-#: Parts remembered by a task, and the longest of them; pairs made at once.
-REMEMBERED, REMEMBERED_CHARS, PAIRS_AT_ONCE = 200_000, 48, 1 << 21
+#: A block of documents, in characters of text (one document at least).
+BLOCK_CHARS = 4 << 20
+#: Texts aligned at once in characters (one text at least), the longest stretch encoded at once, pairs made at once.
+BATCH_CHARS, STRETCH_CHARS, PAIRS_AT_ONCE = 1 << 20, 1 << 20, 1 << 21
 #: A space between two characters that are surely no white space to either tokenizer.
 CUT = re.compile(r"(?<=[^\s᠎​﻿]) (?=[^\s᠎​﻿])")
 
@@ -54,27 +55,34 @@ def byte_table() -> dict[str, int]:
     return out | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: How byte-level tokenizers of this kind cut a text before merging (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class ByteLevel:
-    """The first side: a byte-level tokenizer given as its JSON."""
+    """The first side: a byte-level tokenizer given as its JSON. Its merges are in the order of their ids
+    (checked), so merging by rank is the same, and special tokens' strings are plain text."""
 
     def __init__(self, spec: bytes):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(spec.decode())
-        self.tokenizer.encode_special_tokens = True
-        table = byte_table()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes_of = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            if all(c in table for c in token):
-                self.bytes_of[i] = bytes(table[c] for c in token)
+        import tiktoken
+
+        said = json.loads(spec)
+        model, table = said["model"], byte_table()
+        before = said.get("pre_tokenizer") or {}
+        if model["type"] != "BPE" or said.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+            raise ValueError("not a byte-level tokenizer of the usual pattern")
+        ranks = {bytes(table[c] for c in token): i for token, i in model["vocab"].items()}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if any(model["vocab"]["".join(m)] != 256 + i for i, m in enumerate(pairs)):
+            raise ValueError("merges out of order")
+        self.tokenizer = tiktoken.Encoding("first side", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.bytes_of = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.bytes_of[i] = token
         self.length_of = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode_ordinary(text)
 
 
 def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,8 +111,8 @@ def _pairs(ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b: n
         key, n = np.unique(group << 20 | ids, return_counts=True)
         return key >> 20, key & 0xFFFFF, n
 
-    ga, a, na = counted(group_a, ids_a.astype(np.int64))
-    gb, b, nb = counted(group_b, ids_b.astype(np.int64))
+    ga, a, na = counted(group_a, ids_a)
+    gb, b, nb = counted(group_b, ids_b)
     size = np.bincount(gb, minlength=len(owner))
     first = np.cumsum(size) - size
     made = np.cumsum(size[ga])
@@ -117,108 +125,107 @@ def _pairs(ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b: n
         right = np.repeat(first[ga[at:to]] - ends + n, n) + np.arange(ends[-1])
         key, code = owner[ga[left]], a[left] << 20 | b[right]
         links = na[left] * nb[right]
-        order = np.lexsort((code, key))
-        key, code, links = key[order], code[order], links[order]
-        new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (code[1:] != code[:-1]))))
-        yield key[new], code[new], np.add.reduceat(links, new)
+        both = (key - key[0]) << 40 | code if key[-1] - key[0] < 1 << 22 else None
+        order = np.lexsort((code, key)) if both is None else np.argsort(both)
+        yield _added(key[order], code[order], links[order])
         at = to
 
 
+def stretches(text: str) -> Iterator[tuple[int, int]]:
+    """The text in stretches of ``STRETCH_CHARS`` or a little more; all but the first begin at a space."""
+    at = 0
+    while len(text) - at > STRETCH_CHARS:
+        space = CUT.search(text, at + STRETCH_CHARS)
+        if space is None:
+            break
+        yield at, space.start()
+        at = space.start()
+    yield at, len(text)
+
+
 class Aligner:
-    """Tokens, groups and links of texts, part by part."""
+    """Tokens, groups and links of texts, many at a time."""
 
     def __init__(self, first: bytes, second: bytes):
+        from sentencepiece import SentencePieceProcessor
+
         self.a, self.b = ByteLevel(first), loaded(second)
+        self.b_encoder = SentencePieceProcessor(model_proto=second)
         if max(len(self.a.bytes_of), len(self.b.bytes_of)) >= 1 << 20:
             raise ValueError("a vocabulary of more than a million tokens")
+        names = range(max(len(self.a.bytes_of), len(self.b.bytes_of)))
+        self.written = np.array([[f"{i}{after}" for i in names] for after in (",", "|", ";", "")], dtype=object)  # an id and what follows
         if any(MARK in p.lstrip(MARK) for p in self.b.id):
             raise ValueError("pieces that reach over a space")
-        self.memory: dict[str, tuple] = {}
-
-    def learn(self, parts: list[str]) -> dict[str, tuple]:
-        """``part -> (tokens, groups as text, pair codes, links of each)``; None where bytes differ. ``tokens`` is
-        (first side's, second side's, groups, links); links are left out where all are 1."""
-        texts = [" " + p for p in parts]
-        ids_a, ids_b = self.a.encode(texts), [self.b.packed(p) for p in parts]
-        na, nb = np.array([len(x) for x in ids_a]), np.array([len(x) >> 2 for x in ids_b])
-        a = np.fromiter((t for x in ids_a for t in x), np.int64, int(na.sum()))
-        b = np.frombuffer(b"".join(ids_b), np.int32).astype(np.int64)
-        raw = [t.encode() for t in texts]
-        if not self._same(raw, a, na, b, nb):  # rare: look at each
-            upto_a, upto_b = np.cumsum(na), np.cumsum(nb)
-            kept = [self._same(raw[i:i + 1], a[e - n:e], na[i:i + 1], b[f - m:f], nb[i:i + 1]) for i, (n, e, m, f) in enumerate(zip(na, upto_a, nb, upto_b))]
-            good = [p for p, ok in zip(parts, kept) if ok]
-            return {p: None for p, ok in zip(parts, kept) if not ok} | (self.learn(good) if good else {})
+
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        a, b = [], []
+        for lo, hi in stretches(text):
+            a += self.a.encode(text[lo:hi] if lo else " " + text[lo:hi])
+            b += self.b_encoder.encode(text[lo + 1:hi] if lo else text[lo:hi])  # it puts a space in front itself
+        return a, b
+
+    def _same(self, raw: bytes, a: list[int], b: list[int]) -> bool:
+        return b"".join(map(self.a.bytes_of.__getitem__, a)) == raw == b"".join(map(self.b.bytes_of.__getitem__, b))
+
+    def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[tuple[np.ndarray, ...]]]:
+        """By text: tokens of both sides, groups and links (four columns) and the groups as text; and chunks of
+        ``(text's number, pair code, links)``, sorted by number and code, each pair of a text once. Texts without
+        tokens have zeros."""
+        kept, ids_a, ids_b = [], [], []
+        for k, t in enumerate(texts):
+            if t:
+                a, b = self.encode(t)
+                if self._same(b" " + t.encode(), a, b):
+                    kept.append(k)
+                    ids_a.append(a)
+                    ids_b.append(b)
+        totals, said = np.zeros((len(texts), 4), np.int64), [""] * len(texts)
+        if not kept:
+            return totals, said, []
+        na, nb = (np.array([len(x) for x in ids]) for ids in (ids_a, ids_b))
+        a, b = (np.concatenate([np.array(x, np.int64) for x in ids]) for ids in (ids_a, ids_b))
         group_a, group_b = group_ends(np.cumsum(self.a.length_of[a]), np.cumsum(self.b.length_of[b]))
-        owner_of = np.empty(int(group_a[-1]) + 1, dtype=np.int64)
-        owner_of[group_a] = np.repeat(np.arange(len(parts)), na)
-        groups = np.bincount(owner_of, minlength=len(parts))
-        links = np.bincount(owner_of, weights=np.bincount(group_a) * np.bincount(group_b), minlength=len(parts)).astype(np.int64)
-        said = _said(a, group_a, b, group_b, np.cumsum(groups))
-        codes, counts = [b""] * len(parts), [b""] * len(parts)
-        for key, code, n in _pairs(a, b, group_a, group_b, owner_of):
-            cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            several = np.add.reduceat(n, cut[:-1]) > np.diff(cut)
-            at, code, n = (cut * 8).tolist(), code.tobytes(), n.astype(np.int64).tobytes()
-            for own, lo, hi, more in zip(key[cut[:-1]].tolist(), at, at[1:], several.tolist()):
-                if more and not counts[own] and codes[own]:
-                    counts[own] = np.ones(len(codes[own]) >> 3, np.int64).tobytes()
-                codes[own] += code[lo:hi]
-                if more or counts[own]:
-                    counts[own] += n[lo:hi]
-        return dict(zip(parts, zip(zip(na.tolist(), nb.tolist(), groups.tolist(), links.tolist()), said, codes, counts)))
-
-    def _same(self, raw: list[bytes], a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> bool:
-        """Whether the tokens' bytes of both sides are the texts', text by text."""
-        sizes, whole = np.array([len(r) for r in raw]), b"".join(raw)
-        lengths = [np.add.reduceat(table[ids], np.cumsum(n) - n) if n.all() else None for table, ids, n in ((self.a.length_of, a, na), (self.b.length_of, b, nb))]
-        return (all(x is not None and np.array_equal(x, sizes) for x in lengths)
-                and b"".join(map(self.a.bytes_of.__getitem__, a.tolist())) == whole == self.b.decode_bytes(b).tobytes())
-
-    def align(self, texts: list[str]) -> Iterator[tuple | None]:
-        """``(n_a, n_b, n_groups, n_links, groups, pair codes, links of each)`` of each text; None: no tokens."""
-        cut = [CUT.split(t) if t else [] for t in texts]
-        new = list({p for parts in cut for p in parts if p not in self.memory})
-        fresh: dict[str, tuple] = {}
-        for lo, hi in slices([len(p) for p in new], 1 << 20):
-            fresh.update(self.learn(new[lo:hi]))
-        for parts in cut:
-            got = [fresh[p] if p in fresh else self.memory[p] for p in parts]
-            if not got or None in got:
-                yield None
-                continue
-            totals = np.array([g[0] for g in got], dtype=np.int64).sum(axis=0)
-            code = np.frombuffer(b"".join([g[2] for g in got]), dtype=np.int64)
-            if any([g[3] for g in got]):
-                n = np.frombuffer(b"".join([g[3] or np.ones(len(g[2]) >> 3, np.int64).tobytes() for g in got]), dtype=np.int64)
-            else:
-                n = np.ones(len(code), dtype=np.int64)
-            order = np.argsort(code, kind="stable")
-            code, n = code[order], n[order]
-            first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-            yield (*totals.tolist(), ";".join([g[1] for g in got]), code[first], np.add.reduceat(n, first))
-        kept = {p: g for p, g in fresh.items() if len(p) <= REMEMBERED_CHARS}
-        if len(self.memory) + len(kept) > REMEMBERED:
-            self.memory.clear()
-        self.memory.update(kept)
-
-
-def _said(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray, upto: np.ndarray) -> list[str]:
-    """``a1,a2|b1;a3|b2`` of each part: the groups before ``upto`` and not of the part before."""
-    ids = np.concatenate((a, b))
-    group, side = np.concatenate((group_a, group_b)), np.repeat([0, 1], [len(a), len(b)])
-    order = np.argsort(group * 2 + side, kind="stable")
-    group, side = group[order], side[order]
-    sep = np.where(group[1:] != group[:-1], ";", np.where(side[1:] != side[:-1], "|", ",")).tolist()
-    words = list(map(str, ids[order].tolist()))
-    ends = np.searchsorted(group, upto - 1, side="right").tolist()
-    out, at = [], 0
-    for end in ends:
-        mixed = [""] * (2 * (end - at) - 1)
-        mixed[::2], mixed[1::2] = words[at:end], sep[at:end - 1]
-        out.append("".join(mixed))
+        size_a, size_b = np.bincount(group_a), np.bincount(group_b)
+        owner = np.empty(len(size_a), dtype=np.int64)
+        owner[group_a] = np.repeat(np.arange(len(kept)), na)
+        first = np.searchsorted(owner, np.arange(len(kept)))
+        totals[kept] = np.stack([na, nb, np.bincount(owner), np.add.reduceat(size_a * size_b, first)], axis=1)
+        for k, words in zip(kept, _said(a, group_a, size_a, b, group_b, size_b, np.cumsum(na), np.cumsum(nb), self.written)):
+            said[k] = words
+        return totals, said, _merged(list(_pairs(a, b, group_a, group_b, np.array(kept)[owner])))
+
+
+def _merged(chunks: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
+    """A group's pairs may lie in several chunks: each pair of a text once."""
+    if len(chunks) < 2:
+        return chunks
+    owner, code, n = (np.concatenate([c[i] for c in chunks]) for i in range(3))
+    order = np.lexsort((code, owner))
+    return [_added(owner[order], code[order], n[order])]
+
+
+def _added(owner: np.ndarray, code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    new = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (code[1:] != code[:-1]))))
+    return owner[new], code[new], np.add.reduceat(n, new)
+
+
+def _said(a: np.ndarray, group_a: np.ndarray, size_a: np.ndarray, b: np.ndarray, group_b: np.ndarray, size_b: np.ndarray,
+          ends_a: np.ndarray, ends_b: np.ndarray, written: np.ndarray) -> Iterator[str]:
+    """``a1,a2|b1;a3|b2`` of each text: its tokens merged by group, each followed by what comes after it."""
+    upto_a, upto_b = np.cumsum(size_a), np.cumsum(size_b)
+    at_a, at_b = np.arange(len(a)) + (upto_b - size_b)[group_a], np.arange(len(b)) + upto_a[group_b]
+    ids, after = np.empty(len(a) + len(b), np.int64), np.zeros(len(a) + len(b), np.int8)
+    ids[at_a], ids[at_b] = a, b
+    after[at_a[upto_a - 1]] = 1
+    after[at_b[upto_b - 1]] = 2
+    ends = ends_a + ends_b
+    after[ends - 1] = 3
+    words = written[after, ids].tolist()
+    at = 0
+    for end in ends.tolist():
+        yield "".join(words[at:end])
         at = end
-    return out
 
 
 _ALIGNERS: dict[tuple[int, int], Aligner] = {}
@@ -235,7 +242,7 @@ def aligned(docs: DataFrame, first: str | bytes, second: str | bytes, key: str =
     """One row a document and one row a pair of a block.
 
     Documents: ``block, key, n_a, n_b, n_groups, n_links, groups`` (text), ``pairs`` and ``links`` (binary, 32-bit
-    numbers of the block's pairs and 64-bit links of each). Pairs: ``block, pair, a, b, n`` (documents).
+    numbers of the block's pairs and 64-bit links of each; no links: one each). Pairs: ``block, pair, a, b, n`` (documents).
     """
     one, two = model_bytes(first), model_bytes(second)
     inner = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
@@ -246,42 +253,40 @@ def aligned(docs: DataFrame, first: str | bytes, second: str | bytes, key: str =
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, block, held, number, docs_of = aligner(one, two), None, 0, {}, []
+        own, block, held, number, docs_of = aligner(one, two), None, 0, {}, np.zeros(0, np.int64)
 
         def close():
             if number:
                 code = np.fromiter(number, np.int64, len(number))
                 gone = lambda t: pa.nulls(len(code), t)
                 cols = {"block": pa.array(np.full(len(code), block)), "pair": pa.array(np.arange(len(code), dtype=np.int32)),
-                        "a": pa.array((code >> 20).astype(np.int32)), "b": pa.array((code & 0xFFFFF).astype(np.int32)), "n": pa.array(np.array(docs_of, dtype=np.int64))}
+                        "a": pa.array((code >> 20).astype(np.int32)), "b": pa.array((code & 0xFFFFF).astype(np.int32)), "n": pa.array(docs_of)}
                 yield pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else gone(f.type) for f in schema], schema=schema)
 
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            sizes = [len(t) * 2 for t in texts]
-            for lo, hi in slices(sizes, BLOCK_BYTES // 4):
+            sizes = [len(t) for t in texts]
+            for lo, hi in slices(sizes, min(BATCH_CHARS, BLOCK_CHARS)):
                 size = sum(sizes[lo:hi])
-                if block is None or held + size > BLOCK_BYTES:
+                if block is None or held + size > BLOCK_CHARS:
                     yield from close()
                     block = (block + 1) if block is not None else batch.column(2)[0].as_py() << 32
-                    held, number, docs_of = 0, {}, []
+                    held, number, docs_of = 0, {}, np.zeros(0, np.int64)
                 held += size
-                rows = []
-                for got in own.align(texts[lo:hi]):
-                    if got is None:
-                        rows.append((0, 0, 0, 0, "", b"", b""))
-                        continue
-                    *totals, said, code, n = got
-                    at = np.empty(len(code), dtype=np.int32)
-                    for i, c in enumerate(code.tolist()):
-                        k = number.get(c)
-                        if k is None:
-                            k = number[c] = len(docs_of)
-                            docs_of.append(0)
-                        docs_of[k] += 1
-                        at[i] = k
-                    rows.append((*totals, said, at.tobytes(), n.tobytes()))
-                cols = [pa.array(np.full(hi - lo, block)), keys.slice(lo, hi - lo), *[pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields[2:9])]]
+                totals, said, pairs = own.align(texts[lo:hi])
+                numbers, links = [b""] * (hi - lo), [b""] * (hi - lo)
+                for owner, code, n in pairs:
+                    named, which, times = np.unique(code, return_inverse=True, return_counts=True)
+                    named = np.array([number.setdefault(c, len(number)) for c in named.tolist()])
+                    docs_of = np.concatenate((docs_of, np.zeros(len(number) - len(docs_of), np.int64)))
+                    docs_of[named] += times
+                    at = named[which].astype(np.int32)
+                    cut = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1], [True])))
+                    plain = np.maximum.reduceat(n, cut[:-1]) == 1
+                    for k, x, y, ones in zip(owner[cut[:-1]].tolist(), cut.tolist(), cut[1:].tolist(), plain.tolist()):
+                        numbers[k], links[k] = at[x:y].tobytes(), b"" if ones else n[x:y].tobytes()
+                cols = [pa.array(np.full(hi - lo, block)), keys.slice(lo, hi - lo), *[pa.array(c) for c in totals.T.copy()], pa.array(said, pa.string()),
+                        pa.array(numbers, pa.binary()), pa.array(links, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*cols, *[pa.nulls(hi - lo, f.type) for f in list(schema)[9:]]], schema=schema)
         yield from close()
 
@@ -309,7 +314,8 @@ def scored(docs: DataFrame, pairs: DataFrame, counts: DataFrame) -> DataFrame:
         count[pair], best[pair] = right["count"].to_numpy(), right["best"].to_numpy()
         out = []
         for at, links in zip(left["pairs"].to_pylist(), left["links"].to_pylist()):
-            at, links = np.frombuffer(at, np.int32), np.frombuffer(links, np.int64)
+            at = np.frombuffer(at, np.int32)
+            links = np.frombuffer(links, np.int64) if links else 1
             out.append((int((links * best[at]).sum()), int((links * count[at]).sum())))
         sums = [pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)]
         return pa.table([*[left[c] for c in kept], *sums], names=[*kept, "n_best", "count_sum"])

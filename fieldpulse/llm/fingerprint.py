@@ -243,7 +243,7 @@ def edited_fingerprints(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFr
     start of the next document (descending doc_id; after the last, the first), and the likeness of the
     first to the second and to the next document's. Null text is empty. One row is its own next."""
     rows, n = with_next(docs, part_bytes)
-    rows = rows.repartition(n, "part").sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "_h")
+    rows = rows.repartitionById(n, "part").sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "_h")
     return map_batches(rows, _next_batches, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                        "edited_fingerprint string, near_edited double, near_next double")
 

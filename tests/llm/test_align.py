@@ -98,9 +98,9 @@ def odd_docs():
 @pytest.mark.parametrize("small", [False, True])
 def test_odd_texts_repeats_and_small_blocks(spark, tmp_path, monkeypatch, small):
     if small:
-        monkeypatch.setattr(align, "BLOCK_BYTES", 400)
+        monkeypatch.setattr(align, "BLOCK_CHARS", 200)
         monkeypatch.setattr(align, "PAIRS_AT_ONCE", 50)
-        monkeypatch.setattr(align, "REMEMBERED", 20)
+        monkeypatch.setattr(align, "STRETCH_CHARS", 20)
     docs = odd_docs() * 2
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as `a.b`", "2 as block", "'x' as pairs")
     df.write.parquet(f"{tmp_path}/documents.parquet")
@@ -116,3 +116,15 @@ def test_groups_as_text(spark):
     df = spark.createDataFrame([("k", "Hello you")], "name string, body string")
     rows = align.aligned(df, P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"), key="name", text="body").filter("n_a IS NOT NULL").collect()
     assert [(r.key, r.n_a, r.n_b, r.n_groups) for r in rows] == [("k", 2, 2, 2)] and rows[0].groups.count("|") == 2
+
+
+def test_first_side_as_its_library():
+    """Merging by rank gives the tokenizer's own ids, also for special tokens' strings and odd characters."""
+    from tokenizers import Tokenizer
+
+    with open(P.path("byte_bpe_50k.json"), "rb") as f:
+        own = align.ByteLevel(f.read())
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    lib.encode_special_tokens = True
+    texts = [t for _, t in odd_docs() if t] + [f"x{chr(c)} {chr(c)}1{chr(c)}\n" for c in range(0, 0x30000, 37) if not 0xD800 <= c < 0xE000]
+    assert [own.encode(t) for t in texts] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]

@@ -79,3 +79,14 @@ def test_stages_on_empty_tables_and_odd_columns(spark, sf, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).collect() == [], name
         out = stage(spark, docs, str(tmp_path)).collect()
         assert 0 < len(out) <= 3 or name == "mixing", name
+
+
+def test_names_with_dots_and_operators_own_names(spark, sf, tmp_path):
+    """Every stage keeps columns whose names have dots or clash with an operator's own."""
+    path = sf[0]
+    df = spark.read.parquet(f"{path}/documents.parquet").limit(40).selectExpr(
+        "*", "1 as `a.b`", "2 as _c", "3 as _d", "4 as row", "5 as _text", "6 as who", "7 as n_words", "8 as p0", "9 as bucket", "10 as `x.y.z`")
+    for k, (name, stage) in enumerate(P.STAGES):
+        out = P.staged(stage(spark, df, path), "test")
+        assert out.columns[:len(df.columns)] == df.columns, name
+        assert {tuple(r)[6:15] for r in out.collect()} <= {(2, 3, 4, 5, 6, 7, 8, 9, 10)}, name
