@@ -24,6 +24,7 @@ ISO_MILLIS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 # \A and \z: ``$`` would also match before a final line break, which Java's parsers refuse
 _STRICT_INT = r"\A[+-]?[0-9]+\z"
+_DATE_TIME = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?Z?\z"
 _DOUBLE_WORD = r"(?i)\A[+-]?(inf|infinity|nan)\z"
 _JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
@@ -75,9 +76,13 @@ def double_error(field: Column, parsed: Column) -> Column:
 
 
 def event_time(text: Column) -> Column:
-    """ISO text -> TIMESTAMP(3): drop 'T' and 'Z', cast, keep millisecond precision."""
+    """ISO text -> TIMESTAMP(3): drop 'T' and 'Z', cast, keep millisecond precision.
+
+    Only a whole date and time is one. Spark's own cast also takes a time without a date (as today), a
+    year or a month alone, an offset and a year of five digits, none of which the reference's cast reads.
+    """
     cleaned = F.replace(F.replace(text, F.lit("T"), F.lit(" ")), F.lit("Z"), F.lit(""))
-    return F.date_trunc("millisecond", F.try_to_timestamp(cleaned))
+    return F.when(text.rlike(_DATE_TIME), F.date_trunc("millisecond", F.try_to_timestamp(cleaned)))
 
 
 def iso_millis(ts: Column) -> Column:

@@ -20,7 +20,8 @@ stamps ``greatest(ingested) + 100``, enrichment ``+ 250`` more, the history inse
 Raw device lines reproduce the devices' CSV text; by ``event_id % 20`` some are broken so the
 dead-letter path is exercised: 3 drops the last field, 7 puts ``abc`` in field 2, 11 appends a
 padding field, 13 and 17 break the integer field (``' 5'``, ``1.5``; for location: an empty
-longitude, and a latitude with surrounding blanks, which Java accepts), 19 sends a bad time.
+longitude, and a latitude with surrounding blanks, which Java accepts), 19 sends a time in another form
+(a time or a year alone, an offset, a five-digit year, 30 February, words; or a good one with a space).
 By ``event_id % 60``: 21 and 42 put ``inf`` and ``nan`` in field 2 of humidity, temperature and location, 24 ends the line with a line break, 28 begins it with the byte FF.
 By ``event_id % 50 == 23`` the topic is a device-command topic that routing must ignore.
 """
@@ -140,6 +141,15 @@ def _line_fields(kind: str) -> list[Column]:
             F.when(k % 2 == 0, F.lit("True")).otherwise(F.lit("False"))]
 
 
+def _bad_time() -> Column:
+    """One time text in eight forms, in turn: seven that are no time, one that is (a space, no fraction)."""
+    t, turn = iso_millis(F.col("event_ts")), F.col("event_id") / 20
+    forms = [F.lit("not-a-time"), F.substring(t, 12, 8), F.concat(F.substring(t, 11, 6), F.lit("Z")), F.substring(t, 1, 4),
+             F.concat(F.substring(t, 1, 23), F.lit("+05:00")), F.concat(F.lit("+1"), t), F.lit("2024-02-30T10:00:00.000Z"),
+             F.concat(F.substring(t, 1, 10), F.lit(" "), F.substring(t, 12, 8))]
+    return F.element_at(F.array(*forms), (F.floor(turn) % 8 + 1).cast("int"))
+
+
 def _broken_line(kind: str) -> Column:
     """The CSV text with the documented breakages, built from one fields array (one
     per-field edit each) so the expression stays small."""
@@ -149,7 +159,7 @@ def _broken_line(kind: str) -> Column:
     int_idx = 2 if kind == "state" else 3  # the field that carries an integer
     edits = {}
     edits.setdefault(2, []).append((r == 7, F.lit("abc")))
-    edits.setdefault(1, []).append((r == 19, F.lit("not-a-time")))
+    edits.setdefault(1, []).append((r == 19, _bad_time()))
     s = F.col("event_id") % 60
     if kind != "state":
         edits.setdefault(2, []).append((s == 21, F.lit("inf")))

@@ -40,8 +40,11 @@ def _ckpt(spark: SparkSession, name: str, base: str | None) -> str:
 
 # ---- sources ---------------------------------------------------------------------------------
 
-def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None, nested: bool = False) -> DataFrame:
+    """Parquet files as they arrive; ``nested``: also those in folders below ``path``."""
     r = spark.readStream.schema(schema)
+    if nested:
+        r = r.option("recursiveFileLookup", "true")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(path)
@@ -72,8 +75,9 @@ def read_parse_errors(spark: SparkSession, out_root: str) -> DataFrame:
 
 
 def start_normalizer(spark: SparkSession, raw_path: str, out_root: str, trigger: dict | None = None,
-                     ckpt_base: str | None = None, ingest_ms: Column | None = None, max_files: int | None = None) -> StreamingQuery:
-    raw = read_stream(spark, raw_path, RAW, max_files)
+                     ckpt_base: str | None = None, ingest_ms: Column | None = None, max_files: int | None = None,
+                     nested: bool = False) -> StreamingQuery:
+    raw = read_stream(spark, raw_path, RAW, max_files, nested)
     w = raw.writeStream.foreachBatch(normalizer_batch(out_root, ingest_ms)) \
         .option("checkpointLocation", _ckpt(spark, "normalizer", ckpt_base))
     return _trigger(w, trigger).start()

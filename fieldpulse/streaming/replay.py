@@ -1,17 +1,17 @@
-"""Replay fixture tables through the streaming jobs (``trigger(availableNow=True)``).
+"""Replay fixture tables through the streaming jobs.
 
-Used by the registered ``stream_*`` queries and by tests. Inputs are cut by event time into slices,
-one file each, which arrive out of order (``ARRIVAL``), one file a micro-batch, so state, late rows
-and updates are all at work; the stream is stopped half way and resumed from its checkpoint. The
-sink's content is returned as a batch DataFrame. The number of micro-batches is checked.
+Used by the registered ``stream_*`` queries and by tests. Inputs are cut by event time into slices, which
+arrive out of order (``ARRIVAL``), one slice a micro-batch, so state, late rows and updates are all at work;
+the stream is stopped half way and resumed from its checkpoint. All slices of a table are written by one
+parallel job; a slice arrives when its folder is moved to where the stream looks. The sink's content is
+returned as a batch DataFrame. Every slice has to make a micro-batch.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldpulse.operators.measurement import tenancy, with_event_ts
@@ -23,9 +23,10 @@ from fieldpulse.sources.history import read_history
 from fieldpulse.streaming import jobs
 from fieldpulse.streaming.asof_state import AsofBatches, tagged_feeds
 from fieldpulse.streaming.summary_state import SummaryBatches
-from fieldpulse.streaming.sinks import fanout_enriched, read_upsert_view, upsert_sink, write_batch
+from fieldpulse.streaming.sinks import fanout_enriched, make_folder, move, read_upsert_view, upsert_sink, write_batch
 
 ONCE = {"availableNow": True}
+AT_ONCE = {"processingTime": "0 seconds"}
 ARRIVAL = (0, 2, 1, 4, 3, 5)
 IN_ORDER = tuple(range(len(ARRIVAL)))
 
@@ -40,56 +41,72 @@ def slice_bounds(df: DataFrame, ts_col: str, slices: int = len(ARRIVAL)) -> list
     return [] if lo is None else [lo + (hi - lo) / slices * i for i in range(1, slices)]
 
 
-def write_slices(df: DataFrame, ts_col: str, path: str, bounds: list, slices: list[int], done: int = 0) -> None:
-    """Append the given slices in that order, one file each. The file source takes the oldest file
-    first, so slices are written a little apart."""
+def slice_number(ts_col: str, bounds: list) -> Column:
     number = F.lit(0)
     for b in bounds:
         number = number + F.when(F.col(ts_col) >= F.lit(b), 1).otherwise(0)
-    rows = df.withColumn("_slice", number)
-    for k in slices:
-        rows.filter(F.col("_slice") == k).drop("_slice").coalesce(1).write.mode("append").parquet(path)
-        time.sleep(0.05)
-
-
-def run_in_two(start, feed, at_least: int) -> None:
-    """Feed half of the slices, run the query to their end and stop; feed the rest and resume from the
-    checkpoint. ``feed(slices)`` writes slices, ``start()`` gives a running query."""
-    half = len(ARRIVAL) // 2
-    last = -1
-    for part in (slice(None, half), slice(half, None)):
-        feed(part)
-        q = start()
-        q.awaitTermination()
-        if q.lastProgress:
-            last = max(last, q.lastProgress["batchId"])
-    if last + 1 < at_least:
-        raise RuntimeError(f"{last + 1} micro-batches ran, {at_least} were expected")
+    return number
+
+
+def write_slices(df: DataFrame, ts_col: str, path: str, bounds: list) -> None:
+    """All slices in one job, by as many tasks as the table has, each slice in a folder of its own."""
+    df.withColumn("_slice", slice_number(ts_col, bounds)).write.partitionBy("_slice").parquet(path)
 
 
-def _feed(tables: dict[str, tuple[DataFrame, str]], root: str, order=ARRIVAL):
-    bounds = {n: slice_bounds(df, ts) for n, (df, ts) in tables.items()}
-    common = max(bounds.values(), key=len)  # one set of bounds for all feeds
+class Feed:
+    """Slices of tables, to arrive one by one under ``<root>/in/<table>/``."""
 
-    def feed(part: slice) -> None:
+    def __init__(self, spark: SparkSession, tables: dict[str, tuple[DataFrame, str]], root: str, orders: dict | None = None):
+        self.spark, self.root, self.tables, self.orders = spark, root, list(tables), orders or {}
+        bounds = {n: slice_bounds(df, ts) for n, (df, ts) in tables.items()}
+        common = max(bounds.values(), key=len)  # one set of bounds for all feeds
         for n, (df, ts) in tables.items():
-            write_slices(df, ts, f"{root}/in/{n}", common, list(order[part]))
-    return feed
+            write_slices(df, ts, f"{root}/slices/{n}", common)
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/in/{table}"
+
+    def reveal(self, k: int) -> None:
+        """The k-th slice to arrive, of every table. A slice without rows is a folder without files."""
+        for n in self.tables:
+            number = self.orders.get(n, ARRIVAL)[k]
+            move(self.spark, f"{self.root}/slices/{n}/_slice={number}", f"{self.path(n)}/slice-{number}")
+
+    def stream(self, table: str, schema) -> DataFrame:
+        make_folder(self.spark, self.path(table))
+        return jobs.read_stream(self.spark, self.path(table), schema, nested=True)
+
+
+def run_in_two(start, feed: Feed, batches: int = len(ARRIVAL)) -> None:
+    """Let half of the slices arrive, each processed before the next, and stop; resume from the checkpoint for
+    the rest. ``start()`` gives a running query."""
+    half, last = len(ARRIVAL) // 2, -1
+    for part in (range(half), range(half, len(ARRIVAL))):
+        q = start()
+        try:
+            for k in part:
+                feed.reveal(k)
+                q.processAllAvailable()
+            last = max(last, *(p["batchId"] for p in q.recentProgress), -1)
+        finally:
+            q.stop()
+    if last + 1 < batches:
+        raise RuntimeError(f"{last + 1} micro-batches ran, {batches} were expected")
 
 
 def replay_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "measurement")
     tables = {k: (with_event_ts(FX.typed_readings(spark, sf_dir, k)), "event_ts") for k in ("humidity", "temperature")}
     # the two feeds disagree on the order, so partners arrive batches apart
-    feeds = [_feed({"humidity": tables["humidity"]}, root), _feed({"temperature": tables["temperature"]}, root, ARRIVAL[::-1])]
+    feed = Feed(spark, tables, root, {"temperature": ARRIVAL[::-1]})
 
     def start():
-        h, t = (jobs.read_stream(spark, f"{root}/in/{k}", tables[k][0].schema, 1) for k in tables)
+        h, t = (feed.stream(k, tables[k][0].schema) for k in tables)
         m = jobs.measurement_stream(h, t, processing_ms=FX.fixture_measurement_clock)
         return (m.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
-                .option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start())
+                .option("checkpointLocation", f"{root}/ckpt").trigger(**AT_ONCE).start())
 
-    run_in_two(start, lambda part: [f(part) for f in feeds], 4)
+    run_in_two(start, feed)
     return spark.read.schema(MEASUREMENT).parquet(f"{root}/out")
 
 
@@ -117,26 +134,25 @@ def _asof(spark: SparkSession, sf_dir: str, root: str, sink) -> None:
     m = flow.written(flow.measurement(spark, sf_dir), "measurement")
     dims = {k: tenancy(with_event_ts(FX.typed_readings(spark, sf_dir, k))) for k in ("location", "state")}
     tables = {"measurement": (m, "measurement_event_ts"), **{k: (d, "event_ts") for k, d in dims.items()}}
-    feed = _feed(tables, root)
+    feed = Feed(spark, tables, root)
     lo, hi = m.agg(F.min("measurement_event_ts"), F.max("measurement_event_ts")).first()
     delay = int((hi - lo).total_seconds() * 1000 * 2.1 / len(ARRIVAL)) if lo is not None else 0
     body = AsofBatches(f"{root}/asof", sink, delay_ms=delay, enrich_ms=FX.fixture_enrich_clock)
 
     def start():
-        s = {n: jobs.read_stream(spark, f"{root}/in/{n}", df.schema, 1) for n, (df, _) in tables.items()}
+        s = {n: feed.stream(n, df.schema) for n, (df, _) in tables.items()}
         feeds = tagged_feeds(s["measurement"], s["location"], s["state"])
-        return feeds.writeStream.foreachBatch(body).option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start()
+        return feeds.writeStream.foreachBatch(body).option("checkpointLocation", f"{root}/ckpt").trigger(**AT_ONCE).start()
 
-    run_in_two(start, feed, 4)
+    run_in_two(start, feed)
     one = tagged_feeds(m, dims["location"], dims["state"])
     body.finish(spark, one.select("l.*").schema, one.select("s.*").schema)
 
 
 def _replay_enriched(spark: SparkSession, sf_dir: str, root: str, order, query) -> None:
     e = flow.enriched_table(spark, sf_dir)
-    feed = _feed({"enriched": (e, "measurement_event_ts")}, root, order)
-    run_in_two(lambda: query(jobs.read_stream(spark, f"{root}/in/enriched", ENRICHED, 1)).option("checkpointLocation", f"{root}/ckpt").trigger(**ONCE).start(),
-               feed, 4)
+    feed = Feed(spark, {"enriched": (e, "measurement_event_ts")}, root, {"enriched": order})
+    run_in_two(lambda: query(feed.stream("enriched", ENRICHED)).option("checkpointLocation", f"{root}/ckpt").trigger(**AT_ONCE).start(), feed)
 
 
 def replay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,9 +177,10 @@ def replay_normalizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dead-letter table the streaming normalizer writes for the raw feed (ingestion
     time = the raw record's timestamp, as in the batch twin)."""
     root = _scratch(spark, "normalizer")
-    feed = _feed({"raw": (FX.raw_messages(spark, sf_dir), "timestamp")}, root)
-    run_in_two(lambda: jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/out", ONCE, f"{root}/ckpt",
-                                             ingest_ms=F.unix_millis(F.col("timestamp")), max_files=1), feed, 4)
+    feed = Feed(spark, {"raw": (FX.raw_messages(spark, sf_dir), "timestamp")}, root)
+    make_folder(spark, feed.path("raw"))
+    run_in_two(lambda: jobs.start_normalizer(spark, feed.path("raw"), f"{root}/out", AT_ONCE, f"{root}/ckpt",
+                                             ingest_ms=F.unix_millis(F.col("timestamp")), nested=True), feed)
     return jobs.read_parse_errors(spark, f"{root}/out").drop("key")
 
 
@@ -172,10 +189,10 @@ def replay_chain_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     its checkpoint was written): humidity readings as the second job sees them."""
     root = _scratch(spark, "chain")
     raw = FX.raw_messages(spark, sf_dir)
-    feed = _feed({"raw": (raw, "timestamp")}, root)
+    feed = Feed(spark, {"raw": (raw, "timestamp")}, root)
+    make_folder(spark, feed.path("raw"))
     stamp = F.unix_millis(F.col("timestamp"))
-    feed(slice(None))
-    jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/typed", ONCE, f"{root}/ckpt", stamp, max_files=1).awaitTermination()
+    run_in_two(lambda: jobs.start_normalizer(spark, feed.path("raw"), f"{root}/typed", AT_ONCE, f"{root}/ckpt", stamp, nested=True), feed)
 
     def downstream():
         s = jobs.typed_stream(spark, f"{root}/typed", "humidity")

@@ -38,6 +38,17 @@ def children(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
     return sorted(n for n in names if n.startswith(prefix))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def move(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a folder; nothing happens if ``dst`` is there already or ``src`` is not there."""
+    if exists(spark, src):
+        _move(spark, src, dst)
+
+
 def _move(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs(spark, src)
     d = spark._jvm.org.apache.hadoop.fs.Path(dst)

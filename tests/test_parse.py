@@ -126,3 +126,17 @@ def test_java_words_line_breaks_and_bad_bytes(spark):
     errors = sorted(r.errorMessage for r in error_records(df).collect())
     assert errors == sorted(['For input string: "inf"', 'For input string: "nan"', 'For input string: "infinity"', 'For input string: "7\n"',
                              'For input string: "\ufffd"', 'For input string: "\ufffd"', 'Invalid event time: "\ufffd"'])
+
+
+def test_event_time_takes_whole_dates_and_times_only(spark):
+    """Nothing that depends on the day it is read, no offsets, no dates that there aren't."""
+    good = {"2024-01-05T10:00:00.123Z": "2024-01-05 10:00:00.123", "2024-01-05 10:00:00": "2024-01-05 10:00:00",
+            "2024-01-05T10:00:00.1234567": "2024-01-05 10:00:00.123", "2024-02-29T23:59:59Z": "2024-02-29 23:59:59"}
+    bad = ["10:00:00", "T10:00Z", "T10:00:00Z", "2024", "2024-01", "2024-01-05", "2024-01-05T10:00Z", "2024-01-05T10:00:00+05:00", "+12024-01-05T10:00:00Z",
+           "12024-01-05T10:00:00Z", "2024-02-30T10:00:00Z", "2024-13-01T10:00:00Z", "2024-01-05T24:00:00Z", "2024-01-05T10:00:00.Z", "2024-01-05T10:00:00Z\n",
+           " 2024-01-05T10:00:00Z", "2024-01-05T10:00:00 UTC", "epoch", "now", "", "not-a-time"]
+    from fieldpulse.functions.parsing import event_time
+    df = spark.createDataFrame([(t,) for t in [*good, *bad, None]], "t string").select("t", event_time(F.col("t")).cast("string").alias("ts"))
+    assert {r.t: r.ts for r in df.collect()} == {**good, **dict.fromkeys(bad), None: None}
+    err = errors_by_payload(parse(spark, "humidity", [f"d,{t},1.0,1" for t in ("10:00:00", "2024", "2024-01-05T10:00:00+05:00")]))
+    assert err["d,2024,1.0,1"] == 'Invalid event time: "2024"' and len(err) == 3

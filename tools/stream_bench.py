@@ -27,7 +27,7 @@ def main() -> None:
     from fieldpulse.sources import fixtures as FX
     from fieldpulse.sources.history import read_history
     from fieldpulse.streaming import jobs
-    from fieldpulse.streaming.replay import _feed
+    from fieldpulse.streaming.replay import ARRIVAL, Feed
 
     spark = build_session("local[8]", shuffle_partitions=16)
     root = tempfile.mkdtemp(prefix="fieldpulse-stream-bench-")
@@ -42,10 +42,11 @@ def main() -> None:
 
     # normalizer over the raw feed, in six slices out of order
     raw = FX.raw_messages(spark, sf)
-    feed = _feed({"raw": (raw, "timestamp")}, root)
-    feed(slice(None))
+    feed = Feed(spark, {"raw": (raw, "timestamp")}, root)
+    for k in range(len(ARRIVAL)):
+        feed.reveal(k)
     n_raw = raw.count()
-    timed("normalizer", lambda: jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/typed", once, f"{root}/ck", max_files=1), n_raw)
+    timed("normalizer", lambda: jobs.start_normalizer(spark, f"{root}/in/raw", f"{root}/typed", once, f"{root}/ck", max_files=8, nested=True), n_raw)
     typed = lambda k: spark.read.parquet(f"{root}/typed/batch_id=*/kind={k}/status=ok").count()
     timed("measurement", lambda: jobs.start_measurement(spark, f"{root}/typed", f"{root}/m", once, f"{root}/ck"), typed("humidity") + typed("temperature"))
     n_m = spark.read.schema(MEASUREMENT).parquet(f"{root}/m").count()
