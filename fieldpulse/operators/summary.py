@@ -132,14 +132,21 @@ def recent_summary_panes(enriched: DataFrame, window_seconds: int = WINDOW_SECON
     """
     if window_seconds % slide_seconds:
         return recent_summary_two_stage(enriched, window_seconds, slide_seconds)
-    k = window_seconds // slide_seconds
-    if bucket_panes < k:
-        bucket_panes = k
-    slide_us = slide_seconds * 1_000_000
-    e = enriched.withColumn("_p", F.floor(F.unix_micros(TS) / F.lit(slide_us)))
+    return windows_of_panes(pane_measures(enriched, slide_seconds), pane_devices(enriched, slide_seconds),
+                            window_seconds, slide_seconds, bucket_panes)
+
+
+def pane_of(ts: str, slide_seconds: int):
+    return F.floor(F.unix_micros(ts) / F.lit(slide_seconds * 1_000_000))
 
-    # measures per (tenant, pane), expanded to the K windows containing the pane
-    measures = (e.groupBy("env", "tenant", "_p").agg(
+
+_MEASURES = {"t_sum": F.sum, "t_cnt": F.sum, "h_sum": F.sum, "h_cnt": F.sum, "ts_min": F.min, "ts_max": F.max, "mp_min": F.min, "mp_max": F.max,
+             "ep_min": F.min, "ep_max": F.max}
+
+
+def pane_measures(enriched: DataFrame, slide_seconds: int = SLIDE_SECONDS) -> DataFrame:
+    """Sums, counts, least and greatest of the measures per (env, tenant, pane ``_p``)."""
+    return enriched.groupBy("env", "tenant", pane_of(TS, slide_seconds).alias("_p")).agg(
         F.sum("temperature").alias("t_sum"), F.count("temperature").alias("t_cnt"),
         F.sum("humidity").alias("h_sum"), F.count("humidity").alias("h_cnt"),
         F.min(TS).alias("ts_min"), F.max(TS).alias("ts_max"),
@@ -147,12 +154,32 @@ def recent_summary_panes(enriched: DataFrame, window_seconds: int = WINDOW_SECON
         F.max("measurement_processing_ts_ms").alias("mp_max"),
         F.min("enriched_processing_ts_ms").alias("ep_min"),
         F.max("enriched_processing_ts_ms").alias("ep_max"))
-        .select("*", F.explode(F.sequence(F.col("_p") - (k - 1), F.col("_p"))).alias("_w"))
-        .drop("_p"))
 
-    # device presence per pane (any reading / any online / any offline)
-    dev = e.groupBy("env", "tenant", "device_id", "_p").agg(
+
+def pane_devices(enriched: DataFrame, slide_seconds: int = SLIDE_SECONDS) -> DataFrame:
+    """Device presence per (env, tenant, device, pane ``_p``): any online (``on``), any offline (``off``)."""
+    return enriched.groupBy("env", "tenant", "device_id", pane_of(TS, slide_seconds).alias("_p")).agg(
         F.max(_online().cast("int")).alias("on"), F.max((~_online()).cast("int")).alias("off"))
+
+
+def add_measures(parts: DataFrame) -> DataFrame:
+    """Several tables of :func:`pane_measures` in one, added up."""
+    return parts.groupBy("env", "tenant", "_p").agg(*[f(c).alias(c) for c, f in _MEASURES.items()])
+
+
+def add_devices(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("env", "tenant", "device_id", "_p").agg(F.max("on").alias("on"), F.max("off").alias("off"))
+
+
+def windows_of_panes(panes: DataFrame, dev: DataFrame, window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS,
+                     bucket_panes: int = 360) -> DataFrame:
+    """The windows over tables of :func:`pane_measures` and :func:`pane_devices`, as
+    :func:`recent_summary_panes` describes."""
+    k = window_seconds // slide_seconds
+    bucket_panes = max(bucket_panes, k)
+    slide_us = slide_seconds * 1_000_000
+    # measures, expanded to the K windows containing the pane
+    measures = panes.select("*", F.explode(F.sequence(F.col("_p") - (k - 1), F.col("_p"))).alias("_w")).drop("_p")
     dev = dev.withColumn("_b", F.floor(F.col("_p") / F.lit(bucket_panes)))
     ghosts = (dev.filter(F.col("_p") - F.col("_b") * bucket_panes >= bucket_panes - (k - 1))
               .withColumn("_b", F.col("_b") + 1).withColumn("_ghost", F.lit(True)))

@@ -302,6 +302,18 @@ def q_stream_summary(spark, sf_dir):
     return replay_summary(spark, sf_dir)
 
 
+def q_stream_summary_late(spark, sf_dir):
+    """Slices out of order: windows hold what had arrived when the watermark closed them."""
+    from fieldpulse.streaming.replay import replay_summary_late
+    return replay_summary_late(spark, sf_dir)
+
+
+def q_late_drop(spark, sf_dir):
+    """The readings that came when all their windows were closed."""
+    from fieldpulse.streaming.replay import replay_late_drop
+    return replay_late_drop(spark, sf_dir).select("env", "tenant", "device_id", "humidity_seq", "measurement_event_ts", "batch_id")
+
+
 def q_stream_streak(spark, sf_dir):
     from fieldpulse.streaming.replay import replay_streak
     return replay_streak(spark, sf_dir)
@@ -358,5 +370,7 @@ QUERIES: dict[str, Query] = {
     "stream_measurement": q_stream_measurement,
     "stream_asof": q_stream_asof,
     "stream_summary": q_stream_summary,
+    "stream_summary_late": q_stream_summary_late,
+    "late_drop": q_late_drop,
     "stream_streak": q_stream_streak,
 }

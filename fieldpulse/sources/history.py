@@ -58,9 +58,17 @@ def dealt_by_date(rows: DataFrame, rows_per_writer: int = ROWS_PER_WRITER) -> Da
             .drop("_salt"))
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    # a stream's folders add batch_id below the date
-    return spark.read.schema(HISTORY_SCHEMA).parquet(path).select(*HISTORY_SCHEMA.fieldNames())
+def read_history(spark: SparkSession, path: str, commits: str | None = None) -> DataFrame:
+    """The history table. Below the date, a stream's folders add ``batch_id``; its markers' folder
+    (``commits``, by default ``<path>.commits`` if it is there) hides a batch that isn't in all its dates yet."""
+    from fieldpulse.streaming import sinks
+
+    schema = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(schema).parquet(path)
+    commits = commits or f"{path.rstrip('/')}.commits"
+    if sinks.exists(spark, commits):
+        rows = rows.filter(F.col("batch_id").isNull() | (F.col("batch_id") <= sinks.committed(spark, commits)))
+    return rows.select(*HISTORY_SCHEMA.fieldNames())
 
 
 def scan_history(spark: SparkSession, path: str, env: str | None = None, tenant: str | None = None,

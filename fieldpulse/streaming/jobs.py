@@ -144,16 +144,19 @@ def enriched_stream(spark: SparkSession, enriched_path: str, **kw) -> DataFrame:
 
 
 def start_summary(spark: SparkSession, enriched_path: str, out_path: str, trigger: dict | None = None,
-                  ckpt_base: str | None = None, max_files: int | None = None) -> StreamingQuery:
+                  ckpt_base: str | None = None, max_files: int | None = None, merge_every: int = sinks.MERGE_EVERY,
+                  ttl_seconds: int | None = None) -> StreamingQuery:
+    """Readings dropped for being late are in ``late`` beside the checkpoint (``summary_state.read_late``)."""
     e = enriched_stream(spark, enriched_path, max_files=max_files)
     ckpt = _ckpt(spark, "summary", ckpt_base)
-    body = SummaryBatches(f"{ckpt}-tables", sinks.upsert_sink(out_path))
+    body = SummaryBatches(f"{ckpt}-tables", sinks.upsert_sink(out_path, compact_every=merge_every, ttl_seconds=ttl_seconds))
     return _trigger(e.writeStream.foreachBatch(body).option("checkpointLocation", ckpt), trigger).start()
 
 
 def start_streak(spark: SparkSession, enriched_path: str, out_path: str, trigger: dict | None = None,
-                 ckpt_base: str | None = None, max_files: int | None = None) -> StreamingQuery:
+                 ckpt_base: str | None = None, max_files: int | None = None, merge_every: int = sinks.MERGE_EVERY,
+                 ttl_seconds: int | None = None) -> StreamingQuery:
     e = enriched_stream(spark, enriched_path, max_files=max_files)
-    w = (streak_stream(e).writeStream.outputMode("update").foreachBatch(sinks.upsert_sink(out_path))
+    w = (streak_stream(e).writeStream.outputMode("update").foreachBatch(sinks.upsert_sink(out_path, compact_every=merge_every, ttl_seconds=ttl_seconds))
          .option("checkpointLocation", _ckpt(spark, "streak", ckpt_base)))
     return _trigger(w, trigger).start()

@@ -22,7 +22,7 @@ from fieldpulse.sources import fixtures as FX
 from fieldpulse.sources.history import read_history
 from fieldpulse.streaming import jobs
 from fieldpulse.streaming.asof_state import AsofBatches, tagged_feeds
-from fieldpulse.streaming.summary_state import SummaryBatches
+from fieldpulse.streaming.summary_state import SummaryBatches, read_late
 from fieldpulse.streaming.sinks import fanout_enriched, make_folder, move, read_upsert_view, upsert_sink, write_batch
 
 ONCE = {"availableNow": True}
@@ -155,13 +155,27 @@ def _replay_enriched(spark: SparkSession, sf_dir: str, root: str, order, query)
     run_in_two(lambda: query(feed.stream("enriched", ENRICHED)).option("checkpointLocation", f"{root}/ckpt").trigger(**AT_ONCE).start(), feed)
 
 
-def replay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows the stream has emitted (closed by the watermark), as the changelog holds them. Here
-    readings count only for windows still open, as in the reference, so the slices come in order."""
-    root = _scratch(spark, "summary")
+def _replay_summary(spark: SparkSession, sf_dir: str, name: str, order) -> str:
+    root = _scratch(spark, name)
     body = SummaryBatches(f"{root}/state", upsert_sink(f"{root}/out"))
-    _replay_enriched(spark, sf_dir, root, IN_ORDER, lambda e: e.writeStream.foreachBatch(body))
-    return spark.read.parquet(f"{root}/out").drop("batch_id", "written_at")
+    _replay_enriched(spark, sf_dir, root, order, lambda e: e.writeStream.foreachBatch(body))
+    return root
+
+
+def replay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows the stream has emitted (closed by the watermark), as the changelog holds them. Readings
+    count only for windows still open, as in the reference; here the slices come in order."""
+    return spark.read.parquet(f"{_replay_summary(spark, sf_dir, 'summary', IN_ORDER)}/out").drop("batch_id", "written_at")
+
+
+def replay_summary_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with slices out of order: readings of two slices come behind the watermark."""
+    return spark.read.parquet(f"{_replay_summary(spark, sf_dir, 'summary-late', ARRIVAL)}/out").drop("batch_id", "written_at")
+
+
+def replay_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings that this stream drops, with the batch that brought them."""
+    return read_late(spark, f"{_replay_summary(spark, sf_dir, 'late-drop', ARRIVAL)}/state")
 
 
 def replay_streak(spark: SparkSession, sf_dir: str) -> DataFrame:

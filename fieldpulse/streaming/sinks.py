@@ -6,8 +6,12 @@
   file, and the job downstream, which remembers files, reads nothing twice. (The rename is atomic on
   HDFS and local file systems; an object store needs a committer of its own.)
 * Upsert tables (keyed upsert topics and hashes) are a changelog of rows with ``batch_id`` and
-  ``written_at``, compacted now and then to a snapshot of the latest row a key;
-  :func:`read_upsert_view` reads the newest snapshot and the batches after it.
+  ``written_at``. Every few batches are merged into a *run*, the latest row a key of theirs, and every few
+  runs of one size into a larger one, so a table of n batches has some log n folders and a row is rewritten
+  log n times, not once a batch. What a run covers is deleted after a reader's grace time.
+  :func:`read_upsert_view` reads the runs and batches that nothing else covers.
+* One batch to several tables (:func:`fanout_enriched`) ends with a commit marker. Readers given the marker's
+  folder take a batch of all the tables or of none.
 """
 
 from __future__ import annotations
@@ -57,14 +61,21 @@ def _move(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"could not move {src} to {dst}")
 
 
-def write_once(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Write ``df`` as the folder ``path`` unless it is there already."""
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def write_once(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), bloom: tuple[str, ...] = ()) -> None:
+    """Write ``df`` as the folder ``path`` unless it is there already (``bloom``: columns with a bloom filter)."""
     spark = df.sparkSession
     if exists(spark, path):
         return
     parent, name = path.rstrip("/").rsplit("/", 1)
     tmp = f"{parent}/_writing/{name}-{uuid.uuid4().hex[:12]}"
     writer = df.write
+    for c in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(tmp)
@@ -75,18 +86,29 @@ def write_batch(df: DataFrame, table_path: str, batch_id: int, partition_by: tup
     write_once(df, f"{table_path.rstrip('/')}/batch_id={int(batch_id)}", partition_by)
 
 
+def forget_batches(spark: SparkSession, table_path: str, upto: int) -> None:
+    """Delete the folders of batches up to ``upto`` (state that no replay needs any more)."""
+    for n in children(spark, table_path, "batch_id="):
+        if int(n.split("=")[1]) <= upto:
+            delete(spark, f"{table_path.rstrip('/')}/{n}")
+
+
+def write_by(df: DataFrame, column: str, path: str, batch_id: int) -> None:
+    """A batch into folders ``<column>=<value>/batch_id=<id>`` of a table, each moved into place once."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    tmp = f"{path}/_writing/{int(batch_id)}-{uuid.uuid4().hex[:12]}"
+    df.write.partitionBy(column).parquet(tmp)
+    for name in children(spark, tmp, f"{column}="):
+        move(spark, f"{tmp}/{name}", f"{path}/{name}/batch_id={int(batch_id)}")
+
+
 def write_history_batch(enriched: DataFrame, path: str, batch_id: int, inserted_at: Column | None = None,
                         rows_per_writer: int = ROWS_PER_WRITER) -> None:
     """A micro-batch into the history table: ``event_date=<date>/batch_id=<id>``, sorted as the batch
     writer sorts, so a date range is one folder a date whatever the number of batches. A date with many
     rows (a backlog) is written by several tasks."""
-    spark = enriched.sparkSession
-    path = path.rstrip("/")
-    tmp = f"{path}/_writing/{int(batch_id)}-{uuid.uuid4().hex[:12]}"
     rows = history_rows(enriched, inserted_at if inserted_at is not None else F.current_timestamp())
-    dealt_by_date(rows, rows_per_writer).write.partitionBy("event_date").parquet(tmp)
-    for day in children(spark, tmp, "event_date="):
-        _move(spark, f"{tmp}/{day}", f"{path}/{day}/batch_id={int(batch_id)}")
+    write_by(dealt_by_date(rows, rows_per_writer), "event_date", path, batch_id)
 
 
 def compact_history_dates(spark: SparkSession, path: str, into: str, dates: list[str],
@@ -106,59 +128,171 @@ def append_changelog(df: DataFrame, table_path: str, batch_id: int, written_at:
     write_batch(df.withColumn("written_at", stamp), table_path, batch_id)
 
 
-def _snapshots(table_path: str) -> str:
-    return f"{table_path.rstrip('/')}.snapshots"
+def _runs_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}.runs"
+
+
+def runs(spark: SparkSession, table_path: str) -> list[tuple[int, int]]:
+    """(first batch, last batch) of every run, covered ones included."""
+    spans = [n.split("-") for n in children(spark, _runs_path(table_path), "from_")]
+    return sorted((int(a.split("_")[1]), int(b.split("_")[1])) for a, b in spans)
+
+
+def _within(span: tuple[int, int], other: tuple[int, int]) -> bool:
+    return span != other and other[0] <= span[0] and span[1] <= other[1]
+
+
+def live_folders(spark: SparkSession, table_path: str) -> tuple[list[tuple[int, int]], list[int]]:
+    """The runs and the batches that no run covers."""
+    every = runs(spark, table_path)
+    top = [r for r in every if not any(_within(r, o) for o in every)]
+    ids = [int(n.split("=")[1]) for n in children(spark, table_path, "batch_id=")]
+    return top, sorted(n for n in ids if not any(a <= n <= b for a, b in top))
+
 
+def _run_path(table_path: str, span: tuple[int, int]) -> str:
+    return f"{_runs_path(table_path)}/from_{span[0]}-upto_{span[1]}"
 
-def read_changelog(spark: SparkSession, table_path: str, alive_after: Column | None = None) -> DataFrame:
-    """The newest snapshot and every batch after it, with ``batch_id`` and ``written_at``.
-    ``alive_after`` drops rows written before that: a key's newest row decides whether the key is
-    alive, so older rows can go before any aggregate."""
-    upto = max((int(n.split("=")[1]) for n in children(spark, _snapshots(table_path), "upto=")), default=-1)
-    batches = [n for n in children(spark, table_path, "batch_id=") if int(n.split("=")[1]) > upto]
-    parts = [spark.read.parquet(f"{_snapshots(table_path)}/upto={upto}")] if upto >= 0 else []
+
+def _read_parts(spark: SparkSession, table_path: str, spans: list[tuple[int, int]], batches: list[int]) -> DataFrame:
+    path = table_path.rstrip("/")
+    parts = [spark.read.parquet(_run_path(path, r)) for r in spans]
     if batches or not parts:
-        log = spark.read.option("basePath", table_path).parquet(*[f"{table_path.rstrip('/')}/{n}" for n in batches] or [table_path])
+        log = spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={n}" for n in batches] or [path])
         parts.append(log.withColumn("batch_id", F.col("batch_id").cast("long")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    return out
+
+
+def read_changelog(spark: SparkSession, table_path: str, alive_after: Column | None = None, commits: str | None = None) -> DataFrame:
+    """The runs and batches that nothing covers, with ``batch_id`` and ``written_at``. ``alive_after`` drops rows
+    written before that: a key's newest row decides whether the key is alive, so older rows can go before any
+    aggregate. ``commits``: only batches whose marker is there."""
+    out = _read_parts(spark, table_path, *live_folders(spark, table_path))
+    done = committed(spark, commits) if commits else None
+    if done is not None:
+        out = out.filter(F.col("batch_id") <= done)
     return out if alive_after is None else out.filter(F.col("written_at") > alive_after)
 
 
 def read_upsert_view(spark: SparkSession, table_path: str, key: str, as_of: Column | None = None,
-                     ttl_seconds: int | None = None) -> DataFrame:
+                     ttl_seconds: int | None = None, commits: str | None = None) -> DataFrame:
     """Latest row per ``key`` of a changelog (the later batch wins), of the keys alive at ``as_of`` if
     a time to live is given."""
     ttl = as_of is not None and ttl_seconds is not None
     since = as_of - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS") if ttl else None
-    latest = latest_by(read_changelog(spark, table_path, since), [key], ["batch_id"])
+    latest = latest_by(read_changelog(spark, table_path, since, commits), [key], ["batch_id"])
     return view_ttl(latest, as_of, ttl_seconds) if ttl else latest
 
 
+def _merge(spark: SparkSession, table_path: str, key: str, spans: list[tuple[int, int]], batches: list[int],
+           as_of: Column | None = None, ttl_seconds: int | None = None) -> None:
+    """The latest row a key of some runs and batches as one run; with a time to live, expired rows are left out.
+    Files are dealt by key and carry a bloom filter on it, so a look-up of one key opens few of them."""
+    ends = [n for span in spans for n in span] + batches
+    rows = _read_parts(spark, table_path, spans, batches)
+    if as_of is not None and ttl_seconds:
+        rows = rows.filter(F.col("written_at") > as_of - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS"))
+    merged = latest_by(rows, [key], ["batch_id"]).repartition(key).sortWithinPartitions(key)
+    write_once(merged, _run_path(table_path, (min(ends), max(ends))), bloom=(key,))
+
+
+def merge_due(spark: SparkSession, table_path: str, key: str, every: int, before: int, as_of: Column | None = None,
+              ttl_seconds: int | None = None) -> None:
+    """Merge what is due among the batches before ``before``: ``every`` batches into a run, ``every`` runs of one
+    size into the next."""
+    spans, batches = live_folders(spark, table_path)
+    batches = [n for n in batches if n < before]
+    if len(batches) >= every:
+        _merge(spark, table_path, key, [], batches, as_of, ttl_seconds)
+    while True:
+        spans, _ = live_folders(spark, table_path)
+        size = lambda r: _level(r[1] - r[0] + 1, every)
+        tail = [r for r in spans if size(r) == size(spans[-1])] if spans else []
+        if len(tail) < every or spans[-len(tail):] != tail:
+            return
+        _merge(spark, table_path, key, tail, [], as_of, ttl_seconds)
+
+
+def _level(batches: int, every: int) -> int:
+    level = 0
+    while batches >= every ** (level + 1):
+        level += 1
+    return level
+
+
+def delete_covered(spark: SparkSession, table_path: str, grace_seconds: int) -> None:
+    """Delete folders that a run has covered for longer than readers take."""
+    every, now = runs(spark, table_path), spark._jvm.java.lang.System.currentTimeMillis()
+    fs, _ = _fs(spark, table_path)
+    since = {r: fs.getFileStatus(_fs(spark, _run_path(table_path, r))[1]).getModificationTime() for r in every}
+    old = [r for r in every if now - since[r] >= grace_seconds * 1000]
+    for r in every:
+        if any(_within(r, o) for o in old):
+            delete(spark, _run_path(table_path, r))
+    for n in children(spark, table_path, "batch_id="):
+        if any(a <= int(n.split("=")[1]) <= b for a, b in old):
+            delete(spark, f"{table_path.rstrip('/')}/{n}")
+
+
 def compact_changelog(spark: SparkSession, table_path: str, key: str, upto: int, as_of: Column | None = None,
                       ttl_seconds: int | None = None) -> None:
-    """Snapshot of the latest row a key over batches up to ``upto``; with a time to live, expired keys
-    are left out. Readers then skip the batches it covers, which may be deleted."""
-    since = as_of - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS") if as_of is not None and ttl_seconds else None
-    log = read_changelog(spark, table_path, since).filter(F.col("batch_id") <= upto)
-    write_once(latest_by(log, [key], ["batch_id"]), f"{_snapshots(table_path)}/upto={int(upto)}")
+    """One run of all batches up to ``upto``; with a time to live, expired keys are left out."""
+    spans, batches = live_folders(spark, table_path)
+    _merge(spark, table_path, key, [r for r in spans if r[1] <= upto], [n for n in batches if n <= upto], as_of, ttl_seconds)
+
 
+#: Batches (and runs of one size) that are merged together, and how long covered folders stay for readers.
+MERGE_EVERY, GRACE_SECONDS = 8, 600
 
-def upsert_sink(table_path: str, key: str = "redis_key", compact_every: int = 0, ttl_seconds: int | None = None):
-    """``foreachBatch`` body; every ``compact_every`` batches (0: never) the log is compacted."""
+
+def upsert_sink(table_path: str, key: str = "redis_key", compact_every: int = 0, ttl_seconds: int | None = None,
+                grace_seconds: int = GRACE_SECONDS):
+    """``foreachBatch`` body. Every ``compact_every`` batches (0: never) are merged; the batch itself is merged by a
+    later one, so a marker written after it can still hide it."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        append_changelog(batch, table_path, batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_changelog(batch.sparkSession, table_path, key, batch_id, F.current_timestamp() if ttl_seconds else None, ttl_seconds)
+        spark = batch.sparkSession
+        if not any(a <= batch_id <= b for a, b in runs(spark, table_path)):
+            append_changelog(batch, table_path, batch_id)
+        if compact_every:
+            merge_due(spark, table_path, key, compact_every, batch_id, F.current_timestamp() if ttl_seconds else None, ttl_seconds)
+            delete_covered(spark, table_path, grace_seconds)
     return run
 
 
-def fanout_enriched(enriched_path: str, history_path: str, state_path: str, compact_every: int = 100,
-                    ttl_seconds: int | None = KEY_TTL_SECONDS):
+# ---- one batch to several tables ------------------------------------------------------------------
+
+#: Commit markers that are kept (readers want the newest).
+MARKERS = 16
+
+
+def commit(spark: SparkSession, commits: str, batch_id: int) -> None:
+    """Say that a batch is in all its tables: one folder, made at once."""
+    make_folder(spark, f"{commits.rstrip('/')}/batch_id={int(batch_id)}")
+    old = sorted(int(n.split("=")[1]) for n in children(spark, commits, "batch_id="))[:-MARKERS]
+    for n in old:
+        delete(spark, f"{commits.rstrip('/')}/batch_id={n}")
+
+
+def committed(spark: SparkSession, commits: str) -> int:
+    """The newest committed batch (-1: none)."""
+    return max((int(n.split("=")[1]) for n in children(spark, commits, "batch_id=")), default=-1)
+
+
+def read_enriched(spark: SparkSession, path: str, commits: str | None = None) -> DataFrame:
+    """The enriched table that :func:`fanout_enriched` writes."""
+    rows = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/batch_id=*").withColumn("batch_id", F.col("batch_id").cast("long"))
+    return rows.filter(F.col("batch_id") <= committed(spark, commits)) if commits else rows
+
+
+def fanout_enriched(enriched_path: str, history_path: str, state_path: str, compact_every: int = MERGE_EVERY,
+                    ttl_seconds: int | None = KEY_TTL_SECONDS, commits: str | None = None):
     """One enriched batch to three sinks (enriched topic, history table, device-state hashes): kept
-    once, written three times."""
+    once, written three times, then committed (marker folder: ``<history>.commits`` unless given)."""
     state = upsert_sink(state_path, "redis_key", compact_every, ttl_seconds)
+    commits = commits or f"{history_path.rstrip('/')}.commits"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -166,6 +300,7 @@ def fanout_enriched(enriched_path: str, history_path: str, state_path: str, comp
             write_batch(batch, enriched_path, batch_id)
             write_history_batch(batch, history_path, batch_id)
             state(latest_by(batch, ["redis_key"], ["measurement_event_ts", "humidity_seq"]), batch_id)
+            commit(batch.sparkSession, commits, batch_id)
         finally:
             batch.unpersist()
     return run
