@@ -40,7 +40,7 @@ from fieldpulse.llm._common import map_batches, slices, staged, utf8
 DEPTH = 5
 CHUNK_BYTES = 1 << 20
 #: Texts of a block (one text at least), and grams weighted at once (one context of three bytes at least).
-BLOCK_BYTES, GRAMS_AT_ONCE = 16 << 20, 1 << 20
+BLOCK_BYTES, GRAMS_AT_ONCE = 32 << 20, 1 << 20
 #: Decisions of a symbol, and the symbol that ends a text.
 BITS, END = 9, 1 << 8
 NODES = 1 << BITS
