@@ -105,7 +105,7 @@ def suffix_array(x: np.ndarray, room: np.ndarray, most: int) -> np.ndarray:
     far, and nothing asks for its order."""
     n = len(x)
     key = words8(x)
-    sa = np.argsort(key)
+    sa = np.argsort(key, kind="stable")  # equals in the order of their places, which the scan for prefixes relies on
     key = key[sa]
     head = np.concatenate(([True], key[1:] != key[:-1]))
     start = np.flatnonzero(head)
@@ -120,7 +120,7 @@ def suffix_array(x: np.ndarray, room: np.ndarray, most: int) -> np.ndarray:
         fits = room[at] >= done + step
         second = np.where(fits, rank[np.minimum(at + step, n - 1)] + 1, 0)
         key = (rank[at].astype(_U) << _U(32)) | second.astype(_U)
-        order = np.argsort(key)
+        order = np.argsort(key, kind="stable")
         at, key, fits = at[order], key[order], fits[order]
         sa[tied] = at
         head = np.concatenate(([True], key[1:] != key[:-1]))
