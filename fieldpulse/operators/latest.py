@@ -12,19 +12,18 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Last row per ``keys`` by ``order`` (lexicographic; later columns break ties; rows equal in all
     of ``order`` are one candidate each, of which the greatest row hash stays).
 
-    The aggregate carries only the order: timestamps and integers are packed into one decimal, which
+    The first aggregate carries only the order: timestamps and integers are packed into one decimal, which
     keeps it a hash aggregate with map-side combine (a key with a third of all rows shrinks before
-    the shuffle). The rows themselves are then picked by a join on key and order, and what ties is
-    settled among those few.
+    the shuffle). The rows themselves are then picked by one join on key and order, and what ties is
+    settled by an aggregate of those few.
     """
     cols = df.columns
-    rows = df.withColumn("_o", packed_order(df, order)).withColumn("_h", F.xxhash64(*cols))
+    rows = df.withColumn("_o", packed_order(df, order))
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     match = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     best = rows.select(*named, "_o").groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.max("_o").alias("_best"))
-    top = rows.join(best, [*match, F.col("_o").eqNullSafe(F.col("_best"))]).select(*cols, "_h")
-    ties = top.select(*named, "_h").groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.max("_h").alias("_top"))
-    return top.join(ties, [*match, F.col("_h") == F.col("_top")]).select(*cols).dropDuplicates(keys)
+    top = rows.join(best, [*match, F.col("_o") == F.col("_best")]).select(*cols)
+    return top.groupBy(*named).agg(F.max_by(F.struct(*cols), F.xxhash64(*cols)).alias("_r")).select("_r.*")
 
 
 def packed_order(df: DataFrame, order: list[str]) -> Column:

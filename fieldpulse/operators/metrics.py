@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.constants import BUCKET_UNITS
@@ -68,52 +68,70 @@ def latency_columns(history: DataFrame) -> DataFrame:
     )
 
 
-def _bin(v: Column) -> Column:
-    """A value's histogram bin: its sign and the sixteenth of an octave of its size. Some 2,000 bins
-    hold every 64-bit number."""
-    size = F.floor(F.log2(F.abs(v.cast("double")) + 1) * 16).cast("int")
-    return F.when(v < 0, -size - 1).otherwise(size)
+#: Bits of a value that a round of selection settles; a group's histogram has 2^16 entries at most.
+DIGIT_BITS = 16
+
+
+def _picked(hist: Column, rank: Column) -> Column:
+    """The digit that holds a rank (from 0) in a sorted histogram of ``(digit, c)``, and how many come before."""
+    start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("long").alias("digit"))
+    return F.aggregate(hist, start, lambda acc, x: F.when(acc["digit"].isNotNull(), acc)
+                       .when(acc["below"] + x["c"] > rank, F.struct(acc["below"].alias("below"), x["digit"].alias("digit")))
+                       .otherwise(F.struct((acc["below"] + x["c"]).alias("below"), F.lit(None).cast("long").alias("digit"))))
 
 
 def exact_stats(df: DataFrame, group_cols: list[str], metrics: tuple[str, ...],
                 quantiles: dict[str, float] = QUANTILES) -> DataFrame:
     """count, mean and exact linear-interpolation quantiles (pandas' ``quantile``) of integer
-    metrics per group, without bringing a group's values together.
+    metrics per group, by radix selection: no group's values are ever brought together or sorted.
 
-    Values are compacted to ``(group, metric, value) -> count`` by a hash aggregate. A histogram of
-    2,000 bins at most says which bin holds the ranks next to each quantile's position ``(n - 1) q``;
-    only those bins' values are then counted through.
+    A round counts values by their next ``DIGIT_BITS`` bits (a hash aggregate with map-side combine) and
+    keeps, for each rank wanted, the digit that holds it; the next round counts within that digit alone.
+    Values are taken from the least one, so the rounds follow from the span of the data: one for latencies
+    within a minute, two up to seven weeks, four for any. One row (least and greatest value) is read on the
+    driver to know it.
     """
     long = df.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("long").alias("v")) for m in metrics
     ])).alias("x")).select(*group_cols, "x.metric", "x.v").filter(F.col("v").isNotNull())
     keys = [*group_cols, "metric"]
-    counts = long.groupBy(*keys, "v").agg(F.count("*").alias("c")).withColumn("bin", _bin(F.col("v")))
-    bins = counts.groupBy(*keys, "bin").agg(F.sum("c").alias("c"), F.sum(F.col("v") * F.col("c")).alias("s"))
-    hist = bins.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bin", "c"))).alias("hist"), F.sum("c").alias("n"), F.sum("s").alias("s"))
-    hist = hist.withColumn("mean", F.col("s") / F.col("n"))
-
-    def holding(rank: Column) -> Column:
-        """The bin that holds a rank (from 0) and the values below that bin."""
-        start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("int").alias("bin"))
-        return F.aggregate("hist", start, lambda acc, x: F.when(acc["bin"].isNotNull(), acc)
-                           .when(acc["below"] + x["c"] > rank, F.struct(acc["below"].alias("below"), x["bin"].alias("bin")))
-                           .otherwise(F.struct((acc["below"] + x["c"]).alias("below"), F.lit(None).cast("int").alias("bin"))))
-
-    wanted = []
-    for name, q in quantiles.items():
-        pos = (F.col("n") - 1) * F.lit(q)
-        for end, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            wanted.append(F.struct(F.lit(f"{name}_{end}").alias("which"), rank.alias("rank"), holding(rank).alias("at")))
-    ranks = hist.select(*keys, F.explode(F.array(*wanted)).alias("w")).select(*keys, "w.which", "w.rank", "w.at.below", "w.at.bin")
-    inside = counts.join(ranks, [*keys, "bin"])
-    running = (Window.partitionBy(*keys, "bin", "which").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    upto = F.col("below") + F.sum("c").over(running)
-    found = (inside.select(*keys, "which", "rank", "v", "c", upto.alias("upto"))
-             .filter((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("c") <= F.col("rank"))))
-    picked = found.groupBy(*keys).agg(*[F.max(F.when(F.col("which") == f"{n}_{e}", F.col("v"))).alias(f"{n}_{e}")
-                                        for n in quantiles for e in ("lo", "hi")])
-    out = hist.select(*keys, F.col("n").alias("samples"), "mean").join(picked, keys)
+    cols = [F.col(m).cast("long") for m in metrics]
+    span = df.agg(F.min(F.least(*cols) if len(cols) > 1 else cols[0]), F.max(F.greatest(*cols) if len(cols) > 1 else cols[0])).first()
+    low, high = (0, 0) if span[0] is None else span
+    near = high - low < 1 << 63
+    bits = max(1, (high - low if near else (1 << 64) - 1).bit_length())
+    sign = -(1 << 63)
+    place = (F.col("v") - F.lit(low)) if near else F.col("v").bitwiseXOR(F.lit(sign).cast("long"))  # in order as an unsigned number
+    long = long.withColumn("u", place)
+    shift = DIGIT_BITS * (-(-bits // DIGIT_BITS) - 1)
+    mask = F.lit((1 << DIGIT_BITS) - 1).cast("long")
+
+    def digit(at: int) -> Column:
+        return F.shiftrightunsigned("u", at).bitwiseAND(mask)
+
+    def histogram(rows: DataFrame, by: list[str], *more: Column) -> DataFrame:
+        counts = rows.groupBy(*by, "digit").agg(F.count("*").alias("c"), F.sum("v").alias("s"), *more)
+        return counts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("digit", "c"))).alias("hist"), F.sum("c").alias("n"), F.sum("s").alias("s"), *more)
+
+    per = histogram(long.withColumn("digit", digit(shift)), keys)
+    places = {f"{name}_{end}": side((F.col("n") - 1) * F.lit(q)) for name, q in quantiles.items() for end, side in (("lo", F.floor), ("hi", F.ceil))}
+    if shift == 0:  # one round settles all
+        out = per.select(*keys, F.col("n").alias("samples"), (F.col("s") / F.col("n")).alias("mean"),
+                         *[(_picked(F.col("hist"), rank)["digit"] + F.lit(low)).alias(w) for w, rank in places.items()])
+    else:
+        found = per.select(*keys, F.explode(F.array(*[F.struct(F.lit(w).alias("which"), rank.alias("rank"), _picked(F.col("hist"), rank).alias("at"))
+                                                      for w, rank in places.items()])).alias("w"))
+        ranks = found.select(*keys, "w.which", (F.col("w.rank") - F.col("w.at.below")).alias("rank"), F.col("w.at.digit").alias("prefix"))
+        while shift:
+            inside = long.withColumn("prefix", F.shiftrightunsigned("u", shift)).join(ranks, [*keys, "prefix"])
+            shift -= DIGIT_BITS
+            finer = histogram(inside.withColumn("digit", digit(shift)), [*keys, "which"], F.first("rank").alias("rank"), F.first("prefix").alias("prefix"))
+            finer = finer.withColumn("at", _picked(F.col("hist"), F.col("rank")))
+            ranks = finer.select(*keys, "which", (F.col("rank") - F.col("at.below")).alias("rank"),
+                                 F.shiftleft("prefix", DIGIT_BITS).bitwiseOR(F.col("at.digit")).alias("prefix"))
+        value = F.col("prefix") + F.lit(low) if near else F.col("prefix").bitwiseXOR(F.lit(sign).cast("long"))
+        wide = ranks.groupBy(*keys).agg(*[F.max(F.when(F.col("which") == w, value)).alias(w) for w in places])
+        out = per.select(*keys, F.col("n").alias("samples"), (F.col("s") / F.col("n")).alias("mean")).join(wide, keys)
     for name, q in quantiles.items():
         pos = (F.col("samples") - 1) * F.lit(q)
         out = out.withColumn(name, F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * (pos - F.floor(pos)))

@@ -275,3 +275,25 @@ def latest_closed_summary(enriched: DataFrame, window_seconds: int = WINDOW_SECO
     totals = window_totals(per_device.withColumn("window_start", F.timestamp_micros("_ws"))
                            .withColumn("window_end", F.timestamp_micros("_we")))
     return finish_summary(totals, window_seconds)
+
+
+def newest_window(newest_us: int, last_before, window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS,
+                  watermark_seconds: int = 5) -> tuple[int, int] | None:
+    """Start and end (microseconds) of a tenant's newest closed window. ``newest_us``: the newest event time of all;
+    ``last_before(cutoff)``: the tenant's last event time before the watermark, aligned down to the slide."""
+    second = 1_000_000
+    slide, size = slide_seconds * second, window_seconds * second
+    cutoff = (newest_us - watermark_seconds * second) // slide * slide
+    last = last_before(cutoff)
+    if last is None:
+        return None
+    end = min(cutoff, (last + size) // slide * slide)
+    return end - size, end
+
+
+def one_window(rows: DataFrame, start_us: int, end_us: int) -> DataFrame:
+    """The summary of the readings of one window."""
+    start, end = (F.timestamp_micros(F.lit(x)) for x in (start_us, end_us))
+    inside = rows.filter((F.col(TS) >= start) & (F.col(TS) < end)).withColumn("window_start", start).withColumn("window_end", end)
+    per_device = device_partials(inside, ["env", "tenant", "window_start", "window_end", "device_id"], True)
+    return finish_summary(window_totals(per_device), (end_us - start_us) // 1_000_000)

@@ -203,6 +203,12 @@ def q_recent_summary_for(spark, sf_dir):
     return SV.recent_summary_for(spark, latest, "prod", "tenant-1").unionByName(SV.recent_summary_for(spark, latest, "prod", "nobody"))
 
 
+def q_recent_summary_from_history(spark, sf_dir):
+    """The same from the history table, of which only the newest dates are read."""
+    path = _history_path(spark, sf_dir)
+    return SV.recent_summary_from_history(spark, path, "prod", "tenant-2").unionByName(SV.recent_summary_from_history(spark, path, "prod", "nobody"))
+
+
 def q_drought_summary_for(spark, sf_dir):
     streaks = SK.low_humidity_streak(flow.enriched_table(spark, sf_dir))
     return SV.drought_summary_for(spark, streaks, "prod", "tenant-2").unionByName(SV.drought_summary_for(spark, streaks, "prod", "nobody"))
@@ -359,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "history_metrics": q_history_metrics,
     "device": q_device,
     "recent_summary_for": q_recent_summary_for,
+    "recent_summary_from_history": q_recent_summary_from_history,
     "drought_summary_for": q_drought_summary_for,
     "match_key_pattern": q_match_key_pattern,
     "rekey_by_device": q_rekey_by_device,

@@ -15,6 +15,9 @@ from fieldpulse.constants import WINDOW_SECONDS
 from fieldpulse.functions.clock import greatest_nonneg, range_back
 from fieldpulse.operators.metrics import filter_device_range, latency_stats, metrics_by_bucket
 from fieldpulse.operators.streak import drought_level, drought_summary
+from fieldpulse.operators.summary import newest_window, one_window
+from fieldpulse.schemas import RECENT_SUMMARY
+from fieldpulse.sources.history import last_reading, scan_history
 
 
 def _tenant_filter(df: DataFrame, env: str | None, tenant: str | None, tenant_col: str = "tenant") -> DataFrame:
@@ -135,7 +138,6 @@ def device_metrics_from_history(spark: SparkSession, history_path: str, env: str
                                 to_s: int | None = None, as_of: Column | None = None) -> DataFrame:
     """:func:`device_metrics` over the history table, reading only the date partitions of
     the range and pushing the device predicates into the Parquet scan."""
-    from fieldpulse.sources.history import scan_history
     lo, hi = metrics_range(bucket, from_s, to_s, as_of)
     rows = scan_history(spark, history_path, env, tenant, device_id, lo, hi)
     return device_metrics(rows, env, tenant, device_id, bucket, from_s, to_s, as_of)
@@ -167,3 +169,15 @@ def recent_summary_from_rows(spark: SparkSession, enriched: DataFrame, env: str,
     window closed by the (global) watermark is aggregated, not every window."""
     from fieldpulse.operators.summary import latest_closed_summary
     return recent_summary_for(spark, latest_closed_summary(enriched), env, tenant)
+
+
+def recent_summary_from_history(spark: SparkSession, history_path: str, env: str, tenant: str) -> DataFrame:
+    """The recent-summary response from the history table. The watermark comes from the newest date alone and
+    the tenant's last reading before it from the newest dates that have one; its window is then aggregated
+    from the one or two dates it lies in."""
+    newest = last_reading(spark, history_path)
+    bounds = None if newest is None else newest_window(newest, lambda cutoff: last_reading(spark, history_path, cutoff, env, tenant))
+    if bounds is None:
+        return recent_summary_for(spark, spark.createDataFrame([], RECENT_SUMMARY), env, tenant)
+    rows = scan_history(spark, history_path, env, tenant, None, *(F.timestamp_micros(F.lit(b)) for b in bounds))
+    return recent_summary_for(spark, one_window(rows, *bounds), env, tenant)

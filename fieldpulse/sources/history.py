@@ -1,9 +1,9 @@
 """History table: insert-only enriched rows, partitioned by event date.
 
-Layout: Parquet partitioned by ``event_date = to_date(measurement_event_ts)`` and sorted
-within partitions by ``(env, tenant, device_id, measurement_event_ts)``, so a device/time
-range query prunes whole date folders and, inside them, skips row groups by min/max – the
-Spark counterpart of the reference's time-partitioned table and (device, time) indexes.
+Layout: Parquet partitioned by ``event_date = to_date(measurement_event_ts)``, dealt by range of
+``(env, tenant, device_id, measurement_event_ts)`` within a date and sorted so, with a bloom filter on the
+device: a device/time range query prunes whole date folders, opens one file of each and skips its other row
+groups – the Spark counterpart of the reference's time-partitioned table and (device, time) indexes.
 """
 
 from __future__ import annotations
@@ -32,30 +32,24 @@ def history_rows(enriched: DataFrame, inserted_at: Column | None = None) -> Data
 
 
 def write_history(enriched: DataFrame, path: str, inserted_at: Column | None = None,
-                  mode: str = "append", writers_per_date: int = 8) -> None:
-    """Append rows. Rows are shuffled on ``(event_date, salt)`` with ``writers_per_date``
-    salt values: each task writes one date's slice (few files per date), and a date that
-    holds a third of the data is still written by several tasks, not one."""
-    rows = history_rows(enriched, inserted_at)
-    salt = F.pmod(F.xxhash64("device_id", "humidity_seq"), F.lit(writers_per_date))
-    (rows.repartition("event_date", salt)
-         .sortWithinPartitions(*SORT_COLUMNS)
-         .write.mode(mode)
-         .option("maxRecordsPerFile", 5_000_000)
-         .partitionBy("event_date")
-         .parquet(path))
-
-
-def dealt_by_date(rows: DataFrame, rows_per_writer: int = ROWS_PER_WRITER) -> DataFrame:
-    """History rows sorted in partitions of ``(event_date, salt)``, with as many salts as the rows of
-    the date need: a small date is one file, a large one has several writers."""
-    writers = rows.groupBy(F.col("event_date").alias("_date")).agg(F.ceil(F.count("*") / F.lit(rows_per_writer)).alias("_writers"))
-    salt = F.pmod(F.xxhash64("device_id", "humidity_seq", "measurement_event_ts"), F.coalesce("_writers", F.lit(1)))
-    return (rows.join(F.broadcast(writers), F.col("event_date").eqNullSafe(F.col("_date")), "left")
-            .select(*rows.columns, salt.alias("_salt"))
-            .repartition("event_date", "_salt")
-            .sortWithinPartitions("event_date", *SORT_COLUMNS)  # dates first, as partitionBy wants them
-            .drop("_salt"))
+                  mode: str = "append", rows_per_writer: int = ROWS_PER_WRITER) -> None:
+    """Append rows, clustered by device within a date (:func:`clustered`)."""
+    write_clustered(clustered(history_rows(enriched, inserted_at), rows_per_writer).write.mode(mode), path)
+
+
+def clustered(rows: DataFrame, rows_per_writer: int = ROWS_PER_WRITER) -> DataFrame:
+    """History rows dealt by range of ``(event_date, env, tenant, device, time)`` and sorted so: a device's rows of a
+    date are side by side, in one file (or two neighbours), whose min/max on the device skip all others. A
+    date or a device with many rows is cut by the same ranges, so it has several writers. One count is read
+    on the driver."""
+    order = ["event_date", *SORT_COLUMNS]
+    n = max(1, -(-rows.count() // rows_per_writer))
+    return rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+
+
+def write_clustered(writer, path: str) -> None:
+    """Files by date, with a bloom filter on the device."""
+    writer.option("parquet.bloom.filter.enabled#device_id", "true").option("maxRecordsPerFile", 5_000_000).partitionBy("event_date").parquet(path)
 
 
 def read_history(spark: SparkSession, path: str, commits: str | None = None) -> DataFrame:
@@ -92,3 +86,27 @@ def scan_history(spark: SparkSession, path: str, env: str | None = None, tenant:
         t = (to_ts if isinstance(to_ts, Column) else F.lit(to_ts)).cast("timestamp")
         cond = cond & (F.col("measurement_event_ts") <= t) & (F.col("event_date") <= F.to_date(t))
     return df.filter(cond)
+
+
+def newest_dates(spark: SparkSession, path: str) -> list[str]:
+    """The table's dates, newest first (folder names; no file is opened)."""
+    from fieldpulse.streaming import sinks
+
+    return [n.split("=")[1] for n in reversed(sinks.children(spark, path, "event_date=")) if n.split("=")[1][:1].isdigit()]
+
+
+def last_reading(spark: SparkSession, path: str, before_us: int | None = None, env: str | None = None, tenant: str | None = None) -> int | None:
+    """The newest event time in microseconds (of a tenant, before a time), from as few dates as hold it: the newest date first,
+    then twice as many each step, so a tenant silent for n dates costs log n steps. None: no reading."""
+    dates, at, size = newest_dates(spark, path), 0, 1
+    while at < len(dates):
+        part = [F.lit(d).cast("date") for d in dates[at:at + size]]
+        rows = read_history(spark, path).filter(F.col("event_date").isin(*part))
+        for c, v in (("env", env), ("tenant", tenant)):
+            rows = rows.filter(F.col(c) == v) if v is not None else rows
+        rows = rows.filter(F.col("measurement_event_ts") < F.timestamp_micros(F.lit(before_us))) if before_us is not None else rows
+        found = rows.agg(F.unix_micros(F.max("measurement_event_ts"))).first()[0]
+        if found is not None:
+            return found
+        at, size = at + size, size * 2
+    return None

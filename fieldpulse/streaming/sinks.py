@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse.constants import KEY_TTL_SECONDS
 from fieldpulse.operators.latest import latest_by, view_ttl
-from fieldpulse.sources.history import ROWS_PER_WRITER, dealt_by_date, history_rows
+from fieldpulse.sources.history import ROWS_PER_WRITER, clustered, history_rows, write_clustered
 
 
 def _fs(spark: SparkSession, path: str):
@@ -93,11 +93,14 @@ def forget_batches(spark: SparkSession, table_path: str, upto: int) -> None:
             delete(spark, f"{table_path.rstrip('/')}/{n}")
 
 
-def write_by(df: DataFrame, column: str, path: str, batch_id: int) -> None:
+def write_by(df: DataFrame, column: str, path: str, batch_id: int, bloom: tuple[str, ...] = ()) -> None:
     """A batch into folders ``<column>=<value>/batch_id=<id>`` of a table, each moved into place once."""
     spark, path = df.sparkSession, path.rstrip("/")
     tmp = f"{path}/_writing/{int(batch_id)}-{uuid.uuid4().hex[:12]}"
-    df.write.partitionBy(column).parquet(tmp)
+    writer = df.write
+    for c in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.partitionBy(column).parquet(tmp)
     for name in children(spark, tmp, f"{column}="):
         move(spark, f"{tmp}/{name}", f"{path}/{name}/batch_id={int(batch_id)}")
 
@@ -108,16 +111,17 @@ def write_history_batch(enriched: DataFrame, path: str, batch_id: int, inserted_
     writer sorts, so a date range is one folder a date whatever the number of batches. A date with many
     rows (a backlog) is written by several tasks."""
     rows = history_rows(enriched, inserted_at if inserted_at is not None else F.current_timestamp())
-    write_by(dealt_by_date(rows, rows_per_writer), "event_date", path, batch_id)
+    write_by(clustered(rows, rows_per_writer), "event_date", path, batch_id, bloom=("device_id",))
 
 
 def compact_history_dates(spark: SparkSession, path: str, into: str, dates: list[str],
                           rows_per_writer: int = ROWS_PER_WRITER) -> None:
     """Rewrite whole dates (those no stream writes to any more) as few sorted files under ``into``, one
-    for each ``rows_per_writer`` rows or so."""
+    for each ``rows_per_writer`` rows or so. Repeated, it replaces those dates."""
     from fieldpulse.sources.history import read_history
     rows = read_history(spark, path).filter(F.col("event_date").isin(*[F.lit(d).cast("date") for d in dates]))
-    dealt_by_date(rows, rows_per_writer).write.mode("append").partitionBy("event_date").parquet(into)
+    writer = clustered(rows, rows_per_writer).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    write_clustered(writer, into)
 
 
 # ---- upsert tables -------------------------------------------------------------------------------
