@@ -100,27 +100,43 @@ def written(df, name: str, partition_by: tuple[str, ...] = ()):
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-_SHIPPED: set = set()
+def clear_scratch(spark, older_than_seconds: int = 7 * 86_400) -> list[str]:
+    """Delete the tables that queries have left in the shared folder and that nothing has written to for so long
+    (jobs' checkpoints, sinks and state are elsewhere). Returns what was deleted. For a nightly call: a table is
+    read while its query's results are, so the age has to exceed the longest query."""
+    base = checkpoint_dir(spark).rstrip("/")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    now, gone = spark._jvm.java.lang.System.currentTimeMillis(), []
+    for folder in ("tables", "llm", "replay"):
+        at = hadoop(f"{base}/{folder}")
+        for status in fs.listStatus(at) if fs.exists(at) else []:
+            if now - status.getModificationTime() >= older_than_seconds * 1000:
+                fs.delete(status.getPath(), True)
+                gone.append(status.getPath().toString())
+    return gone
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``fieldpulse`` importable in the Python workers (needed by the one Python UDF,
-    the streaming as-of). The package is zipped on the driver and distributed with
-    ``addPyFile`` (Spark Connect: ``addArtifacts``), the standard way to ship Python code
-    to executors; idempotent per session."""
+    """Make ``fieldpulse`` importable in the Python workers (the corpus operators run functions of the package
+    in tasks). The package is zipped on the driver and distributed with ``addPyFile`` (Spark Connect:
+    ``addArtifacts``), the standard way to ship Python code to executors; once a context, which remembers it
+    itself. The zip goes when the driver ends."""
+    import atexit
     import zipfile
 
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect
         sc = None
-    key = id(sc) if sc is not None else id(spark)
-    if key in _SHIPPED:
+    owner = sc if sc is not None else spark
+    if getattr(owner, "_fieldpulse_shipped", False):
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     base = os.path.dirname(pkg_dir)
     fd, zpath = tempfile.mkstemp(prefix="fieldpulse-", suffix=".zip")
     os.close(fd)
+    atexit.register(lambda: os.path.exists(zpath) and os.remove(zpath))
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg_dir):
             for name in files:
@@ -131,4 +147,4 @@ def ship_package(spark: SparkSession) -> None:
         sc.addPyFile(zpath)
     else:
         spark.addArtifacts(zpath, pyfile=True)
-    _SHIPPED.add(key)
+    owner._fieldpulse_shipped = True

@@ -12,6 +12,8 @@ sink, trigger and checkpoint. Checkpoints live under the cluster's ``spark.check
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -97,6 +99,8 @@ def measurement_stream(humidity: DataFrame, temperature: DataFrame, watermark: s
     ``dropDuplicatesWithinWatermark``; it needs the skew, whose watermark bounds its state too.
     """
     h, t = with_event_ts(humidity), with_event_ts(temperature)
+    if not max_time_skew and humidity.isStreaming:
+        warnings.warn("without max_time_skew the join keeps every reading as state, for ever", stacklevel=2)
     if max_time_skew:
         bound = f"{max_time_skew} {watermark}"  # an interval: the skew and the delay together
         h, t = h.withWatermark("event_ts", bound), t.withWatermark("event_ts", bound)
@@ -146,10 +150,11 @@ def enriched_stream(spark: SparkSession, enriched_path: str, **kw) -> DataFrame:
 def start_summary(spark: SparkSession, enriched_path: str, out_path: str, trigger: dict | None = None,
                   ckpt_base: str | None = None, max_files: int | None = None, merge_every: int = sinks.MERGE_EVERY,
                   ttl_seconds: int | None = None) -> StreamingQuery:
-    """Readings dropped for being late are in ``late`` beside the checkpoint (``summary_state.read_late``)."""
+    """A batch may close several windows of a tenant; the view (``read_upsert_view(..., then="window_end")``) has
+    the newest. Readings dropped for being late are in ``late`` beside the checkpoint (``summary_state.read_late``)."""
     e = enriched_stream(spark, enriched_path, max_files=max_files)
     ckpt = _ckpt(spark, "summary", ckpt_base)
-    body = SummaryBatches(f"{ckpt}-tables", sinks.upsert_sink(out_path, compact_every=merge_every, ttl_seconds=ttl_seconds))
+    body = SummaryBatches(f"{ckpt}-tables", sinks.upsert_sink(out_path, compact_every=merge_every, ttl_seconds=ttl_seconds, then="window_end"))
     return _trigger(e.writeStream.foreachBatch(body).option("checkpointLocation", ckpt), trigger).start()
 
 

@@ -182,42 +182,46 @@ def read_changelog(spark: SparkSession, table_path: str, alive_after: Column | N
 
 
 def read_upsert_view(spark: SparkSession, table_path: str, key: str, as_of: Column | None = None,
-                     ttl_seconds: int | None = None, commits: str | None = None) -> DataFrame:
-    """Latest row per ``key`` of a changelog (the later batch wins), of the keys alive at ``as_of`` if
-    a time to live is given."""
+                     ttl_seconds: int | None = None, commits: str | None = None, then: str | None = None) -> DataFrame:
+    """Latest row per ``key`` of a changelog (the later batch wins, and within a batch the greatest ``then``, where
+    a batch may bring a key more than once), of the keys alive at ``as_of`` if a time to live is given."""
     ttl = as_of is not None and ttl_seconds is not None
     since = as_of - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS") if ttl else None
-    latest = latest_by(read_changelog(spark, table_path, since, commits), [key], ["batch_id"])
+    latest = latest_by(read_changelog(spark, table_path, since, commits), [key], _order(then))
     return view_ttl(latest, as_of, ttl_seconds) if ttl else latest
 
 
+def _order(then: str | None) -> list[str]:
+    return ["batch_id", then] if then else ["batch_id"]
+
+
 def _merge(spark: SparkSession, table_path: str, key: str, spans: list[tuple[int, int]], batches: list[int],
-           as_of: Column | None = None, ttl_seconds: int | None = None) -> None:
+           as_of: Column | None = None, ttl_seconds: int | None = None, then: str | None = None) -> None:
     """The latest row a key of some runs and batches as one run; with a time to live, expired rows are left out.
     Files are dealt by key and carry a bloom filter on it, so a look-up of one key opens few of them."""
     ends = [n for span in spans for n in span] + batches
     rows = _read_parts(spark, table_path, spans, batches)
     if as_of is not None and ttl_seconds:
         rows = rows.filter(F.col("written_at") > as_of - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS"))
-    merged = latest_by(rows, [key], ["batch_id"]).repartition(key).sortWithinPartitions(key)
+    merged = latest_by(rows, [key], _order(then)).repartition(key).sortWithinPartitions(key)
     write_once(merged, _run_path(table_path, (min(ends), max(ends))), bloom=(key,))
 
 
 def merge_due(spark: SparkSession, table_path: str, key: str, every: int, before: int, as_of: Column | None = None,
-              ttl_seconds: int | None = None) -> None:
+              ttl_seconds: int | None = None, then: str | None = None) -> None:
     """Merge what is due among the batches before ``before``: ``every`` batches into a run, ``every`` runs of one
     size into the next."""
     spans, batches = live_folders(spark, table_path)
     batches = [n for n in batches if n < before]
     if len(batches) >= every:
-        _merge(spark, table_path, key, [], batches, as_of, ttl_seconds)
+        _merge(spark, table_path, key, [], batches, as_of, ttl_seconds, then)
     while True:
         spans, _ = live_folders(spark, table_path)
         size = lambda r: _level(r[1] - r[0] + 1, every)
         tail = [r for r in spans if size(r) == size(spans[-1])] if spans else []
         if len(tail) < every or spans[-len(tail):] != tail:
             return
-        _merge(spark, table_path, key, tail, [], as_of, ttl_seconds)
+        _merge(spark, table_path, key, tail, [], as_of, ttl_seconds, then)
 
 
 def _level(batches: int, every: int) -> int:
@@ -242,10 +246,10 @@ def delete_covered(spark: SparkSession, table_path: str, grace_seconds: int) ->
 
 
 def compact_changelog(spark: SparkSession, table_path: str, key: str, upto: int, as_of: Column | None = None,
-                      ttl_seconds: int | None = None) -> None:
+                      ttl_seconds: int | None = None, then: str | None = None) -> None:
     """One run of all batches up to ``upto``; with a time to live, expired keys are left out."""
     spans, batches = live_folders(spark, table_path)
-    _merge(spark, table_path, key, [r for r in spans if r[1] <= upto], [n for n in batches if n <= upto], as_of, ttl_seconds)
+    _merge(spark, table_path, key, [r for r in spans if r[1] <= upto], [n for n in batches if n <= upto], as_of, ttl_seconds, then)
 
 
 #: Batches (and runs of one size) that are merged together, and how long covered folders stay for readers.
@@ -253,15 +257,15 @@ MERGE_EVERY, GRACE_SECONDS = 8, 600
 
 
 def upsert_sink(table_path: str, key: str = "redis_key", compact_every: int = 0, ttl_seconds: int | None = None,
-                grace_seconds: int = GRACE_SECONDS):
-    """``foreachBatch`` body. Every ``compact_every`` batches (0: never) are merged; the batch itself is merged by a
+                grace_seconds: int = GRACE_SECONDS, then: str | None = None):
+    """``foreachBatch`` body (``then``: as in :func:`read_upsert_view`). Every ``compact_every`` batches (0: never) are merged; the batch itself is merged by a
     later one, so a marker written after it can still hide it."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if not any(a <= batch_id <= b for a, b in runs(spark, table_path)):
             append_changelog(batch, table_path, batch_id)
         if compact_every:
-            merge_due(spark, table_path, key, compact_every, batch_id, F.current_timestamp() if ttl_seconds else None, ttl_seconds)
+            merge_due(spark, table_path, key, compact_every, batch_id, F.current_timestamp() if ttl_seconds else None, ttl_seconds, then)
             delete_covered(spark, table_path, grace_seconds)
     return run
 

@@ -214,3 +214,21 @@ def test_recent_summary_from_rows_unknown_tenant(spark, views):
     r = SV.recent_summary_from_rows(spark, views[0], "prod", "no-such-tenant").collect()
     assert [(x.totalDevices, x.onlineDevices, x.offlineDevices, x.avgTemp, x.avgHumidity, x.windowSeconds)
             for x in r] == [(0, 0, 0, None, None, 600)]
+
+
+def test_scratch_is_cleared_by_age(spark):
+    from fieldpulse.session import clear_scratch, written
+    kept = written(spark.range(3), "scratch-test")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert clear_scratch(spark, 3600) == [] and kept.count() == 3
+    import os
+    import time
+    folder = path.replace("file://", "")
+    os.utime(folder, (time.time() - 7200,) * 2)
+    assert [p for p in clear_scratch(spark, 3600)] and not os.path.exists(folder)
+
+
+def test_package_is_shipped_once_a_context(spark):
+    from fieldpulse.session import ship_package
+    ship_package(spark)
+    assert spark.sparkContext._fieldpulse_shipped is True
