@@ -210,7 +210,8 @@ def _merge(spark: SparkSession, table_path: str, key: str, spans: list[tuple[int
 def merge_due(spark: SparkSession, table_path: str, key: str, every: int, before: int, as_of: Column | None = None,
               ttl_seconds: int | None = None, then: str | None = None) -> None:
     """Merge what is due among the batches before ``before``: ``every`` batches into a run, ``every`` runs of one
-    size into the next."""
+    size into the next (two at least)."""
+    every = max(2, every)
     spans, batches = live_folders(spark, table_path)
     batches = [n for n in batches if n < before]
     if len(batches) >= every:
