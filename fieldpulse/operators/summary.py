@@ -197,19 +197,28 @@ def windows_of_panes(panes: DataFrame, dev: DataFrame, window_seconds: int = WIN
     lo_on = F.when(F.col("on") == 1, F.greatest(floor_w, F.coalesce(F.col("_prev_on") + 1, floor_w)))
     lo_off = F.when(F.col("off") == 1, F.greatest(floor_w, F.coalesce(F.col("_prev_off") + 1, floor_w)))
     # the previous online/offline pane can be older than the previous pane of any kind, so
-    # their ranges can start earlier: expand from the smallest bound, flag each count
-    firsts = (rows.select("env", "tenant", "_p", lo_all.alias("_lo"), lo_on.alias("_lo_on"), lo_off.alias("_lo_off"))
-              .select("*", F.explode(F.sequence(F.least("_lo", "_lo_on", "_lo_off"), F.col("_p"))).alias("_w"))
-              .select("env", "tenant", "_w",
-                      (F.col("_w") >= F.col("_lo")).cast("int").alias("c_all"),
-                      (F.col("_w") >= F.col("_lo_on")).cast("int").alias("c_on"),
-                      (F.col("_w") >= F.col("_lo_off")).cast("int").alias("c_off")))
-
-    both = firsts.unionByName(measures, allowMissingColumns=True)
+    # ranges can start earlier. A device enters each count at the range's first window and leaves them behind
+    # pane ``_p``: entries and leavings are added up per window, then along the windows of a bucket. A range that
+    # began in the bucket before enters anew where its own bucket begins; what lasts to the end needs no leaving.
+    on, off = F.col("_lo_on").isNotNull().cast("int"), F.col("_lo_off").isNotNull().cast("int")
+    begin = F.col("_b") * bucket_panes
+
+    def move(window, c_all, c_on, c_off):
+        return F.struct(window.alias("_w"), *[F.coalesce(c, F.lit(0)).alias(n) for c, n in ((c_all, "c_all"), (c_on, "c_on"), (c_off, "c_off"))])
+
+    one, none = F.lit(1), F.lit(0)
+    bounds = {"_lo": (one, none, none), "_lo_on": (none, one, none), "_lo_off": (none, none, one)}
+    moves = (rows.select("env", "tenant", "_p", "_b", lo_all.alias("_lo"), lo_on.alias("_lo_on"), lo_off.alias("_lo_off"))
+             .filter(F.col("_p").isNotNull())
+             .select("env", "tenant", F.explode(F.array(
+                 *[F.when(F.col(lo).isNotNull(), move(F.col(lo), *c)) for lo, c in bounds.items()],
+                 F.when(F.least(*bounds) < begin, move(begin, *[(F.col(lo) < begin).cast("int") for lo in bounds])),
+                 F.when(F.col("_p") + 1 < begin + bucket_panes, move(F.col("_p") + 1, F.lit(-1), -on, -off)))).alias("_m"))
+             .filter(F.col("_m").isNotNull()).select("env", "tenant", "_m.*"))
+
+    both = moves.unionByName(measures, allowMissingColumns=True)
     totals = both.groupBy("env", "tenant", "_w").agg(
-        F.coalesce(F.sum("c_all"), F.lit(0)).cast("long").alias("totalDevices"),
-        F.coalesce(F.sum("c_on"), F.lit(0)).cast("long").alias("onlineDevices"),
-        F.coalesce(F.sum("c_off"), F.lit(0)).cast("long").alias("offlineDevices"),
+        *[F.sum(c).alias(c) for c in ("c_all", "c_on", "c_off")],
         (F.sum("t_sum") / F.sum("t_cnt")).alias("avgTemp"),
         (F.sum("h_sum") / F.sum("h_cnt")).alias("avgHumidity"),
         F.min("ts_min").alias("minEventTs"), F.max("ts_max").alias("maxEventTs"),
@@ -217,6 +226,10 @@ def windows_of_panes(panes: DataFrame, dev: DataFrame, window_seconds: int = WIN
         F.max("mp_max").alias("maxMeasurementProcessingTsMs"),
         F.min("ep_min").alias("minEnrichedProcessingTsMs"),
         F.max("ep_max").alias("maxEnrichedProcessingTsMs"))
+    along = (Window.partitionBy("env", "tenant", F.floor(F.col("_w") / F.lit(bucket_panes))).orderBy("_w")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    totals = totals.select("*", *[F.coalesce(F.sum(c).over(along), F.lit(0)).cast("long").alias(n) for c, n in (
+        ("c_all", "totalDevices"), ("c_on", "onlineDevices"), ("c_off", "offlineDevices"))]).filter(F.col("minEventTs").isNotNull())
     start = F.timestamp_micros(F.col("_w") * F.lit(slide_us))
     return finish_summary(totals.withColumn("window_start", start)
                    .withColumn("window_end", start + F.expr(f"INTERVAL {window_seconds} SECONDS")),

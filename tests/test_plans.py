@@ -79,3 +79,9 @@ def test_no_pairwise_joins_in_registered_batch_queries(spark):
         p = plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name  # no Python UDFs
+
+
+def test_summary_expands_tenants_panes_not_devices(spark):
+    from fieldpulse.operators import summary as SM
+    p = plan(SM.recent_summary(flow.enriched_table(spark, SF_SMALL)))
+    assert len(re.findall(r"Generate explode\(sequence", p)) == 1
