@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse.constants import KEY_TTL_SECONDS
 from fieldpulse.operators.latest import latest_by, view_ttl
+from fieldpulse.session import compiled_steps
 from fieldpulse.sources.history import ROWS_PER_WRITER, clustered, history_rows, write_clustered
 
 
@@ -78,7 +79,8 @@ def write_once(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), blo
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(tmp)
+    with compiled_steps(spark):
+        writer.parquet(tmp)
     _move(spark, tmp, path)
 
 

@@ -85,3 +85,15 @@ def test_summary_expands_tenants_panes_not_devices(spark):
     from fieldpulse.operators import summary as SM
     p = plan(SM.recent_summary(flow.enriched_table(spark, SF_SMALL)))
     assert len(re.findall(r"Generate explode\(sequence", p)) == 1
+
+
+def test_tables_are_written_by_compiled_methods(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    from fieldpulse.session import written
+    from fieldpulse.streaming.sinks import write_batch
+    key, seen, parquet = "spark.sql.codegen.hugeMethodLimit", [], DataFrameWriter.parquet
+    before = spark.conf.get(key)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **kw: (seen.append(spark.conf.get(key)), parquet(self, *a, **kw)))
+    written(spark.range(2), "two")
+    write_batch(spark.range(2), str(tmp_path / "t"), 0)
+    assert seen == ["8000", "8000"] and spark.conf.get(key) == before
