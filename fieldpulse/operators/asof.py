@@ -6,21 +6,23 @@ is none. Versions at the same instant: the later-ingested one wins (upsert order
 
 Plan (no pairs are ever formed, and no device's history has to fit in one task):
 
-1. Measurements and versions, cut to key, time and payload, are aggregated per ``(key, time
-   bucket)`` (default one hour): how many measurements, and each dimension's last version.
+1. Measurements are counted per ``(key, time bucket)`` (default one hour); the counts and the versions, cut
+   to key, time and payload, give each bucket's count and each dimension's last version in it.
 2. One window over a key's buckets gives what each bucket inherits from earlier ones. This table is
    small next to the readings (one row per key and bucket; widen the bucket for sparse fleets).
-3. All rows are shuffled once, whole, on ``(key, bucket, salt)`` and read in time order: the last
-   version seen in the bucket. A bucket above ``max_rows_per_bucket`` measurements is salted: its
-   measurements are spread, its versions copied to each salt.
-4. A measurement takes the version of its own bucket if there is one, else the inherited one.
-
-The key is (env, tenant, device): devices of different tenants never meet. Which joins are broadcast
-is left to the sizes that AQE measures.
+3. Measurements, versions and what buckets inherit (as versions before all others of the bucket) are
+   shuffled once, whole, on ``(key, bucket, salt)`` and read in time order: the last version seen. A bucket
+   above ``max_rows_per_bucket`` measurements is salted: its measurements are spread, its versions copied
+   to each salt. The list of such buckets is broadcast (one entry for each ``max_rows_per_bucket``
+   measurements at most), so the rows don't move for it.
+
+The key is (env, tenant, device): devices of different tenants never meet. Sorts begin with a number, which
+Spark compares by itself; texts, of which many begin alike, are compared only where it is equal.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,62 +46,59 @@ def asof_latest(events: DataFrame, versions: dict[str, tuple[DataFrame, list[str
     ``events``: rows with the ``keys`` and ``ts`` columns (kept whole, in a struct). They are read
     twice (key and time alone the first time), so hand in a table rather than a long plan.
     ``versions``: name -> (DataFrame with the same key columns, ``event_ts``, ``ingestedAt`` and the
-    payload ``fields``).
+    payload ``fields``); read twice too.
     Returns ``events``' columns plus one struct column per version name (null if none).
     """
     names = list(versions)
     own = events.select(F.struct(*events.columns).alias("e")).schema["e"].dataType
     payload = {n: versions[n][0].select(F.struct(*versions[n][1]).alias("s")).schema["s"].dataType for n in names}
     k = [f"_k{i}" for i in range(len(keys))]
+    nothing = {"_ts": events.schema[ts].dataType, "_ord": "long", "_e": own, **payload}
 
-    def bucket(col: str):
-        return F.floor(F.unix_millis(col) / F.lit(bucket_seconds * 1000)).alias("_b")
+    def null(c: str):
+        return F.lit(None).cast(nothing[c]).alias(c)
 
     def keyed(df: DataFrame, time: str):
-        return [F.col(c).alias(a) for c, a in zip(keys, k)] + [F.col(time).alias("_ts"), bucket(time)]
-
-    def version_rows(with_events: bool):
-        for n in names:
-            df, fields = versions[n]
-            extra = [F.lit(None).cast(own).alias("_e")] if with_events else []
-            yield df.filter(F.col("event_ts").isNotNull()).select(
-                *keyed(df, "event_ts"), F.lit(0).alias("_kind"), F.col("ingestedAt").cast("long").alias("_ord"), *extra,
-                *[(F.struct(*fields) if m == n else F.lit(None).cast(payload[m])).alias(m) for m in names])
-
-    def all_rows(with_events: bool) -> DataFrame:
-        extra = [F.struct(*events.columns).alias("_e")] if with_events else []
-        rows = events.select(*keyed(events, ts), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_ord"), *extra,
-                             *[F.lit(None).cast(payload[n]).alias(n) for n in names])
-        for v in version_rows(with_events):
-            rows = rows.unionByName(v)
-        return rows
+        bucket = F.floor(F.unix_millis(time) / F.lit(bucket_seconds * 1000))
+        return [F.col(c).alias(a) for c, a in zip(keys, k)] + [F.col(time).alias("_ts"), bucket.alias("_b")]
+
+    def union(parts) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts)
+
+    def version_rows(*extra: Column) -> list[DataFrame]:
+        return [df.filter(F.col("event_ts").isNotNull()).select(
+            *keyed(df, "event_ts"), F.col("ingestedAt").cast("long").alias("_ord"), *extra,
+            *[F.struct(*fields).alias(m) if m == n else null(m) for m in names]) for n, (df, fields) in versions.items()]
 
     # 1-2. per key and bucket: measurements, last versions, and what earlier buckets left
-    per_bucket = all_rows(False).groupBy(*k, "_b").agg(
-        F.count_if(F.col("_kind") == 1).alias("_n"),
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_ts", "_ord"))).alias(n) for n in names])
-    earlier = Window.partitionBy(*k).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    by_bucket = ["_b", *reversed(k)]
+    counts = events.select(*keyed(events, ts)).groupBy(*by_bucket).agg(F.count(F.lit(1)).alias("_n"))
+    parts = union([counts.select(*k, "_b", null("_ts"), null("_ord"), "_n", *[null(n) for n in names]),
+                   *version_rows(F.lit(0).cast("long").alias("_n"))])
+    per_bucket = parts.groupBy(*by_bucket).agg(
+        F.sum("_n").alias("_n"), *[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct("_ts", "_ord"))).alias(n) for n in names])
+    earlier = Window.partitionBy("_h", *k).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     salts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_rows_per_bucket))).cast("int")
-    carry = (per_bucket.select(*k, "_b", "_n", salts.alias("_salts"),
-                               *[F.last(n, ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in names])
-             .filter("_n > 0").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_n", "_salts"))
+    inherited = (per_bucket.withColumn("_h", F.xxhash64(*k))
+                 .select(*k, "_b", "_n", *[F.last(n, ignorenulls=True).over(earlier).alias(n) for n in names])
+                 .filter(F.col("_n") > 0).filter(reduce(Column.__or__, [F.col(n).isNotNull() for n in names]))
+                 .select(*k, "_b", null("_ts"), F.lit(-1).alias("_kind"), null("_ord"), null("_e"), *names,
+                         F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")))
 
     # 3. the rows themselves; buckets that need no salt are absent from ``hot``
-    hot = per_bucket.filter(F.col("_n") > max_rows_per_bucket).select(*k, "_b", salts.alias("_salts"))
+    hot = counts.filter(F.col("_n") > max_rows_per_bucket).select(*k, "_b", salts.alias("_salts"))
     n_salts = F.coalesce(F.col("_salts"), F.lit(1))
     spread = (F.when(F.col("_kind") == 1, F.array(F.pmod(F.xxhash64("_e", "_ts"), n_salts).cast("int")))
               .otherwise(F.sequence(F.lit(0), n_salts - 1)))
-    rows = all_rows(True).join(hot, [*k, "_b"], "left")
-    rows = rows.select(*[c for c in rows.columns if c != "_salts"], F.explode(spread).alias("_salt")).repartition(*k, "_b", "_salt")
-    so_far = (Window.partitionBy(*k, "_b", "_salt").orderBy("_ts", "_kind", "_ord")
+    rows = union([events.select(*keyed(events, ts), F.lit(1).alias("_kind"), null("_ord"), F.struct(*events.columns).alias("_e"),
+                                *[null(n) for n in names]),
+                  *version_rows(F.lit(0).alias("_kind"), null("_e"))])
+    rows = rows.join(F.broadcast(hot), [*k, "_b"], "left").withColumn("_salt", F.explode(spread)).drop("_salts")
+    rows = rows.unionByName(inherited).repartition(*k, "_b", "_salt").withColumn("_h", F.xxhash64(*k, "_b", "_salt"))
+    so_far = (Window.partitionBy("_h", *k, "_b", "_salt").orderBy("_ts", "_kind", "_ord")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hits = (rows.select(*k, "_b", "_salt", "_kind", "_e", *[F.last(n, ignorenulls=True).over(so_far).alias(f"_in_{n}") for n in names])
-            .filter("_kind = 1"))
-
-    # 4. own bucket first, then the inherited version
-    same = [hits[c].eqNullSafe(carry[c]) for c in k] + [hits["_b"].eqNullSafe(carry["_b"]), hits["_salt"] == carry["_salt"]]
-    out = hits.join(carry, same, "left")
-    return out.select("_e.*", *[F.coalesce(f"_in_{n}", f"_carry_{n}").alias(n) for n in names])
+    return (rows.select("_kind", "_e", *[F.last(n, ignorenulls=True).over(so_far).alias(n) for n in names])
+            .filter(F.col("_kind") == 1).select("_e.*", *names))
 
 
 def asof_enrich(measurement: DataFrame, location: DataFrame, state: DataFrame,

@@ -58,8 +58,10 @@ def join_measurement(humidity: DataFrame, temperature: DataFrame,
         h, t = collapse_copies(h, "humidity"), collapse_copies(t, "temperature")
     h = with_event_ts(h).alias("h")
     t = with_event_ts(t).alias("t")
-    cond = [F.col("h.env") == F.col("t.env"), F.col("h.tenant") == F.col("t.tenant"),
-            F.col("h.deviceId") == F.col("t.deviceId"), F.col("h.seq") == F.col("t.seq")]
+    keys = ["env", "tenant", "deviceId", "seq"]
+    if not (humidity.isStreaming or temperature.isStreaming):  # a stream's state keeps its key order
+        keys.reverse()  # sorted by a number first, which is nearly unique
+    cond = [F.col(f"h.{c}") == F.col(f"t.{c}") for c in keys]
     if max_time_skew:
         skew = F.expr(f"INTERVAL {max_time_skew}")
         cond.append(F.col("t.event_ts").between(F.col("h.event_ts") - skew, F.col("h.event_ts") + skew))

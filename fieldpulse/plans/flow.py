@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.operators.asof import asof_enrich
-from fieldpulse.operators.measurement import join_measurement
+from fieldpulse.operators.asof import LOCATION_FIELDS, STATE_FIELDS, asof_enrich
+from fieldpulse.operators.measurement import join_measurement, tenancy, with_event_ts
 from fieldpulse.operators.normalize import FIELDS, parse_all
 from fieldpulse.schemas import PARSE_ERROR
 from fieldpulse.sources import fixtures as FX
@@ -42,12 +42,14 @@ def measurement(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> Dat
 
 @memo_plan
 def enriched(spark: SparkSession, sf_dir: str, clock: str = "fixture") -> DataFrame:
-    """J1 then the as-of join. The measurements are a table between the two (as they are a topic
-    between two jobs): the as-of reads its key and time columns once more for its bucket counts."""
+    """J1 then the as-of join. The measurements and the versions are tables between the two (as they are topics
+    between two jobs): the as-of reads them once more for its buckets."""
     t = typed_inputs(spark, sf_dir)
     m_clock, e_clock = _clocks(clock)
     m = written(join_measurement(t["humidity"], t["temperature"], processing_ms=m_clock), "measurement")
-    return asof_enrich(m, t["location"], t["state"], enrich_ms=e_clock)
+    location, state = (written(tenancy(with_event_ts(t[k])).select("env", "tenant", "deviceId", "event_ts", *fields), k)
+                       for k, fields in (("location", LOCATION_FIELDS), ("state", STATE_FIELDS)))
+    return asof_enrich(m, location, state, enrich_ms=e_clock)
 
 
 @memo_plan

@@ -81,6 +81,15 @@ def test_no_pairwise_joins_in_registered_batch_queries(spark):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name  # no Python UDFs
 
 
+def test_asof_moves_whole_rows_once(spark):
+    """Neither the salts nor what buckets inherit are joined by sorting the readings, whatever is broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in plan(flow.enriched.__wrapped__(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 << 20))
+
+
 def test_summary_expands_tenants_panes_not_devices(spark):
     from fieldpulse.operators import summary as SM
     p = plan(SM.recent_summary(flow.enriched_table(spark, SF_SMALL)))
