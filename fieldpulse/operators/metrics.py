@@ -20,6 +20,16 @@ def filter_device_range(df: DataFrame, env: str, tenant: str, device_id: str,
                      & (F.col("device_id") == device_id) & F.col(TS).between(from_ts, to_ts))
 
 
+def average(column: str) -> Column:
+    """Mean of a double column, the same whatever order its rows are added in. A value is cut into multiples of
+    2^-10, of 2^-30 and a rest, each of which adds up without rounding (readings below 2^20, up to 2^23 rows
+    a group; beyond that the last bits may follow the order, as with ``avg``)."""
+    v = F.col(column)
+    coarse = F.when(F.abs(v) < F.lit(2.0 ** 20), F.rint(v * F.lit(2.0 ** 10)) / F.lit(2.0 ** 10)).otherwise(F.lit(0.0))
+    fine = F.when(F.abs(v - coarse) < F.lit(1.0), F.rint((v - coarse) * F.lit(2.0 ** 30)) / F.lit(2.0 ** 30)).otherwise(F.lit(0.0))
+    return (F.sum(coarse) + F.sum(fine) + F.sum(v - coarse - fine)) / F.nullif(F.count(v), F.lit(0))
+
+
 def metrics_by_bucket(enriched: DataFrame, bucket: str = "HOUR",
                       group_cols: tuple[str, ...] = (), ordered: bool = False) -> DataFrame:
     """Per ``date_trunc(bucket, ts)`` (hour / day / week, weeks start Monday): average
@@ -29,8 +39,8 @@ def metrics_by_bucket(enriched: DataFrame, bucket: str = "HOUR",
     unit = BUCKET_UNITS[bucket.upper()]
     online = F.col("online")
     out = (enriched.groupBy(*group_cols, F.date_trunc(unit, F.col(TS)).alias("bucket"))
-            .agg(F.avg("temperature").alias("tAvg"),
-                 F.avg("humidity").alias("hAvg"),
+            .agg(average("temperature").alias("tAvg"),
+                 average("humidity").alias("hAvg"),
                  F.count("device_id").alias("totalCount"),
                  F.count_if(online).alias("okCount"),
                  F.count_if(~online).alias("errorCount")))
@@ -73,11 +83,11 @@ DIGIT_BITS = 16
 
 
 def _picked(hist: Column, rank: Column) -> Column:
-    """The digit that holds a rank (from 0) in a sorted histogram of ``(digit, c)``, and how many come before."""
-    start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("long").alias("digit"))
-    return F.aggregate(hist, start, lambda acc, x: F.when(acc["digit"].isNotNull(), acc)
-                       .when(acc["below"] + x["c"] > rank, F.struct(acc["below"].alias("below"), x["digit"].alias("digit")))
-                       .otherwise(F.struct((acc["below"] + x["c"]).alias("below"), F.lit(None).cast("long").alias("digit"))))
+    """The bin (a digit) that holds a rank (from 0) in a sorted histogram of ``(bin, c)``, and how many come before."""
+    start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("long").alias("bin"))
+    return F.aggregate(hist, start, lambda acc, x: F.when(acc["bin"].isNotNull(), acc)
+                       .when(acc["below"] + x["c"] > rank, F.struct(acc["below"].alias("below"), x["bin"].alias("bin")))
+                       .otherwise(F.struct((acc["below"] + x["c"]).alias("below"), F.lit(None).cast("long").alias("bin"))))
 
 
 def exact_stats(df: DataFrame, group_cols: list[str], metrics: tuple[str, ...],
@@ -110,25 +120,25 @@ def exact_stats(df: DataFrame, group_cols: list[str], metrics: tuple[str, ...],
         return F.shiftrightunsigned("u", at).bitwiseAND(mask)
 
     def histogram(rows: DataFrame, by: list[str], *more: Column) -> DataFrame:
-        counts = rows.groupBy(*by, "digit").agg(F.count("*").alias("c"), F.sum("v").alias("s"), *more)
-        return counts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("digit", "c"))).alias("hist"), F.sum("c").alias("n"), F.sum("s").alias("s"), *more)
+        counts = rows.groupBy(*by, "bin").agg(F.count("*").alias("c"), F.sum("v").alias("s"), *more)
+        return counts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("bin", "c"))).alias("hist"), F.sum("c").alias("n"), F.sum("s").alias("s"), *more)
 
-    per = histogram(long.withColumn("digit", digit(shift)), keys)
+    per = histogram(long.withColumn("bin", digit(shift)), keys)
     places = {f"{name}_{end}": side((F.col("n") - 1) * F.lit(q)) for name, q in quantiles.items() for end, side in (("lo", F.floor), ("hi", F.ceil))}
     if shift == 0:  # one round settles all
         out = per.select(*keys, F.col("n").alias("samples"), (F.col("s") / F.col("n")).alias("mean"),
-                         *[(_picked(F.col("hist"), rank)["digit"] + F.lit(low)).alias(w) for w, rank in places.items()])
+                         *[(_picked(F.col("hist"), rank)["bin"] + F.lit(low)).alias(w) for w, rank in places.items()])
     else:
         found = per.select(*keys, F.explode(F.array(*[F.struct(F.lit(w).alias("which"), rank.alias("rank"), _picked(F.col("hist"), rank).alias("at"))
                                                       for w, rank in places.items()])).alias("w"))
-        ranks = found.select(*keys, "w.which", (F.col("w.rank") - F.col("w.at.below")).alias("rank"), F.col("w.at.digit").alias("prefix"))
+        ranks = found.select(*keys, "w.which", (F.col("w.rank") - F.col("w.at.below")).alias("rank"), F.col("w.at.bin").alias("prefix"))
         while shift:
             inside = long.withColumn("prefix", F.shiftrightunsigned("u", shift)).join(ranks, [*keys, "prefix"])
             shift -= DIGIT_BITS
-            finer = histogram(inside.withColumn("digit", digit(shift)), [*keys, "which"], F.first("rank").alias("rank"), F.first("prefix").alias("prefix"))
+            finer = histogram(inside.withColumn("bin", digit(shift)), [*keys, "which"], F.first("rank").alias("rank"), F.first("prefix").alias("prefix"))
             finer = finer.withColumn("at", _picked(F.col("hist"), F.col("rank")))
             ranks = finer.select(*keys, "which", (F.col("rank") - F.col("at.below")).alias("rank"),
-                                 F.shiftleft("prefix", DIGIT_BITS).bitwiseOR(F.col("at.digit")).alias("prefix"))
+                                 F.shiftleft("prefix", DIGIT_BITS).bitwiseOR(F.col("at.bin")).alias("prefix"))
         value = F.col("prefix") + F.lit(low) if near else F.col("prefix").bitwiseXOR(F.lit(sign).cast("long"))
         wide = ranks.groupBy(*keys).agg(*[F.max(F.when(F.col("which") == w, value)).alias(w) for w in places])
         out = per.select(*keys, F.col("n").alias("samples"), (F.col("s") / F.col("n")).alias("mean")).join(wide, keys)

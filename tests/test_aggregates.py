@@ -1,6 +1,7 @@
 """Summary, streak, drought, metrics, latency statistics."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -155,6 +156,23 @@ def test_metrics_buckets(spark):
     assert week == [dt.datetime(2024, 1, 1)]  # Wed 3rd and Sun 7th: the week of Monday 1st
 
 
+def test_averages_do_not_follow_the_order_of_rows(spark):
+    values = [*np.random.default_rng(0).uniform(-30, 60, 59).round(2).tolist(), None]
+    means = set()
+    for vals in (values, values[::-1], sorted(values, key=lambda v: v or 0)):
+        rows = enriched_rows(spark, [("a", T(10, k), v, v, True) for k, v in enumerate(vals)]).coalesce(1)
+        means.add(tuple(MT.metrics_by_bucket(rows, "HOUR").select("tAvg", "hAvg", "totalCount").first()))
+    known = [v for v in values if v is not None]
+    assert means == {(math.fsum(known) / len(known), math.fsum(known) / len(known), 60)}
+
+
+@pytest.mark.parametrize("values, mean", [([None, None], None), ([float("inf"), 1.5], float("inf")), ([1e300, 1e300], 1e300),
+                                          ([0.1], 0.1), ([float("inf"), float("-inf")], None), ([float("nan"), 1.0], None)])
+def test_average_of_odd_values(spark, values, mean):
+    got, plain = spark.createDataFrame([(v,) for v in values], "v double").agg(MT.average("v"), F.avg("v")).first()
+    assert got == plain == mean or mean is None and (got is plain is None or math.isnan(got) and math.isnan(plain))
+
+
 def test_exact_quantiles_match_numpy(spark):
     rnd = np.random.default_rng(3)
     vals = rnd.integers(-50, 500, size=997).tolist() + [7] * 300  # heavy duplicates
